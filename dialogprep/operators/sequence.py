@@ -29,6 +29,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dialogprep.session import ensure_checkpoint_dir
+
 # A key with more rows than this is split into chunks.
 DEFAULT_HOT_THRESHOLD = 4_000_000
 # Target rows per chunk of a hot key.
@@ -140,8 +142,16 @@ def scan_chunked(
     """
     key = list(key)
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
-    chunked = df.repartitionByRange(chunks, *[F.col(k) for k in key], *order_cols).withColumn(
-        _CHUNK, F.spark_partition_id()
+    # Range partitioning cuts a hot key into contiguous chunks. The bounds
+    # come from a sample taken when the exchange runs, so two evaluations
+    # could disagree; the chunk ids are therefore fixed once in a reliable
+    # checkpoint (the shared spark.checkpoint.dir), which the summary and
+    # the rows below both read. It also cuts the lineage for this branch.
+    ensure_checkpoint_dir(df.sparkSession)
+    chunked = (
+        df.repartitionByRange(chunks, *[F.col(k) for k in key], *order_cols)
+        .withColumn(_CHUNK, F.spark_partition_id())
+        .checkpoint(eager=True)
     )
     wl = Window.partitionBy(*key, _CHUNK).orderBy(*order_cols)
     local = chunked.withColumn("_dp_lrn", F.row_number().over(wl))
