@@ -21,6 +21,7 @@ from dialogprep.operators import pairs as P
 from dialogprep.operators import split as S
 from dialogprep.operators import turns as U
 from dialogprep.operators import validate as V
+from dialogprep.operators.dedup import mark_first
 from dialogprep.operators.sequence import DEFAULT_CHUNK_ROWS, DEFAULT_HOT_THRESHOLD, by_hotness
 from dialogprep.sources import cleaned as C
 from dialogprep.sources import exports as E
@@ -177,14 +178,14 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
         cleaned, time_gap_limit=cfg.time_gap_limit, gap_from=cfg.gap_from,
         hot_threshold=cfg.hot_threshold, chunk_rows=cfg.chunk_rows,
     )
-    line = J.to_json_line(F.col("sample"))
-    lines = samples.select(
-        line.alias("line"), "conversation", "block",
-    )
     fp = R.fingerprint_of(F.col("sample.messages"))
-    keyed = lines.withColumn("fp_key", R.fingerprint_key(fp)).withColumn("status", F.lit(R.VALID))
-    from dialogprep.operators.dedup import mark_first
-
+    keyed = samples.select(
+        J.to_json_line(F.col("sample")).alias("line"),
+        "conversation",
+        "block",
+        R.fingerprint_key(fp).alias("fp_key"),
+        F.lit(R.VALID).alias("status"),
+    )
     marked = mark_first(keyed, "fp_key", ["conversation", "block"], "_dp_first")
     marked = marked.withColumn("status", F.when(F.col("_dp_first"), F.col("status")).otherwise(F.lit(R.DUPLICATE)))
     out = marked.withColumn(

@@ -31,11 +31,11 @@ def read_cleaned_lists(spark: SparkSession, folder: str) -> DataFrame:
 
     A file that is not valid JSON or whose root is not a list is skipped, as
     are items that are not objects or have no ``timestamp`` key. Columns:
-    ``conversation`` (file name), ``pos``, ``sender``, ``text`` (string form
+    ``conversation`` and ``file_name`` (the file name), ``pos``, ``sender``, ``text`` (string form
     of any JSON value), ``timestamp`` (BIGINT, NULL when not a number).
     Each file is read whole, so it is one task input.
     """
-    schema = "conversation string, pos int, sender string, text string, timestamp bigint"
+    schema = "conversation string, file_name string, pos int, sender string, text string, timestamp bigint"
     if not path_exists(spark, folder):
         return spark.createDataFrame([], schema)
     files = spark.read.option("pathGlobFilter", "*.json").text(folder, wholetext=True)
@@ -51,8 +51,10 @@ def read_cleaned_lists(spark: SparkSession, folder: str) -> DataFrame:
     text = F.when(F.schema_of_variant(text_v) == "STRING", F.try_variant_get(text_v, "$", "string")).when(
         text_v.isNotNull() & (F.schema_of_variant(text_v) != "VOID"), F.to_json(text_v)
     )
+    name = F.url_decode(F.replace("conversation", F.lit("+"), F.lit("%2B")))
     return items.where(has_ts).select(
-        F.url_decode(F.replace("conversation", F.lit("+"), F.lit("%2B"))).alias("conversation"),
+        name.alias("conversation"),
+        name.alias("file_name"),
         "pos",
         F.try_variant_get("m", "$.sender", "string").alias("sender"),
         text.alias("text"),

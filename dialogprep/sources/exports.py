@@ -113,7 +113,9 @@ def read_exports(spark: SparkSession, inbox: str) -> ExportScan:
         "messages",
         "_corrupt_record",
     )
-    quarantine = files.where(F.col("_corrupt_record").isNotNull()).select(
+    # A corrupt file has NULL messages; testing both also keeps Spark from
+    # refusing a query that reads only the corrupt-record column.
+    quarantine = files.where(F.col("_corrupt_record").isNotNull() & F.col("messages").isNull()).select(
         F.col("_path").alias("path"), F.lit("CORRUPT_JSON").alias("reason")
     )
     directory = F.regexp_extract(F.col("_path"), r"^(.*)/[^/]*$", 1)
