@@ -12,7 +12,7 @@ a fingerprint over ``messages`` would route it:
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dialogprep.functions.text import py_strip
@@ -132,3 +132,45 @@ def route(line: Column | str) -> tuple[Column, Column, Column]:
 
 def is_blank(line: Column | str) -> Column:
     return py_strip(_col(line)) == ""
+
+
+def route_lines(df: DataFrame, line: str = "line") -> DataFrame:
+    """Add ``status`` and ``fp`` to a frame of stripped, non-blank lines.
+
+    Same result as :func:`route`, staged so that each parse and each
+    extraction of ``messages`` is computed once per row: a staged column
+    that is not cheap and is used several times is kept as its own
+    projection by Catalyst instead of being inlined into every use.
+    """
+    v = "_dp_v"
+    staged = df.withColumn(v, parse_strict(line))
+    staged = staged.withColumn("_dp_m", F.try_variant_get(F.col(v), "$.messages", "variant"))
+    staged = staged.withColumn("_dp_mt", _type(F.col("_dp_m"))).withColumn(
+        "_dp_items", F.try_variant_get(F.col("_dp_m"), "$", "array<variant>")
+    )
+    m, mt, items = F.col("_dp_m"), F.col("_dp_mt"), F.col("_dp_items")
+    all_objects = F.forall(items, lambda x: x.isNotNull() & _type(x).startswith("OBJECT<"))
+    ok = (
+        F.when(~F.col(line).startswith("{"), F.lit(False))
+        .when(m.isNull(), F.lit(True))
+        .when(mt.startswith("ARRAY<"), F.coalesce(all_objects, F.lit(False)))
+        .when(mt == "OBJECT<>", F.lit(True))
+        .when(mt == "STRING", F.try_variant_get(m, "$", "string") == "")
+        .otherwise(F.lit(False))
+    )
+    status = (
+        F.when(F.col(v).isNull(), F.lit(MALFORMED_JSON))
+        .when(~ok, F.lit(STRUCTURAL_INVALID))
+        .otherwise(F.lit(VALID))
+    )
+    staged = staged.withColumn("status", status)
+    fp = F.when(F.col("status") == VALID, _fingerprint_items(items))
+    return staged.withColumn("fp", fp).drop(v, "_dp_m", "_dp_mt", "_dp_items")
+
+
+def _fingerprint_items(items: Column) -> Column:
+    parts = F.transform(
+        items,
+        lambda x: F.concat(_field_text(x, "role"), F.lit(":"), _field_text(x, "content"), F.lit("||")),
+    )
+    return F.coalesce(F.array_join(parts, ""), F.lit(""))

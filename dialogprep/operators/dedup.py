@@ -32,16 +32,25 @@ def mark_first(
     never duplicates (flag true)."""
     order = list(order)
     key = F.struct(*[F.col(c) for c in order])
+    # Group and join on a non-nullable key. A plain ``fp`` key lets Catalyst
+    # infer "fp is not null" and push it, with the whole fingerprint
+    # expression, below any repartition into the scan. NULL fingerprints
+    # form their own group and are never marked duplicate.
+    gk = F.struct(F.col(fp).isNull().alias("n"), F.col(fp).alias("v"))
+    tagged = df.withColumn("_dp_gk", gk)
     firsts = (
-        df.where(F.col(fp).isNotNull())
-        .groupBy(fp)
+        tagged.groupBy("_dp_gk")
         .agg(F.min(key).alias("_dp_first"))
-        .select(F.col(fp).alias("_dp_fp"), *[F.col("_dp_first")[c].alias(f"_dp_o_{c}") for c in order], F.lit(True).alias("_dp_hit"))
+        .select(
+            F.col("_dp_gk").alias("_dp_fgk"),
+            *[F.col("_dp_first")[c].alias(f"_dp_o_{c}") for c in order],
+            F.lit(True).alias("_dp_hit"),
+        )
     )
-    cond = [df[fp] == firsts["_dp_fp"]] + [df[c] == firsts[f"_dp_o_{c}"] for c in order]
-    joined = df.join(firsts, cond, "left")
+    cond = [tagged["_dp_gk"] == firsts["_dp_fgk"]] + [tagged[c] == firsts[f"_dp_o_{c}"] for c in order]
+    joined = tagged.join(firsts, cond, "left")
     return joined.withColumn(flag, F.col(fp).isNull() | F.coalesce(F.col("_dp_hit"), F.lit(False))).drop(
-        "_dp_fp", "_dp_hit", *[f"_dp_o_{c}" for c in order]
+        "_dp_gk", "_dp_fgk", "_dp_hit", *[f"_dp_o_{c}" for c in order]
     )
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dialogprep.functions import text as T
+from dialogprep.operators.layout import keep_nonnull
 from dialogprep.operators.sequence import Scan, scan_window
 
 EXPORT_KEY = ("conversation",)
@@ -39,7 +40,8 @@ def clean_messages(
     """
     T.check_name(my_name)
     scrubbed = T.scrub(content, secrets, extra_noise, min_length, max_length)
-    out = raw.withColumn("_dp_text", scrubbed).where(F.col("_dp_text").isNotNull())
+    # Computed once per row; see keep_nonnull.
+    out = keep_nonnull(raw, scrubbed, "_dp_text")
     out = out.withColumn("sender", T.normalize_sender(sender_name, my_name))
     out = out.withColumn("timestamp", F.coalesce(parse_epoch_ms(F.col(timestamp)), F.lit(0).cast("bigint")))
     out = out.withColumn("text", F.col("_dp_text"))

@@ -32,8 +32,7 @@ def classify_lines(lines: DataFrame, order: Sequence[str], line: str = "line") -
 
     ``order`` is a unique line order (first wins among duplicates).
     """
-    status, value, fp = R.route(line)
-    routed = lines.withColumn("status", status).withColumn("fp", fp).withColumn("fp_key", R.fingerprint_key("fp"))
+    routed = R.route_lines(lines, line).withColumn("fp_key", R.fingerprint_key("fp"))
     marked = mark_first(routed, "fp_key", order, "_dp_first")
     return marked.withColumn(
         "status", F.when(~F.col("_dp_first"), F.lit(R.DUPLICATE)).otherwise(F.col("status"))

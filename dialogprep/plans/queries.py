@@ -23,6 +23,7 @@ from dialogprep.operators import dedup as D
 from dialogprep.operators import pairs as P
 from dialogprep.operators import split as S
 from dialogprep.operators import turns as U
+from dialogprep.operators.layout import filter_once, keep_nonnull, spread
 from dialogprep.operators.sequence import by_hotness, ordered_scan
 from dialogprep.plans.job import build_samples
 
@@ -36,8 +37,9 @@ EVENT_KEY = ["user_id"]
 EVENT_ORDER = ["ts_ms", "event_id"]
 
 
-def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def _t(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = True) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if spread_rows else df
 
 
 def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,7 +58,7 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_noise_filter(spark, sf_dir):
     docs = _t(spark, sf_dir, "documents")
-    return docs.where(~T.is_noise("text", EXTRA_NOISE)).select("doc_id", "text")
+    return filter_once(docs.select("doc_id", "text"), ~T.is_noise("text", EXTRA_NOISE))
 
 
 def q_mojibake_repair(spark, sf_dir):
@@ -67,7 +69,8 @@ def q_mojibake_repair(spark, sf_dir):
 
 def q_length_bounds(spark, sf_dir):
     docs = _t(spark, sf_dir, "documents")
-    return docs.where(T.within_length("text")).select("doc_id", F.length("text").cast("bigint").alias("n_chars"))
+    n = F.when(T.within_length("text"), F.length("text").cast("bigint"))
+    return keep_nonnull(docs.select("doc_id", "text"), n, "n_chars").select("doc_id", "n_chars")
 
 
 def q_secret_replace(spark, sf_dir):
@@ -82,13 +85,12 @@ def q_phone_redact(spark, sf_dir):
 
 def q_scrub(spark, sf_dir):
     docs = _t(spark, sf_dir, "documents")
-    s = T.scrub("text", SECRETS, ["###"])
-    return docs.select("doc_id", s.alias("text")).where(F.col("text").isNotNull())
+    return keep_nonnull(docs.select("doc_id", "text"), T.scrub("text", SECRETS, ["###"]), "text")
 
 
 def q_scrub_turns(spark, sf_dir):
     conv = _t(spark, sf_dir, "conversations")
-    return conv.select("conv_id", "turn", T.scrub("text").alias("text")).where(F.col("text").isNotNull())
+    return keep_nonnull(conv.select("conv_id", "turn", "text"), T.scrub("text"), "text")
 
 
 def q_sender_normalize(spark, sf_dir):
@@ -221,9 +223,7 @@ def record_lines(spark, sf_dir) -> DataFrame:
 
 
 def q_structural_check(spark, sf_dir):
-    lines = record_lines(spark, sf_dir)
-    status, _, fp = R.route("line")
-    return lines.select("event_id", status.alias("status"), fp.alias("fp"))
+    return R.route_lines(record_lines(spark, sf_dir)).select("event_id", "status", "fp")
 
 
 def q_validation_counts(spark, sf_dir):
