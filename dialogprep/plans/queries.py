@@ -37,7 +37,9 @@ EVENT_KEY = ["user_id"]
 EVENT_ORDER = ["ts_ms", "event_id"]
 
 
-def _t(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = True) -> DataFrame:
+def _t(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:
+    """A test table; ``spread_rows`` for CPU-heavy per-row text work (see
+    :func:`spread`), not for frames that go straight into a shuffle."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return spread(df) if spread_rows else df
 
@@ -57,39 +59,39 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_noise_filter(spark, sf_dir):
-    docs = _t(spark, sf_dir, "documents")
+    docs = _t(spark, sf_dir, "documents", spread_rows=True)
     return filter_once(docs.select("doc_id", "text"), ~T.is_noise("text", EXTRA_NOISE))
 
 
 def q_mojibake_repair(spark, sf_dir):
-    docs = _t(spark, sf_dir, "documents")
+    docs = _t(spark, sf_dir, "documents", spread_rows=True)
     mangled = F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")
     return docs.select("doc_id", T.repair_mojibake(mangled).alias("text"))
 
 
 def q_length_bounds(spark, sf_dir):
-    docs = _t(spark, sf_dir, "documents")
+    docs = _t(spark, sf_dir, "documents", spread_rows=True)
     n = F.when(T.within_length("text"), F.length("text").cast("bigint"))
     return keep_nonnull(docs.select("doc_id", "text"), n, "n_chars").select("doc_id", "n_chars")
 
 
 def q_secret_replace(spark, sf_dir):
-    docs = _t(spark, sf_dir, "documents")
+    docs = _t(spark, sf_dir, "documents", spread_rows=True)
     return docs.select("doc_id", T.replace_secrets("text", SECRETS).alias("text"))
 
 
 def q_phone_redact(spark, sf_dir):
-    docs = _t(spark, sf_dir, "documents")
+    docs = _t(spark, sf_dir, "documents", spread_rows=True)
     return docs.select("doc_id", T.redact_phones("text").alias("text"))
 
 
 def q_scrub(spark, sf_dir):
-    docs = _t(spark, sf_dir, "documents")
+    docs = _t(spark, sf_dir, "documents", spread_rows=True)
     return keep_nonnull(docs.select("doc_id", "text"), T.scrub("text", SECRETS, ["###"]), "text")
 
 
 def q_scrub_turns(spark, sf_dir):
-    conv = _t(spark, sf_dir, "conversations")
+    conv = _t(spark, sf_dir, "conversations", spread_rows=True)
     return keep_nonnull(conv.select("conv_id", "turn", "text"), T.scrub("text"), "text")
 
 
@@ -178,7 +180,7 @@ def q_samples_dedup(spark, sf_dir):
 
 
 def _doc_marks(spark, sf_dir):
-    docs = _t(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = _t(spark, sf_dir, "documents", spread_rows=True).select("doc_id", "text")
     keyed = docs.withColumn("fp_key", R.fingerprint_key("text"))
     return D.mark_first(keyed, "fp_key", ["doc_id"], "is_first")
 
@@ -198,7 +200,7 @@ def q_dedup_removed(spark, sf_dir):
 
 def record_lines(spark, sf_dir) -> DataFrame:
     """Eight kinds of JSONL lines built from ``events`` rows (event_id % 8)."""
-    ev = _t(spark, sf_dir, "events")
+    ev = _t(spark, sf_dir, "events", spread_rows=True)
     k = F.col("event_id") % 8
     et = F.col("event_type")
     props = F.col("props")

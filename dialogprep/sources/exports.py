@@ -84,6 +84,19 @@ def _empty(spark: SparkSession) -> ExportScan:
     return ExportScan(spark.createDataFrame([], schema), spark.createDataFrame([], q))
 
 
+def export_reader(spark: SparkSession, streaming: bool = False):
+    """The JSON reader for export files (batch or stream), schema fixed."""
+    reader = spark.readStream if streaming else spark.read
+    return (
+        reader.schema(EXPORT_SCHEMA)
+        .option("multiLine", True)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", "_corrupt_record")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", MESSAGE_GLOB)
+    )
+
+
 def read_exports(spark: SparkSession, inbox: str) -> ExportScan:
     """One row per raw message with its conversation and order columns.
 
@@ -97,15 +110,11 @@ def read_exports(spark: SparkSession, inbox: str) -> ExportScan:
     if found is None:
         return _empty(spark)
     paths, root = found
-    df = (
-        spark.read.schema(EXPORT_SCHEMA)
-        .option("multiLine", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt_record")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", MESSAGE_GLOB)
-        .json(paths)
-    )
+    return split_files(export_reader(spark).json(paths), root)
+
+
+def split_files(df: DataFrame, root: str) -> ExportScan:
+    """Parsed export files -> (messages, quarantine); works on streams too."""
     # _metadata.file_path is a percent-encoded URI; '+' must survive decoding.
     path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     files = df.select(
