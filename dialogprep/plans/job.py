@@ -39,6 +39,8 @@ class JobConfig:
     cleaned_dir: str = "./cleaned"
     output_dir: str = "./dataset"
     quarantine_dir: str = "./quarantine"
+    samples_dir: str = "./samples"
+    ordered: bool = False
     secrets_path: str | None = None
     time_gap_limit: int = P.DEFAULT_TIME_GAP_LIMIT
     extra_noise: Sequence[str] = ()
@@ -184,9 +186,12 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
         "conversation",
         "block",
         R.fingerprint_key(fp).alias("fp_key"),
-        F.lit(R.VALID).alias("status"),
     )
-    marked = mark_first(keyed, "fp_key", ["conversation", "block"], "_dp_first")
+    # Stage the samples: the de-duplication reads them twice (the minima and
+    # the rows), and the block/pair chain should run once.
+    keyed.write.mode("overwrite").parquet(cfg.samples_dir)
+    staged = spark.read.parquet(cfg.samples_dir).withColumn("status", F.lit(R.VALID))
+    marked = mark_first(staged, "fp_key", ["conversation", "block"], "_dp_first")
     marked = marked.withColumn("status", F.when(F.col("_dp_first"), F.col("status")).otherwise(F.lit(R.DUPLICATE)))
     out = marked.withColumn(
         "value",
@@ -194,6 +199,9 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
             V.audit_value(F.col("status"), F.col("line"), F.col("line"))
         ),
     )
+    if cfg.ordered:
+        # Conversations by key, then block order (a range-partitioned sort).
+        out = out.orderBy("conversation", "block")
     observed, obs = V.observed_counts(out)
     J.write_lines(observed, "value", cfg.output_dir, partition_by="status")
     counts = V.counts_from(obs)

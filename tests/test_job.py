@@ -37,6 +37,7 @@ def config(tmp_path, inbox, **kw):
         cleaned_dir=str(tmp_path / "cleaned"),
         output_dir=str(tmp_path / "out"),
         quarantine_dir=str(tmp_path / "quarantine"),
+        samples_dir=str(tmp_path / "samples"),
         **kw,
     )
 
@@ -224,6 +225,7 @@ def test_run_with_hot_conversation(spark, tmp_path):
     plain = job.run(spark, config(tmp_path, inbox))
     hot_cfg = config(tmp_path, inbox, hot_threshold=10, chunk_rows=13)
     hot_cfg.output_dir = str(tmp_path / "out_hot")
+    hot_cfg.samples_dir = str(tmp_path / "samples_hot")
     hot = job.run(spark, hot_cfg)
     assert plain.valid_samples == hot.valid_samples == 60
     a = sorted(spark.read.text(f"{tmp_path}/out/status=VALID").toPandas()["value"])
@@ -248,4 +250,19 @@ def test_generate_dataset_writes_jsonl(spark, tmp_path):
 
 def test_blank_name_rejected(spark, tmp_path):
     with pytest.raises(ValueError):
-        job.clean_exports(spark, config(tmp_path, str(tmp_path), my_name="  ") if False else job.JobConfig(my_name="  "))
+        job.clean_exports(spark, job.JobConfig(my_name="  "))
+
+
+def test_ordered_output(spark, tmp_path):
+    convs = {
+        f"c{i}": {"message_1.json": {"messages": [raw_msg("Al", f"q{i} one", 1), raw_msg("Robin", f"a{i} one", 2),
+                                                   raw_msg("Al", f"q{i} two", 3), raw_msg("Robin", f"a{i} two", 4)]}}
+        for i in range(4)
+    }
+    inbox = make_inbox(tmp_path, convs)
+    cfg = config(tmp_path, inbox, ordered=True)
+    job.run(spark, cfg)
+    files = sorted((tmp_path / "out" / "status=VALID").glob("part-*"))
+    lines = [l for f in files for l in f.read_text(encoding="utf-8").splitlines()]
+    users = [json.loads(l)["messages"][0]["content"] for l in lines]
+    assert users == [f"q{i} {w}" for i in range(4) for w in ("one", "two")]
