@@ -266,3 +266,27 @@ def test_ordered_output(spark, tmp_path):
     lines = [l for f in files for l in f.read_text(encoding="utf-8").splitlines()]
     users = [json.loads(l)["messages"][0]["content"] for l in lines]
     assert users == [f"q{i} {w}" for i in range(4) for w in ("one", "two")]
+
+
+def test_zero_samples_run(spark, tmp_path):
+    inbox = make_inbox(tmp_path, {"solo": {"message_1.json": {"messages": [raw_msg("Robin", "only me here", 1)]}}})
+    cfg = config(tmp_path, inbox)
+    res = job.run(spark, cfg)
+    assert (res.conversations_processed, res.total_samples, res.valid_samples, res.duplicates_removed) == (1, 0, 0, 0)
+
+
+def test_equal_timestamps_keep_file_then_position_order(spark, tmp_path):
+    # File names sort as strings: message_10.json comes before message_2.json.
+    inbox = make_inbox(
+        tmp_path,
+        {
+            "t": {
+                "message_2.json": {"messages": [raw_msg("Al", "from two", 5), raw_msg("Robin", "reply", 9)]},
+                "message_10.json": {"messages": [raw_msg("Al", "from ten a", 5), raw_msg("Al", "from ten b", 5)]},
+            }
+        },
+    )
+    cleaned = U.clean_messages(E.read_exports(spark, inbox).messages, "Robin")
+    blocks = U.merge_blocks(cleaned).orderBy("block").collect()
+    assert [b.text for b in blocks] == ["from ten a\nfrom ten b\nfrom two", "reply"]
+    assert (blocks[0].first_ts, blocks[0].last_ts, blocks[0].n_messages) == (5, 5, 3)
