@@ -163,6 +163,30 @@ def q_conv_pairs(spark, sf_dir):
     return conversation_pairs(spark, sf_dir).select("conv_id", "turn", "user", "assistant")
 
 
+def conversation_messages(spark, sf_dir) -> DataFrame:
+    """``conversations`` as raw export messages: role is the sender name,
+    the turn number the timestamp; 'assistant' is our side."""
+    conv = _t(spark, sf_dir, "conversations", spread_rows=True)
+    raw = conv.select(
+        "conv_id",
+        "turn",
+        F.col("role").alias("sender_name"),
+        F.col("text").alias("content"),
+        F.col("turn").cast("string").alias("timestamp_ms"),
+    )
+    return U.clean_messages(raw, "assistant")
+
+
+def q_clean_turns(spark, sf_dir):
+    return conversation_messages(spark, sf_dir).select("conv_id", "turn", "sender", "text", "timestamp")
+
+
+def q_conv_samples(spark, sf_dir):
+    msgs = conversation_messages(spark, sf_dir)
+    pairs = build_samples(msgs, ["conv_id"], ["timestamp", "turn"])
+    return pairs.select("conv_id", "block", "user", "assistant")
+
+
 def _keyed_samples(spark, sf_dir):
     pairs = conversation_pairs(spark, sf_dir).withColumn("sample", P.sample_record())
     fp = R.fingerprint_of(F.col("sample.messages"))
@@ -286,6 +310,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "reply_pairs": q_reply_pairs,
     "reply_pairs_first": q_reply_pairs_first,
     "conv_pairs": q_conv_pairs,
+    "clean_turns": q_clean_turns,
+    "conv_samples": q_conv_samples,
     "fingerprint": q_fingerprint,
     "samples_dedup": q_samples_dedup,
     "dedup_first": q_dedup_first,
@@ -378,6 +404,47 @@ _CONV_PAIRS = f"""
     AND length({_strip_sql('text')}) >= 2 AND length({_strip_sql('next_text')}) >= 2
 """
 
+_CLEAN_TURNS = f"""
+  WITH d AS (
+    SELECT conv_id, turn, role, {_strip_sql('text')} AS dec FROM conversations
+    WHERE text IS NOT NULL AND text <> '' AND NOT {_noise_sql('text', [])}
+  ),
+  r AS (
+    SELECT conv_id, turn, role,
+           {_strip_sql(f"regexp_replace(dec, {PHONE_SQL}, '[PHONE_NUMBER]', 'g')")} AS text
+    FROM d WHERE length(dec) BETWEEN 2 AND 1000
+  )
+  SELECT conv_id, turn, CASE WHEN contains(coalesce(role, ''), 'assistant') THEN 'me' ELSE 'other' END AS sender,
+         text, turn AS timestamp
+  FROM r WHERE text <> ''
+"""
+
+_CONV_SAMPLES = f"""
+  WITH c AS ({_CLEAN_TURNS}),
+  f AS (
+    SELECT *, CASE WHEN lag(sender) OVER w IS NULL OR lag(sender) OVER w <> sender THEN 1 ELSE 0 END AS flag
+    FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY timestamp, turn)
+  ),
+  r AS (
+    SELECT *, sum(flag) OVER (PARTITION BY conv_id ORDER BY timestamp, turn
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS block
+    FROM f
+  ),
+  b AS (
+    SELECT conv_id, block, any_value(sender) AS sender,
+           string_agg(text, chr(10) ORDER BY timestamp, turn) AS text, max(timestamp) AS last_ts
+    FROM r GROUP BY conv_id, block
+  ),
+  n AS (
+    SELECT *, lead(sender) OVER w AS next_sender, lead(text) OVER w AS next_text, lead(last_ts) OVER w AS next_last_ts
+    FROM b WINDOW w AS (PARTITION BY conv_id ORDER BY block)
+  )
+  SELECT conv_id, block, {_strip_sql('text')} AS "user", {_strip_sql('next_text')} AS assistant
+  FROM n
+  WHERE sender = 'other' AND next_sender = 'me' AND next_last_ts - last_ts <= {P.DEFAULT_TIME_GAP_LIMIT}
+    AND length({_strip_sql('text')}) >= 2 AND length({_strip_sql('next_text')}) >= 2
+"""
+
 _CONV_FP = f"""
   SELECT conv_id, turn,
          sha256('user:' || "user" || '||' || 'assistant:' || assistant || '||') AS fp_key
@@ -481,6 +548,8 @@ ORACLE_SQL: dict[str, str] = {
     "reply_pairs": _event_pairs_sql("last"),
     "reply_pairs_first": _event_pairs_sql("first"),
     "conv_pairs": _CONV_PAIRS,
+    "clean_turns": _CLEAN_TURNS,
+    "conv_samples": _CONV_SAMPLES,
     "fingerprint": _CONV_FP,
     "samples_dedup": f"""
       SELECT conv_id, turn, fp_key FROM (
