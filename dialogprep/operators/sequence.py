@@ -13,7 +13,8 @@ rows of one key in a total order.
   parallel. Each chunk is scanned locally; a per-chunk summary (one row per
   chunk, so its size is bounded by the chunk count) gives the carries: the
   rows before the chunk, the runs before it, the last value before it and
-  the first value after it. The summary is broadcast back.
+  the first value after it. The summary is joined back on (key, chunk),
+  which the chunk rows are already partitioned by.
 
 Hot keys are found with a count per key hash (partial aggregation on the
 map side, so a hot key costs one row per map task, not its row count).
@@ -202,8 +203,11 @@ def scan_chunked(
     carry_cols += [f"_dp_cprev_{c}" for c in prev] + [f"_dp_cnext_{c}" for c in nxt]
     if run_of:
         carry_cols += ["_dp_first_true", "_dp_run_off"]
-    # One row per chunk: bounded by ``chunks``, so broadcasting it is safe.
-    carries = F.broadcast(summary.select(*key, _CHUNK, *carry_cols))
+    # One row per chunk. No broadcast hint: the chunk rows are already
+    # hash-partitioned on (key, chunk) by the local window, so a join on
+    # that key moves only the summary; AQE still broadcasts it when its
+    # measured size is small.
+    carries = summary.select(*key, _CHUNK, *carry_cols)
 
     out = local.join(carries, [*key, _CHUNK], "inner")
     lrn = F.col("_dp_lrn")
