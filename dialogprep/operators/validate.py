@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from dialogprep.functions import records as R
 from dialogprep.operators.dedup import mark_first
+from dialogprep.session import ensure_checkpoint_dir
 
 
 @dataclass
@@ -27,12 +28,20 @@ class ValidationCounts:
     malformed: int = 0
 
 
-def classify_lines(lines: DataFrame, order: Sequence[str], line: str = "line") -> DataFrame:
+def classify_lines(
+    lines: DataFrame, order: Sequence[str], line: str = "line", materialize: bool = False
+) -> DataFrame:
     """Add ``status``, ``fp`` (fingerprint) and ``fp_key`` (its SHA-256).
 
-    ``order`` is a unique line order (first wins among duplicates).
+    ``order`` is a unique line order (first wins among duplicates). The
+    first-wins step reads the routed lines twice (minima, then rows); with
+    ``materialize`` they are written once to the session's checkpoint folder
+    so the JSON parsing runs once and the lineage is cut there.
     """
     routed = R.route_lines(lines, line).withColumn("fp_key", R.fingerprint_key("fp"))
+    if materialize:
+        ensure_checkpoint_dir(routed.sparkSession)
+        routed = routed.checkpoint(eager=True)
     marked = mark_first(routed, "fp_key", order, "_dp_first")
     return marked.withColumn(
         "status", F.when(~F.col("_dp_first"), F.lit(R.DUPLICATE)).otherwise(F.col("status"))

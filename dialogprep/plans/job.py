@@ -137,7 +137,7 @@ def validate_jsonl(spark: SparkSession, source: str, output_dir: str) -> V.Valid
     FileNotFoundError when ``source`` does not exist.
     """
     lines = J.read_lines(spark, source)
-    classified = V.classify_lines(lines, ["file", "block", "row_id"])
+    classified = V.classify_lines(lines, ["file", "block", "row_id"], materialize=True)
     out = V.output_value(classified)
     observed, obs = V.observed_counts(out)
     J.write_lines(observed, "value", output_dir, partition_by="status")
