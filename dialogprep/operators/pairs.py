@@ -27,7 +27,7 @@ def next_block(
     return scan(blocks, key, [block], seq=None, nxt=cols)
 
 
-def reply_pairs(
+def mark_pairs(
     blocks: DataFrame,
     key: Sequence[str],
     time_gap_limit: int = DEFAULT_TIME_GAP_LIMIT,
@@ -37,35 +37,52 @@ def reply_pairs(
     reply_sender: str = "me",
     scan: Scan = scan_window,
 ) -> DataFrame:
-    """(user block, reply block) pairs: a ``user_sender`` block directly
-    followed by a ``reply_sender`` block, the reply no later than
-    ``time_gap_limit`` ms after the user block, both texts at least two
-    characters once stripped.
+    """Every block, with ``is_pair`` (it starts a reply pair) and the pair's
+    ``user``/``assistant`` texts and ``user_ts``/``reply_ts``.
 
-    The gap is measured between the blocks' last messages (``gap_from="last"``,
-    the reference rule) or from the reply's first message (``"first"``).
-    Output: key columns, ``block`` (the user block), ``user``,
-    ``assistant``, ``user_ts``, ``reply_ts``.
+    A pair is a ``user_sender`` block directly followed by a
+    ``reply_sender`` block, the reply no later than ``time_gap_limit`` ms
+    after the user block, both texts at least two characters once stripped.
+    The gap is measured between the blocks' last messages (``gap_from=
+    "last"``, the reference rule) or to the reply's first message
+    (``"first"``).
     """
     if gap_from not in ("last", "first"):
         raise ValueError("gap_from must be 'last' or 'first'")
     nb = next_block(blocks, key, block, ("sender", "text", "first_ts", "last_ts"), scan)
     reply_ts = F.col("next_last_ts") if gap_from == "last" else F.col("next_first_ts")
-    user = T.py_strip("text")
-    assistant = T.py_strip("next_text")
-    return (
-        nb.where((F.col("sender") == user_sender) & (F.col("next_sender") == reply_sender))
-        .where(reply_ts - F.col("last_ts") <= F.lit(time_gap_limit))
-        .select(
-            *key,
-            F.col(block),
-            user.alias("user"),
-            assistant.alias("assistant"),
-            F.col("last_ts").alias("user_ts"),
-            reply_ts.alias("reply_ts"),
-        )
-        .where((F.length("user") >= MIN_PAIR_CHARS) & (F.length("assistant") >= MIN_PAIR_CHARS))
+    out = nb.select(
+        *blocks.columns,
+        T.py_strip("text").alias("user"),
+        T.py_strip("next_text").alias("assistant"),
+        F.col("last_ts").alias("user_ts"),
+        reply_ts.alias("reply_ts"),
+        F.col("next_sender"),
+    )
+    is_pair = (
+        (F.col("sender") == user_sender)
+        & (F.col("next_sender") == reply_sender)
+        & (F.col("reply_ts") - F.col("user_ts") <= F.lit(time_gap_limit))
+        & (F.length("user") >= MIN_PAIR_CHARS)
+        & (F.length("assistant") >= MIN_PAIR_CHARS)
     )
+    return out.withColumn("is_pair", F.coalesce(is_pair, F.lit(False))).drop("next_sender")
+
+
+def reply_pairs(
+    blocks: DataFrame,
+    key: Sequence[str],
+    time_gap_limit: int = DEFAULT_TIME_GAP_LIMIT,
+    gap_from: str = "last",
+    block: str = "block",
+    user_sender: str = "other",
+    reply_sender: str = "me",
+    scan: Scan = scan_window,
+) -> DataFrame:
+    """The pairs of :func:`mark_pairs`. Output: key columns, ``block`` (the
+    user block), ``user``, ``assistant``, ``user_ts``, ``reply_ts``."""
+    marked = mark_pairs(blocks, key, time_gap_limit, gap_from, block, user_sender, reply_sender, scan)
+    return marked.where("is_pair").select(*key, block, "user", "assistant", "user_ts", "reply_ts")
 
 
 def sample_record(user: Column | str = "user", assistant: Column | str = "assistant") -> Column:

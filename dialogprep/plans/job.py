@@ -112,6 +112,11 @@ def build_samples(
     return pairs.withColumn("sample", P.sample_record())
 
 
+def sample_counts(samples: DataFrame, key: Sequence[str] = U.EXPORT_KEY) -> DataFrame:
+    """Samples per conversation (the per-file counts a run reports)."""
+    return samples.groupBy(*key).agg(F.count(F.lit(1)).alias("n_samples"))
+
+
 def generate_dataset(spark: SparkSession, cleaned: DataFrame, output_dir: str, cfg: JobConfig | None = None) -> int:
     """Write the samples as JSONL (no de-duplication); returns the count."""
     cfg = cfg or JobConfig(my_name="-")

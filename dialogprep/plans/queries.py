@@ -279,18 +279,20 @@ def q_split_train(spark, sf_dir):
 
 
 def q_dataset_counts(spark, sf_dir):
+    """Per user: messages, blocks and samples, from one ordered pass."""
     msgs = event_messages(spark, sf_dir)
     per_user = msgs.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_messages"))
-    blocks = by_hotness(
-        msgs, EVENT_KEY, lambda d, scan: U.merge_blocks(d, EVENT_KEY, EVENT_ORDER, timestamp="ts_ms", scan=scan)
-    )
-    n_blocks = blocks.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_blocks"))
-    pairs = build_samples(msgs, EVENT_KEY, EVENT_ORDER, timestamp="ts_ms")
-    n_samples = pairs.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_samples"))
-    return (
-        per_user.join(n_blocks, "user_id", "left")
-        .join(n_samples, "user_id", "left")
-        .select("user_id", "n_messages", "n_blocks", F.coalesce("n_samples", F.lit(0)).cast("bigint").alias("n_samples"))
+
+    def chain(rows, scan):
+        blocks = U.merge_blocks(rows, EVENT_KEY, EVENT_ORDER, timestamp="ts_ms", scan=scan)
+        marked = P.mark_pairs(blocks, EVENT_KEY, scan=scan)
+        return marked.groupBy("user_id").agg(
+            F.count(F.lit(1)).alias("n_blocks"), F.count_if("is_pair").alias("n_samples")
+        )
+
+    per_block = by_hotness(msgs, EVENT_KEY, chain)
+    return per_user.join(per_block, "user_id", "left").select(
+        "user_id", "n_messages", "n_blocks", F.coalesce("n_samples", F.lit(0)).cast("bigint").alias("n_samples")
     )
 
 
