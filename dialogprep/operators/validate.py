@@ -48,22 +48,32 @@ def classify_lines(
     ).drop("_dp_first")
 
 
+# Audit records escape non-ASCII characters, as the JSON writer of the
+# reference does by default.
+ASCII_JSON = {"writeNonAsciiCharacterAsCodePoint": "true"}
+
+
 def audit_value(status: Column, raw_line: Column, data: Column) -> Column:
     """Audit record: ``{"reason", "raw_line"}`` for unparsable or structural
-    rejects, ``{"reason", "data"}`` (the parsed record) for duplicates."""
-    raw = F.to_json(F.struct(status.alias("reason"), raw_line.alias("raw_line")))
+    rejects, ``{"reason", "data"}`` for duplicates, where ``data`` is the
+    record's JSON text (already checked to be one JSON value)."""
+    raw = F.to_json(F.struct(status.alias("reason"), raw_line.alias("raw_line")), ASCII_JSON)
     dup = F.concat(F.lit('{"reason":"DUPLICATE","data":'), data, F.lit("}"))
     return F.when(status == R.DUPLICATE, dup).otherwise(raw)
 
 
 def output_value(lines: DataFrame, line: str = "line") -> DataFrame:
-    """``value``: the record (normalised JSON) for VALID lines, the audit
-    record otherwise."""
-    value = R.parse_strict(line)
-    record = F.to_json(value)
+    """``value``: the record for VALID lines, the audit record otherwise.
+
+    A kept record is written as its own (stripped) line: it is one JSON
+    object, and this keeps its key order and values exactly (Spark's VARIANT
+    writer would sort the keys).
+    """
     return lines.withColumn(
         "value",
-        F.when(F.col("status") == R.VALID, record).otherwise(audit_value(F.col("status"), F.col(line), record)),
+        F.when(F.col("status") == R.VALID, F.col(line)).otherwise(
+            audit_value(F.col("status"), F.col(line), F.col(line))
+        ),
     )
 
 
