@@ -14,9 +14,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     there are. On large inputs the scan already has enough partitions and
     this returns ``df`` unchanged, so it never adds a shuffle at scale.
     """
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access (Spark Connect): leave as is
+        return df
+    if current >= target:
         return df
     return df.repartition(target)
 

@@ -42,11 +42,14 @@ def clean_messages(
     scrubbed = T.scrub(content, secrets, extra_noise, min_length, max_length)
     # Computed once per row; see keep_nonnull.
     out = keep_nonnull(raw, scrubbed, "_dp_text")
-    out = out.withColumn("sender", T.normalize_sender(sender_name, my_name))
-    out = out.withColumn("timestamp", F.coalesce(parse_epoch_ms(F.col(timestamp)), F.lit(0).cast("bigint")))
-    out = out.withColumn("text", F.col("_dp_text"))
-    drop = {"_dp_text", content, sender_name} | ({timestamp} if timestamp != "timestamp" else set())
-    return out.drop(*[c for c in drop if c in out.columns and c not in ("sender", "text", "timestamp")])
+    derived = {
+        "sender": T.normalize_sender(sender_name, my_name),
+        "text": F.col("_dp_text"),
+        "timestamp": F.coalesce(parse_epoch_ms(F.col(timestamp)), F.lit(0).cast("bigint")),
+    }
+    inputs = {"_dp_text", content, sender_name, timestamp}
+    kept = [c for c in out.columns if c not in inputs and c not in derived]
+    return out.select(*kept, *[v.alias(k) for k, v in derived.items()])
 
 
 def parse_epoch_ms(c: Column) -> Column:

@@ -3,7 +3,6 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from dialogprep.operators import pairs as P
 from dialogprep.operators import turns as U
