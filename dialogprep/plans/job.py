@@ -86,6 +86,51 @@ def clean_exports(spark: SparkSession, cfg: JobConfig) -> tuple[DataFrame, int,
     return C.read_cleaned(spark, cfg.cleaned_dir), int(conversations or 0), int(quarantined)
 
 
+def clean_inbox(
+    spark: SparkSession,
+    my_name: str,
+    inbox_dir: str,
+    output_dir: str,
+    secrets_path: str | None = None,
+    raw_dir: str | None = None,
+) -> int:
+    """Clean an inbox into ``output_dir`` (Parquet); returns the number of
+    conversations with at least one message (0 for a missing inbox)."""
+    cfg = JobConfig(
+        my_name=my_name,
+        inbox_dir=inbox_dir,
+        cleaned_dir=output_dir,
+        secrets_path=secrets_path,
+        raw_dir=raw_dir or output_dir.rstrip("/") + "-raw",
+        quarantine_dir=output_dir.rstrip("/") + "-quarantine",
+    )
+    _, conversations, _ = clean_exports(spark, cfg)
+    return conversations
+
+
+def generate_from_cleaned(
+    spark: SparkSession,
+    cleaned_dir: str,
+    output_dir: str,
+    time_gap_limit: int = P.DEFAULT_TIME_GAP_LIMIT,
+    fmt: str = "parquet",
+) -> int:
+    """Cleaned conversations -> JSONL samples; returns the sample count.
+
+    ``fmt="parquet"`` reads this package's cleaned table, ``"json"`` a folder
+    of per-conversation JSON lists. A missing folder gives 0.
+    """
+    if not J.path_exists(spark, cleaned_dir):
+        return 0
+    if fmt == "parquet":
+        cleaned = C.read_cleaned(spark, cleaned_dir)
+    elif fmt == "json":
+        cleaned = C.read_cleaned_lists(spark, cleaned_dir)
+    else:
+        raise ValueError("fmt must be 'parquet' or 'json'")
+    return generate_dataset(spark, cleaned, output_dir, JobConfig(my_name="-", time_gap_limit=time_gap_limit))
+
+
 def build_samples(
     messages: DataFrame,
     key: Sequence[str] = U.EXPORT_KEY,

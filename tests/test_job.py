@@ -289,3 +289,21 @@ def test_equal_timestamps_keep_file_then_position_order(spark, tmp_path):
     blocks = U.merge_blocks(cleaned).orderBy("block").collect()
     assert [b.text for b in blocks] == ["from ten a\nfrom ten b\nfrom two", "reply"]
     assert (blocks[0].first_ts, blocks[0].last_ts, blocks[0].n_messages) == (5, 5, 3)
+
+
+def test_clean_inbox_and_generate(spark, tmp_path):
+    inbox = make_inbox(
+        tmp_path,
+        {
+            "a": {"message_1.json": {"messages": [raw_msg("Al", "question here", 1000), raw_msg("Robin", "an answer", 2000)]}},
+            "b": {"message_1.json": {"messages": [raw_msg("Bo", "sent a photo", 1000)]}},
+        },
+    )
+    out = str(tmp_path / "cleaned")
+    assert job.clean_inbox(spark, "Robin", inbox, out) == 2
+    assert job.clean_inbox(spark, "Robin", str(tmp_path / "missing"), str(tmp_path / "c2")) == 0
+    assert job.generate_from_cleaned(spark, out, str(tmp_path / "train")) == 1
+    assert job.generate_from_cleaned(spark, str(tmp_path / "nope"), str(tmp_path / "t2")) == 0
+    line = spark.read.text(str(tmp_path / "train")).first()[0]
+    assert json.loads(line) == {"messages": [{"role": "user", "content": "question here"},
+                                             {"role": "assistant", "content": "an answer"}]}
