@@ -47,7 +47,7 @@ def mark_first(
             F.lit(True).alias("_dp_hit"),
         )
     )
-    cond = [tagged["_dp_gk"] == firsts["_dp_fgk"]] + [tagged[c] == firsts[f"_dp_o_{c}"] for c in order]
+    cond = [tagged["_dp_gk"] == firsts["_dp_fgk"]] + [tagged[c].eqNullSafe(firsts[f"_dp_o_{c}"]) for c in order]
     joined = tagged.join(firsts, cond, "left")
     return joined.withColumn(flag, F.col(fp).isNull() | F.coalesce(F.col("_dp_hit"), F.lit(False))).drop(
         "_dp_gk", "_dp_fgk", "_dp_hit", *[f"_dp_o_{c}" for c in order]

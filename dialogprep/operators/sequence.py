@@ -212,9 +212,11 @@ def scan_chunked(
     # hash-partitioned on (key, chunk) by the local window, so a join on
     # that key moves only the summary; AQE still broadcasts it when its
     # measured size is small.
-    carries = summary.select(*key, _CHUNK, *carry_cols)
+    carries = summary.select(*[F.col(k).alias(f"_dp_ck_{k}") for k in key], F.col(_CHUNK).alias("_dp_cchunk"), *carry_cols)
 
-    out = local.join(carries, [*key, _CHUNK], "inner")
+    # NULL-safe on the key: a hot key may well be NULL (rows with no key).
+    cond = [local[k].eqNullSafe(carries[f"_dp_ck_{k}"]) for k in key] + [local[_CHUNK] == carries["_dp_cchunk"]]
+    out = local.join(carries, cond, "inner")
     lrn = F.col("_dp_lrn")
     if seq:
         out = out.withColumn(seq, F.col("_dp_seq_off") + lrn)

@@ -64,3 +64,11 @@ def test_split_routes_only_hot_keys(spark, msgs):
 def test_no_hot_keys_means_no_split(spark, msgs):
     s = split_hot_keys(msgs, ["user_id"], hot_threshold=10**9)
     assert s.hot is None
+
+
+def test_null_hot_key_keeps_rows(spark, msgs):
+    nul = msgs.withColumn("user_id", F.lit(None).cast("bigint"))
+    a = U.merge_blocks(nul, ["user_id"], EVENT_ORDER, timestamp="ts_ms", scan=scan_window)
+    b = U.merge_blocks(nul, ["user_id"], EVENT_ORDER, timestamp="ts_ms", scan=chunked(9))
+    assert rows(a) == rows(b)
+    assert b.agg(F.sum("n_messages")).first()[0] == msgs.count()
