@@ -46,7 +46,8 @@ def check_fraction(val_fraction: float) -> None:
 
 def split_key(seed: int, row_key: Column) -> Column:
     """The pseudo-random order key: md5 hex of ``"<seed>:<row key>"``."""
-    return F.md5(F.concat(F.lit(f"{seed}:"), row_key.cast("string")))
+    # A NULL key hashes as the string "\0", so no row drops out of both sides.
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(row_key.cast("string"), F.lit("\0"))))
 
 
 def val_count(n: int, val_fraction: float) -> int:
@@ -98,8 +99,8 @@ def split(
 ) -> SplitResult:
     """Split ``df`` into (train, val) with exactly ``k`` validation rows.
 
-    ``row_key`` is hashed with the seed; ``tie`` is a unique BIGINT column
-    ordering rows with equal hashes. Without a seed one is drawn and logged.
+    ``row_key`` is hashed with the seed; ``tie`` is a unique, non-NULL BIGINT
+    column ordering rows with equal hashes. Without a seed one is drawn and logged.
     Runs a count and a few small aggregate jobs; the returned frames are
     lazy filters of ``df``.
     """
@@ -116,6 +117,7 @@ def split(
         return SplitResult(train=empty, val=empty, n=n, k=0, seed=seed)
     h_k, t_k = _kth(hashed.select("_dp_h", tie), "_dp_h", tie, k, n)
     in_val = (F.col("_dp_h") < F.lit(h_k)) | ((F.col("_dp_h") == F.lit(h_k)) & (F.col(tie) <= F.lit(t_k)))
+    in_val = F.coalesce(in_val, F.lit(False))
     val = hashed.where(in_val).drop("_dp_h")
     train = hashed.where(~in_val).drop("_dp_h")
     return SplitResult(train=train, val=val, n=n, k=k, seed=seed)

@@ -90,3 +90,10 @@ def test_selection_on_identical_keys(spark, monkeypatch):
     monkeypatch.setattr(S, "DIRECT_LIMIT", 50)
     res = S.split(ev, F.lit("same"), "event_id", 0.05, 1)
     assert sorted(r["event_id"] for r in res.val.collect()) == list(range(500))
+
+
+def test_null_keys_are_split_too(spark):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id")
+    keyed = docs.withColumn("k", F.when(F.col("doc_id") % 3 == 0, F.lit(None)).otherwise(F.col("doc_id")))
+    res = S.split(keyed, F.col("k"), "doc_id", 0.1, 5)
+    assert res.val.count() == 100 and res.train.count() == 900
