@@ -7,12 +7,13 @@ a lost executor only costs the current step's tasks.
 
 from __future__ import annotations
 
+import logging
 import os
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from dialogprep.functions import records as R
@@ -28,6 +29,8 @@ from dialogprep.sources import exports as E
 from dialogprep.sources import jsonl as J
 from dialogprep.sources.secrets import load_secrets
 
+log = logging.getLogger(__name__)
+
 
 @dataclass
 class JobConfig:
@@ -124,11 +127,20 @@ def generate_from_cleaned(
         return 0
     if fmt == "parquet":
         cleaned = C.read_cleaned(spark, cleaned_dir)
+        obs = None
     elif fmt == "json":
-        cleaned = C.read_cleaned_lists(spark, cleaned_dir)
+        items = C.read_cleaned_lists(spark, cleaned_dir, keep_dropped=True)
+        obs = Observation("dropped")
+        items = items.observe(obs, F.count_if(~F.col("has_timestamp")).alias("dropped"))
+        cleaned = items.where("has_timestamp").drop("has_timestamp")
     else:
         raise ValueError("fmt must be 'parquet' or 'json'")
-    return generate_dataset(spark, cleaned, output_dir, JobConfig(my_name="-", time_gap_limit=time_gap_limit))
+    n = generate_dataset(spark, cleaned, output_dir, JobConfig(my_name="-", time_gap_limit=time_gap_limit))
+    if obs is not None:
+        dropped = int(obs.get.get("dropped", 0) or 0)
+        if dropped:
+            log.warning("dropped %d items without a 'timestamp'", dropped)
+    return n
 
 
 def build_samples(
@@ -173,8 +185,6 @@ def generate_dataset(spark: SparkSession, cleaned: DataFrame, output_dir: str, c
 
 
 def _count_obs(df: DataFrame):
-    from pyspark.sql import Observation
-
     obs = Observation("count")
     return df.observe(obs, F.count(F.lit(1)).alias("n")), obs
 

@@ -25,7 +25,7 @@ def read_cleaned(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_cleaned_lists(spark: SparkSession, folder: str) -> DataFrame:
+def read_cleaned_lists(spark: SparkSession, folder: str, keep_dropped: bool = False) -> DataFrame:
     """A folder of ``*.json`` files, each a JSON list of
     ``{sender, text, timestamp}`` objects (not recursive).
 
@@ -33,9 +33,13 @@ def read_cleaned_lists(spark: SparkSession, folder: str) -> DataFrame:
     are items that are not objects or have no ``timestamp`` key. Columns:
     ``conversation`` and ``file_name`` (the file name), ``pos``, ``sender``, ``text`` (string form
     of any JSON value), ``timestamp`` (BIGINT, NULL when not a number).
-    Each file is read whole, so it is one task input.
+    Each file is read whole, so it is one task input. With ``keep_dropped``
+    the items without a timestamp are kept too, flagged by ``has_timestamp``
+    (so a caller can count what the filter drops in the same pass).
     """
     schema = "conversation string, file_name string, pos int, sender string, text string, timestamp bigint"
+    if keep_dropped:
+        schema = "has_timestamp boolean, " + schema
     if not path_exists(spark, folder):
         return spark.createDataFrame([], schema)
     files = spark.read.option("pathGlobFilter", "*.json").text(folder, wholetext=True)
@@ -52,7 +56,13 @@ def read_cleaned_lists(spark: SparkSession, folder: str) -> DataFrame:
         text_v.isNotNull() & (F.schema_of_variant(text_v) != "VOID"), F.to_json(text_v)
     )
     name = F.url_decode(F.replace("conversation", F.lit("+"), F.lit("%2B")))
-    return items.where(has_ts).select(
+    if keep_dropped:
+        items = items.withColumn("has_timestamp", F.coalesce(has_ts, F.lit(False)))
+    else:
+        items = items.where(has_ts)
+    extra = ["has_timestamp"] if keep_dropped else []
+    return items.select(
+        *extra,
         name.alias("conversation"),
         name.alias("file_name"),
         "pos",
