@@ -74,18 +74,19 @@ def split_hot_keys(
     source = counts_from if counts_from is not None else df
     counts = source.groupBy(key_hash(key).alias(_KH)).agg(F.count(F.lit(1)).alias("_dp_n"))
     hot = counts.where(F.col("_dp_n") > hot_threshold).select(_KH, "_dp_n")
-    # The hot set is at most rows / hot_threshold keys. Collect it when it
-    # is within the broadcast bound (8 bytes a key), so the final plan does
-    # not recompute the counts; otherwise keep it as a frame and join.
-    found = hot.limit(MAX_BROADCAST_HOT_KEYS + 1).collect()
-    if not found:
+    # One small job in the common case (no hot key): the number of hot keys
+    # and their rows. The hot set is at most rows / hot_threshold keys; it
+    # is collected only when within the broadcast bound (8 bytes a key), so
+    # the final plan does not recompute the counts; else it stays a frame.
+    summary = hot.agg(F.count(F.lit(1)).alias("keys"), F.sum("_dp_n").alias("rows")).first()
+    n_keys = int(summary["keys"] or 0)
+    if n_keys == 0:
         return HotSplit(normal=df, hot=None)
-    if len(found) <= MAX_BROADCAST_HOT_KEYS:
-        hot_rows = sum(int(r["_dp_n"]) for r in found)
-        spark = df.sparkSession
-        keys_df = F.broadcast(spark.createDataFrame([(int(r[_KH]),) for r in found], f"{_KH} bigint"))
+    hot_rows = int(summary["rows"] or 0)
+    if n_keys <= MAX_BROADCAST_HOT_KEYS:
+        found = hot.select(_KH).collect()
+        keys_df = F.broadcast(df.sparkSession.createDataFrame([(int(r[0]),) for r in found], f"{_KH} bigint"))
     else:
-        hot_rows = int(hot.agg(F.sum("_dp_n")).first()[0] or 0)
         keys_df = hot.select(_KH)
     chunks = max(2, math.ceil(hot_rows / max(1, chunk_rows)))
     tagged = df.withColumn(_KH, key_hash(key))
