@@ -166,10 +166,18 @@ def scrub(
     )
 
 
-def normalize_sender(c: Column | str, my_name: str) -> Column:
-    """'me' when ``my_name`` is a case-sensitive substring of the sender."""
+def normalize_sender(c: Column | str, my_name: str, repair: bool = False) -> Column:
+    """'me' when ``my_name`` is a case-sensitive substring of the sender.
+
+    The sender is matched as exported (an accented name does not match a
+    mis-decoded sender) unless ``repair`` applies :func:`repair_mojibake`
+    first.
+    """
     check_name(my_name)
-    return F.when(F.coalesce(_col(c), F.lit("")).contains(my_name), F.lit("me")).otherwise(F.lit("other"))
+    name = F.coalesce(_col(c), F.lit(""))
+    if repair:
+        name = repair_mojibake(name)
+    return F.when(name.contains(my_name), F.lit("me")).otherwise(F.lit("other"))
 
 
 def party_handle(c: Column | str) -> Column:

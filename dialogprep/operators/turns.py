@@ -30,6 +30,7 @@ def clean_messages(
     content: str = "content",
     sender_name: str = "sender_name",
     timestamp: str = "timestamp_ms",
+    repair_sender: bool = False,
 ) -> DataFrame:
     """Raw export messages -> ``sender`` ('me'/'other'), ``text``, ``timestamp``.
 
@@ -43,7 +44,7 @@ def clean_messages(
     # Computed once per row; see keep_nonnull.
     out = keep_nonnull(raw, scrubbed, "_dp_text")
     derived = {
-        "sender": T.normalize_sender(sender_name, my_name),
+        "sender": T.normalize_sender(sender_name, my_name, repair_sender),
         "text": F.col("_dp_text"),
         "timestamp": F.coalesce(parse_epoch_ms(F.col(timestamp)), F.lit(0).cast("bigint")),
     }

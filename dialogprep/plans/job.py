@@ -50,6 +50,7 @@ class JobConfig:
     min_length: int = T.MIN_LENGTH
     max_length: int = T.MAX_LENGTH
     gap_from: str = "last"
+    repair_sender: bool = False
     hot_threshold: int = DEFAULT_HOT_THRESHOLD
     chunk_rows: int = DEFAULT_CHUNK_ROWS
 
@@ -83,7 +84,8 @@ def clean_exports(spark: SparkSession, cfg: JobConfig) -> tuple[DataFrame, int,
     conversations = raw.agg(F.count_distinct("conversation").alias("n")).first()["n"]
     quarantined = spark.read.schema("path string, reason string").json(cfg.quarantine_dir).count()
     cleaned = U.clean_messages(
-        raw, cfg.my_name, secrets, cfg.extra_noise, cfg.min_length, cfg.max_length
+        raw, cfg.my_name, secrets, cfg.extra_noise, cfg.min_length, cfg.max_length,
+        repair_sender=cfg.repair_sender,
     )
     C.write_cleaned(cleaned, cfg.cleaned_dir)
     return C.read_cleaned(spark, cfg.cleaned_dir), int(conversations or 0), int(quarantined)

@@ -198,3 +198,9 @@ def test_mojibake_matches_python(spark):
     values += ["".join(rnd.choice(["\xc3", "\xa9", "\xe2", "a", "\x82", "\xac"]) for _ in range(5)) for _ in range(200)]
     values += originals
     assert evaluate(spark, T.repair_mojibake, values) == [_mojibake_py(v) for v in values]
+
+
+def test_sender_repair_option(spark):
+    mangled = "José".encode("utf-8").decode("latin-1")
+    assert evaluate(spark, lambda c: T.normalize_sender(c, "José"), [mangled]) == ["other"]
+    assert evaluate(spark, lambda c: T.normalize_sender(c, "José", repair=True), [mangled]) == ["me"]
