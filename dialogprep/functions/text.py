@@ -87,7 +87,7 @@ def noise_phrases(extra_noise: Iterable[str] | None = None) -> list[str]:
 def is_noise(c: Column | str, extra_noise: Iterable[str] | None = None) -> Column:
     """True when the lower-cased text contains any noise phrase (substring).
 
-    Substring semantics on purpose: "reacted" also matches "interacted". A
+    Substring semantics on purpose: "reacted" also matches "overreacted". A
     chain of ``contains`` is a byte search per phrase inside codegen, cheaper
     than one alternation regex.
     """
@@ -151,8 +151,9 @@ def scrub(
     """Full message scrub; returns NULL for a message to drop.
 
     Order: empty -> noise on the raw text -> mojibake repair -> strip ->
-    length bounds -> secrets -> phones -> strip -> empty. Filter with
-    ``where(col.isNotNull())``.
+    length bounds -> secrets -> phones -> strip -> empty. Keep the rows with
+    :func:`dialogprep.operators.layout.keep_nonnull`, which computes it once
+    per row (a ``where`` on it would compute it twice).
     """
     raw = _col(c)
     decoded = py_strip(repair_mojibake(raw))
