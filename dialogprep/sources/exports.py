@@ -62,7 +62,7 @@ def _fs_and_path(spark: SparkSession, path: str):
 def input_paths(spark: SparkSession, inbox: str) -> tuple[list[str], str] | None:
     """Paths to hand the reader, and the inbox's own path part.
 
-    One listing call on the inbox root: the root itself (read recursively)
+    The root itself (read recursively; Spark lists sub-folders in parallel)
     plus its hidden children, which the recursive listing would skip.
     Returns None when the inbox does not exist.
     """
@@ -71,9 +71,12 @@ def input_paths(spark: SparkSession, inbox: str) -> tuple[list[str], str] | None
         return None
     qualified = fs.makeQualified(root)
     paths = [qualified.toString()]
-    for status in fs.listStatus(qualified):
-        name = status.getPath().getName()
-        if status.isDirectory() and name.startswith(("_", ".")):
+    # Only the hidden children come back to Python (a glob evaluated by the
+    # file system client), not one gateway call per conversation folder.
+    jvm = spark.sparkContext._jvm
+    hidden = fs.globStatus(jvm.org.apache.hadoop.fs.Path(qualified, "[_.]*")) or []
+    for status in hidden:
+        if status.isDirectory():
             paths.append(status.getPath().toString())
     return paths, qualified.toUri().getPath().rstrip("/")
 

@@ -47,7 +47,9 @@ def clean_stream(
     fs, root = _fs_and_path(spark, inbox)
     qualified = fs.makeQualified(root)
     root_path = qualified.toUri().getPath().rstrip("/")
-    files = export_reader(spark, streaming=True).json(qualified.toString())
+    # "<root>/*": every child is a root of its own, so folders whose names
+    # start with "_" or "." are listed too (Spark skips them below a root).
+    files = export_reader(spark, streaming=True).json(qualified.toString().rstrip("/") + "/*")
     scan = split_files(files, root_path)
     cleaned = clean_messages(scan.messages, my_name, secrets, extra_noise, min_length, max_length)
     if checkpoint_location is None:
