@@ -36,6 +36,9 @@ from dialogprep.session import ensure_checkpoint_dir
 DEFAULT_HOT_THRESHOLD = 4_000_000
 # Target rows per chunk of a hot key.
 DEFAULT_CHUNK_ROWS = 1_000_000
+# Most chunks for all hot keys together; past it chunks grow beyond
+# chunk_rows, keeping the per-chunk summary and the range sample small.
+MAX_CHUNKS = 50_000
 # Most hot-key hashes broadcast to route rows; beyond it a shuffle join is used.
 MAX_BROADCAST_HOT_KEYS = 500_000
 
@@ -88,7 +91,7 @@ def split_hot_keys(
         keys_df = F.broadcast(df.sparkSession.createDataFrame([(int(r[0]),) for r in found], f"{_KH} bigint"))
     else:
         keys_df = hot.select(_KH)
-    chunks = max(2, math.ceil(hot_rows / max(1, chunk_rows)))
+    chunks = min(MAX_CHUNKS, max(2, math.ceil(hot_rows / max(1, chunk_rows))))
     tagged = df.withColumn(_KH, key_hash(key))
     normal = tagged.join(keys_df, _KH, "left_anti").drop(_KH)
     hot_df = tagged.join(keys_df, _KH, "left_semi").drop(_KH)
