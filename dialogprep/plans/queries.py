@@ -365,8 +365,8 @@ _EVENT_BLOCKS = f"""
     FROM m WINDOW w AS (PARTITION BY user_id ORDER BY ts_ms, event_id)
   ),
   r AS (
-    SELECT *, sum(flag) OVER (PARTITION BY user_id ORDER BY ts_ms, event_id
-                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS block
+    SELECT *, CAST(sum(flag) OVER (PARTITION BY user_id ORDER BY ts_ms, event_id
+                                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS block
     FROM f
   )
   SELECT user_id, block, any_value(sender) AS sender,
@@ -428,8 +428,8 @@ _CONV_SAMPLES = f"""
     FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY timestamp, turn)
   ),
   r AS (
-    SELECT *, sum(flag) OVER (PARTITION BY conv_id ORDER BY timestamp, turn
-                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS block
+    SELECT *, CAST(sum(flag) OVER (PARTITION BY conv_id ORDER BY timestamp, turn
+                                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS block
     FROM f
   ),
   b AS (
