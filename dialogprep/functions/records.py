@@ -47,25 +47,29 @@ def _type(v: Column) -> Column:
     return F.schema_of_variant(v)
 
 
-def structural_ok(line: Column | str, value: Column) -> Column:
-    """True when a parsed record can be fingerprinted.
+def _messages_parts(value: Column) -> tuple[Column, Column, Column]:
+    """(messages sub-value, its type string, its items as array<variant>)."""
+    m = F.try_variant_get(value, "$.messages", "variant")
+    return m, _type(m), F.try_variant_get(m, "$", "array<variant>")
+
+
+def _status(line: Column, value: Column, m: Column, mt: Column, items: Column) -> Column:
+    """MALFORMED_JSON / STRUCTURAL_INVALID / VALID from the parsed parts.
 
     ``line`` is the stripped line; its first character tells whether the
-    root is an object without walking the value.
+    root is an object without walking the value. ``messages`` may be
+    missing, an array of objects, or an empty object or string.
     """
-    line = _col(line)
-    msgs = F.try_variant_get(value, "$.messages", "variant")
-    mtype = _type(msgs)
-    items = F.try_variant_get(value, "$.messages", "array<variant>")
     all_objects = F.forall(items, lambda x: x.isNotNull() & _type(x).startswith("OBJECT<"))
-    return (
+    ok = (
         F.when(~line.startswith("{"), F.lit(False))
-        .when(msgs.isNull(), F.lit(True))
-        .when(mtype.startswith("ARRAY<"), F.coalesce(all_objects, F.lit(False)))
-        .when(mtype == "OBJECT<>", F.lit(True))
-        .when(mtype == "STRING", F.try_variant_get(msgs, "$", "string") == "")
+        .when(m.isNull(), F.lit(True))
+        .when(mt.startswith("ARRAY<"), F.coalesce(all_objects, F.lit(False)))
+        .when(mt == "OBJECT<>", F.lit(True))
+        .when(mt == "STRING", F.try_variant_get(m, "$", "string") == "")
         .otherwise(F.lit(False))
     )
+    return F.when(value.isNull(), F.lit(MALFORMED_JSON)).when(~ok, F.lit(STRUCTURAL_INVALID)).otherwise(F.lit(VALID))
 
 
 def _field_text(item: Column, field: str) -> Column:
@@ -85,12 +89,7 @@ def _field_text(item: Column, field: str) -> Column:
 
 def fingerprint(value: Column) -> Column:
     """``role:content||`` over the messages, concatenated ('' when absent)."""
-    items = F.try_variant_get(value, "$.messages", "array<variant>")
-    parts = F.transform(
-        items,
-        lambda x: F.concat(_field_text(x, "role"), F.lit(":"), _field_text(x, "content"), F.lit("||")),
-    )
-    return F.coalesce(F.array_join(parts, ""), F.lit(""))
+    return _fingerprint_items(_messages_parts(value)[2])
 
 
 def fingerprint_of(messages: Column | str, role: str = "role", content: str = "content") -> Column:
@@ -113,20 +112,17 @@ def fingerprint_key(fp: Column | str) -> Column:
 
 
 def route(line: Column | str) -> tuple[Column, Column, Column]:
-    """(status, value, fingerprint) for a stripped, non-blank line.
+    """(status, value, fingerprint) for a stripped, non-blank line, as
+    column expressions (see :func:`route_lines` for the staged form).
 
     status is MALFORMED_JSON, STRUCTURAL_INVALID or VALID (duplicates are
     decided later, across rows).
     """
     line = _col(line)
     value = parse_strict(line)
-    ok = structural_ok(line, value)
-    status = (
-        F.when(value.isNull(), F.lit(MALFORMED_JSON))
-        .when(~ok, F.lit(STRUCTURAL_INVALID))
-        .otherwise(F.lit(VALID))
-    )
-    fp = F.when(status == VALID, fingerprint(value))
+    m, mt, items = _messages_parts(value)
+    status = _status(line, value, m, mt, items)
+    fp = F.when(status == VALID, _fingerprint_items(items))
     return status, value, fp
 
 
@@ -142,30 +138,14 @@ def route_lines(df: DataFrame, line: str = "line") -> DataFrame:
     that is not cheap and is used several times is kept as its own
     projection by Catalyst instead of being inlined into every use.
     """
-    v = "_dp_v"
-    staged = df.withColumn(v, parse_strict(line))
-    staged = staged.withColumn("_dp_m", F.try_variant_get(F.col(v), "$.messages", "variant"))
-    staged = staged.withColumn("_dp_mt", _type(F.col("_dp_m"))).withColumn(
-        "_dp_items", F.try_variant_get(F.col("_dp_m"), "$", "array<variant>")
-    )
-    m, mt, items = F.col("_dp_m"), F.col("_dp_mt"), F.col("_dp_items")
-    all_objects = F.forall(items, lambda x: x.isNotNull() & _type(x).startswith("OBJECT<"))
-    ok = (
-        F.when(~F.col(line).startswith("{"), F.lit(False))
-        .when(m.isNull(), F.lit(True))
-        .when(mt.startswith("ARRAY<"), F.coalesce(all_objects, F.lit(False)))
-        .when(mt == "OBJECT<>", F.lit(True))
-        .when(mt == "STRING", F.try_variant_get(m, "$", "string") == "")
-        .otherwise(F.lit(False))
-    )
-    status = (
-        F.when(F.col(v).isNull(), F.lit(MALFORMED_JSON))
-        .when(~ok, F.lit(STRUCTURAL_INVALID))
-        .otherwise(F.lit(VALID))
-    )
-    staged = staged.withColumn("status", status)
+    v, m = F.col("_dp_v"), F.col("_dp_m")
+    staged = df.withColumn("_dp_v", parse_strict(line))
+    staged = staged.withColumn("_dp_m", F.try_variant_get(v, "$.messages", "variant"))
+    staged = staged.withColumn("_dp_mt", _type(m)).withColumn("_dp_items", F.try_variant_get(m, "$", "array<variant>"))
+    mt, items = F.col("_dp_mt"), F.col("_dp_items")
+    staged = staged.withColumn("status", _status(F.col(line), v, m, mt, items))
     fp = F.when(F.col("status") == VALID, _fingerprint_items(items))
-    return staged.withColumn("fp", fp).drop(v, "_dp_m", "_dp_mt", "_dp_items")
+    return staged.withColumn("fp", fp).drop("_dp_v", "_dp_m", "_dp_mt", "_dp_items")
 
 
 def _fingerprint_items(items: Column) -> Column:
