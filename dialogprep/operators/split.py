@@ -23,6 +23,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dialogprep.session import ensure_checkpoint_dir
+
 log = logging.getLogger(__name__)
 
 # Candidate groups at most this big are ordered directly (bounded limit).
@@ -115,7 +117,14 @@ def split(
     if k == 0:
         empty = hashed.where(F.lit(False)).drop("_dp_h")
         return SplitResult(train=empty, val=empty, n=n, k=0, seed=seed)
-    h_k, t_k = _kth(hashed.select("_dp_h", tie), "_dp_h", tie, k, n)
+    narrow = hashed.select("_dp_h", tie)
+    if n > DIRECT_LIMIT:
+        # The selection rounds each read every row's key; a checkpoint of
+        # the narrow (hash, tie) projection spares re-reading and re-hashing
+        # the source (whole text lines for a JSONL split) every round.
+        ensure_checkpoint_dir(df.sparkSession)
+        narrow = narrow.checkpoint(eager=True)
+    h_k, t_k = _kth(narrow, "_dp_h", tie, k, n)
     in_val = (F.col("_dp_h") < F.lit(h_k)) | ((F.col("_dp_h") == F.lit(h_k)) & (F.col(tie) <= F.lit(t_k)))
     in_val = F.coalesce(in_val, F.lit(False))
     val = hashed.where(in_val).drop("_dp_h")
