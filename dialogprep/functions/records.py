@@ -15,8 +15,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dialogprep.functions.text import py_strip
-
 MALFORMED_JSON = "MALFORMED_JSON"
 STRUCTURAL_INVALID = "STRUCTURAL_INVALID"
 DUPLICATE = "DUPLICATE"
@@ -126,10 +124,6 @@ def route(line: Column | str) -> tuple[Column, Column, Column]:
     return status, value, fp
 
 
-def is_blank(line: Column | str) -> Column:
-    return py_strip(_col(line)) == ""
-
-
 def route_lines(df: DataFrame, line: str = "line") -> DataFrame:
     """Add ``status`` and ``fp`` to a frame of stripped, non-blank lines.
 

@@ -41,9 +41,6 @@ EXPORT_SCHEMA = T.StructType(
     ]
 )
 
-RAW_COLUMNS = ["conversation", "conversation_name", "file_name", "pos", "sender_name", "content", "timestamp_ms"]
-
-
 @dataclass
 class ExportScan:
     """Raw messages plus the files that could not be read."""
