@@ -321,3 +321,20 @@ def test_generate_from_json_lists_reports_drops(spark, tmp_path, caplog):
         n = job.generate_from_cleaned(spark, str(d), str(tmp_path / "train"), fmt="json")
     assert n == 1
     assert any("dropped 1 items" in r.getMessage() for r in caplog.records)
+
+
+def test_odd_files_are_quarantined_or_kept(spark, tmp_path):
+    inbox = make_inbox(
+        tmp_path,
+        {
+            "mixed": {
+                "message_1.json": {"messages": [raw_msg("Al", "fine text", 1), "not an object"]},
+                "message_2.json": {"messages": [raw_msg("Al", "second file", 2), raw_msg("Al", {"k": "v"}, 3)]},
+            }
+        },
+    )
+    scan = E.read_exports(spark, inbox)
+    got = sorted((r.file_name, r.content) for r in scan.messages.collect())
+    # An object-valued content is kept as its JSON text, as written in the file.
+    assert got == [("message_2.json", "second file"), ("message_2.json", '{"k": "v"}')]
+    assert [r.path.endswith("mixed/message_1.json") for r in scan.quarantine.collect()] == [True]
