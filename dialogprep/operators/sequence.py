@@ -263,7 +263,7 @@ def by_hotness(
     df: DataFrame,
     key: Sequence[str],
     fn: Callable[[DataFrame, Scan], DataFrame],
-    hot_threshold: int = DEFAULT_HOT_THRESHOLD,
+    hot_threshold: int | None = DEFAULT_HOT_THRESHOLD,
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
     counts_from: DataFrame | None = None,
 ) -> DataFrame:
@@ -272,7 +272,11 @@ def by_hotness(
 
     ``fn`` is a whole chain of steps (messages -> blocks -> pairs), so the
     split is decided once and each branch keeps its own partitioning.
+    ``hot_threshold=None`` skips the detection job and uses the window scan
+    for every key (for inputs known to have no key too big for one task).
     """
+    if hot_threshold is None:
+        return fn(df, scan_window)
     split = split_hot_keys(df, key, hot_threshold, chunk_rows, counts_from)
     normal = fn(split.normal, scan_window)
     if split.hot is None:

@@ -72,3 +72,10 @@ def test_null_hot_key_keeps_rows(spark, msgs):
     b = U.merge_blocks(nul, ["user_id"], EVENT_ORDER, timestamp="ts_ms", scan=chunked(9))
     assert rows(a) == rows(b)
     assert b.agg(F.sum("n_messages")).first()[0] == msgs.count()
+
+
+def test_detection_can_be_turned_off(spark, msgs):
+    def chain(d, scan):
+        return U.merge_blocks(d, ["user_id"], EVENT_ORDER, timestamp="ts_ms", scan=scan)
+
+    assert rows(by_hotness(msgs, ["user_id"], chain, hot_threshold=None)) == rows(chain(msgs, scan_window))
