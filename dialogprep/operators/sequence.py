@@ -44,6 +44,9 @@ MAX_BROADCAST_HOT_KEYS = 500_000
 
 _KH = "_dp_kh"
 _CHUNK = "_dp_chunk"
+CHUNK = _CHUNK
+# Non-nullable surrogate of the key used by the chunked scan.
+KEY_SURROGATE = "_dp_kz"
 
 
 @dataclass
@@ -111,8 +114,13 @@ def scan_window(
     run: str = "run",
     prev: Sequence[str] = (),
     nxt: Sequence[str] = (),
+    keep_chunk: bool = False,
 ) -> DataFrame:
-    """One window per key: row number, runs of equal ``run_of``, lag, lead."""
+    """One window per key: row number, runs of equal ``run_of``, lag, lead.
+
+    ``keep_chunk`` is accepted for symmetry with :func:`scan_chunked`; the
+    window scan has no chunks.
+    """
     w = Window.partitionBy(*key).orderBy(*order)
     out = df
     if seq:
@@ -144,14 +152,24 @@ def scan_chunked(
     run: str = "run",
     prev: Sequence[str] = (),
     nxt: Sequence[str] = (),
+    keep_chunk: bool = False,
 ) -> DataFrame:
     """Same output as :func:`scan_window`, with each key cut into chunks.
 
     ``order`` must be a total order within the key (ties broken), as for
-    the window form; otherwise neither form is deterministic.
+    the window form; otherwise neither form is deterministic. With
+    ``keep_chunk`` the chunk id and the key surrogate stay as columns
+    ``CHUNK`` and ``KEY_SURROGATE`` (rows are partitioned by both), for
+    pre-aggregation by the caller without another shuffle.
     """
     key = list(key)
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
+    # The scan runs on one non-nullable surrogate of the key (a NULL key is
+    # a group too): plain equality on it keeps every step below on the same
+    # (key, chunk) partitioning. NULL-safe equality (<=>) as a join key would
+    # be rewritten into other expressions and re-shuffle the chunk rows.
+    kz = KEY_SURROGATE
+    keyed = df.withColumn(kz, F.struct(*[F.col(k).isNull() for k in key], *[F.col(k) for k in key]))
     # Range partitioning cuts a hot key into contiguous chunks. The bounds
     # come from a sample taken when the exchange runs, so two evaluations
     # could disagree; the chunk ids are therefore fixed once in a reliable
@@ -159,11 +177,11 @@ def scan_chunked(
     # the rows below both read. It also cuts the lineage for this branch.
     ensure_checkpoint_dir(df.sparkSession)
     chunked = (
-        df.repartitionByRange(chunks, *[F.col(k) for k in key], *order_cols)
+        keyed.repartitionByRange(chunks, *[F.col(k) for k in key], *order_cols)
         .withColumn(_CHUNK, F.spark_partition_id())
         .checkpoint(eager=True)
     )
-    wl = Window.partitionBy(*key, _CHUNK).orderBy(*order_cols)
+    wl = Window.partitionBy(kz, _CHUNK).orderBy(*order_cols)
     local = chunked.withColumn("_dp_lrn", F.row_number().over(wl))
     for c in prev:
         local = local.withColumn(f"_dp_lprev_{c}", F.lag(c).over(wl))
@@ -191,9 +209,9 @@ def scan_chunked(
         aggs.append(F.max_by(c, "_dp_lrn").alias(f"_dp_last_{c}"))
     for c in nxt:
         aggs.append(F.min_by(c, "_dp_lrn").alias(f"_dp_first_{c}"))
-    summary = local.groupBy(*key, _CHUNK).agg(*aggs)
+    summary = local.groupBy(kz, _CHUNK).agg(*aggs)
 
-    wc = Window.partitionBy(*key).orderBy(_CHUNK)
+    wc = Window.partitionBy(kz).orderBy(_CHUNK)
     before = wc.rowsBetween(Window.unboundedPreceding, -1)
     summary = summary.withColumn("_dp_seq_off", F.coalesce(F.sum("_dp_n").over(before), F.lit(0)))
     for c in prev:
@@ -216,11 +234,9 @@ def scan_chunked(
     # hash-partitioned on (key, chunk) by the local window, so a join on
     # that key moves only the summary; AQE still broadcasts it when its
     # measured size is small.
-    carries = summary.select(*[F.col(k).alias(f"_dp_ck_{k}") for k in key], F.col(_CHUNK).alias("_dp_cchunk"), *carry_cols)
+    carries = summary.select(kz, _CHUNK, *carry_cols)
 
-    # NULL-safe on the key: a hot key may well be NULL (rows with no key).
-    cond = [local[k].eqNullSafe(carries[f"_dp_ck_{k}"]) for k in key] + [local[_CHUNK] == carries["_dp_cchunk"]]
-    out = local.join(carries, cond, "inner")
+    out = local.join(carries, [kz, _CHUNK], "inner")
     lrn = F.col("_dp_lrn")
     if seq:
         out = out.withColumn(seq, F.col("_dp_seq_off") + lrn)
@@ -233,6 +249,8 @@ def scan_chunked(
         out = out.withColumn(run, F.col("_dp_run_off") + F.col("_dp_lrun") - 1 + F.col("_dp_first_true"))
     keep = list(df.columns) + ([seq] if seq else []) + [f"prev_{c}" for c in prev]
     keep += [f"next_{c}" for c in nxt] + ([run] if run_of else [])
+    if keep_chunk:
+        keep += [_CHUNK, kz]
     return out.select(*keep)
 
 

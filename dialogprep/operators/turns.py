@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from dialogprep.functions import text as T
 from dialogprep.operators.layout import keep_nonnull
-from dialogprep.operators.sequence import Scan, scan_window
+from dialogprep.operators.sequence import CHUNK, KEY_SURROGATE, Scan, scan_window
 
 EXPORT_KEY = ("conversation",)
 EXPORT_ORDER = ("timestamp", "file_name", "pos")
@@ -101,7 +101,8 @@ def merge_turns(
     No stripping and no filtering. Output: key columns, ``turn`` (1-based),
     ``sender``, ``text``.
     """
-    runs = scan(df, key, order, seq="_dp_seq", run_of=sender, run="turn")
+    runs = scan(df, key, order, seq="_dp_seq", run_of=sender, run="turn", keep_chunk=True)
+    runs = _pre_aggregate(runs, key, "turn", sender, text)
     return runs.groupBy(*key, "turn").agg(
         F.first(sender).alias("sender"),
         _joined_text(text).alias("text"),
@@ -124,16 +125,45 @@ def merge_blocks(
     and last message; the block's time is the last one), ``n_messages``.
     """
     rows = block_input(df, sender, text, timestamp)
-    runs = scan(rows, key, order, seq="_dp_seq", run_of=sender, run="block")
+    runs = scan(rows, key, order, seq="_dp_seq", run_of=sender, run="block", keep_chunk=True)
+    runs = _pre_aggregate(runs, key, "block", sender, text, timestamp)
     return runs.groupBy(*key, "block").agg(
         F.first(sender).alias("sender"),
         _joined_text(text).alias("text"),
-        F.min_by(timestamp, "_dp_seq").alias("first_ts"),
+        F.min_by("_dp_first_ts" if CHUNK in runs.columns else timestamp, "_dp_seq").alias("first_ts"),
         F.max_by(timestamp, "_dp_seq").alias("last_ts"),
-        F.count(F.lit(1)).alias("n_messages"),
+        F.sum("_dp_n").cast("bigint").alias("n_messages") if CHUNK in runs.columns else F.count(F.lit(1)).alias("n_messages"),
     )
 
 
+def _pre_aggregate(
+    runs: DataFrame, key: Sequence[str], run: str, sender: str, text: str, timestamp: str | None = None
+) -> DataFrame:
+    """On the chunked path, merge each run within its chunk first.
+
+    The chunk rows are already partitioned by (key, chunk), so this step
+    needs no shuffle; the grouping by (key, run) that follows then moves one
+    partial text per run and chunk instead of every message, and orders a
+    few pieces instead of all of a long run's messages. ``_dp_seq`` of a
+    piece is its first message's, which keeps the pieces in order.
+    """
+    if CHUNK not in runs.columns:
+        return runs
+    # Grouping on the key surrogate matches the rows' partitioning.
+    aggs = [F.first(k).alias(k) for k in key] + [
+        F.first(sender).alias(sender),
+        _joined_text(text).alias(text),
+        F.min("_dp_seq").alias("_dp_seq"),
+    ]
+    if timestamp:
+        aggs += [
+            F.min_by(timestamp, "_dp_seq").alias("_dp_first_ts"),
+            F.max_by(timestamp, "_dp_seq").alias(timestamp),
+            F.count(F.lit(1)).alias("_dp_n"),
+        ]
+    return runs.groupBy(KEY_SURROGATE, run, CHUNK).agg(*aggs).drop(KEY_SURROGATE)
+
+
 def _joined_text(text: str) -> Column:
     ordered = F.array_sort(F.collect_list(F.struct(F.col("_dp_seq"), F.col(text).alias("t"))))
     return F.array_join(F.transform(ordered, lambda x: x["t"]), "\n")
