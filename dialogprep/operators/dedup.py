@@ -31,26 +31,21 @@ def mark_first(
     ``fp``. ``order`` must be unique per row. Rows with a NULL ``fp`` are
     never duplicates (flag true)."""
     order = list(order)
-    key = F.struct(*[F.col(c) for c in order])
-    # Group and join on a non-nullable key. A plain ``fp`` key lets Catalyst
+    # Group and join on non-nullable keys. A plain ``fp`` key lets Catalyst
     # infer "fp is not null" and push it, with the whole fingerprint
-    # expression, below any repartition into the scan. NULL fingerprints
-    # form their own group and are never marked duplicate.
+    # expression, below any repartition into the scan; NULL-safe equality
+    # on the order columns would be rewritten into extra join keys. Structs
+    # are never NULL keys, and NULL fields inside them compare equal.
     gk = F.struct(F.col(fp).isNull().alias("n"), F.col(fp).alias("v"))
-    tagged = df.withColumn("_dp_gk", gk)
-    firsts = (
-        tagged.groupBy("_dp_gk")
-        .agg(F.min(key).alias("_dp_first"))
-        .select(
-            F.col("_dp_gk").alias("_dp_fgk"),
-            *[F.col("_dp_first")[c].alias(f"_dp_o_{c}") for c in order],
-            F.lit(True).alias("_dp_hit"),
-        )
+    tagged = df.withColumn("_dp_gk", gk).withColumn("_dp_ok", F.struct(*[F.col(c) for c in order]))
+    firsts = tagged.groupBy("_dp_gk").agg(F.min("_dp_ok").alias("_dp_min")).select(
+        F.col("_dp_gk").alias("_dp_fgk"), "_dp_min", F.lit(True).alias("_dp_hit")
     )
-    cond = [tagged["_dp_gk"] == firsts["_dp_fgk"]] + [tagged[c].eqNullSafe(firsts[f"_dp_o_{c}"]) for c in order]
+    cond = [tagged["_dp_gk"] == firsts["_dp_fgk"], tagged["_dp_ok"] == firsts["_dp_min"]]
     joined = tagged.join(firsts, cond, "left")
+    # NULL fingerprints are never duplicates.
     return joined.withColumn(flag, F.col(fp).isNull() | F.coalesce(F.col("_dp_hit"), F.lit(False))).drop(
-        "_dp_gk", "_dp_fgk", "_dp_hit", *[f"_dp_o_{c}" for c in order]
+        "_dp_gk", "_dp_ok", "_dp_fgk", "_dp_min", "_dp_hit"
     )
 
 
