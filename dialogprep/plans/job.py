@@ -44,6 +44,7 @@ class JobConfig:
     quarantine_dir: str = "./quarantine"
     samples_dir: str = "./samples"
     ordered: bool = False
+    message_glob: str = E.MESSAGE_GLOB
     secrets_path: str | None = None
     time_gap_limit: int = P.DEFAULT_TIME_GAP_LIMIT
     extra_noise: Sequence[str] = ()
@@ -75,7 +76,7 @@ def clean_exports(spark: SparkSession, cfg: JobConfig) -> tuple[DataFrame, int,
     """
     T.check_name(cfg.my_name)
     secrets = load_secrets(cfg.secrets_path, spark if cfg.secrets_path and "://" in cfg.secrets_path else None)
-    scan = E.read_exports(spark, cfg.inbox_dir)
+    scan = E.read_exports(spark, cfg.inbox_dir, cfg.message_glob)
     # Land the parsed export once: multi-line JSON is the slowest part to
     # read, and both the count and the cleaning read it.
     scan.messages.write.mode("overwrite").parquet(cfg.raw_dir)

@@ -84,7 +84,7 @@ def _empty(spark: SparkSession) -> ExportScan:
     return ExportScan(spark.createDataFrame([], schema), spark.createDataFrame([], q))
 
 
-def export_reader(spark: SparkSession, streaming: bool = False):
+def export_reader(spark: SparkSession, streaming: bool = False, glob: str = MESSAGE_GLOB):
     """The JSON reader for export files (batch or stream), schema fixed."""
     reader = spark.readStream if streaming else spark.read
     return (
@@ -93,11 +93,11 @@ def export_reader(spark: SparkSession, streaming: bool = False):
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_corrupt_record")
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", MESSAGE_GLOB)
+        .option("pathGlobFilter", glob)
     )
 
 
-def read_exports(spark: SparkSession, inbox: str) -> ExportScan:
+def read_exports(spark: SparkSession, inbox: str, glob: str = MESSAGE_GLOB) -> ExportScan:
     """One row per raw message with its conversation and order columns.
 
     ``conversation`` is the directory path relative to the inbox (unique
@@ -110,7 +110,7 @@ def read_exports(spark: SparkSession, inbox: str) -> ExportScan:
     if found is None:
         return _empty(spark)
     paths, root = found
-    return split_files(export_reader(spark).json(paths), root)
+    return split_files(export_reader(spark, glob=glob).json(paths), root)
 
 
 def split_files(df: DataFrame, root: str) -> ExportScan:
