@@ -69,21 +69,29 @@ class JobResult:
 
 
 def clean_exports(spark: SparkSession, cfg: JobConfig) -> tuple[DataFrame, int, int]:
-    """Exports -> raw messages (Parquet) -> cleaned messages (Parquet).
+    """Exports -> parsed files (Parquet) -> cleaned messages (Parquet).
 
     Returns the cleaned frame read back, the number of conversations with at
     least one raw message, and the number of unreadable files.
     """
     T.check_name(cfg.my_name)
     secrets = load_secrets(cfg.secrets_path, spark if cfg.secrets_path and "://" in cfg.secrets_path else None)
-    scan = E.read_exports(spark, cfg.inbox_dir, cfg.message_glob)
-    # Land the parsed export once: multi-line JSON is the slowest part to
-    # read, and both the count and the cleaning read it.
-    scan.messages.write.mode("overwrite").parquet(cfg.raw_dir)
-    scan.quarantine.write.mode("overwrite").json(cfg.quarantine_dir)
-    raw = spark.read.parquet(cfg.raw_dir)
-    conversations = raw.agg(F.count_distinct("conversation").alias("n")).first()["n"]
+    found = E.input_paths(spark, cfg.inbox_dir)
+    if found is None:
+        raw = E.read_exports(spark, cfg.inbox_dir).messages  # empty
+        quarantine = spark.createDataFrame([], "path string, reason string")
+    else:
+        # Land the parsed files once (one row per file): multi-line JSON is
+        # the slowest part to read, and the messages, the quarantine and the
+        # counts are all derived from it.
+        paths, root = found
+        files = E.parse_files(E.export_reader(spark, glob=cfg.message_glob).json(paths))
+        files.write.mode("overwrite").parquet(cfg.raw_dir)
+        scan = E.split_files(spark.read.parquet(cfg.raw_dir), root)
+        raw, quarantine = scan.messages, scan.quarantine
+    quarantine.write.mode("overwrite").json(cfg.quarantine_dir)
     quarantined = spark.read.schema("path string, reason string").json(cfg.quarantine_dir).count()
+    conversations = raw.agg(F.count_distinct("conversation").alias("n")).first()["n"]
     cleaned = U.clean_messages(
         raw, cfg.my_name, secrets, cfg.extra_noise, cfg.min_length, cfg.max_length,
         repair_sender=cfg.repair_sender,

@@ -43,10 +43,16 @@ EXPORT_SCHEMA = T.StructType(
 
 @dataclass
 class ExportScan:
-    """Raw messages plus the files that could not be read."""
+    """Raw messages plus the files that could not be read.
+
+    ``files`` is the parse of each file (``path``, ``messages``,
+    ``corrupt``); ``messages`` and ``quarantine`` are derived from it, so
+    landing ``files`` once lets both be read back without parsing again.
+    """
 
     messages: DataFrame
     quarantine: DataFrame
+    files: DataFrame | None = None
 
 
 def _fs_and_path(spark: SparkSession, path: str):
@@ -110,32 +116,32 @@ def read_exports(spark: SparkSession, inbox: str, glob: str = MESSAGE_GLOB) -> E
     if found is None:
         return _empty(spark)
     paths, root = found
-    return split_files(export_reader(spark, glob=glob).json(paths), root)
+    return split_files(parse_files(export_reader(spark, glob=glob).json(paths)), root)
 
 
-def split_files(df: DataFrame, root: str) -> ExportScan:
-    """Parsed export files -> (messages, quarantine); works on streams too."""
+def parse_files(df: DataFrame) -> DataFrame:
+    """Parsed export files -> ``path`` (decoded), ``messages``, ``corrupt``."""
     # _metadata.file_path is a percent-encoded URI; '+' must survive decoding.
     path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    files = df.select(
-        path.alias("_path"),
-        "messages",
-        "_corrupt_record",
-    )
     # A corrupt file has NULL messages; testing both also keeps Spark from
     # refusing a query that reads only the corrupt-record column.
-    quarantine = files.where(F.col("_corrupt_record").isNotNull() & F.col("messages").isNull()).select(
-        F.col("_path").alias("path"), F.lit("CORRUPT_JSON").alias("reason")
-    )
-    directory = F.regexp_extract(F.col("_path"), r"^(.*)/[^/]*$", 1)
-    file_name = F.regexp_extract(F.col("_path"), r"([^/]*)$", 1)
+    corrupt = F.col("_corrupt_record").isNotNull() & F.col("messages").isNull()
+    return df.select(path.alias("path"), "messages", corrupt.alias("corrupt"))
+
+
+def split_files(files: DataFrame, root: str) -> ExportScan:
+    """Parsed files (see :func:`parse_files`) -> messages and quarantine;
+    works on streams too."""
+    quarantine = files.where("corrupt").select("path", F.lit("CORRUPT_JSON").alias("reason"))
+    directory = F.regexp_extract(F.col("path"), r"^(.*)/[^/]*$", 1)
+    file_name = F.regexp_extract(F.col("path"), r"([^/]*)$", 1)
     # Path part of the directory (scheme and authority dropped).
     dir_part = F.regexp_replace(directory, r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?", "")
     relative = F.when(dir_part == F.lit(root), F.lit(".")).otherwise(
         F.substring(dir_part, len(root) + 2, 1 << 30)
     )
     messages = (
-        files.where(F.col("_corrupt_record").isNull())
+        files.where(~F.col("corrupt"))
         .select(
             relative.alias("conversation"),
             F.regexp_extract(directory, r"([^/]*)$", 1).alias("conversation_name"),
@@ -152,4 +158,4 @@ def split_files(df: DataFrame, root: str) -> ExportScan:
             F.col("m.timestamp_ms").alias("timestamp_ms"),
         )
     )
-    return ExportScan(messages=messages, quarantine=quarantine)
+    return ExportScan(messages=messages, quarantine=quarantine, files=files)

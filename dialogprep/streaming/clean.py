@@ -19,7 +19,7 @@ from dialogprep.functions import text as T
 from dialogprep.operators.turns import clean_messages
 from dialogprep.session import apply_conf, ensure_checkpoint_dir
 from dialogprep.sources.cleaned import CLEANED_COLUMNS
-from dialogprep.sources.exports import _fs_and_path, export_reader, split_files
+from dialogprep.sources.exports import _fs_and_path, export_reader, parse_files, split_files
 
 
 def clean_stream(
@@ -50,7 +50,7 @@ def clean_stream(
     # "<root>/*": every child is a root of its own, so folders whose names
     # start with "_" or "." are listed too (Spark skips them below a root).
     files = export_reader(spark, streaming=True).json(qualified.toString().rstrip("/") + "/*")
-    scan = split_files(files, root_path)
+    scan = split_files(parse_files(files), root_path)
     cleaned = clean_messages(scan.messages, my_name, secrets, extra_noise, min_length, max_length)
     if checkpoint_location is None:
         checkpoint_location = os.path.join(ensure_checkpoint_dir(spark), "streams", "clean")
