@@ -75,7 +75,7 @@ def clean_exports(spark: SparkSession, cfg: JobConfig) -> tuple[DataFrame, int,
     least one raw message, and the number of unreadable files.
     """
     T.check_name(cfg.my_name)
-    secrets = load_secrets(cfg.secrets_path, spark if cfg.secrets_path and "://" in cfg.secrets_path else None)
+    secrets = load_secrets(cfg.secrets_path, spark)
     found = E.input_paths(spark, cfg.inbox_dir)
     if found is None:
         raw = E.read_exports(spark, cfg.inbox_dir).messages  # empty

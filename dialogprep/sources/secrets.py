@@ -36,27 +36,24 @@ def parse_secrets(raw_text: str) -> list[tuple[str, str]]:
 
 
 def load_secrets(path: str | None, spark: SparkSession | None = None) -> list[tuple[str, str]]:
-    """Read a secrets file from a local path or any Hadoop URI.
+    """Read a secrets file; a missing or malformed file gives an empty list.
 
-    A missing or malformed file gives an empty list.
+    With a session the path is resolved like any Spark path (a path without
+    a scheme means the cluster's default file system); without one it is a
+    local file.
     """
     if path is None:
         return []
-    text = None
-    if "://" not in path and spark is None:
+    if spark is None:
         try:
             with open(path, encoding="utf-8") as fh:
-                text = fh.read()
+                return parse_secrets(fh.read())
         except OSError:
             return []
-    else:
-        if spark is None:
-            raise ValueError("a SparkSession is needed to read a secrets URI")
-        jvm = spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(hpath):
-            return []
-        rows = spark.read.text(path, wholetext=True).collect()
-        text = rows[0][0] if rows else ""
-    return parse_secrets(text)
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        return []
+    rows = spark.read.text(path, wholetext=True).collect()  # one small config file
+    return parse_secrets(rows[0][0] if rows else "")
