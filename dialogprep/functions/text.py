@@ -84,14 +84,16 @@ def noise_phrases(extra_noise: Iterable[str] | None = None) -> list[str]:
     return phrases
 
 
-def is_noise(c: Column | str, extra_noise: Iterable[str] | None = None) -> Column:
+def is_noise(c: Column | str, extra_noise: Iterable[str] | None = None, lowered: Column | None = None) -> Column:
     """True when the lower-cased text contains any noise phrase (substring).
 
     Substring semantics on purpose: "reacted" also matches "overreacted". A
     chain of ``contains`` is a byte search per phrase inside codegen, cheaper
-    than one alternation regex.
+    than one alternation regex. ``lowered`` may pass an already lower-cased
+    column.
     """
-    lowered = F.lower(_col(c))
+    if lowered is None:
+        lowered = F.lower(_col(c))
     cond = F.lit(False)
     for phrase in noise_phrases(extra_noise):
         cond = cond | lowered.contains(phrase)
@@ -156,17 +158,47 @@ def scrub(
     per row (a ``where`` on it would compute it twice).
     """
     raw = _col(c)
-    decoded = py_strip(repair_mojibake(raw))
+    return _scrub_parts(raw, F.lower(raw), py_strip(repair_mojibake(raw)), secrets, extra_noise, min_length, max_length)
+
+
+def _scrub_parts(raw, lowered, decoded, secrets, extra_noise, min_length, max_length) -> Column:
     redacted = py_strip(redact_phones(replace_secrets(decoded, secrets)))
     return (
         F.when(raw.isNull() | (raw == ""), F.lit(None))
-        .when(is_noise(raw, extra_noise), F.lit(None))
+        .when(is_noise(raw, extra_noise, lowered), F.lit(None))
         .when(~within_length(decoded, min_length, max_length), F.lit(None))
         .when(redacted == "", F.lit(None))
         .otherwise(redacted)
     )
 
 
+def scrub_staged(
+    df,
+    c: str,
+    out: str,
+    secrets: Sequence[tuple[str, str]] = (),
+    extra_noise: Iterable[str] | None = None,
+    min_length: int = MIN_LENGTH,
+    max_length: int = MAX_LENGTH,
+):
+    """:func:`scrub` of column ``c`` into column ``out``, keeping only the
+    rows whose message survives.
+
+    The lower-cased and the repaired text are staged as columns, so each is
+    computed once per row (the noise test would otherwise lower-case the text
+    once per phrase); the result is kept with an evaluate-once flat-map.
+    """
+    from dialogprep.operators.layout import keep_nonnull
+
+    staged = df.withColumn("_dp_low", F.lower(F.col(c))).withColumn(
+        "_dp_dec", py_strip(repair_mojibake(F.col(c)))
+    )
+    value = _scrub_parts(
+        F.col(c), F.col("_dp_low"), F.col("_dp_dec"), secrets, extra_noise, min_length, max_length
+    )
+    return keep_nonnull(staged, value, out).drop("_dp_low", "_dp_dec")
+
+
 def normalize_sender(c: Column | str, my_name: str, repair: bool = False) -> Column:
     """'me' when ``my_name`` is a case-sensitive substring of the sender.
 

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dialogprep.functions import text as T
-from dialogprep.operators.layout import keep_nonnull
 from dialogprep.operators.sequence import CHUNK, KEY_SURROGATE, Scan, scan_window
 
 EXPORT_KEY = ("conversation",)
@@ -40,9 +39,8 @@ def clean_messages(
     empty are dropped. Other columns are kept.
     """
     T.check_name(my_name)
-    scrubbed = T.scrub(content, secrets, extra_noise, min_length, max_length)
-    # Computed once per row; see keep_nonnull.
-    out = keep_nonnull(raw, scrubbed, "_dp_text")
+    # Computed once per row, with the lower-cased and repaired text staged.
+    out = T.scrub_staged(raw, content, "_dp_text", secrets, extra_noise, min_length, max_length)
     derived = {
         "sender": T.normalize_sender(sender_name, my_name, repair_sender),
         "text": F.col("_dp_text"),

@@ -60,7 +60,9 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_noise_filter(spark, sf_dir):
     docs = _t(spark, sf_dir, "documents", spread_rows=True)
-    return filter_once(docs.select("doc_id", "text"), ~T.is_noise("text", EXTRA_NOISE))
+    staged = docs.select("doc_id", "text", F.lower("text").alias("_dp_low"))
+    kept = filter_once(staged, ~T.is_noise("text", EXTRA_NOISE, lowered=F.col("_dp_low")))
+    return kept.select("doc_id", "text")
 
 
 def q_mojibake_repair(spark, sf_dir):
@@ -87,12 +89,12 @@ def q_phone_redact(spark, sf_dir):
 
 def q_scrub(spark, sf_dir):
     docs = _t(spark, sf_dir, "documents", spread_rows=True)
-    return keep_nonnull(docs.select("doc_id", "text"), T.scrub("text", SECRETS, ["###"]), "text")
+    return T.scrub_staged(docs.select("doc_id", "text"), "text", "text", SECRETS, ["###"])
 
 
 def q_scrub_turns(spark, sf_dir):
     conv = _t(spark, sf_dir, "conversations", spread_rows=True)
-    return keep_nonnull(conv.select("conv_id", "turn", "text"), T.scrub("text"), "text")
+    return T.scrub_staged(conv.select("conv_id", "turn", "text"), "text", "text")
 
 
 def q_sender_normalize(spark, sf_dir):
