@@ -209,3 +209,13 @@ def test_sender_repair_option(spark):
 def test_empty_token_can_empty_a_message(spark):
     out = evaluate(spark, lambda c: T.scrub(c, secrets=[("secret words", "")]), ["  Secret Words ", "keep secret words here"])
     assert out == [None, "keep  here"]
+
+
+def test_staged_scrub_equals_column_scrub(spark):
+    from conftest import SF01
+
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text")
+    secrets = [("license", "[L]"), ("token", "[T]")]
+    plain = docs.select("doc_id", T.scrub("text", secrets, ["###"]).alias("s")).where("s IS NOT NULL")
+    staged = T.scrub_staged(docs, "text", "s", secrets, ["###"]).select("doc_id", "s")
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, staged.collect()))
