@@ -231,8 +231,9 @@ def split_jsonl(
     S.check_fraction(val_fraction)
     lines = J.read_lines(spark, source)
     res = S.split(lines, "line", "row_id", val_fraction, seed)
-    J.write_lines(res.val, "line", val_dir)
-    J.write_lines(res.train, "line", train_dir)
+    # Lines are written as read (only blank lines are dropped).
+    J.write_lines(res.val, "raw", val_dir)
+    J.write_lines(res.train, "raw", train_dir)
     return res.n - res.k, res.k
 
 

@@ -17,10 +17,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def read_lines(spark: SparkSession, path: str, keep_blank: bool = False) -> DataFrame:
     """Lines of a JSONL file or folder, stripped, blank ones dropped.
 
-    Columns: ``line`` (stripped text), ``file`` (path), ``block`` (start of
-    the file split), ``row_id`` (increasing within a split). Ordering by
-    ``(file, block, row_id)`` is the file order. ``line_no`` is a single
-    BIGINT key unique per line (``row_id`` already is).
+    Columns: ``line`` (stripped text), ``raw`` (the line as read, without
+    its line break), ``file`` (path), ``block`` (start of the file split),
+    ``row_id`` (increasing within a split, unique per line). Ordering by
+    ``(file, block, row_id)`` is the file order.
     """
     if not path_exists(spark, path):
         raise FileNotFoundError(f"Source '{path}' not found.")
@@ -30,7 +30,7 @@ def read_lines(spark: SparkSession, path: str, keep_blank: bool = False) -> Data
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row_id"),
     )
-    df = df.withColumn("line", py_strip("value")).drop("value")
+    df = df.withColumn("line", py_strip("value")).withColumnRenamed("value", "raw")
     if not keep_blank:
         df = df.where(F.col("line") != "")
     return df

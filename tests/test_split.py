@@ -97,3 +97,13 @@ def test_null_keys_are_split_too(spark):
     keyed = docs.withColumn("k", F.when(F.col("doc_id") % 3 == 0, F.lit(None)).otherwise(F.col("doc_id")))
     res = S.split(keyed, F.col("k"), "doc_id", 0.1, 5)
     assert res.val.count() == 100 and res.train.count() == 900
+
+
+def test_lines_written_as_read(spark, tmp_path):
+    src = tmp_path / "src.jsonl"
+    src.write_text('  {"id": 1}  \n\n{"id": 2}\n', encoding="utf-8")
+    job.split_jsonl(spark, str(src), str(tmp_path / "t"), str(tmp_path / "v"), 0.5, 1)
+    out = sorted(spark.read.text(str(tmp_path / "t")).toPandas()["value"]) + sorted(
+        spark.read.text(str(tmp_path / "v")).toPandas()["value"]
+    )
+    assert sorted(out) == sorted(['  {"id": 1}  ', '{"id": 2}'])
