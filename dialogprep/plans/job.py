@@ -207,7 +207,7 @@ def validate_jsonl(spark: SparkSession, source: str, output_dir: str) -> V.Valid
     per rejection reason (the audit log) in one job. Raises
     FileNotFoundError when ``source`` does not exist.
     """
-    lines = J.read_lines(spark, source)
+    lines = J.read_lines(spark, source).drop("raw")
     classified = V.classify_lines(lines, ["file", "block", "row_id"], materialize=True)
     out = V.output_value(classified)
     observed, obs = V.observed_counts(out)
