@@ -273,7 +273,10 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
     )
     if cfg.ordered:
         # Conversations by key, then block order (a range-partitioned sort).
-        out = out.orderBy("conversation", "block")
+        # Status first: the write partitioned by status needs rows sorted by
+        # it, and with this order it keeps the sort instead of re-sorting
+        # (a re-sort is not stable once it spills).
+        out = out.orderBy("status", "conversation", "block")
     observed, obs = V.observed_counts(out)
     J.write_lines(observed, "value", cfg.output_dir, partition_by="status")
     counts = V.counts_from(obs)
