@@ -128,6 +128,7 @@ def generate_from_cleaned(
     output_dir: str,
     time_gap_limit: int = P.DEFAULT_TIME_GAP_LIMIT,
     fmt: str = "parquet",
+    ordered: bool = False,
 ) -> int:
     """Cleaned conversations -> JSONL samples; returns the sample count.
 
@@ -146,7 +147,9 @@ def generate_from_cleaned(
         cleaned = items.where("has_timestamp").drop("has_timestamp")
     else:
         raise ValueError("fmt must be 'parquet' or 'json'")
-    n = generate_dataset(spark, cleaned, output_dir, JobConfig(my_name="-", time_gap_limit=time_gap_limit))
+    n = generate_dataset(
+        spark, cleaned, output_dir, JobConfig(my_name="-", time_gap_limit=time_gap_limit, ordered=ordered)
+    )
     if obs is not None:
         dropped = int(obs.get.get("dropped", 0) or 0)
         if dropped:
@@ -186,10 +189,16 @@ def sample_counts(samples: DataFrame, key: Sequence[str] = U.EXPORT_KEY) -> Data
 
 
 def generate_dataset(spark: SparkSession, cleaned: DataFrame, output_dir: str, cfg: JobConfig | None = None) -> int:
-    """Write the samples as JSONL (no de-duplication); returns the count."""
+    """Write the samples as JSONL (no de-duplication); returns the count.
+
+    With ``cfg.ordered`` the lines come in conversation order, then block
+    order (part files in name order), as a range-partitioned sort.
+    """
     cfg = cfg or JobConfig(my_name="-")
     samples = build_samples(cleaned, time_gap_limit=cfg.time_gap_limit, gap_from=cfg.gap_from,
                             hot_threshold=cfg.hot_threshold, chunk_rows=cfg.chunk_rows)
+    if cfg.ordered:
+        samples = samples.orderBy("conversation", "block")
     observed, obs = _count_obs(samples)
     J.write_lines(observed, J.to_json_line(F.col("sample")), output_dir)
     return int(obs.get.get("n", 0) or 0)

@@ -340,3 +340,17 @@ def test_odd_files_are_quarantined_or_kept(spark, tmp_path):
     # An object-valued content is kept as its JSON text, as written in the file.
     assert got == [("message_2.json", "second file"), ("message_2.json", '{"k": "v"}')]
     assert [r.path.endswith("mixed/message_1.json") for r in scan.quarantine.collect()] == [True]
+
+
+def test_generate_ordered(spark, tmp_path):
+    d = tmp_path / "cleaned"
+    d.mkdir()
+    for i in (3, 1, 2):
+        (d / f"conv{i}.json").write_text(json.dumps([
+            {"sender": "other", "text": f"q{i} a", "timestamp": 1}, {"sender": "me", "text": f"r{i} a", "timestamp": 2},
+            {"sender": "other", "text": f"q{i} b", "timestamp": 3}, {"sender": "me", "text": f"r{i} b", "timestamp": 4},
+        ]))
+    out = tmp_path / "train"
+    assert job.generate_from_cleaned(spark, str(d), str(out), fmt="json", ordered=True) == 6
+    lines = [l for f in sorted(out.glob("part-*")) for l in f.read_text(encoding="utf-8").splitlines()]
+    assert [json.loads(l)["messages"][0]["content"] for l in lines] == [f"q{i} {w}" for i in (1, 2, 3) for w in "ab"]
