@@ -225,7 +225,10 @@ def q_dedup_removed(spark, sf_dir):
 
 
 def record_lines(spark, sf_dir) -> DataFrame:
-    """Eight kinds of JSONL lines built from ``events`` rows (event_id % 8)."""
+    """One JSONL line per ``events`` row, of one of eight kinds chosen by
+    ``event_id % 8`` (a selector, not a filter: every row is used): valid
+    records with and without messages, malformed text, non-object roots and
+    wrong ``messages`` shapes, built from the row's own fields."""
     ev = _t(spark, sf_dir, "events", spread_rows=True)
     k = F.col("event_id") % 8
     et = F.col("event_type")
