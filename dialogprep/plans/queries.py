@@ -264,6 +264,18 @@ def q_validation_counts(spark, sf_dir):
     return status_counts(classified)
 
 
+def q_doc_records(spark, sf_dir):
+    """Each document as a one-message JSONL record, routed, fingerprinted
+    and de-duplicated (first document wins)."""
+    from dialogprep.operators.validate import classify_lines
+
+    docs = _t(spark, sf_dir, "documents", spread_rows=True)
+    message = F.struct(F.lit("user").alias("role"), F.col("text").alias("content"))
+    line = F.to_json(F.struct(F.array(message).alias("messages")))
+    classified = classify_lines(docs.select("doc_id", line.alias("line")), ["doc_id"])
+    return classified.select("doc_id", "status", "fp_key")
+
+
 # ------------------------------------------------------------------ split
 
 
@@ -325,6 +337,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedup_removed": q_dedup_removed,
     "structural_check": q_structural_check,
     "validation_counts": q_validation_counts,
+    "doc_records": q_doc_records,
     "split_val": q_split_val,
     "split_train": q_split_train,
     "dataset_counts": q_dataset_counts,
@@ -583,6 +596,22 @@ ORACLE_SQL: dict[str, str] = {
       )
       SELECT status, count(*) AS n FROM d GROUP BY status
     """,
+    "doc_records": """
+      WITH l AS (
+        SELECT doc_id, json_object('messages', json_array(json_object('role', 'user', 'content', text))) AS line
+        FROM documents
+      ),
+      f AS (
+        SELECT doc_id, array_to_string(list_transform(json_extract(line, '$.messages[*]'),
+                 lambda x: coalesce(json_extract_string(x, '$.role'), 'None') || ':'
+                           || coalesce(json_extract_string(x, '$.content'), 'None') || '||'), '') AS fp
+        FROM l
+      )
+      SELECT doc_id,
+             CASE WHEN row_number() OVER (PARTITION BY fp ORDER BY doc_id) > 1 THEN 'DUPLICATE' ELSE 'VALID' END AS status,
+             sha256(fp) AS fp_key
+      FROM f
+    """,
     "split_val": f"""
       SELECT doc_id FROM (
         SELECT doc_id, row_number() OVER (ORDER BY md5('{SPLIT_SEED}:' || CAST(doc_id AS VARCHAR)), doc_id) AS rn,
