@@ -14,10 +14,15 @@ rows of one key in a total order.
   chunk, so its size is bounded by the chunk count) gives the carries: the
   rows before the chunk, the runs before it, the last value before it and
   the first value after it. The summary is joined back on (key, chunk),
-  which the chunk rows are already partitioned by.
+  which the chunk rows are already partitioned by. The key is carried as a
+  non-nullable struct surrogate, so a NULL key is a group like any other
+  and plain equality keeps one partitioning through window, join and the
+  callers' per-chunk pre-aggregation.
 
 Hot keys are found with a count per key hash (partial aggregation on the
 map side, so a hot key costs one row per map task, not its row count).
+Detection only picks the plan: a key routed either way gets the same
+result, so a hash collision or a threshold choice never changes output.
 """
 
 from __future__ import annotations
