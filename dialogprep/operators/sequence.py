@@ -46,6 +46,9 @@ DEFAULT_CHUNK_ROWS = 1_000_000
 MAX_CHUNKS = 50_000
 # Most hot-key hashes broadcast to route rows; beyond it a shuffle join is used.
 MAX_BROADCAST_HOT_KEYS = 500_000
+# Detection counts keys over a sample in which a key at the threshold
+# expects this many rows (all rows when the threshold is smaller).
+SAMPLE_ROWS_PER_HOT_KEY = 20_000
 
 _KH = "_dp_kh"
 _CHUNK = "_dp_chunk"
@@ -83,8 +86,19 @@ def split_hot_keys(
     """
     key = list(key)
     source = counts_from if counts_from is not None else df
+    # Detection only chooses the plan (both paths give the same rows), so it
+    # may count a Bernoulli sample: a key at the threshold expects
+    # SAMPLE_ROWS_PER_HOT_KEY sampled rows, and keys reaching half of that
+    # are taken as hot (missing a hot key then has a vanishing probability;
+    # taking a smaller one as hot only costs the chunked path).
+    rate = min(1.0, SAMPLE_ROWS_PER_HOT_KEY / max(1, hot_threshold))
+    if rate < 1.0:
+        source = source.sample(fraction=rate, seed=17)
+        cutoff = hot_threshold * rate / 2
+    else:
+        cutoff = hot_threshold
     counts = source.groupBy(key_hash(key).alias(_KH)).agg(F.count(F.lit(1)).alias("_dp_n"))
-    hot = counts.where(F.col("_dp_n") > hot_threshold).select(_KH, "_dp_n")
+    hot = counts.where(F.col("_dp_n") > cutoff).select(_KH, (F.col("_dp_n") / F.lit(rate)).alias("_dp_n"))
     # One small job in the common case (no hot key): the number of hot keys
     # and their rows. The hot set is at most rows / hot_threshold keys; it
     # is collected only when within the broadcast bound (8 bytes a key), so
@@ -93,7 +107,7 @@ def split_hot_keys(
     n_keys = int(summary["keys"] or 0)
     if n_keys == 0:
         return HotSplit(normal=df, hot=None)
-    hot_rows = int(summary["rows"] or 0)
+    hot_rows = int(math.ceil(summary["rows"] or 0))
     if n_keys <= MAX_BROADCAST_HOT_KEYS:
         found = hot.select(_KH).collect()
         keys_df = F.broadcast(df.sparkSession.createDataFrame([(int(r[0]),) for r in found], f"{_KH} bigint"))

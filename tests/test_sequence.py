@@ -79,3 +79,15 @@ def test_detection_can_be_turned_off(spark, msgs):
         return U.merge_blocks(d, ["user_id"], EVENT_ORDER, timestamp="ts_ms", scan=scan)
 
     assert rows(by_hotness(msgs, ["user_id"], chain, hot_threshold=None)) == rows(chain(msgs, scan_window))
+
+
+def test_sampled_detection_finds_the_hot_key(spark, msgs, monkeypatch):
+    import dialogprep.operators.sequence as Q
+
+    # Half of all rows on one key; detection counts a 10% sample.
+    skewed = msgs.withColumn("user_id", F.when(F.col("event_id") % 2 == 0, F.lit(0)).otherwise(F.col("user_id")))
+    monkeypatch.setattr(Q, "SAMPLE_ROWS_PER_HOT_KEY", 100)
+    s = split_hot_keys(skewed, ["user_id"], hot_threshold=1000, chunk_rows=1000)
+    assert {r[0] for r in s.hot.select("user_id").distinct().collect()} == {0}
+    assert s.normal.count() + s.hot.count() == skewed.count()
+    assert 3 <= s.chunks <= 8
