@@ -139,22 +139,18 @@ def generate_from_cleaned(
         return 0
     if fmt == "parquet":
         cleaned = C.read_cleaned(spark, cleaned_dir)
-        obs = None
     elif fmt == "json":
         items = C.read_cleaned_lists(spark, cleaned_dir, keep_dropped=True)
-        obs = Observation("dropped")
-        items = items.observe(obs, F.count_if(~F.col("has_timestamp")).alias("dropped"))
+        # Reported like the reference's warning; one aggregate over the items.
+        dropped = items.agg(F.count_if(~F.col("has_timestamp"))).first()[0] or 0
+        if dropped:
+            log.warning("dropped %d items without a 'timestamp'", dropped)
         cleaned = items.where("has_timestamp").drop("has_timestamp")
     else:
         raise ValueError("fmt must be 'parquet' or 'json'")
-    n = generate_dataset(
+    return generate_dataset(
         spark, cleaned, output_dir, JobConfig(my_name="-", time_gap_limit=time_gap_limit, ordered=ordered)
     )
-    if obs is not None:
-        dropped = int(obs.get.get("dropped", 0) or 0)
-        if dropped:
-            log.warning("dropped %d items without a 'timestamp'", dropped)
-    return n
 
 
 def build_samples(
