@@ -354,3 +354,19 @@ def test_generate_ordered(spark, tmp_path):
     assert job.generate_from_cleaned(spark, str(d), str(out), fmt="json", ordered=True) == 6
     lines = [l for f in sorted(out.glob("part-*")) for l in f.read_text(encoding="utf-8").splitlines()]
     assert [json.loads(l)["messages"][0]["content"] for l in lines] == [f"q{i} {w}" for i in (1, 2, 3) for w in "ab"]
+
+
+def test_full_run_agrees_with_conv_samples(spark, tmp_path):
+    import bench
+    from conftest import SF01
+    from dialogprep.plans.queries import q_conv_samples
+
+    bench.export_inbox(spark, SF01, str(tmp_path / "inbox"))
+    cfg = config(tmp_path, str(tmp_path / "inbox"), message_glob="part-*.json")
+    cfg.my_name = "assistant"
+    res = job.run(spark, cfg)
+    expected = sorted((r.user, r.assistant) for r in q_conv_samples(spark, SF01).collect())
+    kept = [json.loads(v)["messages"] for v in spark.read.text(f"{cfg.output_dir}/status=VALID").toPandas()["value"]]
+    got = sorted((m[0]["content"], m[1]["content"]) for m in kept)
+    assert res.total_samples == len(expected) and res.conversations_processed == 100
+    assert got == sorted(set(expected)) and res.duplicates_removed == len(expected) - len(set(expected))
