@@ -91,3 +91,13 @@ def test_sampled_detection_finds_the_hot_key(spark, msgs, monkeypatch):
     assert {r[0] for r in s.hot.select("user_id").distinct().collect()} == {0}
     assert s.normal.count() + s.hot.count() == skewed.count()
     assert 3 <= s.chunks <= 8
+
+
+def test_merge_turns_chunked_equals_window(spark, msgs):
+    a = U.merge_turns(msgs, ["user_id"], EVENT_ORDER, scan=scan_window)
+    b = U.merge_turns(msgs, ["user_id"], EVENT_ORDER, scan=chunked(13))
+    assert rows(a) == rows(b)
+    one = msgs.withColumn("user_id", F.lit(5).cast("bigint"))
+    assert rows(U.merge_turns(one, ["user_id"], EVENT_ORDER, scan=scan_window)) == rows(
+        U.merge_turns(one, ["user_id"], EVENT_ORDER, scan=chunked(7))
+    )
