@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dialogprep.llm.common import table
+from dialogprep.llm.embed_dedup import near_vectors
 from dialogprep.llm.line_dedup import dedup_lines
 from dialogprep.llm.packing import pack
 from dialogprep.llm.shingle_join import near_duplicates
@@ -15,6 +16,10 @@ from dialogprep.llm.token_counts import count_tokens
 TOKENIZER = "byte_bpe_50k.json"
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
@@ -33,6 +38,7 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_embedding_dedup": op2_embedding_dedup,
     "op3_token_counts": op3_token_counts,
     "op5_packing": op5_packing,
     "op6_line_dedup": op6_line_dedup,
@@ -40,6 +46,21 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op2_embedding_dedup": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), link AS (
+  SELECT a.vec_id AS s, b.vec_id AS t FROM v a JOIN v b
+    ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9
+), reach AS (
+  SELECT vec_id AS s, vec_id AS t FROM v
+  UNION
+  SELECT r.s, l.t FROM reach r JOIN link l ON l.s = r.t
+), low AS (SELECT s, min(t) AS component_id FROM reach GROUP BY s)
+SELECT v.vec_id, (SELECT count(*) FROM link WHERE link.s = v.vec_id) AS n_links, component_id,
+       v.vec_id = component_id AS kept
+FROM v JOIN low ON low.s = v.vec_id
+""",
     "op6_line_dedup": """
 WITH line AS (
   SELECT doc_id, n.i AS pos, t.l AS line,
