@@ -10,6 +10,7 @@ from dialogprep.llm.common import table
 from dialogprep.llm.embed_dedup import near_vectors
 from dialogprep.llm.line_dedup import dedup_lines
 from dialogprep.llm.packing import pack
+from dialogprep.llm.quality import quality
 from dialogprep.llm.shingle_join import near_duplicates
 from dialogprep.llm.token_counts import count_tokens
 
@@ -33,6 +34,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
 
@@ -42,6 +47,7 @@ QUERIES = {
     "op3_token_counts": op3_token_counts,
     "op5_packing": op5_packing,
     "op6_line_dedup": op6_line_dedup,
+    "op8_quality": op8_quality,
     "op9_ngram_jaccard": op9_ngram_jaccard,
 }
 
