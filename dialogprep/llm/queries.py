@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from dialogprep.llm.common import table
 from dialogprep.llm.embed_dedup import near_vectors
+from dialogprep.llm.fingerprints import fingerprints
 from dialogprep.llm.line_dedup import dedup_lines
+from dialogprep.llm.mixing import Mix, mixed
 from dialogprep.llm.packing import pack
 from dialogprep.llm.quality import quality
 from dialogprep.llm.shingle_join import near_duplicates
@@ -17,6 +19,33 @@ from dialogprep.llm.token_counts import count_tokens
 TOKENIZER = "byte_bpe_50k.json"
 
 
+DOMAINS = ("web", "books", "code", "forum")
+MIX = Mix(
+    levels=("domain", "lang", "source"),
+    weights={("web",): 50, ("books",): 20, ("code",): 20, ("forum",): 10}
+    | {(d, "en"): 6 for d in DOMAINS}
+    | {(d, x): 2 for d in DOMAINS for x in ("de", "fr", "es")},
+    percent=60,
+    max_epochs=2,
+    seed=17,
+)
+
+
+def with_domain(docs: DataFrame) -> DataFrame:
+    """A domain for each source: its number modulo the domains."""
+    number = F.regexp_extract(F.coalesce("source", F.lit("")), "([0-9]{1,6})$", 1)
+    names = F.array(*[F.lit(d) for d in DOMAINS])
+    domain = F.when(number == "", F.lit("other")).otherwise(
+        F.element_at(names, (F.expr("try_cast(regexp_extract(coalesce(source, ''), '([0-9]{1,6})$', 1) AS int)") % len(DOMAINS)) + 1)
+    )
+    return docs.withColumn("domain", domain)
+
+
+def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_domain(table(spark, sf_dir, "documents"))
+    return mixed(docs, MIX).select("doc_id", "domain", "lang", "source", "epoch", "n_tokens", "take_tokens")
+
+
 def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.9)
 
@@ -42,16 +71,90 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_source_mixing": op1_source_mixing,
     "op2_embedding_dedup": op2_embedding_dedup,
     "op3_token_counts": op3_token_counts,
     "op5_packing": op5_packing,
     "op6_line_dedup": op6_line_dedup,
     "op8_quality": op8_quality,
     "op9_ngram_jaccard": op9_ngram_jaccard,
+    "op10_fingerprints": op10_fingerprints,
 }
 
+def _share_sql(depth: int) -> str:
+    """CTEs that share budgets among the nodes of one level."""
+    keys = ["domain", "lang", "source"][:depth]
+    by, up = ", ".join(keys), ", ".join(keys[:-1])
+    family = f"PARTITION BY {up}" if up else ""
+    parent = f"JOIN b{depth - 1} USING ({up})" if up else "CROSS JOIN b0"
+    return f"""
+, n{depth} AS (
+  SELECT {by}, sum(cap) AS cap, any_value(w{depth}) AS w FROM leaf GROUP BY {by}
+), o{depth} AS (
+  SELECT *, coalesce(sum(cap) OVER (q ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cap_before,
+         coalesce(sum(w) OVER (q ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS w_before,
+         sum(w) OVER ({family}) AS w_all
+  FROM n{depth} {parent} WINDOW q AS ({family} ORDER BY cap / w, {keys[-1]})
+), f{depth} AS (
+  SELECT *, CAST(cap AS HUGEINT) * (w_all - w_before) <= CAST(w AS HUGEINT) * (room - cap_before) AS is_full FROM o{depth}
+), g{depth} AS (
+  SELECT *, room - sum(CASE WHEN is_full THEN cap ELSE 0 END) OVER ({family}) AS rest,
+         sum(CASE WHEN is_full THEN 0 ELSE w END) OVER ({family}) AS w_open,
+         sum(CASE WHEN is_full THEN 0 ELSE w END) OVER ({family} ORDER BY cap / w, {keys[-1]}
+                                                       ROWS UNBOUNDED PRECEDING) AS w_to
+  FROM f{depth}
+), b{depth} AS (
+  SELECT {by}, CAST(CASE WHEN is_full THEN cap
+                         ELSE rest * w_to // w_open - rest * (w_to - w) // w_open END AS HUGEINT) AS room
+  FROM g{depth}
+)"""
+
+
+_MIX_SQL = r"""
+WITH doc AS (
+  SELECT doc_id, lang, source,
+         CASE WHEN regexp_extract(coalesce(source, ''), '([0-9]{1,6})$', 1) = '' THEN 'other'
+              ELSE ['web', 'books', 'code', 'forum'][CAST(regexp_extract(source, '([0-9]{1,6})$', 1) AS INT) % 4 + 1] END AS domain,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS n_tokens,
+         md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')) AS row_hash
+  FROM documents
+), leaf AS (
+  SELECT domain, lang, source, sum(n_tokens) AS tokens, 2 * sum(n_tokens) AS cap,
+         CASE domain WHEN 'web' THEN 50 WHEN 'books' THEN 20 WHEN 'code' THEN 20 WHEN 'forum' THEN 10 ELSE 1 END AS w1,
+         CASE WHEN domain = 'other' THEN 1 WHEN lang = 'en' THEN 6 WHEN lang IN ('de', 'fr', 'es') THEN 2 ELSE 1 END AS w2,
+         1 AS w3
+  FROM doc WHERE n_tokens > 0 GROUP BY ALL
+), b0 AS (SELECT least(sum(tokens) * 60 // 100, sum(cap)) AS room FROM leaf)
+""" + "".join(_share_sql(d) for d in (1, 2, 3)) + r"""
+, plan AS (
+  SELECT domain, lang, source, room // tokens AS epochs, room % tokens AS rest
+  FROM leaf JOIN b3 USING (domain, lang, source)
+), keyed AS (
+  SELECT doc.*, epochs, rest, md5('17:' || CAST(epochs AS VARCHAR) || ':' || row_hash) AS k
+  FROM doc JOIN plan USING (domain, lang, source) WHERE n_tokens > 0
+), placed AS (
+  SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY k) AS upto,
+         sum(n_tokens) OVER (PARTITION BY domain, lang, source, k) AS tie,
+         count(*) OVER (PARTITION BY domain, lang, source, k) AS ties
+  FROM keyed
+), taken AS (
+  SELECT *, CASE WHEN upto <= rest THEN n_tokens
+                 WHEN upto - tie <= rest THEN (rest - (upto - tie)) // ties ELSE 0 END AS last_take
+  FROM placed
+)
+SELECT doc_id, domain, lang, source, CAST(e.i AS BIGINT) AS epoch, n_tokens,
+       CAST(CASE WHEN e.i < epochs THEN n_tokens ELSE last_take END AS BIGINT) AS take_tokens
+FROM taken, unnest(range(0, 3)) AS e(i)
+WHERE e.i < epochs OR (e.i = epochs AND last_take > 0)
+"""
+
 ORACLE_SQL = {
+    "op1_source_mixing": _MIX_SQL,
     "op2_embedding_dedup": """
 WITH RECURSIVE v AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
