@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from dialogprep.llm.common import table
 from dialogprep.llm.embed_dedup import near_vectors
 from dialogprep.llm.fingerprints import fingerprints
+from dialogprep.llm.licenses import TEMPLATES, scan_licenses
 from dialogprep.llm.line_dedup import dedup_lines
 from dialogprep.llm.mixing import Mix, mixed
 from dialogprep.llm.packing import pack
@@ -54,6 +55,24 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def tree_path(ids_per_folder: int = 100):
+    """A place in a tree for each document: its source, language and, for
+    texts of more than three lines, a folder of neighbouring ids."""
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))
+    folder = F.expr(f"doc_id div {ids_per_folder}").cast("string")
+    top = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.coalesce("lang", F.lit("none")))
+    short = F.size(F.split(F.coalesce("text", F.lit("")), "\n")) <= 3
+    return F.concat_ws("/", top, F.when(~short, folder), name)
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Short documents that state a license stand for their folder."""
+    docs = table(spark, sf_dir, "documents")
+    n_lines = F.size(F.split(F.coalesce("text", F.lit("")), "\n"))
+    found = scan_licenses(docs, tree_path(), n_lines <= 12)
+    return found.select("doc_id", "path", "own_license", "own_score", "license", "license_dir")
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
@@ -77,6 +96,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_source_mixing": op1_source_mixing,
+    "op4_license_scan": op4_license_scan,
     "op2_embedding_dedup": op2_embedding_dedup,
     "op3_token_counts": op3_token_counts,
     "op5_packing": op5_packing,
@@ -115,6 +135,52 @@ def _share_sql(depth: int) -> str:
 )"""
 
 
+_TEMPLATE_ROWS = ", ".join(f"({i}, '{name}', '{notice}')" for i, (name, notice) in enumerate(TEMPLATES))
+
+_LICENSE_SQL = f"""
+WITH template AS (SELECT * FROM (VALUES {_TEMPLATE_ROWS}) t(template, license, notice)
+), term AS (
+  SELECT template, license, term, count(*) AS tf
+  FROM (SELECT template, license, unnest(regexp_extract_all(lower(notice), '[a-z0-9]+')) AS term FROM template) GROUP BY ALL
+), doc AS (
+  SELECT *, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), line AS (
+  SELECT doc_id, i AS pos, regexp_extract_all(lower(lines[i]), '[a-z0-9]+') AS words
+  FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM doc)
+), word AS (SELECT doc_id, pos, unnest(words) AS term FROM line
+), df AS (SELECT term, count(DISTINCT doc_id) AS df FROM word WHERE term IN (SELECT term FROM term) GROUP BY term
+), idf AS (
+  SELECT DISTINCT term.term, ln((1 + (SELECT count(*) FROM documents)) / (1 + coalesce(df, 0))) + 1 AS idf
+  FROM term LEFT JOIN df ON df.term = term.term
+), unit AS (
+  SELECT template, license, term, tf * idf / sqrt(sum(tf * tf * idf * idf) OVER (PARTITION BY template)) AS weight
+  FROM term JOIN idf USING (term)
+), entry AS (
+  SELECT doc_id, pos, word.term, count(*) * coalesce(any_value(idf), ln(1 + (SELECT count(*) FROM documents)) + 1) AS x
+  FROM word LEFT JOIN idf ON idf.term = word.term GROUP BY doc_id, pos, word.term
+), size AS (SELECT doc_id, pos, sqrt(sum(x * x)) AS size FROM entry GROUP BY doc_id, pos
+), score AS (
+  SELECT doc_id, license, round(sum(x * weight) / any_value(size), 6) AS score
+  FROM entry JOIN unit USING (term) JOIN size USING (doc_id, pos) GROUP BY doc_id, pos, template, license
+), own AS (
+  SELECT doc_id, min(struct_pack(s := -score, l := license)) AS b FROM score WHERE score >= 0.7 GROUP BY doc_id
+), placed AS (
+  SELECT d.doc_id, b.l AS own_license, -b.s AS own_score, len(lines) AS n,
+         coalesce(source, 'none') || '/' || coalesce(lang, 'none')
+           || CASE WHEN len(lines) > 3 THEN '/' || CAST(d.doc_id // 100 AS VARCHAR) ELSE '' END AS dir
+  FROM doc d LEFT JOIN own ON own.doc_id = d.doc_id
+), stated AS (
+  SELECT dir AS place, min(struct_pack(s := -own_score, l := own_license)).l AS license
+  FROM placed WHERE own_license IS NOT NULL AND n <= 12 GROUP BY dir
+), nearest AS (
+  SELECT p.dir, max(struct_pack(k := length(place), p := place, l := license)) AS b
+  FROM (SELECT DISTINCT dir FROM placed) p JOIN stated ON p.dir = place OR starts_with(p.dir, place || '/') GROUP BY p.dir
+)
+SELECT doc_id, placed.dir || '/' || CAST(doc_id AS VARCHAR) AS path, own_license, own_score,
+       coalesce(own_license, b.l) AS license, CASE WHEN own_license IS NULL THEN b.p END AS license_dir
+FROM placed LEFT JOIN nearest ON nearest.dir = placed.dir
+"""
+
 _MIX_SQL = r"""
 WITH doc AS (
   SELECT doc_id, lang, source,
@@ -155,6 +221,7 @@ WHERE e.i < epochs OR (e.i = epochs AND last_take > 0)
 
 ORACLE_SQL = {
     "op1_source_mixing": _MIX_SQL,
+    "op4_license_scan": _LICENSE_SQL,
     "op2_embedding_dedup": """
 WITH RECURSIVE v AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
