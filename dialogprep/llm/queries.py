@@ -16,6 +16,7 @@ from dialogprep.llm.packing import pack
 from dialogprep.llm.quality import quality
 from dialogprep.llm.shingle_join import near_duplicates
 from dialogprep.llm.token_counts import count_tokens
+from dialogprep.llm.url_filter import judge_urls
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -82,6 +83,19 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+# (verdict, host, path)
+URL_RULES = [
+    ("block", "net", "/"),
+    ("allow", "example.net", "/en/"),
+    ("block", "example.com", "/de/"),
+    ("allow", "org", "/fr/"),
+]
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -101,6 +115,7 @@ QUERIES = {
     "op3_token_counts": op3_token_counts,
     "op5_packing": op5_packing,
     "op6_line_dedup": op6_line_dedup,
+    "op7_url_filter": op7_url_filter,
     "op8_quality": op8_quality,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_fingerprints": op10_fingerprints,
@@ -135,6 +150,63 @@ def _share_sql(depth: int) -> str:
 )"""
 
 
+_RANK_ROUNDS = "".join(
+    f"""
+, r{k} AS MATERIALIZED (
+  SELECT host, kind, 0.15::DOUBLE * seed + 0.85::DOUBLE * coalesce(flow, 0) AS x
+  FROM base LEFT JOIN (
+    SELECT t AS host, kind, sum(x * p) AS flow FROM edge JOIN r{k - 1} q USING (kind) WHERE q.host = edge.f GROUP BY t, kind
+  ) USING (host, kind)
+)"""
+    for k in range(1, 21)
+)
+
+_URL_SQL = r"""
+WITH rules AS (
+  SELECT * FROM (VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'),
+                        ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')) t(v, h, p)
+), cut AS (
+  SELECT page_id, html, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), page AS (
+  SELECT page_id, html, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM cut
+), judged AS (
+  SELECT page_id, html, host, path,
+         (SELECT min(struct_pack(n := -length(h || p), r := h || p, v := v)) FROM rules
+          WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)) AS hit
+  FROM page
+), seeds AS (
+  SELECT host, avg(CASE WHEN hit.v = 'allow' THEN 1.0 ELSE 0.0 END) AS trust,
+         avg(CASE WHEN hit.v = 'block' THEN 1.0 ELSE 0.0 END) AS distrust
+  FROM judged WHERE host <> '' GROUP BY host
+), link AS (
+  SELECT host AS a, unnest(regexp_extract_all(html, '(?i)<a\s[^>]*href\s*=\s*["'']([^"''>]*)', 1)) AS l FROM judged WHERE host <> ''
+), pair AS (
+  SELECT a, CASE WHEN h <> '' THEN h ELSE a END AS b, count(*) AS w
+  FROM (SELECT a, translate(regexp_extract(l, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)', 1),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS h FROM link)
+  GROUP BY ALL
+), known AS (SELECT a AS host FROM pair UNION SELECT b FROM pair UNION SELECT host FROM seeds
+), base AS MATERIALIZED (
+  SELECT host, true AS kind, coalesce(trust, 0) AS seed FROM known LEFT JOIN seeds USING (host)
+  UNION ALL SELECT host, false, coalesce(distrust, 0) FROM known LEFT JOIN seeds USING (host)
+), linked AS (
+  SELECT a AS f, b AS t, true AS kind, w / sum(w) OVER (PARTITION BY a) AS p FROM pair
+  UNION ALL SELECT b, a, false, w / sum(w) OVER (PARTITION BY b) FROM pair
+), edge AS MATERIALIZED (
+  SELECT * FROM linked
+  UNION ALL SELECT host, host, kind, 1.0 FROM base WHERE (host, kind) NOT IN (SELECT (f, kind) FROM linked)
+), r0 AS (SELECT host, kind, seed AS x FROM base)
+""".rstrip() + _RANK_ROUNDS + r"""
+, rank AS (
+  SELECT host, round(sum(x) FILTER (WHERE kind), 6) AS trust, round(sum(x) FILTER (WHERE NOT kind), 6) AS distrust FROM r20 GROUP BY host
+)
+SELECT page_id, judged.host, path, hit.r AS rule,
+       coalesce(hit.v, CASE WHEN coalesce(distrust - trust, 0) > 0.5 THEN 'block' ELSE 'allow' END) AS verdict, trust, distrust
+FROM judged LEFT JOIN rank ON rank.host = judged.host
+"""
+
 _TEMPLATE_ROWS = ", ".join(f"({i}, '{name}', '{notice}')" for i, (name, notice) in enumerate(TEMPLATES))
 
 _LICENSE_SQL = f"""
@@ -237,6 +309,7 @@ SELECT v.vec_id, (SELECT count(*) FROM link WHERE link.s = v.vec_id) AS n_links,
        v.vec_id = component_id AS kept
 FROM v JOIN low ON low.s = v.vec_id
 """,
+    "op7_url_filter": _URL_SQL,
     "op6_line_dedup": """
 WITH line AS (
   SELECT doc_id, n.i AS pos, t.l AS line,
