@@ -68,10 +68,11 @@ def frequent_lines(docs: DataFrame, min_docs: int, min_chars: int) -> DataFrame:
     return found.groupBy("hash").agg(F.sum("n").alias("n")).where(F.col("n") >= min_docs)
 
 
-def _rebuild(docs: DataFrame, drops, extra: str | None = None) -> DataFrame:
+def _rebuild(docs: DataFrame, min_chars: int, max_loss: float, test, extra: str | None = None) -> DataFrame:
     """``docs`` with ``text`` rebuilt, ``n_lines`` and ``n_dropped``.
 
-    ``drops(row) -> predicate(position, hash)`` says which lines go.
+    ``test()`` runs once a task; what it returns turns a row's ``extra``
+    value into the predicate (position, key) of the lines that go.
     """
     fields = [f for f in docs.schema.fields if f.name != extra]
     schema = T.StructType(
@@ -79,7 +80,6 @@ def _rebuild(docs: DataFrame, drops, extra: str | None = None) -> DataFrame:
         + [T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())]
     )
     names, at = docs.columns, docs.columns.index("text")
-    minimum, test = drops
 
     def rebuild(batches):
         dropped = test()
@@ -91,8 +91,10 @@ def _rebuild(docs: DataFrame, drops, extra: str | None = None) -> DataFrame:
                 gone = dropped(own)
                 kept = [
                     x for i, x in enumerate(lines)
-                    if not (_long_enough(k := line_key(x), minimum) and gone(i, k))
+                    if not (_long_enough(k := line_key(x), min_chars) and gone(i, k))
                 ]
+                if len(kept) < len(lines) and sum(map(len, kept)) < (1 - max_loss) * sum(map(len, lines)):
+                    kept = lines  # a copy as a whole, not a text with boilerplate
                 texts.append(b"\n".join(kept).decode())
                 n_lines.append(len(lines))
                 n_dropped.append(len(lines) - len(kept))
@@ -127,10 +129,15 @@ def _positions(docs: DataFrame, min_chars: int) -> DataFrame:
 
 
 def dedup_lines(
-    docs: DataFrame, min_docs: int = 10, min_chars: int = 1, max_broadcast: int = 2_000_000
+    docs: DataFrame, min_docs: int = 10, min_chars: int = 1, max_loss: float = 1.0, max_broadcast: int = 2_000_000
 ) -> DataFrame:
     """``docs`` with the remaining lines in ``text``, ``n_lines`` and
-    ``n_dropped`` (clashing input columns of these names are replaced)."""
+    ``n_dropped`` (clashing input columns of these names are replaced).
+
+    A document that would lose more than the share ``max_loss`` of its bytes
+    keeps all its lines: below 1, whole copies of a document are left to
+    de-duplication of documents instead of being emptied everywhere.
+    """
     docs = docs.drop("n_lines", "n_dropped")
     frequent = checkpointed(frequent_lines(docs, min_docs, min_chars))
     if frequent.count() <= max_broadcast:
@@ -140,7 +147,7 @@ def dedup_lines(
             known = spread.value
             return lambda _: lambda i, key: _digest(key) in known
 
-        return _rebuild(docs, (min_chars, by_hash))
+        return _rebuild(docs, min_chars, max_loss, by_hash)
 
     # equal texts lose the same lines, so rows are addressed by their text
     keyed = docs.withColumn("row_key", F.unhex(F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)))
@@ -158,4 +165,4 @@ def dedup_lines(
 
         return of
 
-    return _rebuild(joined, (min_chars, by_position), "lost_pos")
+    return _rebuild(joined, min_chars, max_loss, by_position, "lost_pos")

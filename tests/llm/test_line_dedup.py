@@ -13,12 +13,18 @@ def key(line):
     return "".join(c.lower() if "A" <= c <= "Z" else c for c in line.strip(SPACE))
 
 
-def model(texts, min_docs, min_chars=1):
+def model(texts, min_docs, min_chars=1, max_loss=1.0):
     found = Counter()
     for t in texts:
         found.update({key(x) for x in (t or "").split("\n")})
     bad = {k for k, n in found.items() if n >= min_docs and len(k) >= min_chars}
-    return ["\n".join(x for x in (t or "").split("\n") if key(x) not in bad) for t in texts]
+    out = []
+    for t in texts:
+        lines = (t or "").split("\n")
+        kept = [x for x in lines if key(x) not in bad]
+        size = lambda xs: sum(len(x.encode()) for x in xs)
+        out.append("\n".join(lines if size(kept) < (1 - max_loss) * size(lines) else kept))
+    return out
 
 
 def test_both_routes_equal_the_model(spark):
@@ -26,12 +32,22 @@ def test_both_routes_equal_the_model(spark):
     for min_docs, min_chars in ((3, 1), (2, 1), (2, 2), (100, 1)):
         want = model(ODD, min_docs, min_chars)
         for bound in (2_000_000, 0):
-            got = {r.doc_id: r for r in dedup_lines(df, min_docs, min_chars, bound).collect()}
+            got = {r.doc_id: r for r in dedup_lines(df, min_docs, min_chars, max_broadcast=bound).collect()}
             assert [got[i].text for i in range(len(ODD))] == want
             assert all(got[i].n_lines == len((t or "").split("\n")) for i, t in enumerate(ODD))
             assert all(got[i].n_dropped >= 0 for i in got)
 
 
+def test_whole_copies_are_left_alone(spark):
+    texts = ["boiler plate\nown text that is long enough a", "boiler plate\nown text that is long enough b"] + ["copied line one\ncopied line two"] * 3
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = model(texts, 2, max_loss=0.5)
+    assert want[2] == texts[2] and "boiler" not in want[0]
+    for bound in (2_000_000, 0):
+        got = {r.doc_id: r.text for r in dedup_lines(df, 2, 1, 0.5, bound).collect()}
+        assert [got[i] for i in range(5)] == want
+
+
 def test_empty_table_and_columns(spark):
     df = spark.createDataFrame([], "doc_id long, text string, lang string")
     out = dedup_lines(df)
