@@ -312,6 +312,13 @@ def _verify(pairs: DataFrame, texts: DataFrame, k: int, bands: Bands, chunk: int
     return arrow_map(dealt.select("a", "part", "role", "node", "text"), run, "a long, b long")
 
 
+def _among(x: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    """Which of ``x`` are in the sorted array, by binary search."""
+    if not len(ordered):
+        return np.zeros(len(x), bool)
+    return ordered[np.minimum(np.searchsorted(ordered, x), len(ordered) - 1)] == x
+
+
 def _unreliable(docs: DataFrame, k: int, bands: Bands, large: DataFrame, max_broadcast: int) -> DataFrame:
     """``(key, node, size, bits)``: empty and large cells of the nodes that
     have too many of them to rely on the others."""
@@ -328,7 +335,7 @@ def _unreliable(docs: DataFrame, k: int, bands: Bands, large: DataFrame, max_bro
                     keys, empty = cell_keys(u, band, count)
                     keys = keys.view(np.int64)
                     if known is not None:
-                        keys = keys[np.isin(keys, known.value)]
+                        keys = keys[_among(keys, known.value)]
                         if len(keys) + len(empty) <= slack:
                             continue
                     node, bits = set_key(u), folded(u)
