@@ -78,10 +78,10 @@ def py_strip(c: Column | str) -> Column:
 
 def noise_phrases(extra_noise: Iterable[str] | None = None) -> list[str]:
     """Default phrases plus caller phrases, lower-cased like the defaults."""
-    phrases = list(PLATFORM_NOISE)
-    if extra_noise:
-        phrases.extend(p.lower() for p in extra_noise)
-    return phrases
+    more = [p.lower() for p in extra_noise or ()]
+    if "" in more:
+        raise ValueError("an empty noise phrase would drop every message")
+    return [*PLATFORM_NOISE, *more]
 
 
 def is_noise(c: Column | str, extra_noise: Iterable[str] | None = None, lowered: Column | None = None) -> Column:
@@ -161,15 +161,16 @@ def scrub(
     return _scrub_parts(raw, F.lower(raw), py_strip(repair_mojibake(raw)), secrets, extra_noise, min_length, max_length)
 
 
-def _scrub_parts(raw, lowered, decoded, secrets, extra_noise, min_length, max_length) -> Column:
+def _scrub_parts(raw, lowered, decoded, secrets, extra_noise, min_length, max_length, null_if_empty=True) -> Column:
     redacted = py_strip(redact_phones(replace_secrets(decoded, secrets)))
-    return (
+    kept = (
         F.when(raw.isNull() | (raw == ""), F.lit(None))
         .when(is_noise(raw, extra_noise, lowered), F.lit(None))
         .when(~within_length(decoded, min_length, max_length), F.lit(None))
-        .when(redacted == "", F.lit(None))
-        .otherwise(redacted)
     )
+    if null_if_empty:
+        kept = kept.when(redacted == "", F.lit(None))
+    return kept.otherwise(redacted)
 
 
 def scrub_staged(
@@ -194,9 +195,11 @@ def scrub_staged(
         "_dp_dec", py_strip(repair_mojibake(F.col(c)))
     )
     value = _scrub_parts(
-        F.col(c), F.col("_dp_low"), F.col("_dp_dec"), secrets, extra_noise, min_length, max_length
+        F.col(c), F.col("_dp_low"), F.col("_dp_dec"), secrets, extra_noise, min_length, max_length, null_if_empty=False
     )
-    return keep_nonnull(staged, value, out).drop("_dp_low", "_dp_dec")
+    # The test for an empty result stands above the generator: inside the
+    # value it would hold the whole redaction a second time.
+    return keep_nonnull(staged, value, out).where(F.col(out) != "").drop("_dp_low", "_dp_dec")
 
 
 def normalize_sender(c: Column | str, my_name: str, repair: bool = False) -> Column:
@@ -225,5 +228,6 @@ def party_handle(c: Column | str) -> Column:
 
 
 def check_name(my_name: str) -> None:
-    if not my_name or not my_name.strip():
-        raise ValueError("my_name must be a non-empty string.")
+    """The name decides who wrote a message; a blank one would match all."""
+    if (my_name or "").strip() == "":
+        raise ValueError("a name is needed to tell the own messages from the others'")

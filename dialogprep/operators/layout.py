@@ -11,8 +11,8 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
 
     CPU-heavy per-row text work (regexes, JSON parsing) runs in the scan's
     tasks; a small file with one row group is one task however many cores
-    there are. On large inputs the scan already has enough partitions and
-    this returns ``df`` unchanged, so it never adds a shuffle at scale.
+    there are. An input that already has that many partitions is returned
+    unchanged; one that has fewer is moved as a whole, text and all.
     """
     try:
         target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
@@ -27,17 +27,17 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
 def keep_nonnull(df: DataFrame, value, name: str) -> DataFrame:
     """Rows where ``value`` is not NULL, with ``value`` as column ``name``.
 
-    Written as a flat-map (explode of a zero-or-one element array) rather
-    than ``withColumn(...).where(isNotNull)``: Catalyst substitutes an aliased
-    expression into a filter it pushes down, so an expensive value (the
-    scrubbed text) would be computed twice per row, and the filter would
+    The value passes through a generator (explode of a one-element array)
+    rather than ``withColumn(...).where(isNotNull)``: Catalyst substitutes an
+    aliased expression into a filter it pushes down, so an expensive value
+    (the scrubbed text) would be computed twice per row, and the filter would
     move below :func:`spread` into the scan's tasks. A generator is
-    evaluated once, where it stands.
+    evaluated once, where it stands, and the filter above it stays there.
     """
     from pyspark.sql import functions as F
 
     others = [c for c in df.columns if c != name]
-    return df.select(*others, F.explode(F.array_compact(F.array(value))).alias(name))
+    return df.select(*others, F.explode(F.array(value)).alias(name)).where(F.col(name).isNotNull())
 
 
 def filter_once(df: DataFrame, condition) -> DataFrame:

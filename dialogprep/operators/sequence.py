@@ -101,18 +101,19 @@ def split_hot_keys(
     hot = counts.where(F.col("_dp_n") > cutoff).select(_KH, (F.col("_dp_n") / F.lit(rate)).alias("_dp_n"))
     # One small job in the common case (no hot key): the number of hot keys
     # and their rows. The hot set is at most rows / hot_threshold keys; it
-    # is collected only when within the broadcast bound (8 bytes a key), so
-    # the final plan does not recompute the counts; else it stays a frame.
+    # is broadcast only when within the bound (8 bytes a key).
     summary = hot.agg(F.count(F.lit(1)).alias("keys"), F.sum("_dp_n").alias("rows")).first()
     n_keys = int(summary["keys"] or 0)
     if n_keys == 0:
         return HotSplit(normal=df, hot=None)
     hot_rows = int(math.ceil(summary["rows"] or 0))
+    # One fixed set of hot keys for both branches: a sample drawn again could
+    # differ, and a key's rows would be in both branches or in neither.
+    ensure_checkpoint_dir(df.sparkSession)
+    keys_df = hot.select(_KH).checkpoint(eager=True)
+    n_keys = keys_df.count()
     if n_keys <= MAX_BROADCAST_HOT_KEYS:
-        found = hot.select(_KH).collect()
-        keys_df = F.broadcast(df.sparkSession.createDataFrame([(int(r[0]),) for r in found], f"{_KH} bigint"))
-    else:
-        keys_df = hot.select(_KH)
+        keys_df = F.broadcast(keys_df)
     chunks = min(MAX_CHUNKS, max(2, math.ceil(hot_rows / max(1, chunk_rows))))
     tagged = df.withColumn(_KH, key_hash(key))
     normal = tagged.join(keys_df, _KH, "left_anti").drop(_KH)

@@ -35,10 +35,13 @@ def clean_messages(
 
     A missing or null sender counts as ''. A missing or null timestamp is 0;
     a present timestamp is read like Python's int() of a JSON number
-    ("1000", "5.0" and "1e3" are accepted). Messages whose scrubbed text is
-    empty are dropped. Other columns are kept.
+    ("1000", "5.0" and "1e3" are accepted). A message with any other
+    timestamp has no place in its conversation and is left out (see
+    :func:`rejected_messages`). Messages whose scrubbed text is empty are
+    dropped. Other columns are kept.
     """
     T.check_name(my_name)
+    raw = raw.where(~_unreadable_time(timestamp))
     # Computed once per row, with the lower-cased and repaired text staged.
     out = T.scrub_staged(raw, content, "_dp_text", secrets, extra_noise, min_length, max_length)
     derived = {
@@ -51,6 +54,17 @@ def clean_messages(
     return out.select(*kept, *[v.alias(k) for k, v in derived.items()])
 
 
+def _unreadable_time(timestamp: str) -> Column:
+    return F.col(timestamp).isNotNull() & parse_epoch_ms(F.col(timestamp)).isNull()
+
+
+def rejected_messages(raw: DataFrame, timestamp: str = "timestamp_ms") -> DataFrame:
+    """``path, reason`` of raw export messages that can't be ordered: their
+    timestamp is present but no number. The path ends in ``#<position>``."""
+    place = F.concat(F.col("conversation"), F.lit("/"), F.col("file_name"), F.lit("#"), F.col("pos").cast("string"))
+    return raw.where(_unreadable_time(timestamp)).select(place.alias("path"), F.lit("BAD_TIMESTAMP").alias("reason"))
+
+
 def parse_epoch_ms(c: Column) -> Column:
     """String/number -> BIGINT ms without raising; NULL when not a number.
 
@@ -77,10 +91,15 @@ def chrono_order(
 def block_input(df: DataFrame, sender: str = "sender", text: str = "text", timestamp: str = "timestamp") -> DataFrame:
     """Rows that may form blocks: non-null sender, text and timestamp, and a
     text that is not blank once stripped (the text becomes the stripped form).
+
+    Where a column ``has_timestamp`` exists it decides instead of the
+    timestamp: a message whose time is present but no number (null here)
+    takes part in its block, and only pairs that need the time are dropped.
     """
     stripped = T.py_strip(F.col(text).cast("string"))
+    timed = F.col("has_timestamp") if "has_timestamp" in df.columns else F.col(timestamp).isNotNull()
     return (
-        df.where(F.col(sender).isNotNull() & F.col(text).isNotNull() & F.col(timestamp).isNotNull())
+        df.where(F.col(sender).isNotNull() & F.col(text).isNotNull() & timed)
         .withColumn(text, stripped)
         .where(F.col(text) != "")
     )

@@ -27,6 +27,7 @@ from dialogprep.operators.sequence import DEFAULT_CHUNK_ROWS, DEFAULT_HOT_THRESH
 from dialogprep.sources import cleaned as C
 from dialogprep.sources import exports as E
 from dialogprep.sources import jsonl as J
+from dialogprep.sources.listing import check_apart
 from dialogprep.sources.secrets import load_secrets
 
 log = logging.getLogger(__name__)
@@ -34,15 +35,27 @@ log = logging.getLogger(__name__)
 
 @dataclass
 class JobConfig:
-    """Knobs of a full run. Output paths are folders (Spark writes parts)."""
+    """Knobs of a full run. Output paths are folders (Spark writes parts);
+    those that a job writes have to be given. With ``train_dir`` and
+    ``val_dir`` a full run also splits its data set."""
+
+    def need(self, *names: str) -> dict[str, str]:
+        missing = [n for n in names if not getattr(self, n)]
+        if missing:
+            raise ValueError(f"JobConfig needs {', '.join(missing)}")
+        return {n: getattr(self, n) for n in names}
 
     my_name: str
-    inbox_dir: str = "./inbox"
-    raw_dir: str = "./raw-messages"
-    cleaned_dir: str = "./cleaned"
-    output_dir: str = "./dataset"
-    quarantine_dir: str = "./quarantine"
-    samples_dir: str = "./samples"
+    inbox_dir: str | None = None
+    raw_dir: str | None = None
+    cleaned_dir: str | None = None
+    output_dir: str | None = None
+    quarantine_dir: str | None = None
+    samples_dir: str | None = None
+    train_dir: str | None = None
+    val_dir: str | None = None
+    val_fraction: float = 0.05
+    seed: int | None = None
     ordered: bool = False
     message_glob: str = E.MESSAGE_GLOB
     secrets_path: str | None = None
@@ -65,6 +78,8 @@ class JobResult:
     malformed_removed: int = 0
     elapsed_seconds: float = 0.0
     quarantined_files: int = 0
+    train_lines: int = 0
+    val_lines: int = 0
     paths: dict = field(default_factory=dict)
 
 
@@ -75,6 +90,8 @@ def clean_exports(spark: SparkSession, cfg: JobConfig) -> tuple[DataFrame, int,
     least one raw message, and the number of unreadable files.
     """
     T.check_name(cfg.my_name)
+    outputs = cfg.need("raw_dir", "cleaned_dir", "quarantine_dir")
+    check_apart(spark, {**cfg.need("inbox_dir"), "secrets_path": cfg.secrets_path}, outputs)
     secrets = load_secrets(cfg.secrets_path, spark)
     found = E.input_paths(spark, cfg.inbox_dir)
     if found is None:
@@ -88,10 +105,11 @@ def clean_exports(spark: SparkSession, cfg: JobConfig) -> tuple[DataFrame, int,
         files = E.parse_files(E.export_reader(spark, glob=cfg.message_glob).json(paths))
         files.write.mode("overwrite").parquet(cfg.raw_dir)
         scan = E.split_files(spark.read.parquet(cfg.raw_dir), root)
-        raw, quarantine = scan.messages, scan.quarantine
+        raw, quarantine = scan.messages, scan.quarantine.union(E.empty_files(spark, paths, scan.files, cfg.message_glob))
+        quarantine = quarantine.unionByName(U.rejected_messages(raw))
     quarantine.write.mode("overwrite").json(cfg.quarantine_dir)
     quarantined = spark.read.schema("path string, reason string").json(cfg.quarantine_dir).count()
-    conversations = raw.agg(F.count_distinct("conversation").alias("n")).first()["n"]
+    conversations = conversation_count(raw)
     cleaned = U.clean_messages(
         raw, cfg.my_name, secrets, cfg.extra_noise, cfg.min_length, cfg.max_length,
         repair_sender=cfg.repair_sender,
@@ -100,6 +118,11 @@ def clean_exports(spark: SparkSession, cfg: JobConfig) -> tuple[DataFrame, int,
     return C.read_cleaned(spark, cfg.cleaned_dir), int(conversations or 0), int(quarantined)
 
 
+def conversation_count(raw: DataFrame) -> int:
+    """Conversations with at least one raw message."""
+    return raw.agg(F.count_distinct("conversation").alias("n")).first()["n"] or 0
+
+
 def clean_inbox(
     spark: SparkSession,
     my_name: str,
@@ -129,28 +152,38 @@ def generate_from_cleaned(
     time_gap_limit: int = P.DEFAULT_TIME_GAP_LIMIT,
     fmt: str = "parquet",
     ordered: bool = False,
+    quarantine_dir: str | None = None,
 ) -> int:
     """Cleaned conversations -> JSONL samples; returns the sample count.
 
     ``fmt="parquet"`` reads this package's cleaned table, ``"json"`` a folder
-    of per-conversation JSON lists. A missing folder gives 0.
+    of per-conversation JSON lists, whose unusable files are listed in
+    ``quarantine_dir`` where it is given. A missing folder gives 0.
     """
     if not J.path_exists(spark, cleaned_dir):
         return 0
     if fmt == "parquet":
         cleaned = C.read_cleaned(spark, cleaned_dir)
     elif fmt == "json":
-        items = C.read_cleaned_lists(spark, cleaned_dir, keep_dropped=True)
-        # Reported like the reference's warning; one aggregate over the items.
-        dropped = items.agg(F.count_if(~F.col("has_timestamp"))).first()[0] or 0
-        if dropped:
-            log.warning("dropped %d items without a 'timestamp'", dropped)
-        cleaned = items.where("has_timestamp").drop("has_timestamp")
+        scan = C.scan_cleaned_lists(spark, cleaned_dir)
+        if quarantine_dir:
+            check_apart(spark, {"cleaned_dir": cleaned_dir}, {"output_dir": output_dir, "quarantine_dir": quarantine_dir})
+            scan.quarantine.write.mode("overwrite").json(quarantine_dir)
+        # The count comes with the write that reads the items: files are
+        # parsed once.
+        dropped = Observation("dropped")
+        cleaned = scan.items.observe(dropped, F.count_if(~F.col("has_timestamp")).alias("n")).where("has_timestamp")
     else:
         raise ValueError("fmt must be 'parquet' or 'json'")
-    return generate_dataset(
-        spark, cleaned, output_dir, JobConfig(my_name="-", time_gap_limit=time_gap_limit, ordered=ordered)
+    check_apart(spark, {"cleaned_dir": cleaned_dir}, {"output_dir": output_dir})
+    # Whole lists are one task's input each, so no key can be hot here.
+    hot = None if fmt == "json" else DEFAULT_HOT_THRESHOLD
+    n = generate_dataset(
+        spark, cleaned, output_dir, JobConfig(my_name="-", time_gap_limit=time_gap_limit, ordered=ordered, hot_threshold=hot)
     )
+    if fmt == "json" and dropped.get.get("n"):
+        log.warning("%d items without a timestamp were left out", dropped.get["n"])
+    return n
 
 
 def build_samples(
@@ -164,26 +197,24 @@ def build_samples(
     sender: str = "sender",
     text: str = "text",
     timestamp: str = "timestamp",
+    counts_from: DataFrame | None = None,
 ) -> DataFrame:
     """Cleaned messages -> (user, assistant) pairs with ``sample`` struct.
 
     Normal conversations go through one shuffle on the key; conversations
     over ``hot_threshold`` messages go through the chunked scan.
+    ``counts_from`` is a cheaper frame with the same keys and no fewer rows
+    (the messages before cleaning), so that finding them cleans nothing.
     """
 
     def chain(rows: DataFrame, scan) -> DataFrame:
         blocks = U.merge_blocks(rows, key, order, sender, text, timestamp, scan=scan)
         return P.reply_pairs(blocks, key, time_gap_limit, gap_from, scan=scan)
 
-    pairs = by_hotness(messages, key, chain, hot_threshold, chunk_rows)
+    pairs = by_hotness(messages, key, chain, hot_threshold, chunk_rows, counts_from)
     return pairs.withColumn("sample", P.sample_record())
 
 
-def sample_counts(samples: DataFrame, key: Sequence[str] = U.EXPORT_KEY) -> DataFrame:
-    """Samples per conversation (the per-file counts a run reports)."""
-    return samples.groupBy(*key).agg(F.count(F.lit(1)).alias("n_samples"))
-
-
 def generate_dataset(spark: SparkSession, cleaned: DataFrame, output_dir: str, cfg: JobConfig | None = None) -> int:
     """Write the samples as JSONL (no de-duplication); returns the count.
 
@@ -212,6 +243,7 @@ def validate_jsonl(spark: SparkSession, source: str, output_dir: str) -> V.Valid
     per rejection reason (the audit log) in one job. Raises
     FileNotFoundError when ``source`` does not exist.
     """
+    check_apart(spark, {"source": source}, {"output_dir": output_dir})
     lines = J.read_lines(spark, source).drop("raw")
     classified = V.classify_lines(lines, ["file", "block", "row_id"], materialize=True)
     out = V.output_value(classified)
@@ -230,12 +262,15 @@ def split_jsonl(
 ) -> tuple[int, int]:
     """Seeded exact split of a JSONL source into train and val folders.
 
-    The order key hashes the line text, so the split follows content, not
-    file layout; equal lines are told apart by their position.
+    The order key hashes the line text and, for equal lines, its occurrence
+    number, so the split follows content, not file layout, and each copy of
+    a line falls on its own. Raises before writing when a target is, holds
+    or lies under the source.
     """
     S.check_fraction(val_fraction)
+    check_apart(spark, {"source": source}, {"train_dir": train_dir, "val_dir": val_dir})
     lines = J.read_lines(spark, source)
-    res = S.split(lines, "line", "row_id", val_fraction, seed)
+    res = S.split_lines(lines, "line", ["file", "block", "row_id"], val_fraction, seed)
     # Lines are written as read (only blank lines are dropped).
     J.write_lines(res.val, "raw", val_dir)
     J.write_lines(res.train, "raw", train_dir)
@@ -251,6 +286,9 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
     status: ``<output_dir>/status=VALID`` is the data set.
     """
     start = time.time()
+    outputs = cfg.need("raw_dir", "cleaned_dir", "quarantine_dir", "samples_dir", "output_dir")
+    outputs |= cfg.need("train_dir", "val_dir") if cfg.train_dir or cfg.val_dir else {}
+    check_apart(spark, {**cfg.need("inbox_dir"), "secrets_path": cfg.secrets_path}, outputs)
     result = JobResult()
     cleaned, result.conversations_processed, result.quarantined_files = clean_exports(spark, cfg)
     samples = build_samples(
@@ -289,6 +327,10 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
     result.valid_samples = counts.valid
     result.duplicates_removed = counts.duplicates
     result.malformed_removed = counts.malformed
+    if cfg.train_dir:
+        data = os.path.join(cfg.output_dir, "status=VALID")
+        if J.path_exists(spark, data):
+            result.train_lines, result.val_lines = split_jsonl(spark, data, cfg.train_dir, cfg.val_dir, cfg.val_fraction, cfg.seed)
     result.elapsed_seconds = max(time.time() - start, 1e-9)
     result.paths = {
         "dataset": os.path.join(cfg.output_dir, "status=VALID"),

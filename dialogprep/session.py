@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -63,8 +62,9 @@ def get_spark(
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    ``spark.checkpoint.dir`` is read from the session. Only when it is unset
-    (local tests) do we make a scratch folder of our own.
+    ``spark.checkpoint.dir`` is read from the session. Where it is unset a
+    local master (tests) gets a scratch folder of its own; a cluster, whose
+    executors would each write to their own disk, is refused.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -74,7 +74,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="dialogprep-ckpt-")
-        os.makedirs(configured, exist_ok=True)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -8,11 +8,14 @@ pruning and predicate pushdown for the next step.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dialogprep.functions.records import parse_strict
 from dialogprep.operators.turns import parse_epoch_ms
-from dialogprep.sources.jsonl import path_exists
+from dialogprep.sources.listing import readable_copies, resolve, without_row
 
 CLEANED_COLUMNS = ["conversation", "conversation_name", "file_name", "pos", "sender", "text", "timestamp"]
 
@@ -25,48 +28,94 @@ def read_cleaned(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_cleaned_lists(spark: SparkSession, folder: str, keep_dropped: bool = False) -> DataFrame:
-    """A folder of ``*.json`` files, each a JSON list of
-    ``{sender, text, timestamp}`` objects (not recursive).
-
-    A file that is not valid JSON or whose root is not a list is skipped, as
-    are items that are not objects or have no ``timestamp`` key. Columns:
-    ``conversation`` and ``file_name`` (the file name), ``pos``, ``sender``, ``text`` (string form
-    of any JSON value), ``timestamp`` (BIGINT, NULL when not a number).
-    Each file is read whole, so it is one task input. With ``keep_dropped``
-    the items without a timestamp are kept too, flagged by ``has_timestamp``
-    (so a caller can count what the filter drops in the same pass).
+# Larger JSON texts than this are not parsed (Spark's VARIANT limit).
+MAX_JSON_BYTES = 128 * 1024 * 1024
+
+
+@dataclass
+class CleanedScan:
+    """Items of cleaned lists, and the files that gave none (path, reason)."""
+
+    items: DataFrame
+    quarantine: DataFrame
+
+
+def parse_cleaned(value: Column) -> Column:
+    """``array<variant>`` of a text that is one JSON list, else NULL."""
+    return F.try_variant_get(parse_strict(value), "$", "array<variant>")
+
+
+def item_columns(item: Column) -> dict[str, Column]:
+    """``has_timestamp, sender, text, timestamp`` of one list item.
+
+    ``has_timestamp``: the item is an object with a ``timestamp`` that is not
+    null; ``timestamp`` is NULL where that is no number. ``text`` is the
+    string form of any JSON value.
     """
-    schema = "conversation string, file_name string, pos int, sender string, text string, timestamp bigint"
-    if keep_dropped:
-        schema = "has_timestamp boolean, " + schema
-    if not path_exists(spark, folder):
-        return spark.createDataFrame([], schema)
-    files = spark.read.option("pathGlobFilter", "*.json").text(folder, wholetext=True)
-    parsed = files.select(
-        F.regexp_extract(F.col("_metadata.file_path"), r"([^/]*)$", 1).alias("conversation"),
-        F.try_variant_get(F.try_parse_json("value"), "$", "array<variant>").alias("items"),
-    )
-    items = parsed.select("conversation", F.posexplode("items").alias("pos", "m"))
-    has_ts = F.try_variant_get("m", "$.timestamp", "variant").isNotNull() & F.schema_of_variant("m").startswith(
-        "OBJECT<"
-    )
-    text_v = F.try_variant_get("m", "$.text", "variant")
-    text = F.when(F.schema_of_variant(text_v) == "STRING", F.try_variant_get(text_v, "$", "string")).when(
-        text_v.isNotNull() & (F.schema_of_variant(text_v) != "VOID"), F.to_json(text_v)
-    )
-    name = F.url_decode(F.replace("conversation", F.lit("+"), F.lit("%2B")))
-    if keep_dropped:
-        items = items.withColumn("has_timestamp", F.coalesce(has_ts, F.lit(False)))
-    else:
-        items = items.where(has_ts)
-    extra = ["has_timestamp"] if keep_dropped else []
-    return items.select(
-        *extra,
-        name.alias("conversation"),
-        name.alias("file_name"),
-        "pos",
-        F.try_variant_get("m", "$.sender", "string").alias("sender"),
-        text.alias("text"),
-        parse_epoch_ms(F.try_variant_get("m", "$.timestamp", "string")).alias("timestamp"),
+    kind = F.schema_of_variant(item)
+    stamp = F.try_variant_get(item, "$.timestamp", "variant")
+    text = F.try_variant_get(item, "$.text", "variant")
+    text_kind = F.schema_of_variant(text)
+    return {
+        "has_timestamp": F.coalesce(kind.startswith("OBJECT<") & stamp.isNotNull(), F.lit(False)),
+        "sender": F.try_variant_get(item, "$.sender", "string"),
+        "text": F.when(text_kind == "STRING", F.try_variant_get(text, "$", "string")).when(
+            text.isNotNull() & (text_kind != "VOID"), F.to_json(text)
+        ),
+        "timestamp": parse_epoch_ms(F.try_variant_get(item, "$.timestamp", "string")),
+    }
+
+
+def scan_cleaned_lists(spark: SparkSession, folder: str) -> CleanedScan:
+    """A folder of ``*.json`` files (not recursive, hidden names included),
+    each a JSON list of ``{sender, text, timestamp}`` objects.
+
+    Items: ``conversation`` and ``file_name`` (the file name), ``pos`` and
+    the columns of :func:`item_columns`. Files that are empty, too large,
+    no single JSON value or no list go to ``quarantine``. Each file is read
+    whole, so it is one task input.
+    """
+    fs, root = resolve(spark, folder)
+    schema = "conversation string, file_name string, pos int, has_timestamp boolean, sender string, text string, timestamp bigint"
+    nothing = spark.createDataFrame([], "path string, reason string")
+    if not fs.exists(root):
+        return CleanedScan(spark.createDataFrame([], schema), nothing)
+    reader = spark.read.option("pathGlobFilter", "*.json")
+    scan = reader.text(root.toString(), wholetext=True)
+    files = scan.select(_name().alias("name"), "value")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    hidden = [s.getPath().toString() for s in fs.globStatus(path(root, "[_.]*.json")) or [] if s.isFile()]
+    if hidden:
+        copies = reader.text(readable_copies(spark, hidden), wholetext=True)
+        # a copy is named "visible" and the name of its file
+        files = files.union(copies.select(F.substring(_name(), len("visible") + 1, 4096), "value"))
+    parsed = files.select("name", F.octet_length("value").alias("size"), parse_cleaned(F.col("value")).alias("items"))
+    reason = F.when(F.col("size") == 0, "EMPTY_FILE").when(F.col("size") > MAX_JSON_BYTES, "TOO_LARGE").otherwise("NO_JSON_LIST")
+    empty = without_row(spark, scan, scan.select(_decoded(F.col("_metadata.file_path"))))
+    empty = empty.select(F.regexp_extract("path", r"([^/]*)$", 1).alias("path"), "reason")
+    bad = parsed.where("items is null").select(F.col("name").alias("path"), reason.alias("reason"))
+    items = parsed.select("name", F.posexplode("items").alias("pos", "m"))
+    items = items.select(
+        F.col("name").alias("conversation"), F.col("name").alias("file_name"), "pos",
+        *[v.alias(k) for k, v in item_columns(F.col("m")).items()],
     )
+    return CleanedScan(items, bad.union(empty).distinct())
+
+
+def read_cleaned_lists(spark: SparkSession, folder: str, keep_dropped: bool = False) -> DataFrame:
+    """The items of :func:`scan_cleaned_lists`.
+
+    Items without a timestamp are left out, unless ``keep_dropped``;
+    ``has_timestamp`` tells them apart.
+    """
+    items = scan_cleaned_lists(spark, folder).items
+    return items if keep_dropped else items.where("has_timestamp")
+
+
+def _decoded(path: Column) -> Column:
+    """Paths are percent-encoded, and '+' must survive decoding."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
+def _name() -> Column:
+    return _decoded(F.regexp_extract(F.col("_metadata.file_path"), r"([^/]*)$", 1))

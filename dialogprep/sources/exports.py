@@ -6,8 +6,8 @@ directory holding at least one ``message_*.json`` is a conversation; its
 files are concatenated in file-name order.
 
 Spark's file listing skips names that start with ``_`` or ``.`` -- and user
-names can start that way -- so such directories directly under the inbox are
-passed to the reader explicitly. The reader runs on the executors; files are
+names can start that way -- so such directories, at any level of the inbox,
+are passed to the reader explicitly. The reader runs on the executors; files are
 not splittable (multi-line JSON) but each is one small task input.
 """
 
@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dialogprep.sources.listing import hidden_folders, resolve, without_row
+
 MESSAGE_GLOB = "message_*.json"
 
 EXPORT_SCHEMA = T.StructType(
@@ -55,33 +57,26 @@ class ExportScan:
     files: DataFrame | None = None
 
 
-def _fs_and_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs, hpath
-
-
 def input_paths(spark: SparkSession, inbox: str) -> tuple[list[str], str] | None:
     """Paths to hand the reader, and the inbox's own path part.
 
     The root itself (read recursively; Spark lists sub-folders in parallel)
-    plus its hidden children, which the recursive listing would skip.
+    plus the hidden folders below it, which the recursive listing would skip.
     Returns None when the inbox does not exist.
     """
-    fs, root = _fs_and_path(spark, inbox)
+    fs, root = resolve(spark, inbox)
     if not fs.exists(root):
         return None
-    qualified = fs.makeQualified(root)
-    paths = [qualified.toString()]
-    # Only the hidden children come back to Python (a glob evaluated by the
-    # file system client), not one gateway call per conversation folder.
-    jvm = spark.sparkContext._jvm
-    hidden = fs.globStatus(jvm.org.apache.hadoop.fs.Path(qualified, "[_.]*")) or []
-    for status in hidden:
-        if status.isDirectory():
-            paths.append(status.getPath().toString())
-    return paths, qualified.toUri().getPath().rstrip("/")
+    return [root.toString(), *hidden_folders(spark, inbox)], root.toUri().getPath().rstrip("/")
+
+
+def empty_files(spark: SparkSession, paths: list[str], parsed: DataFrame, glob: str = MESSAGE_GLOB) -> DataFrame:
+    """``path, reason`` of listed files that gave no row at all.
+
+    Spark reads no file without bytes. ``parsed`` is the parse of each file;
+    the names come from the listing that the driver holds for the scan.
+    """
+    return without_row(spark, export_reader(spark, glob=glob).json(paths), parsed.select("path"))
 
 
 def _empty(spark: SparkSession) -> ExportScan:
@@ -116,7 +111,9 @@ def read_exports(spark: SparkSession, inbox: str, glob: str = MESSAGE_GLOB) -> E
     if found is None:
         return _empty(spark)
     paths, root = found
-    return split_files(parse_files(export_reader(spark, glob=glob).json(paths)), root)
+    scan = split_files(parse_files(export_reader(spark, glob=glob).json(paths)), root)
+    scan.quarantine = scan.quarantine.union(empty_files(spark, paths, scan.files, glob))
+    return scan
 
 
 def parse_files(df: DataFrame) -> DataFrame:

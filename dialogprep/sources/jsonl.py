@@ -6,12 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dialogprep.functions.text import py_strip
+from dialogprep.sources.listing import is_hidden, path_exists, readable_copies, resolve
 
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
+__all__ = ["path_exists", "read_lines", "to_json_line", "write_lines"]
 
 
 def read_lines(spark: SparkSession, path: str, keep_blank: bool = False) -> DataFrame:
@@ -22,8 +19,11 @@ def read_lines(spark: SparkSession, path: str, keep_blank: bool = False) -> Data
     ``row_id`` (increasing within a split, unique per line). Ordering by
     ``(file, block, row_id)`` is the file order.
     """
-    if not path_exists(spark, path):
+    fs, source = resolve(spark, path)
+    if not fs.exists(source):
         raise FileNotFoundError(f"Source '{path}' not found.")
+    if is_hidden(source.getName()) and fs.getFileStatus(source).isFile():
+        path = readable_copies(spark, [path])[0]
     df = spark.read.text(path).select(
         F.col("value"),
         F.col("_metadata.file_path").alias("file"),

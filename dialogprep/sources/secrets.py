@@ -11,22 +11,27 @@ import logging
 
 from pyspark.sql import SparkSession
 
+from dialogprep.sources.listing import path_exists, read_small_text
+
 log = logging.getLogger(__name__)
 
 
-def parse_secrets(raw_text: str) -> list[tuple[str, str]]:
+def parse_secrets(raw_text: str, strict: bool = False) -> list[tuple[str, str]]:
     """Ordered (lower-cased phrase, token) pairs; blank phrases dropped.
 
     Phrases equal after lower-casing keep the first position and the last
-    token. Anything but a JSON object of strings gives an empty list.
+    token. Anything but a JSON object gives an empty list, or raises
+    ValueError when ``strict``.
     """
     try:
         raw = json.loads(raw_text)
+        problem = None if isinstance(raw, dict) else "it is not a JSON object"
     except ValueError as exc:
-        log.warning("could not parse secrets file: %s", exc)
-        return []
-    if not isinstance(raw, dict):
-        log.warning("secrets file is not a JSON object")
+        problem = str(exc)
+    if problem:
+        if strict:
+            raise ValueError(f"secrets file can't be used: {problem}")
+        log.warning("secrets file can't be used: %s", problem)
         return []
     mapping: dict[str, str] = {}
     for phrase, token in raw.items():
@@ -36,7 +41,10 @@ def parse_secrets(raw_text: str) -> list[tuple[str, str]]:
 
 
 def load_secrets(path: str | None, spark: SparkSession | None = None) -> list[tuple[str, str]]:
-    """Read a secrets file; a missing or malformed file gives an empty list.
+    """Read a secrets file; a missing file gives an empty list.
+
+    A file that exists but holds no JSON object raises: going on without its
+    phrases would let them through unredacted.
 
     With a session the path is resolved like any Spark path (a path without
     a scheme means the cluster's default file system); without one it is a
@@ -47,13 +55,8 @@ def load_secrets(path: str | None, spark: SparkSession | None = None) -> list[tu
     if spark is None:
         try:
             with open(path, encoding="utf-8") as fh:
-                return parse_secrets(fh.read())
+                text = fh.read()
         except OSError:
             return []
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hpath):
-        return []
-    rows = spark.read.text(path, wholetext=True).collect()  # one small config file
-    return parse_secrets(rows[0][0] if rows else "")
+        return parse_secrets(text, strict=True)
+    return parse_secrets(read_small_text(spark, path), strict=True) if path_exists(spark, path) else []

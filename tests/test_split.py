@@ -1,7 +1,5 @@
 """Exact seeded split: counts, seeds, argument checks, selection path."""
 
-import json
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,64 +8,67 @@ from dialogprep.operators import split as S
 from dialogprep.plans import job
 
 
-def write_jsonl(path, n, blank=False):
-    with open(path, "w", encoding="utf-8") as f:
-        for i in range(n):
-            f.write(json.dumps({"id": i}) + "\n")
-            if blank:
-                f.write("\n")
-
-
-def read_ids(spark, path):
-    return sorted(json.loads(v)["id"] for v in spark.read.text(path).toPandas()["value"])
+def cut(spark, folder, lines, fraction, seed, name=""):
+    """Split these lines; sorted train and val lines as written."""
+    source = folder / f"source{name}.jsonl"
+    source.write_text("\n".join(lines), encoding="utf-8")
+    targets = [str(folder / f"{side}{name}") for side in ("train", "val")]
+    sizes = job.split_jsonl(spark, str(source), *targets, fraction, seed)
+    sides = [sorted(r.value for r in spark.read.text(t).collect()) for t in targets]
+    assert sizes == tuple(map(len, sides))
+    return sides
 
 
-def test_basic_counts(spark, tmp_path):
-    write_jsonl(tmp_path / "src.jsonl", 100)
-    train, val = job.split_jsonl(spark, str(tmp_path / "src.jsonl"), str(tmp_path / "t"), str(tmp_path / "v"), 0.1, 7)
-    assert (train, val) == (90, 10)
-    ids_t, ids_v = read_ids(spark, str(tmp_path / "t")), read_ids(spark, str(tmp_path / "v"))
-    assert sorted(ids_t + ids_v) == list(range(100))
+@pytest.mark.parametrize(("n", "fraction", "k"), [(1, 0.01, 1), (7, 0.3, 2), (61, 0.5, 30), (130, 0.999, 129)])
+def test_sizes_and_rows(spark, tmp_path, n, fraction, k):
+    lines = [f'["line {i}", {i % 3}]' for i in range(n)]
+    train, val = cut(spark, tmp_path, [x for line in lines for x in (line, "", " \t")], fraction, n)
+    assert len(val) == k and sorted(train + val) == sorted(lines)
 
 
-def test_no_lines_lost(spark, tmp_path):
-    write_jsonl(tmp_path / "src.jsonl", 200)
-    train, val = job.split_jsonl(spark, str(tmp_path / "src.jsonl"), str(tmp_path / "t"), str(tmp_path / "v"), 0.2, 1)
-    assert train + val == 200 and val == 40
+def test_seed_decides_and_layout_does_not(spark, tmp_path):
+    lines = [f"{i:03d}" for i in range(90)]
+    same = cut(spark, tmp_path, lines, 0.2, 11, "a")
+    assert same == cut(spark, tmp_path, lines[::-1], 0.2, 11, "b")
+    assert same != cut(spark, tmp_path, lines, 0.2, 12, "c")
 
 
-def test_at_least_one_val_line(spark, tmp_path):
-    write_jsonl(tmp_path / "src.jsonl", 5)
-    _, val = job.split_jsonl(spark, str(tmp_path / "src.jsonl"), str(tmp_path / "t"), str(tmp_path / "v"), 0.05, 3)
-    assert val == 1
+def test_empty_source(spark, tmp_path):
+    assert cut(spark, tmp_path, ["", " "], 0.5, 1) == [[], []]
 
 
-def test_blank_lines_ignored(spark, tmp_path):
-    write_jsonl(tmp_path / "src.jsonl", 10, blank=True)
-    train, val = job.split_jsonl(spark, str(tmp_path / "src.jsonl"), str(tmp_path / "t"), str(tmp_path / "v"), 0.1, 3)
-    assert train + val == 10
+def test_copies_of_a_line_fall_one_by_one(spark, tmp_path):
+    lines = ["copy"] * 300 + [f"own {i}" for i in range(300)]
+    shares = []
+    for seed in range(4):
+        train, val = cut(spark, tmp_path, lines, 0.2, seed, str(seed))
+        assert len(val) == 120 and sorted(train + val) == sorted(lines)
+        shares.append(val.count("copy"))
+    # 60 expected; beyond 6 standard deviations (of about 5) either way is a fault
+    assert all(30 < x < 90 for x in shares) and len(set(shares)) > 1
 
 
-def test_seed_reproducible_and_sensitive(spark, tmp_path):
-    write_jsonl(tmp_path / "src.jsonl", 100)
-    src = str(tmp_path / "src.jsonl")
-    job.split_jsonl(spark, src, str(tmp_path / "t1"), str(tmp_path / "v1"), 0.1, 42)
-    job.split_jsonl(spark, src, str(tmp_path / "t2"), str(tmp_path / "v2"), 0.1, 42)
-    job.split_jsonl(spark, src, str(tmp_path / "t3"), str(tmp_path / "v3"), 0.1, 99)
-    v1, v2, v3 = (read_ids(spark, str(tmp_path / f"v{i}")) for i in (1, 2, 3))
-    assert v1 == v2 and v1 != v3
+def test_copies_without_broadcast_and_as_hot_lines(spark, monkeypatch):
+    df = spark.createDataFrame([(i, f"t{i % 7}" if i % 3 else f"u{i}") for i in range(200)], "i long, t string").repartition(5)
+    res = S.split_lines(df, "t", ["i"], 0.25, 3)
+    plain = sorted(r.i for r in res.val.collect())
+    assert len(plain) == res.k == 50 and res.train.count() == 150
+    again = S.split_lines(df.repartition(2), "t", ["i"], 0.25, 3, max_broadcast=0)
+    assert sorted(r.i for r in again.val.collect()) == plain
+    assert sorted(plain + [r.i for r in again.train.collect()]) == list(range(200))
 
 
-@pytest.mark.parametrize("fraction", [0, 1.0, 1.5, -0.1])
-def test_bad_fraction(spark, tmp_path, fraction):
-    write_jsonl(tmp_path / "src.jsonl", 10)
+@pytest.mark.parametrize("share", [0, 1, 1.25, -3, float("nan")])
+def test_bad_fraction(spark, share):
     with pytest.raises(ValueError):
-        job.split_jsonl(spark, str(tmp_path / "src.jsonl"), str(tmp_path / "t"), str(tmp_path / "v"), fraction)
+        S.split_lines(spark.range(3), "id", ["id"], share)
 
 
-def test_missing_source(spark, tmp_path):
+def test_missing_and_hidden_source(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
-        job.split_jsonl(spark, str(tmp_path / "none.jsonl"), str(tmp_path / "t"), str(tmp_path / "v"))
+        job.split_jsonl(spark, str(tmp_path / "gone"), str(tmp_path / "a"), str(tmp_path / "b"))
+    (tmp_path / "_s.jsonl").write_text("x\ny\n")
+    assert job.split_jsonl(spark, str(tmp_path / "_s.jsonl"), str(tmp_path / "t"), str(tmp_path / "v"), 0.5, 1) == (1, 1)
 
 
 def test_radix_selection_equals_sorting(spark, monkeypatch):
