@@ -50,8 +50,16 @@ def mark_first(
 
 
 def first_wins(df: DataFrame, fp: str, order: Sequence[str]) -> DataFrame:
-    """Rows that are the first of their fingerprint."""
-    return mark_first(df, fp, order, "_dp_keep").where("_dp_keep").drop("_dp_keep")
+    """Rows that are the first of their fingerprint.
+
+    Survivors only, so one aggregation does: a map task sends one row per
+    fingerprint, and neither a join nor a second look at the input is needed.
+    Rows of a NULL ``fp`` are groups of their own.
+    """
+    place = F.struct(*[F.col(c) for c in order])
+    group = F.struct(F.col(fp).alias("v"), F.when(F.col(fp).isNull(), place).alias("o"))
+    row = F.min_by(F.struct(*[F.col(c) for c in df.columns]), place)
+    return df.groupBy(group.alias("_dp_g")).agg(row.alias("_dp_row")).select("_dp_row.*")
 
 
 def duplicates(df: DataFrame, fp: str, order: Sequence[str]) -> DataFrame:

@@ -100,6 +100,20 @@ def counts_from(obs: Observation) -> ValidationCounts:
     )
 
 
+def count_statuses(lines: DataFrame, line: str = "line") -> DataFrame:
+    """One row per status with its count, straight from the lines.
+
+    Lines are parsed once; of the records that share a fingerprint all but
+    one are duplicates, whichever comes first, so no order is needed.
+    """
+    routed = R.route_lines(lines, line).select("status", R.fingerprint_key("fp").alias("fp_key"))
+    groups = routed.groupBy("status", "fp_key").agg(F.count(F.lit(1)).alias("c"))
+    valid = F.col("status") == R.VALID
+    kept = F.struct(F.col("status"), F.when(valid & F.col("fp_key").isNotNull(), 1).otherwise(F.col("c")).cast("bigint").alias("n"))
+    repeated = F.struct(F.lit(R.DUPLICATE).alias("status"), F.when(valid & F.col("fp_key").isNotNull(), F.col("c") - 1).otherwise(0).cast("bigint").alias("n"))
+    return groups.select(F.inline(F.array(kept, repeated))).groupBy("status").agg(F.sum("n").alias("n")).where("n > 0")
+
+
 def status_counts(classified: DataFrame) -> DataFrame:
     """One row per status with its count."""
     return classified.groupBy("status").agg(F.count(F.lit(1)).alias("n"))

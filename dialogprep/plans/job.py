@@ -102,7 +102,7 @@ def clean_exports(spark: SparkSession, cfg: JobConfig) -> tuple[DataFrame, int,
         # the slowest part to read, and the messages, the quarantine and the
         # counts are all derived from it.
         paths, root = found
-        files = E.parse_files(E.export_reader(spark, glob=cfg.message_glob).json(paths))
+        files = E.parse_files(E.export_reader(spark, glob=cfg.message_glob).text(paths))
         files.write.mode("overwrite").parquet(cfg.raw_dir)
         scan = E.split_files(spark.read.parquet(cfg.raw_dir), root)
         raw, quarantine = scan.messages, scan.quarantine.union(E.empty_files(spark, paths, scan.files, cfg.message_glob))

@@ -25,6 +25,7 @@ from dialogprep.operators import split as S
 from dialogprep.operators import turns as U
 from dialogprep.operators.layout import filter_once, keep_nonnull, spread
 from dialogprep.operators.sequence import by_hotness, ordered_scan
+from dialogprep.plans import source_queries as X
 from dialogprep.plans.job import build_samples
 
 # Parameters of the checks (not behaviour): extra noise phrases and secret
@@ -185,7 +186,9 @@ def q_clean_turns(spark, sf_dir):
 
 def q_conv_samples(spark, sf_dir):
     msgs = conversation_messages(spark, sf_dir)
-    pairs = build_samples(msgs, ["conv_id"], ["timestamp", "turn"])
+    # hot conversations are found in the table itself, before any cleaning
+    raw = _t(spark, sf_dir, "conversations").select("conv_id")
+    pairs = build_samples(msgs, ["conv_id"], ["timestamp", "turn"], counts_from=raw)
     return pairs.select("conv_id", "block", "user", "assistant")
 
 
@@ -212,7 +215,9 @@ def _doc_marks(spark, sf_dir):
 
 
 def q_dedup_first(spark, sf_dir):
-    return _doc_marks(spark, sf_dir).where("is_first").select("doc_id")
+    docs = _t(spark, sf_dir, "documents", spread_rows=True)
+    keyed = docs.select("doc_id", R.fingerprint_key("text").alias("fp_key"))
+    return D.first_wins(keyed, "fp_key", ["doc_id"]).select("doc_id")
 
 
 def q_dedup_removed(spark, sf_dir):
@@ -258,10 +263,9 @@ def q_structural_check(spark, sf_dir):
 
 
 def q_validation_counts(spark, sf_dir):
-    from dialogprep.operators.validate import classify_lines, status_counts
+    from dialogprep.operators.validate import count_statuses
 
-    classified = classify_lines(record_lines(spark, sf_dir), ["event_id"])
-    return status_counts(classified)
+    return count_statuses(record_lines(spark, sf_dir))
 
 
 def q_doc_records(spark, sf_dir):
@@ -296,21 +300,19 @@ def q_split_train(spark, sf_dir):
 
 
 def q_dataset_counts(spark, sf_dir):
-    """Per user: messages, blocks and samples, from one ordered pass."""
+    """Per user: messages in blocks, blocks and samples, from one pass."""
     msgs = event_messages(spark, sf_dir)
-    per_user = msgs.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_messages"))
 
     def chain(rows, scan):
         blocks = U.merge_blocks(rows, EVENT_KEY, EVENT_ORDER, timestamp="ts_ms", scan=scan)
         marked = P.mark_pairs(blocks, EVENT_KEY, scan=scan)
         return marked.groupBy("user_id").agg(
-            F.count(F.lit(1)).alias("n_blocks"), F.count_if("is_pair").alias("n_samples")
+            F.sum("n_messages").alias("n_messages"),
+            F.count(F.lit(1)).alias("n_blocks"),
+            F.count_if("is_pair").alias("n_samples"),
         )
 
-    per_block = by_hotness(msgs, EVENT_KEY, chain)
-    return per_user.join(per_block, "user_id", "left").select(
-        "user_id", "n_messages", "n_blocks", F.coalesce("n_samples", F.lit(0)).cast("bigint").alias("n_samples")
-    )
+    return by_hotness(msgs, EVENT_KEY, chain)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -341,6 +343,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "split_val": q_split_val,
     "split_train": q_split_train,
     "dataset_counts": q_dataset_counts,
+    **X.QUERIES,
 }
 
 
@@ -636,4 +639,5 @@ ORACLE_SQL: dict[str, str] = {
       SELECT nm.user_id, n_messages, n_blocks, coalesce(n_samples, 0) AS n_samples
       FROM nm LEFT JOIN nb USING (user_id) LEFT JOIN np USING (user_id)
     """,
+    **X.ORACLE_SQL,
 }

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,7 +76,7 @@ def empty_files(spark: SparkSession, paths: list[str], parsed: DataFrame, glob:
     Spark reads no file without bytes. ``parsed`` is the parse of each file;
     the names come from the listing that the driver holds for the scan.
     """
-    return without_row(spark, export_reader(spark, glob=glob).json(paths), parsed.select("path"))
+    return without_row(spark, export_reader(spark, glob=glob).text(paths), parsed.select("path"))
 
 
 def _empty(spark: SparkSession) -> ExportScan:
@@ -86,16 +86,16 @@ def _empty(spark: SparkSession) -> ExportScan:
 
 
 def export_reader(spark: SparkSession, streaming: bool = False, glob: str = MESSAGE_GLOB):
-    """The JSON reader for export files (batch or stream), schema fixed."""
+    """The reader of export files, each a row of whole text (batch or
+    stream); :func:`parse_files` turns them into messages."""
     reader = spark.readStream if streaming else spark.read
-    return (
-        reader.schema(EXPORT_SCHEMA)
-        .option("multiLine", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt_record")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", glob)
-    )
+    return reader.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", glob)
+
+
+def parse_export(text: Column) -> Column:
+    """One export file's text as ``EXPORT_SCHEMA``; ``messages`` is NULL and
+    ``_corrupt_record`` set where it is no such JSON object."""
+    return F.from_json(text, EXPORT_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
 
 
 def read_exports(spark: SparkSession, inbox: str, glob: str = MESSAGE_GLOB) -> ExportScan:
@@ -111,7 +111,7 @@ def read_exports(spark: SparkSession, inbox: str, glob: str = MESSAGE_GLOB) -> E
     if found is None:
         return _empty(spark)
     paths, root = found
-    scan = split_files(parse_files(export_reader(spark, glob=glob).json(paths)), root)
+    scan = split_files(parse_files(export_reader(spark, glob=glob).text(paths)), root)
     scan.quarantine = scan.quarantine.union(empty_files(spark, paths, scan.files, glob))
     return scan
 
@@ -120,10 +120,9 @@ def parse_files(df: DataFrame) -> DataFrame:
     """Parsed export files -> ``path`` (decoded), ``messages``, ``corrupt``."""
     # _metadata.file_path is a percent-encoded URI; '+' must survive decoding.
     path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    # A corrupt file has NULL messages; testing both also keeps Spark from
-    # refusing a query that reads only the corrupt-record column.
-    corrupt = F.col("_corrupt_record").isNotNull() & F.col("messages").isNull()
-    return df.select(path.alias("path"), "messages", corrupt.alias("corrupt"))
+    parsed = df.select(path.alias("path"), parse_export(F.col("value")).alias("f"))
+    corrupt = F.col("f._corrupt_record").isNotNull() & F.col("f.messages").isNull()
+    return parsed.select("path", "f.messages", corrupt.alias("corrupt"))
 
 
 def split_files(files: DataFrame, root: str) -> ExportScan:

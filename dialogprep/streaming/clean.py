@@ -57,7 +57,7 @@ def clean_stream(
     # Every child is a root of its own, and so is every hidden folder below:
     # Spark skips names that start with "_" or "." beneath a root.
     hidden = ",".join("*/" * level + "[_.]*" for level in range(1, HIDDEN_LEVELS))
-    files = export_reader(spark, streaming=True).json(f"{root.toString().rstrip('/')}/{{*,{hidden}}}")
+    files = export_reader(spark, streaming=True).text(f"{root.toString().rstrip('/')}/{{*,{hidden}}}")
     scan = split_files(parse_files(files), root.toUri().getPath().rstrip("/"))
     cleaned = clean_messages(scan.messages, my_name, secrets, extra_noise, min_length, max_length)
 
