@@ -101,3 +101,16 @@ def test_merge_turns_chunked_equals_window(spark, msgs):
     assert rows(U.merge_turns(one, ["user_id"], EVENT_ORDER, scan=scan_window)) == rows(
         U.merge_turns(one, ["user_id"], EVENT_ORDER, scan=chunked(7))
     )
+
+
+def test_hot_keys_without_broadcast_over_a_shuffled_input(spark, msgs, monkeypatch):
+    import dialogprep.operators.sequence as Q
+
+    def chain(d, scan):
+        return U.merge_blocks(d, ["user_id"], EVENT_ORDER, timestamp="ts_ms", scan=scan)
+
+    want = rows(chain(msgs, scan_window))
+    monkeypatch.setattr(Q, "MAX_BROADCAST_HOT_KEYS", 0)
+    monkeypatch.setattr(Q, "SAMPLE_ROWS_PER_HOT_KEY", 30)  # the detection samples
+    moved = msgs.repartition(7).repartition(5, "event_id")
+    assert rows(by_hotness(moved, ["user_id"], chain, hot_threshold=60, chunk_rows=50)) == want

@@ -17,3 +17,26 @@ def test_checkpoint_dir_comes_from_the_session(spark):
     if configured:
         # Spark appends a per-application folder below the configured one.
         assert configured.rstrip("/").split(":")[-1] in path
+
+
+def test_a_cluster_needs_a_shared_checkpoint_folder():
+    import pytest
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(Session())
