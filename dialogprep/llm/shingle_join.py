@@ -57,33 +57,72 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class _Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh3_64_intdigest(word)
-        if len(self) >= 300_000:
-            self.clear()
-        self[word] = value
-        return value
+_SPACE = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
+_CODES = _mix(np.arange(1, 257, dtype=np.uint64) * _A)  # one 64-bit code per byte value
+_BLOCK = 1 << 18
 
 
 @lru_cache(maxsize=1)
-def _words() -> _Words:
-    return _Words()
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd base modulo 2^64, and of its inverse."""
+    base = int(_B) | 1
+    steps = np.full(_BLOCK, base, np.uint64), np.full(_BLOCK, pow(base, -1, 2**64), np.uint64)
+    for x in steps:
+        x[0] = 1
+    return np.multiply.accumulate(steps[0]), np.multiply.accumulate(steps[1])
+
+
+def _block_words(raw: bytes) -> np.ndarray:
+    """64-bit hashes of the words of up to ``_BLOCK`` bytes, all at once: the
+    polynomial of a word is a difference of running sums over the bytes."""
+    b = np.frombuffer(raw, np.uint8)
+    edge = np.diff(np.concatenate(([True], _SPACE[b], [True])).astype(np.int8))
+    start, end = np.nonzero(edge == -1)[0], np.nonzero(edge == 1)[0]
+    up, down = _powers()
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_CODES[b] * up[: len(b)])))
+    size = end - start
+    h = _mix((sums[end] - sums[start]) * down[start] + size.astype(np.uint64) * _A)
+    for k in np.nonzero(size > 64)[0]:  # a polynomial is no good hash of very long words
+        h[k] = xxhash.xxh3_64_intdigest(raw[start[k] : end[k]])
+    return h
+
+
+def word_hashes(text: str | None) -> np.ndarray:
+    """Hashes of the words of a whole text, A-Z lower-cased, in order."""
+    raw = (text or "").encode().lower()  # bytes.lower() changes A-Z only
+    if len(raw) <= _BLOCK:
+        return _block_words(raw) if raw else np.empty(0, np.uint64)
+    parts, begin = [], 0
+    while begin < len(raw):
+        end = begin + _BLOCK
+        if end < len(raw):
+            cut = max(raw.rfind(c, begin, end) for c in (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r"))
+            if cut <= begin:  # one word longer than a block: hashed by itself
+                word = raw[begin:].split(None, 1)[0]
+                if raw[begin] in b" \t\n\x0b\x0c\r":
+                    begin += 1
+                    continue
+                parts.append(np.array([xxhash.xxh3_64_intdigest(word)], np.uint64))
+                begin += len(word)
+                continue
+            end = cut
+        parts.append(_block_words(raw[begin:end]))
+        begin = end
+    return np.concatenate(parts)
 
 
 def shingles(text: str | None, k: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the ``k``-word shingles."""
-    words = (text or "").encode().lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    w = np.fromiter(map(_words().__getitem__, words), np.uint64, len(words))
+    w = word_hashes(text)
+    if not len(w):
+        return w
     k = min(k, len(w))
     n = len(w) - k + 1
     h = np.full(n, k, np.uint64)
-    with np.errstate(over="ignore"):
-        for j in range(k):
-            h = _mix(h * _A + w[j : j + n])
-    return np.unique(h)
+    for j in range(k):
+        h = _mix(h * _A + w[j : j + n])
+    h.sort()
+    return h[np.concatenate(([True], h[1:] != h[:-1]))]
 
 
 def set_key(u: np.ndarray) -> int:
@@ -135,15 +174,16 @@ def cell_keys(u: np.ndarray, band: int, cells: int) -> tuple[np.ndarray, np.ndar
     """Join keys of the non-empty cells, and the numbers of the empty ones."""
     at = ((u >> np.uint64(32)) * np.uint64(cells)) >> np.uint64(32)  # u is sorted, so is at
     heads = np.nonzero(np.concatenate(([True], at[1:] != at[:-1])))[0]
-    with np.errstate(over="ignore"):
-        parity = np.bitwise_xor.reduceat(_mix(u ^ _A), heads)
-        keys = _mix(parity + _mix((at[heads] + np.uint64(1)) * _A + np.uint64(band)))
-    return keys, np.setdiff1d(np.arange(cells, dtype=np.uint64), at[heads], assume_unique=True)
+    parity = np.bitwise_xor.reduceat(_mix(u ^ _A), heads)
+    own = at[heads]
+    keys = _mix(parity + _mix((own + np.uint64(1)) * _A + np.uint64(band)))
+    empty = np.ones(cells, bool)
+    empty[own.astype(np.int64)] = False
+    return keys, np.nonzero(empty)[0].astype(np.uint64)
 
 
 def _empty_keys(numbers: np.ndarray, band: int) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return _mix(_mix((numbers + np.uint64(1)) * _A + np.uint64(band)) ^ _C)
+    return _mix(_mix((numbers + np.uint64(1)) * _A + np.uint64(band)) ^ _C)
 
 
 def folded(u: np.ndarray) -> bytes:

@@ -98,3 +98,21 @@ def test_bands_cover_all_linked_sizes():
 def test_shingle_hashes_are_distinct():
     text = " ".join(f"w{i}" for i in range(5000))
     assert len(shingles(text, 3)) == 4998 and len(np.unique(shingles("a b", 3))) == 1
+
+
+def test_words_equal_the_pattern(monkeypatch):
+    from dialogprep.llm import shingle_join as J
+
+    texts = ["a b\tA\x0bb\nc\x0c\rd é É", "  lead", "trail  ", "x" * 5000 + " y", "w " * 400, "\x1c\x85 \xa0", "ab " * 30 + "q" * 300 + " r"]
+    for block in (1 << 18, 16):
+        monkeypatch.setattr(J, "_BLOCK", block)
+        J._powers.cache_clear()
+        names = {}
+        for t in texts:
+            low = "".join(c.lower() if "A" <= c <= "Z" else c for c in t)
+            words = re.findall(r"[^\x20\x09-\x0D]+", low)
+            got = J.word_hashes(t).tolist()
+            assert len(got) == len(words)
+            assert all(names.setdefault(w, h) == h for w, h in zip(words, got))
+        assert len(set(names.values())) == len(names)
+    J._powers.cache_clear()
