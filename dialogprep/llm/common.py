@@ -65,7 +65,16 @@ def ship_package(spark: SparkSession) -> None:
     sc._dialogprep_shipped = True
 
 
+# Rows of whole texts that a task holds at once.
+BATCH_ROWS = 1000
+
+
 def arrow_map(df: DataFrame, fn, schema) -> DataFrame:
-    """``df.mapInArrow`` with this package importable in the tasks."""
-    ship_package(df.sparkSession)
+    """``df.mapInArrow`` with this package importable in the tasks, and
+    batches of at most ``BATCH_ROWS`` rows: texts can be long."""
+    spark = df.sparkSession
+    ship_package(spark)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
     return df.mapInArrow(fn, schema)

@@ -41,6 +41,7 @@ from math import floor, log
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -226,7 +227,10 @@ def _tidy(key, node, size, flag):
     return key[new], node[new], size[new], flag[new]
 
 
-_CELLS = "bucket long, pairs binary, keys binary, nodes binary, sizes binary, flags binary"
+# Entries of cells in packed form: sorted keys, each with the place of its
+# node in the blob's own list of nodes and their sizes.
+_CELLS = "bucket long, pairs binary, keys binary, places binary, flags binary, nodes binary, sizes binary"
+_PACKED = (("keys", np.uint64), ("places", np.uint32), ("flags", np.int8), ("nodes", np.int64), ("sizes", np.int32))
 
 
 def _cell_blobs(docs: DataFrame, k: int, bands: Bands, n_buckets: int, group: int) -> DataFrame:
@@ -247,13 +251,16 @@ def _cell_blobs(docs: DataFrame, k: int, bands: Bands, n_buckets: int, group: in
         rows, begin = [], 0
         for end in ends.tolist():
             i = order[begin:end]
-            rows.append((int(bucket[i[0]]), b"", key[i].tobytes(), node[i].tobytes(), size[i].astype(np.int32).tobytes(), flag[i].tobytes()))
+            own, first, place = np.unique(node[i], return_index=True, return_inverse=True)
+            packed = (key[i], place.astype(np.uint32), np.packbits(flag[i]), own, size[i][first].astype(np.int32))
+            rows.append((int(bucket[i[0]]), b"", *(x.tobytes() for x in packed)))
             begin = end
         if len(pairs):
-            rows.append((int(pairs[0, 0] % n_buckets), pairs.tobytes(), b"", b"", b"", b""))
+            rows.append((int(pairs[0, 0] % n_buckets), pairs.tobytes(), *[b""] * len(_PACKED)))
+        names = ("pairs", *(c for c, _ in _PACKED))
         return pa.RecordBatch.from_pydict(
-            dict(zip(("bucket", "pairs", "keys", "nodes", "sizes", "flags"), map(list, zip(*rows)))),
-            schema=pa.schema([("bucket", pa.int64())] + [(c, pa.binary()) for c in ("pairs", "keys", "nodes", "sizes", "flags")]),
+            dict(zip(("bucket", *names), map(list, zip(*rows)))),
+            schema=pa.schema([("bucket", pa.int64())] + [(c, pa.binary()) for c in names]),
         )
 
     def cells(batches):
@@ -267,7 +274,7 @@ def _cell_blobs(docs: DataFrame, k: int, bands: Bands, n_buckets: int, group: in
                     node.append(np.full(len(keys), set_key(u), np.int64))
                     size.append(np.full(len(keys), len(u), np.int64))
                     held += len(keys)
-            if held > 2_000_000:
+            if held > 500_000:
                 yield emit(key, node, size)
                 key, node, size, held = [], [], [], 0
         if held:
@@ -279,14 +286,15 @@ def _cell_blobs(docs: DataFrame, k: int, bands: Bands, n_buckets: int, group: in
 def _candidates(blobs: DataFrame, bands: Bands, group: int) -> DataFrame:
     """``(kind, a, b)``: kind 0 a pair of nodes, kind 1 a large cell's key."""
 
-    def meet(held):
-        key, node, size, flag = (
-            np.concatenate([np.frombuffer(x, kind) for x in held[c]] or [np.empty(0, kind)])
-            for c, kind in (("keys", np.uint64), ("nodes", np.int64), ("sizes", np.int32), ("flags", np.int8))
-        )
-        key, node, size, flag = _tidy(key, node, size.astype(np.int64), flag)
+    def unpacked(row):
+        key, place, flag, node, size = (np.frombuffer(row[c], kind) for c, kind in _PACKED)
+        flag = np.unpackbits(flag.view(np.uint8), count=len(key)).astype(np.int8)
+        return key, node[place], size[place].astype(np.int64), flag
+
+    def meet(held, known):
+        empty = (np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int8))
+        key, node, size, flag = _tidy(*map(np.concatenate, zip(empty, *held)))
         pairs, large, heads = _pairs(key, node, size, bands.num, bands.den, group)
-        known = [np.frombuffer(x, np.int64).reshape(-1, 2) for x in held["pairs"]]
         pairs = np.unique(np.concatenate([pairs, *known]), axis=0)
         marked = np.unique(key[large | (flag > 0)]).view(np.int64)
         yield pa.RecordBatch.from_arrays(
@@ -299,24 +307,36 @@ def _candidates(blobs: DataFrame, bands: Bands, group: int) -> DataFrame:
         )
 
     def run(batches):
-        names = ("pairs", "keys", "nodes", "sizes", "flags")
-        at, held = None, {c: [] for c in names}
+        at, held, known = None, [], []
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if row[0] != at and at is not None:
-                    yield from meet(held)
-                    held = {c: [] for c in names}
-                at = row[0]
-                for c, x in zip(names, row[1:]):
-                    if x:
-                        held[c].append(x)
+            for row in batch.to_pylist():
+                if row["bucket"] != at and at is not None:
+                    yield from meet(held, known)
+                    held, known = [], []
+                at = row["bucket"]
+                if row["keys"]:
+                    held.append(unpacked(row))
+                if row["pairs"]:
+                    known.append(np.frombuffer(row["pairs"], np.int64).reshape(-1, 2))
         if at is not None:
-            yield from meet(held)
+            yield from meet(held, known)
 
     dealt = blobs.repartition("bucket").sortWithinPartitions("bucket")
     return arrow_map(dealt, run, "kind int, a long, b long")
 
 
+def _pressed(texts: DataFrame) -> DataFrame:
+    """``node, text`` with the text compressed: it moves once per chunk."""
+
+    def run(batches):
+        press = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            blobs = [press.compress((t or "").encode()) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(blobs, pa.binary())], names=["node", "text"])
+
+    return arrow_map(texts, run, "node long, text binary")
+
+
 def _verify(pairs: DataFrame, texts: DataFrame, k: int, bands: Bands, chunk: int = 32) -> DataFrame:
     """The pairs ``(a, b)`` whose texts' Jaccard reaches the threshold.
 
@@ -327,15 +347,16 @@ def _verify(pairs: DataFrame, texts: DataFrame, k: int, bands: Bands, chunk: int
     dealt = pairs.join(count, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("n")))
     first = dealt.select("a", "part", F.lit(0).alias("role"), F.col("a").alias("node")).distinct()
     rest = dealt.select("a", "part", F.lit(1).alias("role"), F.col("b").alias("node"))
-    rows = first.union(rest).join(texts, "node")
+    rows = first.union(rest).join(_pressed(texts), "node")
     dealt = rows.repartition("a", "part").sortWithinPartitions("a", "part", "role")
 
     def run(batches):
+        unpress = zstandard.ZstdDecompressor()
         at, own = None, []
         for batch in batches:
             left, right = [], []
             for a, part, role, node, text in zip(*(c.to_pylist() for c in batch.columns)):
-                u = shingles(text, k)
+                u = shingles(unpress.decompress(text).decode(), k)
                 if set_key(u) != node:
                     continue  # another row of the same doc_id
                 if (a, part) != at:
@@ -368,7 +389,7 @@ def _unreliable(docs: DataFrame, k: int, bands: Bands, large: DataFrame, max_bro
 
     def run(batches):
         for batch in batches:
-            out = []
+            rows, of = [np.empty(0, np.int64)], []  # keys of a node and band; what they share
             for text in batch.column(0).to_pylist():
                 u = shingles(text, k)
                 for band, count, slack in bands.of(len(u)) if len(u) else ():
@@ -378,14 +399,15 @@ def _unreliable(docs: DataFrame, k: int, bands: Bands, large: DataFrame, max_bro
                         keys = keys[_among(keys, known.value)]
                         if len(keys) + len(empty) <= slack:
                             continue
-                    node, bits = set_key(u), folded(u)
                     for is_empty, some in ((False, keys), (True, _empty_keys(empty, band).view(np.int64))):
-                        out += [(x, node, len(u), bits, band, slack - len(empty), is_empty) for x in some.tolist()]
-            cols = list(zip(*out)) or [[]] * 7
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.bool_()]
+                        rows.append(some)
+                        of.append((set_key(u), len(u), folded(u), band, slack - len(empty), is_empty, len(some)))
+            node, size, bits, band, room, is_empty, n = list(zip(*of)) or [[]] * 7
+            each = pa.array(np.repeat(np.arange(len(of)), np.array(n, np.int64)))
+            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.bool_())
+            shared = [pa.array(c, t).take(each) for c, t in zip((node, size, bits, band, room, is_empty), kinds)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(cols, kinds)],
-                names=["key", "node", "size", "bits", "band", "room", "is_empty"],
+                [pa.array(np.concatenate(rows)), *shared], names=["key", "node", "size", "bits", "band", "room", "is_empty"]
             )
 
     schema = "key long, node long, size long, bits binary, band long, room long, is_empty boolean"
