@@ -120,11 +120,12 @@ def leaf_budgets(totals: DataFrame, mix: Mix) -> DataFrame:
     is_open = F.least(*[F.col(f"w{i}") for i in range(1, len(keys) + 1)], F.lit(1)) > 0
     leaves = leaves.withColumn("cap", F.when(is_open, F.col("tokens") * mix.max_epochs).otherwise(0))
     budget = F.lit(mix.budget_tokens).cast("long") if mix.budget_tokens is not None else F.expr(f"sum(tokens) * {mix.percent} div 100")
-    parent = leaves.agg(F.least(budget, F.sum("cap")).cast("long").alias("room"))
+    whole = leaves.agg(F.least(budget, F.sum("cap")).cast("long")).first()[0] or 0  # the root's budget
+    parent = None
     for i in range(1, len(keys) + 1):
         nodes = leaves.groupBy(*keys[:i]).agg(F.sum("cap").alias("cap"), F.first(f"w{i}").alias("w"))
         if i == 1:
-            nodes = nodes.crossJoin(F.broadcast(parent))  # the root's one row
+            nodes = nodes.withColumn("room", F.lit(whole).cast("long"))
         else:
             nodes = nodes.join(parent, keys[: i - 1])
         parent = _shared(nodes, keys[: i - 1], keys[i - 1]).select(*keys[:i], F.col("budget").alias("room"))

@@ -310,6 +310,30 @@ SELECT v.vec_id, (SELECT count(*) FROM link WHERE link.s = v.vec_id) AS n_links,
 FROM v JOIN low ON low.s = v.vec_id
 """,
     "op7_url_filter": _URL_SQL,
+    "op9_ngram_jaccard": r"""
+WITH RECURSIVE word AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingle AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM word WHERE len(w) > 0)
+), size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id
+), pair AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id
+), link AS (
+  SELECT x, y FROM pair JOIN size p ON p.doc_id = x JOIN size q ON q.doc_id = y WHERE 100 * c >= 90 * (p.n + q.n - c)
+), both_ways AS (SELECT x, y FROM link UNION ALL SELECT y, x FROM link
+), reach AS (
+  SELECT doc_id AS s, doc_id AS t FROM documents
+  UNION
+  SELECT r.s, b.y FROM reach r JOIN both_ways b ON b.x = r.t
+)
+SELECT d.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(t) AS component_id
+FROM documents d LEFT JOIN size ON size.doc_id = d.doc_id JOIN reach ON reach.s = d.doc_id
+GROUP BY d.doc_id
+""",
     "op6_line_dedup": """
 WITH line AS (
   SELECT doc_id, n.i AS pos, t.l AS line,
