@@ -20,8 +20,9 @@ lie there, in the next one.
    cells are fewer than the cells it must share with any partner has been
    compared with all its partners in step 2. The other nodes are compared
    again within their unreliable cells, but only where a cell still holds
-   nodes of different components, with those of other components, and only
-   if folded bit sketches differ in no more than ``D`` bits. So no link
+   nodes of different components: first with one node of the cell's main
+   component, which joins most of what belongs together, then with all those
+   of other components whose folded bit sketches differ in at most ``D`` bits. So no link
    between different texts is lost, and groups of near copies, which one
    star connects, are never expanded into pairs.
 
@@ -438,7 +439,7 @@ def near_duplicates(
     k: int = 5,
     num: int = 80,
     den: int = 100,
-    group: int = 12,
+    group: int = 6,
     bucket_keys: int = 1_000_000,
     max_broadcast: int = 1_000_000,
 ) -> DataFrame:
@@ -486,12 +487,26 @@ def near_duplicates(
     parts = checkpointed(connected_components(links, "a", "b"))
 
     loose = checkpointed(_unreliable(docs, k, bands, large, max_broadcast))
-    placed = loose.join(parts.withColumnRenamed("id", "node"), "node", "left").withColumn(
-        "component", F.coalesce("component", "node")
-    )
-    placed = checkpointed(placed)
-    mixed = placed.groupBy("key").agg(F.min("component").alias("main"), F.max("component").alias("other")).where("main <> other")
-    placed = placed.join(mixed.select("key", "main"), "key")
+
+    def still_mixed(parts: DataFrame) -> DataFrame:
+        """Entries of the cells that hold nodes of several components."""
+        named = parts.withColumnRenamed("id", "node")
+        placed = checkpointed(loose.join(named, "node", "left").withColumn("component", F.coalesce("component", "node")))
+        mixed = placed.groupBy("key").agg(F.min("component").alias("main"), F.max("component").alias("other"))
+        return checkpointed(placed.join(mixed.where("main <> other").select("key", "main"), "key"))
+
+    # a first round that is linear in the cells: every node outside a cell's
+    # main component meets one node of it, another one in each cell
+    placed = still_mixed(parts)
+    one_of = placed.where("component = main").groupBy("key").agg(F.max_by("node", F.xxhash64("key", "node")).alias("rep"))
+    first = placed.where("component <> main").join(one_of, "key")
+    first = first.select(F.least("node", "rep").alias("a"), F.greatest("node", "rep").alias("b")).distinct()
+    first = checkpointed(first.join(pairs, ["a", "b"], "left_anti"))
+    if first.limit(1).count():
+        links = checkpointed(links.union(_verify(first, texts_of(both_ends(first)), k, bands)))
+        pairs = checkpointed(pairs.union(first))
+        parts = checkpointed(connected_components(links, "a", "b"))
+        placed = still_mixed(parts)
     x = placed.where("component <> main").select(*[F.col(c).alias(f"x_{c}") for c in ("key", "node", "size", "bits", "component", "main")])
     y = placed.select(*[F.col(c).alias(f"y_{c}") for c in ("key", "node", "size", "bits", "component")])
     room = F.floor(F.lit(den - num) * (F.col("x_size") + F.col("y_size")) / F.lit(den + num))
