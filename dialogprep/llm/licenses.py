@@ -92,7 +92,8 @@ def own_licenses(docs: DataFrame, key: str, templates, threshold: float) -> Data
     """``key, own_license, own_score`` of the documents with a notice."""
     idf, other = inverse_frequencies(docs, templates)
     vectors = unit_vectors(templates, idf)
-    has_needed = "(?i)" + "|".join(needed_terms(vectors, idf, threshold))
+    # as whole terms: "nc" or "mit" inside a word is none
+    has_needed = f"(?iu)(?<![a-z0-9])(?:{'|'.join(needed_terms(vectors, idf, threshold))})(?![a-z0-9])"
     spark = docs.sparkSession
     weights = F.broadcast(  # a row per term of a template
         spark.createDataFrame(
