@@ -1,15 +1,18 @@
 """License scan with directory inheritance (operator 4).
 
-Every line of every whole text is a possible notice. Lines and templates are
-sparse TF-IDF vectors; the document frequencies are counted over the whole
-corpus, for the terms of the templates (any other term weighs as one that no
-document has). A line takes the license of the template with the largest
-cosine if that reaches ``threshold``; a document takes its best line's.
-
-Few lines have to be scored: terms are set aside per template, rarest first,
+Every line of every whole text is a possible notice, and so is every group
+of up to ``GROUP`` lines in a row, the head (the first ``HEAD`` lines) and
+the text as a whole, for notices that are wrapped. These units and the
+templates are sparse TF-IDF vectors; the document frequencies are counted
+over the whole corpus, for all its terms. A unit takes the license of the
+template with the largest cosine if that reaches ``threshold``; a document
+takes its best unit's.
+
+Few units have to be scored: terms are set aside per template, rarest first,
 until what remains of the template's unit vector is shorter than the
-threshold. By Cauchy-Schwarz a line with none of the terms set aside can't
-reach it, so one pattern test passes over all other texts.
+threshold. By Cauchy-Schwarz a unit with none of the terms set aside can't
+reach it, so one pattern test passes over all other texts, and only groups
+around lines with such a term are formed.
 
 Licence files stand for their directory. A document without a notice of its
 own inherits from the nearest directory above it that has a licence file:
@@ -50,6 +53,8 @@ TEMPLATES = (
     ("MPL-2.0", "Subject to the terms of the Mozilla Public License, version 2.0"),
 )
 
+GROUP, HEAD = 5, 30  # lines
+
 
 def template_terms(templates) -> list[Counter]:
     return [Counter(re.findall("[a-z0-9]+", notice.lower())) for _, notice in templates]
@@ -60,13 +65,10 @@ def terms(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda x: x != "")
 
 
-def inverse_frequencies(docs: DataFrame, templates) -> tuple[dict[str, float], float]:
-    """``(idf of each template term, idf of any other term)``."""
-    vocabulary = sorted(set().union(*template_terms(templates)))
-    own = F.array_intersect(terms(F.col("text")), F.array(*[F.lit(t) for t in vocabulary]))
-    found = docs.select(F.explode(own).alias("term")).groupBy("term").count().collect()  # a row per template term at most
-    n, df = docs.count(), {r["term"]: r["count"] for r in found}
-    return {t: math.log((1 + n) / (1 + df.get(t, 0))) + 1 for t in vocabulary}, math.log(1 + n) + 1
+def document_frequencies(docs: DataFrame) -> DataFrame:
+    """``term, df`` of all terms: distinct per document, then partial sums."""
+    found = docs.select(F.explode(F.array_distinct(terms(F.col("text")))).alias("term"))
+    return found.groupBy("term").agg(F.count("*").alias("df"))
 
 
 def unit_vectors(templates, idf: dict[str, float]) -> list[dict[str, float]]:
@@ -78,7 +80,7 @@ def unit_vectors(templates, idf: dict[str, float]) -> list[dict[str, float]]:
 
 
 def needed_terms(vectors: list[dict[str, float]], idf: dict[str, float], threshold: float) -> list[str]:
-    """Terms of which a line must have one to reach the threshold."""
+    """Terms of which a unit must have one to reach the threshold."""
     needed: set[str] = set()
     for vector in vectors:
         for term in sorted(vector, key=lambda t: (-idf[t], t)):
@@ -88,9 +90,27 @@ def needed_terms(vectors: list[dict[str, float]], idf: dict[str, float], thresho
     return sorted(needed)
 
 
-def own_licenses(docs: DataFrame, key: str, templates, threshold: float) -> DataFrame:
+def units(text: Column, lines: Column, has_needed: str) -> Column:
+    """The lines with a needed term, the groups of up to ``GROUP`` lines with
+    such a line, the head and the whole, each text once. ``lines`` has to be
+    a plain column: lambdas evaluate what they use for each element."""
+    last = F.size(lines) - 1
+    hits = F.array_compact(F.transform(lines, lambda x, i: F.when(x.rlike(has_needed), i)))
+    spans = F.array_distinct(F.flatten(F.transform(hits, lambda i: F.array(*[
+        F.struct(F.greatest(i - before, F.lit(0)).alias("first"), F.least(i - before + size - 1, last).alias("last"))
+        for size in range(1, GROUP + 1) for before in range(size)
+    ]))))
+    groups = F.transform(spans, lambda x: F.array_join(F.slice(lines, x["first"] + 1, x["last"] - x["first"] + 1), "\n"))
+    return F.array_distinct(F.concat(groups, F.array(F.array_join(F.slice(lines, 1, HEAD), "\n"), text)))
+
+
+def own_licenses(docs: DataFrame, key: str, templates, threshold: float, max_broadcast: int) -> DataFrame:
     """``key, own_license, own_score`` of the documents with a notice."""
-    idf, other = inverse_frequencies(docs, templates)
+    n = docs.count()
+    df = checkpointed(document_frequencies(docs))
+    vocabulary = sorted(set().union(*template_terms(templates)))
+    found = {r["term"]: r["df"] for r in df.where(F.col("term").isin(vocabulary)).collect()}  # a row per template term at most
+    idf = {t: math.log((1 + n) / (1 + found.get(t, 0))) + 1 for t in vocabulary}
     vectors = unit_vectors(templates, idf)
     # as whole terms: "nc" or "mit" inside a word is none
     has_needed = f"(?iu)(?<![a-z0-9])(?:{'|'.join(needed_terms(vectors, idf, threshold))})(?![a-z0-9])"
@@ -101,19 +121,17 @@ def own_licenses(docs: DataFrame, key: str, templates, threshold: float) -> Data
             "term string, template int, license string, weight double",
         )
     )
-    known = F.broadcast(spark.createDataFrame(sorted(idf.items()), "term string, idf double"))
-    lines = docs.where(F.col("text").rlike(has_needed)).select(key, F.posexplode(F.split("text", "\n")).alias("line", "notice"))
+    texts = docs.where(F.col("text").rlike(has_needed)).withColumn("lines", F.split("text", "\n"))
     counts = (
-        lines.where(F.col("notice").rlike(has_needed))
-        .select(key, "line", F.explode(terms(F.col("notice"))).alias("term"))
-        .groupBy(key, "line", "term").agg(F.count("*").alias("tf"))
-    )
-    entries = checkpointed(
-        counts.join(known, "term", "left").select(key, "line", "term", (F.col("tf") * F.coalesce("idf", F.lit(other))).alias("x"))
+        texts.select(key, F.posexplode(units(F.col("text"), F.col("lines"), has_needed)).alias("unit", "notice"))
+        .select(key, "unit", F.explode(terms(F.col("notice"))).alias("term"))
+        .groupBy(key, "unit", "term").agg(F.count("*").alias("tf"))
     )
-    size = entries.groupBy(key, "line").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("size"))
-    dots = entries.join(weights, "term").groupBy(key, "line", "template", "license").agg(F.sum(F.col("x") * F.col("weight")).alias("dot"))
-    scored = dots.join(size, [key, "line"]).select(key, "license", F.round(F.col("dot") / F.col("size"), 6).alias("score"))
+    weighed = (F.col("tf") * (F.log(F.lit(1.0 + n) / (1 + F.col("df"))) + 1)).alias("x")
+    entries = checkpointed(counts.join(broadcast_if_small(df, max_broadcast), "term").select(key, "unit", "term", weighed))
+    size = entries.groupBy(key, "unit").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("size"))
+    dots = entries.join(weights, "term").groupBy(key, "unit", "template", "license").agg(F.sum(F.col("x") * F.col("weight")).alias("dot"))
+    scored = dots.join(size, [key, "unit"]).select(key, "license", F.round(F.col("dot") / F.col("size"), 6).alias("score"))
     best = scored.where(F.col("score") >= threshold).groupBy(key).agg(F.min(F.struct(-F.col("score"), "license")).alias("b"))
     return best.select(key, F.col("b.license").alias("own_license"), (-F.col("b.col1")).alias("own_score"))
 
@@ -143,7 +161,7 @@ def scan_licenses(
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.withColumn("path", F.coalesce(path.cast("string"), F.lit(""))).withColumn("text", text)
     rows = rows.withColumn("_row", F.md5("text")).drop("own_license", "own_score")
-    own = checkpointed(own_licenses(rows.select("_row", "text"), "_row", templates, threshold))
+    own = checkpointed(own_licenses(rows.select("_row", "text"), "_row", templates, threshold, max_broadcast))
     narrow = rows.join(broadcast_if_small(own, max_broadcast), "_row", "left").withColumn(
         "_file", F.col("own_license").isNotNull() & F.coalesce(is_licence_file, F.lit(False))
     )

@@ -83,3 +83,22 @@ def test_lines_without_needed_terms_cannot_reach_the_threshold():
     needed = set(needed_terms(vectors, idf, 0.7))
     for v in vectors:
         assert math.sqrt(sum(w * w for t, w in v.items() if t not in needed)) < 0.7
+
+
+def test_common_words_beside_a_notice_and_wrapped_notices(spark):
+    common = "then they went home again"
+    rows = [(i, f"d{i}/x", f"{common} {i}") for i in range(500)]
+    rows += [
+        (1000, "p/x", f"{common}. Released under the MIT License"),
+        (1001, "q/x", "code\nThis work is licensed\nunder the GNU General\nPublic License,\nversion 3\ncode"),
+        (1002, "r/x", "Permission is hereby granted,\nfree of charge, to any\nperson obtaining\na copy of\nthis\nsoftware"),
+    ]
+    got = {r[0]: r for r in map(tuple, run_plain_rows(spark, rows))}
+    assert [got[i][1] for i in (1000, 1001, 1002)] == ["MIT", "GPL-3.0", "MIT"]
+    assert got[1000][2] > 0.9 and got[1001][2] == 1.0 and got[1002][2] == 1.0
+    assert all(got[i][1] is None for i in range(500))
+
+
+def run_plain_rows(spark, rows):
+    df = spark.createDataFrame(rows, "doc_id long, p string, text string").repartition(3)
+    return scan_licenses(df, F.col("p"), F.lit(False)).select("doc_id", "own_license", "own_score").collect()
