@@ -111,21 +111,20 @@ def tokenised(docs: DataFrame, tokenizer_path: str, end_id: int, queue) -> DataF
     return arrow_map(cols, encode, "doc_id long, source string, queue string, n long, ahead long, ids binary")
 
 
-def cut_pieces(plan: Schedule, queues: np.ndarray, begin: np.ndarray, n: np.ndarray, window: int):
+def cut_pieces(position, q: int, begin: np.ndarray, n: np.ndarray, window: int):
     """Arrays ``(row, start, position, length)`` of the pieces of documents
-    that take ids ``begin .. begin + n`` of their queues (all ``n`` > 0)."""
-    q = plan.quantum
+    that take ids ``begin .. begin + n`` of their queues (all ``n`` > 0).
+
+    ``position(row, c)`` gives the global positions of quanta ``c`` of the
+    documents' queues; a quantum has ``q`` tokens.
+    """
     first, last = begin // q, (begin + n - 1) // q
     count = last - first + 1
     row = np.repeat(np.arange(len(n)), count)
     c = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) + first[row]
     lo = np.maximum(c * q, begin[row])
     size = np.minimum((c + 1) * q, begin[row] + n[row]) - lo
-    start, pos = lo - begin[row], np.zeros(len(row), dtype=plan.kind)
-    for s in np.unique(queues):
-        mine = queues[row] == s
-        pos[mine] = plan.position(int(s), c[mine])
-    pos = pos + (lo - c * q)
+    start, pos = lo - begin[row], position(row, c) + (lo - c * q)
     # cut where a quantum crosses the end of a window
     over = np.maximum((pos % window + size - window).astype(np.int64), 0)
     k = np.nonzero(over)[0]
@@ -140,6 +139,57 @@ def cut_pieces(plan: Schedule, queues: np.ndarray, begin: np.ndarray, n: np.ndar
     return row[heads], start[heads], pos[heads], np.add.reduceat(size, heads)
 
 
+def _running(df: DataFrame, length: str) -> DataFrame:
+    """``df`` with ``part`` and ``at``: the sum of ``length`` over the rows
+    before, in the order of partitions and of rows inside them."""
+    names = [*df.columns, "ahead"]
+    spot = names.index(length)
+
+    def run(batches):
+        done = 0
+        for batch in batches:
+            sizes = batch.column(spot).to_numpy(zero_copy_only=False)
+            upto = done + np.cumsum(sizes)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(upto - sizes, pa.int64())], names=names)
+            done = int(upto[-1]) if len(upto) else done
+
+    schema = ", ".join(f"{n} {t}" for n, t in df.dtypes)
+    inside = checkpointed(arrow_map(df, run, schema + ", ahead long")).withColumn("part", F.spark_partition_id())
+    order = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    sums = inside.groupBy("part").agg(F.sum(length).alias("n"))
+    base = sums.select("part", F.coalesce(F.sum("n").over(order), F.lit(0).cast("long")).alias("base"))
+    return inside.join(F.broadcast(base), "part").withColumn("at", F.col("base") + F.col("ahead")).drop("part", "base", "ahead")
+
+
+BLOCK = 4096  # quanta made from one row
+
+
+def sorted_quanta(totals: DataFrame, quantum: int, targets: dict[str, int] | None) -> DataFrame:
+    """``queue, c, at``: the global position of each quantum of the queues
+    in ``totals`` (``queue, n``), in the order of ``Schedule``."""
+    quanta = F.expr(f"(n + {quantum - 1}) div {quantum}")
+    totals = totals.select("queue", "n", quanta.alias("quanta"))
+    if targets:
+        known = totals.sparkSession.createDataFrame([(q, max(1, int(t))) for q, t in targets.items()], "queue string, target long")
+        totals = totals.join(known, "queue", "left").withColumn("target", F.coalesce("target", F.lit(1).cast("long")))
+    else:
+        totals = totals.withColumn("target", F.col("quanta"))
+    last = F.col("quanta") - 1
+    blocks = totals.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(quanta - 1) div {BLOCK}"))).alias("block"))
+    blocks = blocks.repartition("queue", "block")
+    first = F.col("block") * BLOCK
+    made = blocks.select("queue", "n", "target", F.explode(F.sequence(first, F.least(first + BLOCK - 1, last))).alias("c"))
+    # (2c + 1) / target in two exact steps: whole part, then the rest's share
+    due = 2 * F.col("c") + 1
+    made = made.select(
+        "queue", "c", F.least(F.lit(quantum), F.col("n") - F.col("c") * quantum).cast("long").alias("size"),
+        F.expr("(2 * c + 1) div target").alias("due"), ((due % F.col("target")) / F.col("target")).alias("rest"),
+    )
+    order = ["due", "rest", "queue", "c"]
+    dealt = made.repartitionByRange(*order).sortWithinPartitions(*order)
+    return _running(dealt, "size").select("queue", "c", "at")
+
+
 def pack(
     docs: DataFrame,
     tokenizer_path: str,
@@ -157,10 +207,8 @@ def pack(
     target is its number of quanta, so that all windows have the corpus's
     own proportions and all queues end together.
     """
-    spark = docs.sparkSession
-    n_sources = docs.select("source").distinct().count()
-    name = F.coalesce(F.col("source").cast("string"), F.lit(""))
-    queue = name if n_sources <= max_queues else F.concat(F.lit("#"), F.pmod(F.xxhash64(name), F.lit(max_queues)))
+    queue = F.coalesce(F.col("source").cast("string"), F.lit(""))
+    n_queues = docs.select(queue).distinct().count()
     ids = checkpointed(tokenised(docs, tokenizer_path, end_id, queue)).withColumn("part", F.spark_partition_id())
 
     # tokens per (queue, partition); a running sum of them gives each
@@ -170,19 +218,38 @@ def pack(
     base = checkpointed(
         sums.withColumn("base", F.coalesce(F.sum("n").over(ordered), F.lit(0).cast("long"))).drop("n")
     )
-    totals = sorted(tuple(r) for r in sums.groupBy("queue").agg(F.sum("n")).collect())  # one row per queue
-    tokens = [int(t) for _, t in totals]
-    shares = [max(1, int(targets.get(q, 1))) if targets else -(-t // quantum) for q, t in totals]
-    plan = Schedule(tokens, shares, quantum)
-    number = {q: i for i, (q, _) in enumerate(totals)}
+    totals = sums.groupBy("queue").agg(F.sum("n").alias("n"))
+    begin = (F.col("base") + F.col("ahead")).alias("begin")
+    if n_queues <= max_queues:
+        totals = sorted(tuple(r) for r in totals.collect())  # one row per queue
+        tokens = [int(t) for _, t in totals]
+        shares = [max(1, int(targets.get(q, 1))) if targets else -(-t // quantum) for q, t in totals]
+        plan = Schedule(tokens, shares, quantum)
+        number = {q: i for i, (q, _) in enumerate(totals)}
+    else:
+        plan = None
+
+    def positions(batch):
+        if plan is None:  # the documents' quanta come with them, in order
+            at = batch.column(6).flatten().to_numpy(zero_copy_only=False)
+            return lambda row, c: at
+        queues = np.array([number[x] for x in batch.column(2).to_pylist()], dtype=np.int64)
+
+        def of(row, c):
+            pos = np.zeros(len(row), dtype=plan.kind)
+            for s in np.unique(queues):
+                mine = queues[row] == s
+                pos[mine] = plan.position(int(s), c[mine])
+            return pos
+
+        return of
 
     def place(batches):
         unpack = zstandard.ZstdDecompressor()
         kind = encoder(tokenizer_path, False).kind
         for batch in batches:
             n, begin = (batch.column(i).to_numpy(zero_copy_only=False) for i in (3, 4))
-            queues = np.array([number[x] for x in batch.column(2).to_pylist()], dtype=np.int64)
-            row, start, pos, length = cut_pieces(plan, queues, begin, n, window)
+            row, start, pos, length = cut_pieces(positions(batch), quantum, begin, n, window)
             crcs, at, blobs = [], -1, batch.column(5)
             for r, s, m in zip(row.tolist(), start.tolist(), length.tolist()):
                 if r != at:
@@ -197,6 +264,14 @@ def pack(
                 names=[f.split()[0] for f in PIECES.split(", ")],
             )
 
-    placed = ids.join(broadcast_if_small(base, max_broadcast_rows), ["queue", "part"])
-    begin = (F.col("base") + F.col("ahead")).alias("begin")
-    return arrow_map(placed.select("doc_id", "source", "queue", "n", begin, "ids"), place, PIECES)
+    placed = ids.withColumn("row", F.monotonically_increasing_id()).join(broadcast_if_small(base, max_broadcast_rows), ["queue", "part"])
+    columns = ["doc_id", "source", "queue", "n", "begin", "ids"]
+    if plan is not None:
+        return arrow_map(placed.select("doc_id", "source", "queue", "n", begin, "ids"), place, PIECES)
+    placed = placed.select("row", "doc_id", "source", "queue", "n", begin, "ids")
+    needed = F.sequence(F.expr(f"begin div {quantum}"), F.expr(f"(begin + n - 1) div {quantum}"))
+    spans = (
+        placed.select("row", "queue", F.explode(needed).alias("c")).join(sorted_quanta(totals, quantum, targets), ["queue", "c"])
+        .groupBy("row").agg(F.sort_array(F.collect_list(F.struct("c", "at"))).getField("at").alias("at"))
+    )
+    return arrow_map(placed.join(spans, "row").select(*columns, "at"), place, PIECES)

@@ -140,3 +140,13 @@ def test_schedule_is_a_permutation_in_order_of_due_times():
             assert int(plan.position(s, np.array([c]))[0]) == at
             at += min(128, tokens[s] - c * 128)
         assert (plan.kind is object) == (kind > 1)
+
+
+def test_many_sources_keep_a_queue_each(spark, tok):
+    words = [(i, "some words of a text " * (1 + i * 7 % 90), f"host{i % 300}.org") for i in range(700)]
+    docs = spark.createDataFrame(words, "doc_id long, text string, source string").repartition(5).checkpoint()
+    for targets in (None, {f"host{i}.org": 1 + i % 5 for i in range(290)}):
+        few = sorted(map(tuple, pack(docs, PATH, targets=targets, max_queues=300).collect()))
+        many = pack(docs, PATH, targets=targets).collect()
+        assert sorted(map(tuple, many)) == few
+        check_pieces(many, [(i, t) for i, t, _ in words], tok)
