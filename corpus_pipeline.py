@@ -49,9 +49,9 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines found in ten documents go, but whole copies stay for the next
-    stage: a document that would lose over half of itself keeps its text."""
-    return _apart(docs, lambda d: _recounted(dedup_lines(d, min_docs=10, min_chars=1, max_loss=0.5)))
+    """Lines found in ten documents go from all of them. Documents of equal
+    sets of lines count as one, so whole copies stay for the next stage."""
+    return _apart(docs, lambda d: _recounted(dedup_lines(d, min_docs=10, min_chars=1, copies_once=True)))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

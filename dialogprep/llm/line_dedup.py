@@ -43,28 +43,72 @@ def _long_enough(key: bytes, min_chars: int) -> bool:
     return len(key) >= min_chars and (min_chars <= 1 or len(key.decode()) >= min_chars)
 
 
-def frequent_lines(docs: DataFrame, min_docs: int, min_chars: int) -> DataFrame:
-    """``(hash, n)`` of the normalised lines found in ``min_docs`` documents."""
+def _set_of(digests) -> bytes:
+    return hashlib.blake2b(b"".join(sorted(digests)), digest_size=16).digest()
+
+
+def _digests(text: str | None) -> dict[bytes, bytes]:
+    """The distinct normalised lines of a text with their hashes."""
+    return {k: _digest(k) for k in set(map(line_key, (text or "").encode().split(b"\n")))}
+
+
+def repeated_sets(docs: DataFrame) -> DataFrame:
+    """``set``: hashes of the sets of lines that several rows have."""
+
+    def sets(batches):
+        for batch in batches:
+            made = [_set_of(_digests(text).values()) for text in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], names=["set"])
+
+    found = arrow_map(docs.select(F.col("text").cast("string")), sets, "set binary")
+    return found.groupBy("set").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("set")
+
+
+def frequent_lines(docs: DataFrame, min_docs: int, min_chars: int, copies_once: bool = False, max_broadcast: int = 2_000_000) -> DataFrame:
+    """``(hash, n)`` of the normalised lines found in ``min_docs`` documents.
+
+    With ``copies_once`` rows of equal sets of lines count as one document.
+    Only sets that repeat travel with their lines, once a task; if they are
+    more than ``max_broadcast``, all sets do.
+    """
+    known = None
+    if copies_once:
+        repeated = checkpointed(repeated_sets(docs))
+        if repeated.count() <= max_broadcast:
+            known = docs.sparkSession.sparkContext.broadcast(frozenset(bytes(r.set) for r in repeated.toLocalIterator()))
 
     def hashes(batches):
         seen: Counter = Counter()
+        met: set = set()
 
         def flush():
             batch = pa.RecordBatch.from_arrays(
-                [pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["hash", "n"]
+                [pa.array([h for h, _ in seen], pa.binary()), pa.array([s for _, s in seen], pa.binary()),
+                 pa.array(list(seen.values()), pa.int64())], names=["hash", "set", "n"]
             )
             seen.clear()
             return batch
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                keys = set(map(line_key, (text or "").encode().split(b"\n")))
-                seen.update(_digest(k) for k in keys if _long_enough(k, min_chars))
+                keys, own = _digests(text), None
+                if copies_once:
+                    own = _set_of(keys.values())
+                    if known is not None and own not in known.value:
+                        own = None
+                    elif own in met:
+                        continue
+                    elif known is not None:
+                        met.add(own)
+                seen.update((h, own) for k, h in keys.items() if _long_enough(k, min_chars))
                 if len(seen) > 200_000:
                     yield flush()
         yield flush()
 
-    found = arrow_map(docs.select(F.col("text").cast("string")), hashes, "hash binary, n long")
+    found = arrow_map(docs.select(F.col("text").cast("string")), hashes, "hash binary, set binary, n long")
+    if copies_once:
+        found = found.groupBy("hash", "set").agg(F.sum("n").alias("n"))
+        found = found.withColumn("n", F.when(F.col("set").isNull(), F.col("n")).otherwise(1))
     return found.groupBy("hash").agg(F.sum("n").alias("n")).where(F.col("n") >= min_docs)
 
 
@@ -129,17 +173,19 @@ def _positions(docs: DataFrame, min_chars: int) -> DataFrame:
 
 
 def dedup_lines(
-    docs: DataFrame, min_docs: int = 10, min_chars: int = 1, max_loss: float = 1.0, max_broadcast: int = 2_000_000
+    docs: DataFrame, min_docs: int = 10, min_chars: int = 1, max_loss: float = 1.0, max_broadcast: int = 2_000_000,
+    copies_once: bool = False,
 ) -> DataFrame:
     """``docs`` with the remaining lines in ``text``, ``n_lines`` and
     ``n_dropped`` (clashing input columns of these names are replaced).
 
     A document that would lose more than the share ``max_loss`` of its bytes
-    keeps all its lines: below 1, whole copies of a document are left to
-    de-duplication of documents instead of being emptied everywhere.
+    keeps all its lines. With ``copies_once`` documents of equal sets of lines
+    count as one when a line's documents are counted, so whole copies are left
+    to de-duplication of documents instead of being emptied everywhere.
     """
     docs = docs.drop("n_lines", "n_dropped")
-    frequent = checkpointed(frequent_lines(docs, min_docs, min_chars))
+    frequent = checkpointed(frequent_lines(docs, min_docs, min_chars, copies_once, max_broadcast))
     if frequent.count() <= max_broadcast:
         spread = docs.sparkSession.sparkContext.broadcast(frozenset(bytes(r.hash) for r in frequent.select("hash").toLocalIterator()))
 

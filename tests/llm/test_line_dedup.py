@@ -48,6 +48,21 @@ def test_whole_copies_are_left_alone(spark):
         assert [got[i] for i in range(5)] == want
 
 
+def test_copies_count_once_and_shared_lines_go_everywhere(spark):
+    shared = "a long shared passage of boilerplate words"
+    texts = [f"{shared}\nown {i}" for i in range(12)] + ["copied one\nCopied two"] * 15 + ["copied two \ncopied one"] * 3 + ["copied one\nx"]
+    want = model(texts, 10)[:12] + texts[12:]
+    assert want[0] == "own 0"
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4).checkpoint()
+    for bound in (2_000_000, 0):
+        got = {r.doc_id: r.text for r in dedup_lines(df, 10, max_broadcast=bound, copies_once=True).collect()}
+        assert [got[i] for i in range(len(texts))] == want
+    import corpus_pipeline as C
+
+    docs = df.selectExpr("doc_id", "text", "'en' lang", "'s1' source", "1L n_chars")
+    assert {r.doc_id: r.text for r in C.line_dedup(spark, docs, "").collect()} == dict(enumerate(want))
+
+
 def test_empty_table_and_columns(spark):
     df = spark.createDataFrame([], "doc_id long, text string, lang string")
     out = dedup_lines(df)
