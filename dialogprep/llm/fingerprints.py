@@ -3,14 +3,12 @@
 A k-mer of the text's bytes is a closed syncmer when the smallest of its
 inner s-mers (by hash) is the first or the last one. That depends on the
 k-mer alone, so an edit moves no anchor outside the bytes it touches, and a
-text and its edited version have the same anchors wherever they agree. Of a
-text's anchors the ``size`` with the smallest hashes make its fingerprint,
-each with its byte position: equal texts have equal fingerprints, and the
-smallest hashes of two texts are a sample of both on the same terms.
+text and its edited version have the same anchors wherever they agree. All
+anchors of a text make its fingerprint, each hash with its first byte
+position, so a fingerprint grows with its text (some five bytes a byte).
 
-The likeness of two fingerprints is the Dice coefficient of their anchors up
-to the largest hash that both samples cover, counting only matches whose
-positions come in the same order in both.
+The likeness of two fingerprints is the Dice coefficient of their anchors,
+counting only matches whose positions come in the same order in both.
 
 Each document also meets the next one by ascending ``doc_id``. Documents are
 dealt by ranges of ids, sorted inside them, and read as a stream; the first
@@ -41,6 +39,7 @@ from dialogprep.llm.common import arrow_map
 S, K = 8, 16  # s-mers of 8 bytes fit one integer; a k-mer is two of them
 _B, _C = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _BLOCK = 1 << 20
+OUT_BYTES = 1 << 24  # of fingerprints that a task holds before it hands them on
 
 SCHEMA = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
@@ -69,46 +68,67 @@ def _block_syncmers(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return at, (_mix(h[at] * _C + h[at + K - S]) >> np.uint64(32)).astype(np.uint32)
 
 
-def anchors(raw: bytes, size: int) -> dict[int, int]:
-    """Hash -> first position of the ``size`` anchors of smallest hash."""
-    if not raw:
-        return {}
-    found: dict[int, int] = {}
-    for begin in range(0, max(1, len(raw) - K + 1), _BLOCK):
-        part = raw[begin : begin + _BLOCK + K - 1]  # blocks overlap by K - 1, so no k-mer is cut
-        if len(part) < K:
-            break
-        at, code = _block_syncmers(part)
-        code, first = np.unique(code, return_index=True)
-        for c, p in zip(code[:size].tolist(), at[first[:size]].tolist()):
-            found.setdefault(c, begin + p)
-        if begin:
-            found = dict(sorted(found.items())[:size])
-    return found or {xxhash.xxh32_intdigest(raw): 0}
+def _anchors(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """``(hashes in ascending order, first position of each)``."""
+    ats, codes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
+    for begin in range(0, len(raw) - K + 1, _BLOCK):
+        at, code = _block_syncmers(raw[begin : begin + _BLOCK + K - 1])  # blocks overlap by K - 1, so no k-mer is cut
+        ats.append(at + begin)
+        codes.append(code)
+    code, first = np.unique(np.concatenate(codes), return_index=True)
+    if raw and not len(code):
+        return np.array([xxhash.xxh32_intdigest(raw)], np.uint32), np.zeros(1, np.int64)
+    return code, np.concatenate(ats)[first]
+
+
+def _string(code: np.ndarray, at: np.ndarray) -> str:
+    return ".".join(map("%08x%x".__mod__, zip(code.tolist(), at.tolist())))
+
+
+def _rising(at: np.ndarray) -> int:
+    """Length of the longest run that rises, in steps or not."""
+    if (at[1:] > at[:-1]).all():
+        return len(at)
+    tails: list[int] = []
+    for p in at.tolist():
+        if not tails or p > tails[-1]:
+            tails.append(p)
+        else:
+            tails[bisect_left(tails, p)] = p
+    return len(tails)
+
+
+def _alike(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
+    if not len(a[0]) or not len(b[0]):
+        return float(len(a[0]) == len(b[0]))
+    _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
+    p, q = a[1][i], b[1][j]
+    return 2 * _rising(q[np.lexsort((q, p))]) / (len(a[0]) + len(b[0]))
+
+
+def _arrays(found: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    code = np.array(sorted(found), np.uint32)
+    return code, np.array([found[c] for c in code.tolist()], np.int64)
+
+
+def anchors(raw: bytes, size: int | None = None) -> dict[int, int]:
+    """Hash -> first position of all anchors. ``size`` cuts nothing; it is
+    there for callers from when it did."""
+    code, at = _anchors(raw)
+    return dict(zip(code.tolist(), at.tolist()))
 
 
 def to_string(found: dict[int, int]) -> str:
-    return ".".join(f"{c:08x}{p:x}" for c, p in sorted(found.items()))
+    return _string(*_arrays(found))
 
 
 def from_string(fingerprint: str) -> dict[int, int]:
     return {int(x[:8], 16): int(x[8:], 16) for x in fingerprint.split(".")} if fingerprint else {}
 
 
-def likeness(a: dict[int, int], b: dict[int, int], size: int) -> float:
-    """Share of anchors that match in order, 0 to 1."""
-    if a == b:
-        return 1.0
-    if not a or not b:
-        return 0.0
-    top = min(max(x) if len(x) >= size else 2**32 for x in (a, b))
-    both = sorted((p, b[c]) for c, p in a.items() if c <= top and c in b)
-    tails: list[int] = []  # of the longest runs whose positions rise in both
-    for _, p in both:
-        i = bisect_left(tails, p)
-        tails[i : i + 1] = [p]
-    total = sum(c <= top for c in a) + sum(c <= top for c in b)
-    return 2 * len(tails) / total if total else 0.0
+def likeness(a: dict[int, int], b: dict[int, int], size: int | None = None) -> float:
+    """Share of anchors that match in order, 0 to 1 (``size``: see ``anchors``)."""
+    return _alike(_arrays(a), _arrays(b))
 
 
 def edited(text: str, following: str) -> str:
@@ -150,7 +170,7 @@ def _dealt(docs: DataFrame, n_ranges: int) -> DataFrame:
     return rows.repartition("range").sortWithinPartitions("range", "ahead", F.col("doc_id").asc_nulls_first(), "text")
 
 
-def fingerprints(docs: DataFrame, size: int = 64) -> DataFrame:
+def fingerprints(docs: DataFrame) -> DataFrame:
     """One row per document: see ``SCHEMA``."""
     docs = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
@@ -160,27 +180,34 @@ def fingerprints(docs: DataFrame, size: int = 64) -> DataFrame:
     def judge(doc_id, text, own, following, ahead):
         changed = edited(text, following)
         raw = changed.encode()
-        new = own if changed == text else anchors(raw, size)
+        new = own if changed == text else _anchors(raw)
         return (
-            doc_id, len(text), hashlib.sha256(raw).hexdigest(), to_string(own), to_string(new),
-            likeness(own, new, size), likeness(own, ahead, size),
+            doc_id, len(text), hashlib.sha256(raw).hexdigest(), _string(*own), _string(*new),
+            _alike(own, new), _alike(own, ahead),
         )
 
+    def made(out):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(list(zip(*out)) or [[]] * 7, [pa.int64()] * 2 + [pa.string()] * 3 + [pa.float64()] * 2)],
+            names=[f.split()[0] for f in SCHEMA.split(", ")],
+        )
+
     def run(batches):
         held, done = None, None  # the row that waits for its next; the range that has met its next
         for batch in batches:
-            out = []
+            out, held_bytes = [], 0
             for where, ahead, doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
                 if where == done or (ahead and (held is None or held[0] != where)):
                     continue
-                found = anchors(text.encode(), size)
+                found = _anchors(text.encode())
                 if held is not None:
                     out.append(judge(*held[1:], text, found))
+                    held_bytes += len(out[-1][3]) + len(out[-1][4])
                 held = None if ahead else (where, doc_id, text, found)
                 done = where if ahead else None
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(list(zip(*out)) or [[]] * 7, [pa.int64()] * 2 + [pa.string()] * 3 + [pa.float64()] * 2)],
-                names=[f.split()[0] for f in SCHEMA.split(", ")],
-            )
+                if held_bytes > OUT_BYTES:
+                    yield made(out)
+                    out, held_bytes = [], 0
+            yield made(out)
 
     return arrow_map(_dealt(docs, 4 * width), run, SCHEMA)

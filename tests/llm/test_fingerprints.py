@@ -76,3 +76,18 @@ def test_likeness_of_strings():
     a = P.anchors(b"some words that are long enough to hold a number of anchors " * 3, 64)
     assert P.from_string(P.to_string(a)) == a and P.likeness(a, a, 64) == 1.0
     assert P.likeness(a, {}, 64) == 0.0 and P.likeness({}, {}, 64) == 1.0 and P.from_string("") == {}
+
+
+def test_long_texts_keep_all_anchors(spark):
+    rng = np.random.default_rng(3)
+    word = lambda: bytes(rng.integers(97, 123, 7, dtype=np.uint8)).decode()
+    first = [word() for _ in range(20_000)]
+    other = first[:9000] + [word() for _ in range(100)] + first[9100:]
+    passage = first[5000:5100] + [word() for _ in range(20_000)]
+    rows = list(enumerate(map(" ".join, (first, other, passage))))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in P.fingerprints(df).collect()}
+    assert 0.98 < got[0].near_next < 1.0 and got[0].fingerprint != got[1].fingerprint
+    assert 0.002 < got[1].near_next < 0.02  # a passage of 100 words is seen
+    assert set(P.from_string(got[0].fingerprint).values()) <= set(plain_positions(rows[0][1].encode()[:2000])) | set(range(1985, 160_000))
+    assert len(got[0].fingerprint.split(".")) > 30_000
