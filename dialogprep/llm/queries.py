@@ -13,6 +13,7 @@ from dialogprep.llm.licenses import TEMPLATES, scan_licenses
 from dialogprep.llm.line_dedup import dedup_lines
 from dialogprep.llm.mixing import Mix, mixed
 from dialogprep.llm.packing import pack
+from dialogprep.llm.periodic_runs import periodic_runs
 from dialogprep.llm.quality import quality
 from dialogprep.llm.shingle_join import near_duplicates
 from dialogprep.llm.token_counts import count_tokens
@@ -108,6 +109,42 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
 
 
+def with_tail_repeated(docs: DataFrame) -> DataFrame:
+    """The contract's edit: by a checksum of the id, every tenth document's
+    words from a place on become repetitions of the words found there."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10).cast("long")
+
+    def repeated(w):
+        n = F.size(w)
+        a = F.pmod(g, n).cast("int")
+        rest = n - a
+        p = (F.floor(rest / (F.lit(3) + F.pmod(g, F.lit(8)))) + 1).cast("int")
+        tail = F.flatten(F.array_repeat(F.slice(w, a + 1, p), F.ceil(rest / p).cast("int")))
+        return F.when(n > 0, F.array_join(F.concat(F.slice(w, F.lit(1), a), F.slice(tail, F.lit(1), rest)), " "))
+
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    edited = F.transform(F.array(words), repeated)[0]
+    return docs.select("doc_id", F.when(F.pmod(h, F.lit(10)) == 0, edited).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(with_tail_repeated(table(spark, sf_dir, "documents")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    ended = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.col2")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.col3")).alias("period"),
+        F.floor(F.col("best.length") * 1000 / -F.col("best.col3")).cast("long").alias("exponent_milli"),
+        F.sha2(ended, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_source_mixing": op1_source_mixing,
     "op4_license_scan": op4_license_scan,
@@ -119,6 +156,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_fingerprints": op10_fingerprints,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 def _share_sql(depth: int) -> str:
