@@ -65,16 +65,20 @@ def ship_package(spark: SparkSession) -> None:
     sc._dialogprep_shipped = True
 
 
-# Rows of whole texts that a task holds at once.
+# Rows of whole texts, and bytes of them, that a task holds at once.
 BATCH_ROWS = 1000
+BATCH_BYTES = 8 << 20
 
 
 def arrow_map(df: DataFrame, fn, schema) -> DataFrame:
     """``df.mapInArrow`` with this package importable in the tasks, and
-    batches of at most ``BATCH_ROWS`` rows: texts can be long."""
+    batches of at most ``BATCH_ROWS`` rows and some ``BATCH_BYTES`` bytes:
+    texts can be long. Smaller limits of the session stay."""
     spark = df.sparkSession
     ship_package(spark)
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
-        spark.conf.set(key, str(BATCH_ROWS))
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{key}"
+        now = spark.conf.get(key).lower().removesuffix("b")
+        if now.lstrip("-").isdigit() and not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
     return df.mapInArrow(fn, schema)

@@ -16,10 +16,12 @@ from dialogprep.llm.packing import pack
 from dialogprep.llm.periodic_runs import periodic_runs
 from dialogprep.llm.quality import quality
 from dialogprep.llm.shingle_join import near_duplicates
+from dialogprep.llm.token_align import token_alignment
 from dialogprep.llm.token_counts import count_tokens
 from dialogprep.llm.url_filter import judge_urls
 
 TOKENIZER = "byte_bpe_50k.json"
+OTHER_TOKENIZER = "piece_bpe_32k.model"
 
 
 DOMAINS = ("web", "books", "code", "forum")
@@ -145,6 +147,11 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path_a, path_b = public_tokenizers.path(TOKENIZER), public_tokenizers.path(OTHER_TOKENIZER)
+    return token_alignment(table(spark, sf_dir, "documents"), path_a, path_b)
+
+
 QUERIES = {
     "op1_source_mixing": op1_source_mixing,
     "op4_license_scan": op4_license_scan,
@@ -157,6 +164,7 @@ QUERIES = {
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_fingerprints": op10_fingerprints,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 def _share_sql(depth: int) -> str:
