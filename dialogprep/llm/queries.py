@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from dialogprep.llm.common import table
 from dialogprep.llm.embed_dedup import near_vectors
 from dialogprep.llm.fingerprints import fingerprints
+from dialogprep.llm.language_crf import language_ids
 from dialogprep.llm.licenses import TEMPLATES, scan_licenses
 from dialogprep.llm.line_dedup import dedup_lines
 from dialogprep.llm.mixing import Mix, mixed
@@ -111,6 +112,10 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_ids(table(spark, sf_dir, "documents"))
+
+
 def with_tail_repeated(docs: DataFrame) -> DataFrame:
     """The contract's edit: by a checksum of the id, every tenth document's
     words from a place on become repetitions of the words found there."""
@@ -163,6 +168,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_fingerprints": op10_fingerprints,
+    "op11_language_id": op11_language_id,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_token_alignment": op13_token_alignment,
 }
