@@ -41,6 +41,8 @@ class SplitResult:
     n: int
     k: int
     seed: int
+    # all rows once, with ``side`` ('train' or 'val'); for a single write
+    sides: DataFrame | None = None
     # whether a row of this key, with the smallest tie, is in val
     decides: Callable[[Column], Column] | None = None
 
@@ -177,7 +179,7 @@ def split_lines(
     chosen = split(keyed, "_dp_key", "_dp_tie", val_fraction, seed)
     if chosen.k == 0:
         nothing = df.where(F.lit(False))
-        return SplitResult(train=nothing, val=nothing, n=chosen.n, k=0, seed=seed)
+        return SplitResult(train=nothing, val=nothing, n=chosen.n, k=0, seed=seed, sides=nothing.withColumn("side", F.lit("train")))
     repeated = (
         chosen.val.where("_dp_n > 1").groupBy("_dp_line").agg(F.count(F.lit(1)).alias("_dp_in"))
         .join(counts.where("_dp_n > 1"), "_dp_line", "right").checkpoint(eager=True)
@@ -195,5 +197,6 @@ def split_lines(
     every = decided.unionByName(mixed)
     extra = ["_dp_line", "_dp_n", "_dp_in", "_dp_val"]
     return SplitResult(
-        train=every.where(~F.col("_dp_val")).drop(*extra), val=every.where("_dp_val").drop(*extra), n=chosen.n, k=chosen.k, seed=seed
+        train=every.where(~F.col("_dp_val")).drop(*extra), val=every.where("_dp_val").drop(*extra), n=chosen.n, k=chosen.k, seed=seed,
+        sides=every.withColumn("side", F.when(F.col("_dp_val"), "val").otherwise("train")).drop(*extra),
     )

@@ -58,6 +58,12 @@ def _unreadable_time(timestamp: str) -> Column:
     return F.col(timestamp).isNotNull() & parse_epoch_ms(F.col(timestamp)).isNull()
 
 
+def with_bad_times(files: DataFrame) -> DataFrame:
+    """Of parsed export files, those with a message whose timestamp is no
+    number: the array is searched, not exploded."""
+    return files.where(F.exists("messages", lambda m: m["timestamp_ms"].isNotNull() & parse_epoch_ms(m["timestamp_ms"]).isNull()))
+
+
 def rejected_messages(raw: DataFrame, timestamp: str = "timestamp_ms") -> DataFrame:
     """``path, reason`` of raw export messages that can't be ordered: their
     timestamp is present but no number. The path ends in ``#<position>``."""

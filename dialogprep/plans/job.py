@@ -28,6 +28,8 @@ from dialogprep.sources import cleaned as C
 from dialogprep.sources import exports as E
 from dialogprep.sources import jsonl as J
 from dialogprep.sources.listing import check_apart
+from dialogprep.sources.ordered import write_ordered
+from dialogprep.sources.publish import Publication
 from dialogprep.sources.secrets import load_secrets
 
 log = logging.getLogger(__name__)
@@ -87,13 +89,26 @@ def clean_exports(spark: SparkSession, cfg: JobConfig) -> tuple[DataFrame, int,
     """Exports -> parsed files (Parquet) -> cleaned messages (Parquet).
 
     Returns the cleaned frame read back, the number of conversations with at
-    least one raw message, and the number of unreadable files.
+    least one raw message, and the number of unreadable files. The three
+    outputs are published together.
     """
-    T.check_name(cfg.my_name)
     outputs = cfg.need("raw_dir", "cleaned_dir", "quarantine_dir")
+    secrets = _checked(spark, cfg, outputs)
+    with Publication(spark, outputs) as out:
+        _, conversations, quarantined = _clean(spark, cfg, secrets, out)
+    return C.read_cleaned(spark, cfg.cleaned_dir), conversations, quarantined
+
+
+def _checked(spark: SparkSession, cfg: JobConfig, outputs: dict[str, str]) -> list[tuple[str, str]]:
+    """What can be wrong before anything is written; returns the secrets."""
+    T.check_name(cfg.my_name)
     check_apart(spark, {**cfg.need("inbox_dir"), "secrets_path": cfg.secrets_path}, outputs)
-    secrets = load_secrets(cfg.secrets_path, spark)
+    return load_secrets(cfg.secrets_path, spark)
+
+
+def _clean(spark: SparkSession, cfg: JobConfig, secrets: list[tuple[str, str]], out: Publication) -> tuple[DataFrame, int, int]:
     found = E.input_paths(spark, cfg.inbox_dir)
+    conversations = 0
     if found is None:
         raw = E.read_exports(spark, cfg.inbox_dir).messages  # empty
         quarantine = spark.createDataFrame([], "path string, reason string")
@@ -103,24 +118,29 @@ def clean_exports(spark: SparkSession, cfg: JobConfig) -> tuple[DataFrame, int,
         # counts are all derived from it.
         paths, root = found
         files = E.parse_files(E.export_reader(spark, glob=cfg.message_glob).text(paths))
-        files.write.mode("overwrite").parquet(cfg.raw_dir)
-        scan = E.split_files(spark.read.parquet(cfg.raw_dir), root)
-        raw, quarantine = scan.messages, scan.quarantine.union(E.empty_files(spark, paths, scan.files, cfg.message_glob))
-        quarantine = quarantine.unionByName(U.rejected_messages(raw))
-    quarantine.write.mode("overwrite").json(cfg.quarantine_dir)
-    quarantined = spark.read.schema("path string, reason string").json(cfg.quarantine_dir).count()
-    conversations = conversation_count(raw)
+        files, landing = _count_obs(files)
+        files.write.mode("overwrite").parquet(out.path("raw_dir"))
+        n_files = int(landing.get.get("n", 0) or 0)
+        landed = spark.read.parquet(out.path("raw_dir"))
+        scan = E.split_files(landed, root)
+        conversations = conversation_count(landed)
+        raw, quarantine = scan.messages, scan.quarantine.union(E.empty_files(spark, paths, landed, n_files, cfg.message_glob))
+        quarantine = quarantine.unionByName(U.rejected_messages(E.split_files(U.with_bad_times(landed), root).messages))
+    observed, obs = _count_obs(quarantine)
+    observed.write.mode("overwrite").json(out.path("quarantine_dir"))
     cleaned = U.clean_messages(
         raw, cfg.my_name, secrets, cfg.extra_noise, cfg.min_length, cfg.max_length,
         repair_sender=cfg.repair_sender,
     )
-    C.write_cleaned(cleaned, cfg.cleaned_dir)
-    return C.read_cleaned(spark, cfg.cleaned_dir), int(conversations or 0), int(quarantined)
+    C.write_cleaned(cleaned, out.path("cleaned_dir"))
+    return C.read_cleaned(spark, out.path("cleaned_dir")), conversations, int(obs.get.get("n", 0) or 0)
 
 
-def conversation_count(raw: DataFrame) -> int:
-    """Conversations with at least one raw message."""
-    return raw.agg(F.count_distinct("conversation").alias("n")).first()["n"] or 0
+def conversation_count(files: DataFrame) -> int:
+    """Conversations (folders) with at least one raw message, from the rows
+    of the parsed files: no message is exploded."""
+    folder = F.regexp_extract("path", r"^(.*)/[^/]*$", 1)
+    return files.where(F.size("messages") > 0).agg(F.count_distinct(folder).alias("n")).first()["n"] or 0
 
 
 def clean_inbox(
@@ -160,27 +180,26 @@ def generate_from_cleaned(
     of per-conversation JSON lists, whose unusable files are listed in
     ``quarantine_dir`` where it is given. A missing folder gives 0.
     """
+    if fmt not in ("parquet", "json"):
+        raise ValueError("fmt must be 'parquet' or 'json'")
     if not J.path_exists(spark, cleaned_dir):
         return 0
-    if fmt == "parquet":
-        cleaned = C.read_cleaned(spark, cleaned_dir)
-    elif fmt == "json":
-        scan = C.scan_cleaned_lists(spark, cleaned_dir)
-        if quarantine_dir:
-            check_apart(spark, {"cleaned_dir": cleaned_dir}, {"output_dir": output_dir, "quarantine_dir": quarantine_dir})
-            scan.quarantine.write.mode("overwrite").json(quarantine_dir)
-        # The count comes with the write that reads the items: files are
-        # parsed once.
-        dropped = Observation("dropped")
-        cleaned = scan.items.observe(dropped, F.count_if(~F.col("has_timestamp")).alias("n")).where("has_timestamp")
-    else:
-        raise ValueError("fmt must be 'parquet' or 'json'")
-    check_apart(spark, {"cleaned_dir": cleaned_dir}, {"output_dir": output_dir})
-    # Whole lists are one task's input each, so no key can be hot here.
-    hot = None if fmt == "json" else DEFAULT_HOT_THRESHOLD
-    n = generate_dataset(
-        spark, cleaned, output_dir, JobConfig(my_name="-", time_gap_limit=time_gap_limit, ordered=ordered, hot_threshold=hot)
-    )
+    outputs = {"output_dir": output_dir, "quarantine_dir": quarantine_dir if fmt == "json" else None}
+    check_apart(spark, {"cleaned_dir": cleaned_dir}, outputs)
+    cfg = JobConfig(my_name="-", time_gap_limit=time_gap_limit, ordered=ordered)
+    with Publication(spark, outputs) as out:
+        if fmt == "parquet":
+            cleaned = C.read_cleaned(spark, cleaned_dir)
+        else:
+            scan = C.scan_cleaned_lists(spark, cleaned_dir)
+            if quarantine_dir:
+                scan.quarantine.write.mode("overwrite").json(out.path("quarantine_dir"))
+            # The count comes with the write that reads the items: files are
+            # parsed once. No key of whole-read lists is too big for a task.
+            cfg.hot_threshold = None
+            dropped = Observation("dropped")
+            cleaned = scan.items.observe(dropped, F.count_if(~F.col("has_timestamp")).alias("n")).where("has_timestamp")
+        n = _write_samples(cleaned, out.path("output_dir"), cfg)
     if fmt == "json" and dropped.get.get("n"):
         log.warning("%d items without a timestamp were left out", dropped.get["n"])
     return n
@@ -221,13 +240,19 @@ def generate_dataset(spark: SparkSession, cleaned: DataFrame, output_dir: str, c
     With ``cfg.ordered`` the lines come in conversation order, then block
     order (part files in name order), as a range-partitioned sort.
     """
-    cfg = cfg or JobConfig(my_name="-")
+    with Publication(spark, {"output_dir": output_dir}) as out:
+        return _write_samples(cleaned, out.path("output_dir"), cfg or JobConfig(my_name="-"))
+
+
+def _write_samples(cleaned: DataFrame, path: str, cfg: JobConfig) -> int:
     samples = build_samples(cleaned, time_gap_limit=cfg.time_gap_limit, gap_from=cfg.gap_from,
                             hot_threshold=cfg.hot_threshold, chunk_rows=cfg.chunk_rows)
+    line = J.to_json_line(F.col("sample"))
     if cfg.ordered:
-        samples = samples.orderBy("conversation", "block")
+        manifest = write_ordered(samples, line, ["conversation", "block"], path)
+        return sum(part["rows"] for part in manifest)
     observed, obs = _count_obs(samples)
-    J.write_lines(observed, J.to_json_line(F.col("sample")), output_dir)
+    J.write_lines(observed, line, path)
     return int(obs.get.get("n", 0) or 0)
 
 
@@ -248,7 +273,8 @@ def validate_jsonl(spark: SparkSession, source: str, output_dir: str) -> V.Valid
     classified = V.classify_lines(lines, ["file", "block", "row_id"], materialize=True)
     out = V.output_value(classified)
     observed, obs = V.observed_counts(out)
-    J.write_lines(observed, "value", output_dir, partition_by="status")
+    with Publication(spark, {"output_dir": output_dir}) as target:
+        J.write_lines(observed, "value", target.path("output_dir"), partition_by="status")
     return V.counts_from(obs)
 
 
@@ -268,12 +294,27 @@ def split_jsonl(
     or lies under the source.
     """
     S.check_fraction(val_fraction)
-    check_apart(spark, {"source": source}, {"train_dir": train_dir, "val_dir": val_dir})
+    outputs = {"train_dir": train_dir, "val_dir": val_dir}
+    check_apart(spark, {"source": source}, outputs)
+    with Publication(spark, outputs) as out:
+        return _split(spark, source, out, val_fraction, seed)
+
+
+def _split(spark: SparkSession, source: str, out: Publication, val_fraction: float, seed: int | None) -> tuple[int, int]:
+    """Both sides from one evaluation: one write partitioned by side, whose
+    folders then become the two outputs."""
     lines = J.read_lines(spark, source)
     res = S.split_lines(lines, "line", ["file", "block", "row_id"], val_fraction, seed)
+    both = out.scratch("train_dir", "sides")
+    obs = Observation("sides")
+    counted = res.sides.observe(obs, F.count_if(F.col("side") == "train").alias("train"), F.count_if(F.col("side") == "val").alias("val"))
     # Lines are written as read (only blank lines are dropped).
-    J.write_lines(res.val, "raw", val_dir)
-    J.write_lines(res.train, "raw", train_dir)
+    J.write_lines(counted, "raw", both, partition_by="side")
+    out.take("train_dir", f"{both}/side=train")
+    out.take("val_dir", f"{both}/side=val")
+    n = obs.get
+    if (n.get("train", 0), n.get("val", 0)) != (res.n - res.k, res.k):
+        raise RuntimeError(f"the source changed during the split: {n}, not {res.n - res.k} and {res.k}")
     return res.n - res.k, res.k
 
 
@@ -288,9 +329,23 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
     start = time.time()
     outputs = cfg.need("raw_dir", "cleaned_dir", "quarantine_dir", "samples_dir", "output_dir")
     outputs |= cfg.need("train_dir", "val_dir") if cfg.train_dir or cfg.val_dir else {}
-    check_apart(spark, {**cfg.need("inbox_dir"), "secrets_path": cfg.secrets_path}, outputs)
+    secrets = _checked(spark, cfg, outputs)
+    if cfg.train_dir:
+        S.check_fraction(cfg.val_fraction)
     result = JobResult()
-    cleaned, result.conversations_processed, result.quarantined_files = clean_exports(spark, cfg)
+    with Publication(spark, outputs) as out:
+        _run(spark, cfg, secrets, out, result)
+    result.elapsed_seconds = max(time.time() - start, 1e-9)
+    result.paths = {
+        "dataset": os.path.join(cfg.output_dir, "status=VALID"),
+        "cleaned": cfg.cleaned_dir,
+        "quarantine": cfg.quarantine_dir,
+    }
+    return result
+
+
+def _run(spark: SparkSession, cfg: JobConfig, secrets: list[tuple[str, str]], out: Publication, result: JobResult) -> None:
+    cleaned, result.conversations_processed, result.quarantined_files = _clean(spark, cfg, secrets, out)
     samples = build_samples(
         cleaned, time_gap_limit=cfg.time_gap_limit, gap_from=cfg.gap_from,
         hot_threshold=cfg.hot_threshold, chunk_rows=cfg.chunk_rows,
@@ -304,11 +359,11 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
     )
     # Stage the samples: the de-duplication reads them twice (the minima and
     # the rows), and the block/pair chain should run once.
-    keyed.write.mode("overwrite").parquet(cfg.samples_dir)
-    staged = spark.read.parquet(cfg.samples_dir).withColumn("status", F.lit(R.VALID))
+    keyed.write.mode("overwrite").parquet(out.path("samples_dir"))
+    staged = spark.read.parquet(out.path("samples_dir")).withColumn("status", F.lit(R.VALID))
     marked = mark_first(staged, "fp_key", ["conversation", "block"], "_dp_first")
     marked = marked.withColumn("status", F.when(F.col("_dp_first"), F.col("status")).otherwise(F.lit(R.DUPLICATE)))
-    out = marked.withColumn(
+    rows = marked.withColumn(
         "value",
         F.when(F.col("status") == R.VALID, F.col("line")).otherwise(
             V.audit_value(F.col("status"), F.col("line"), F.col("line"))
@@ -319,22 +374,15 @@ def run(spark: SparkSession, cfg: JobConfig) -> JobResult:
         # Status first: the write partitioned by status needs rows sorted by
         # it, and with this order it keeps the sort instead of re-sorting
         # (a re-sort is not stable once it spills).
-        out = out.orderBy("status", "conversation", "block")
-    observed, obs = V.observed_counts(out)
-    J.write_lines(observed, "value", cfg.output_dir, partition_by="status")
+        rows = rows.orderBy("status", "conversation", "block")
+    observed, obs = V.observed_counts(rows)
+    J.write_lines(observed, "value", out.path("output_dir"), partition_by="status")
     counts = V.counts_from(obs)
     result.total_samples = counts.total
     result.valid_samples = counts.valid
     result.duplicates_removed = counts.duplicates
     result.malformed_removed = counts.malformed
     if cfg.train_dir:
-        data = os.path.join(cfg.output_dir, "status=VALID")
+        data = f"{out.path('output_dir')}/status=VALID"
         if J.path_exists(spark, data):
-            result.train_lines, result.val_lines = split_jsonl(spark, data, cfg.train_dir, cfg.val_dir, cfg.val_fraction, cfg.seed)
-    result.elapsed_seconds = max(time.time() - start, 1e-9)
-    result.paths = {
-        "dataset": os.path.join(cfg.output_dir, "status=VALID"),
-        "cleaned": cfg.cleaned_dir,
-        "quarantine": cfg.quarantine_dir,
-    }
-    return result
+            result.train_lines, result.val_lines = _split(spark, data, out, cfg.val_fraction, cfg.seed)

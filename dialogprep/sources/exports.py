@@ -70,13 +70,17 @@ def input_paths(spark: SparkSession, inbox: str) -> tuple[list[str], str] | None
     return [root.toString(), *hidden_folders(spark, inbox)], root.toUri().getPath().rstrip("/")
 
 
-def empty_files(spark: SparkSession, paths: list[str], parsed: DataFrame, glob: str = MESSAGE_GLOB) -> DataFrame:
+def empty_files(spark: SparkSession, paths: list[str], parsed: DataFrame, n_parsed: int, glob: str = MESSAGE_GLOB) -> DataFrame:
     """``path, reason`` of listed files that gave no row at all.
 
-    Spark reads no file without bytes. ``parsed`` is the parse of each file;
-    the names come from the listing that the driver holds for the scan.
+    Spark reads no file without bytes. ``parsed`` is the parse of the other
+    files, ``n_parsed`` in number: only if the driver's listing for the scan
+    is longer are names compared.
     """
-    return without_row(spark, export_reader(spark, glob=glob).text(paths), parsed.select("path"))
+    scan = export_reader(spark, glob=glob).text(paths)
+    if len(scan._jdf.inputFiles()) == n_parsed:
+        return spark.createDataFrame([], "path string, reason string")
+    return without_row(spark, scan, parsed.select("path"))
 
 
 def _empty(spark: SparkSession) -> ExportScan:
@@ -112,7 +116,7 @@ def read_exports(spark: SparkSession, inbox: str, glob: str = MESSAGE_GLOB) -> E
         return _empty(spark)
     paths, root = found
     scan = split_files(parse_files(export_reader(spark, glob=glob).text(paths)), root)
-    scan.quarantine = scan.quarantine.union(empty_files(spark, paths, scan.files, glob))
+    scan.quarantine = scan.quarantine.union(empty_files(spark, paths, scan.files, scan.files.count(), glob))
     return scan
 
 

@@ -15,9 +15,6 @@ from pyspark.sql import functions as F
 
 from dialogprep.session import ensure_checkpoint_dir
 
-# Deepest folder level that is searched for hidden names.
-MAX_DEPTH = 32
-
 
 def resolve(spark: SparkSession, path: str):
     """``(file system, qualified Hadoop path)`` of a path or URI."""
@@ -48,12 +45,12 @@ def hidden_folders(spark: SparkSession, root_path: str) -> list[str]:
     """
     fs, root = resolve(spark, root_path)
     found: list[str] = []
-    for depth in range(MAX_DEPTH):
-        above = "*/" * depth
+    above = ""
+    while True:
         found += [s.getPath().toString() for s in _glob(spark, fs, root, above + "[_.]*") if s.isDirectory()]
-        if not len(_glob(spark, fs, root, above + "*/*")):
-            break
-    return found
+        above += "*/"
+        if not len(_glob(spark, fs, root, above)):
+            return found
 
 
 def readable_copies(spark: SparkSession, paths: list[str], prefix: str = "visible") -> list[str]:
