@@ -26,6 +26,7 @@ from dialogprep.operators import turns as U
 from dialogprep.operators.layout import filter_once, keep_nonnull, spread
 from dialogprep.operators.sequence import by_hotness, ordered_scan
 from dialogprep.plans import source_queries as X
+from dialogprep.plans import storage_queries as Y
 from dialogprep.plans.job import build_samples
 
 # Parameters of the checks (not behaviour): extra noise phrases and secret
@@ -344,6 +345,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "split_train": q_split_train,
     "dataset_counts": q_dataset_counts,
     **X.QUERIES,
+    **Y.QUERIES,
 }
 
 
@@ -640,4 +642,5 @@ ORACLE_SQL: dict[str, str] = {
       FROM nm LEFT JOIN nb USING (user_id) LEFT JOIN np USING (user_id)
     """,
     **X.ORACLE_SQL,
+    **Y.ORACLE_SQL,
 }

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from dialogprep.functions.records import parse_strict
 from dialogprep.operators.turns import parse_epoch_ms
+from dialogprep.sources.large_lists import SEPARATOR, cut_items
 from dialogprep.sources.listing import readable_copies, resolve, without_row
 
 CLEANED_COLUMNS = ["conversation", "conversation_name", "file_name", "pos", "sender", "text", "timestamp"]
@@ -28,16 +29,19 @@ def read_cleaned(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-# Larger JSON texts than this are not parsed (Spark's VARIANT limit).
-MAX_JSON_BYTES = 128 * 1024 * 1024
+# Lists up to this size are parsed whole, larger ones cut into items first
+# (Spark parses JSON texts of up to 128 MB).
+WHOLE_BYTES = 32 * 1024 * 1024
 
 
 @dataclass
 class CleanedScan:
-    """Items of cleaned lists, and the files that gave none (path, reason)."""
+    """Items of cleaned lists, and the files that gave none (path, reason);
+    ``has_large`` if some list was too large for one task."""
 
     items: DataFrame
     quarantine: DataFrame
+    has_large: bool = False
 
 
 def parse_cleaned(value: Column) -> Column:
@@ -71,35 +75,54 @@ def scan_cleaned_lists(spark: SparkSession, folder: str) -> CleanedScan:
     each a JSON list of ``{sender, text, timestamp}`` objects.
 
     Items: ``conversation`` and ``file_name`` (the file name), ``pos`` and
-    the columns of :func:`item_columns`. Files that are empty, too large,
-    no single JSON value or no list go to ``quarantine``. Each file is read
-    whole, so it is one task input.
+    the columns of :func:`item_columns`. Files that are empty, no single JSON
+    value or no list go to ``quarantine``. Files of up to ``WHOLE_BYTES``
+    are one task's input each; larger ones are read in ranges and cut into
+    their items (:mod:`dialogprep.sources.large_lists`), so only one item has
+    to be small enough to be parsed.
     """
     fs, root = resolve(spark, folder)
     schema = "conversation string, file_name string, pos int, has_timestamp boolean, sender string, text string, timestamp bigint"
     nothing = spark.createDataFrame([], "path string, reason string")
     if not fs.exists(root):
         return CleanedScan(spark.createDataFrame([], schema), nothing)
-    reader = spark.read.option("pathGlobFilter", "*.json")
-    scan = reader.text(root.toString(), wholetext=True)
-    files = scan.select(_name().alias("name"), "value")
+    reader = lambda: spark.read.option("pathGlobFilter", "*.json")
+    scan = reader().text(root.toString(), wholetext=True)
+    sources = [([root.toString()], 0)]
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     hidden = [s.getPath().toString() for s in fs.globStatus(path(root, "[_.]*.json")) or [] if s.isFile()]
     if hidden:
-        copies = reader.text(readable_copies(spark, hidden), wholetext=True)
         # a copy is named "visible" and the name of its file
-        files = files.union(copies.select(F.substring(_name(), len("visible") + 1, 4096), "value"))
-    parsed = files.select("name", F.octet_length("value").alias("size"), parse_cleaned(F.col("value")).alias("items"))
-    reason = F.when(F.col("size") == 0, "EMPTY_FILE").when(F.col("size") > MAX_JSON_BYTES, "TOO_LARGE").otherwise("NO_JSON_LIST")
-    empty = without_row(spark, scan, scan.select(_decoded(F.col("_metadata.file_path"))))
+        sources.append((readable_copies(spark, hidden), len("visible")))
+    small = F.col("_metadata.file_size") <= WHOLE_BYTES
+    parsed = items = bad = None
+    for paths, prefix in sources:
+        name = F.substring(_name(), prefix + 1, 4096).alias("name")
+        whole = reader().text(paths, wholetext=True).where(small).select(name, parse_cleaned(F.col("value")).alias("items"))
+        parsed = whole if parsed is None else parsed.union(whole)
+        # the lengths alone are looked at, in tasks
+        sizes = reader().format("binaryFile").load(paths)
+        if not sizes.where(F.col("length") > WHOLE_BYTES).select("path").limit(1).count():
+            continue
+        fragments = reader().option("lineSep", SEPARATOR).text(paths).where(~small).select(
+            name, F.col("_metadata.file_block_start").alias("range"), "value", F.col("_metadata.file_size").alias("size"),
+        )
+        cut, files = cut_items(fragments, ["name"])
+        cut = cut.select("name", F.col("pos").cast("int").alias("pos"), parse_strict("item").alias("m"))
+        lost = files.where("NOT is_list").select(F.col("name").alias("path"), F.lit("NO_JSON_LIST").alias("reason"))
+        items, bad = (cut, lost) if items is None else (items.union(cut), bad.union(lost))
+    # files of no byte are listed, but no source gives a row for them
+    empty = without_row(spark, scan, reader().format("binaryFile").load(root.toString()).select("path"))
     empty = empty.select(F.regexp_extract("path", r"([^/]*)$", 1).alias("path"), "reason")
-    bad = parsed.where("items is null").select(F.col("name").alias("path"), reason.alias("reason"))
-    items = parsed.select("name", F.posexplode("items").alias("pos", "m"))
-    items = items.select(
+    no_list = parsed.where("items is null").select(F.col("name").alias("path"), F.lit("NO_JSON_LIST").alias("reason"))
+    found = parsed.select("name", F.posexplode("items").alias("pos", "m"))
+    found = found if items is None else found.union(items)
+    found = found.select(
         F.col("name").alias("conversation"), F.col("name").alias("file_name"), "pos",
         *[v.alias(k) for k, v in item_columns(F.col("m")).items()],
     )
-    return CleanedScan(items, bad.union(empty).distinct())
+    quarantine = no_list.union(empty) if bad is None else no_list.union(empty).union(bad)
+    return CleanedScan(found, quarantine.distinct(), has_large=items is not None)
 
 
 def read_cleaned_lists(spark: SparkSession, folder: str, keep_dropped: bool = False) -> DataFrame:

@@ -187,13 +187,6 @@ def test_cleaned_lists_source(spark, tmp_path):
     assert C.scan_cleaned_lists(spark, str(tmp_path / "missing")).items.collect() == []
 
 
-def test_too_large_lists_are_reported(spark, tmp_path, monkeypatch):
-    (tmp_path / "l").mkdir()
-    (tmp_path / "l" / "big.json").write_text("[" + "1," * 50 + "x]")
-    monkeypatch.setattr(C, "MAX_JSON_BYTES", 64)
-    assert [(r.path, r.reason) for r in C.scan_cleaned_lists(spark, str(tmp_path / "l")).quarantine.collect()] == [("big.json", "TOO_LARGE")]
-
-
 def test_a_block_without_a_readable_time_loses_its_pairs_only(spark, tmp_path):
     said = [("other", "first question", 1), ("me", "first answer", "soon"), ("other", "second question", 5), ("me", "second answer", 9)]
     (tmp_path / "l").mkdir()
