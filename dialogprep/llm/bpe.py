@@ -94,7 +94,7 @@ class Encoder:
     that has none before it.
     """
 
-    def __init__(self, path: str, counting: bool, max_entries: int = 500_000):
+    def __init__(self, path: str, counting: bool, max_entries: int = 200_000):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
@@ -135,6 +135,13 @@ class Encoder:
             return known[left] + self.plain[line_break] + (self.plain[right] if right else self.empty)
         return self.encode(" " + piece if spaced else piece)
 
+    def clear(self) -> None:
+        """Forget the cached pieces, at a task's end: workers live on."""
+        for known in (self.plain, self.spaced):
+            known.clear()
+            known.known = {}
+        self.warmed = None
+
     def __call__(self, text: str | None):
         """Token count, or the ids as little-endian bytes; null is empty."""
         if not text:

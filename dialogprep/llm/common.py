@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from pathlib import Path
@@ -42,6 +43,11 @@ def broadcast_if_small(df: DataFrame, max_rows: int, n_rows: int | None = None)
     return df
 
 
+def row_key(doc_id: Column, text: Column) -> Column:
+    """128 bits that stand for a row's id and text, nulls included."""
+    return F.struct(F.xxhash64(doc_id, text).alias("a"), F.xxhash64(F.lit(1), text, doc_id).alias("b"))
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z and nothing else."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -65,6 +71,18 @@ def ship_package(spark: SparkSession) -> None:
     sc._dialogprep_shipped = True
 
 
+def release_memory() -> None:
+    """Give back what this Python worker has freed but still holds; workers
+    are used again by later stages."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # no GNU libc
+
+
 # Rows of whole texts, and bytes of them, that a task holds at once.
 BATCH_ROWS = 1000
 BATCH_BYTES = 8 << 20
@@ -73,7 +91,8 @@ BATCH_BYTES = 8 << 20
 def arrow_map(df: DataFrame, fn, schema) -> DataFrame:
     """``df.mapInArrow`` with this package importable in the tasks, and
     batches of at most ``BATCH_ROWS`` rows and some ``BATCH_BYTES`` bytes:
-    texts can be long. Smaller limits of the session stay."""
+    texts can be long. Smaller limits of the session stay. A task's worker
+    gives its memory back at the end."""
     spark = df.sparkSession
     ship_package(spark)
     for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
@@ -81,4 +100,11 @@ def arrow_map(df: DataFrame, fn, schema) -> DataFrame:
         now = spark.conf.get(key).lower().removesuffix("b")
         if now.lstrip("-").isdigit() and not 0 < int(now) <= most:
             spark.conf.set(key, str(most))
-    return df.mapInArrow(fn, schema)
+
+    def run(batches):
+        try:
+            yield from fn(batches)
+        finally:
+            release_memory()
+
+    return df.mapInArrow(run, schema)

@@ -19,13 +19,14 @@ from __future__ import annotations
 
 import hashlib
 from collections import Counter
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dialogprep.llm.common import arrow_map, checkpointed
+from dialogprep.llm.common import arrow_map, checkpointed, row_key
 
 _SPACE = b" \t\n\x0b\x0c\r"
 
@@ -43,76 +44,75 @@ def _long_enough(key: bytes, min_chars: int) -> bool:
     return len(key) >= min_chars and (min_chars <= 1 or len(key.decode()) >= min_chars)
 
 
-def _set_of(digests) -> bytes:
-    return hashlib.blake2b(b"".join(sorted(digests)), digest_size=16).digest()
-
-
 def _digests(text: str | None) -> dict[bytes, bytes]:
     """The distinct normalised lines of a text with their hashes."""
     return {k: _digest(k) for k in set(map(line_key, (text or "").encode().split(b"\n")))}
 
 
-def repeated_sets(docs: DataFrame) -> DataFrame:
-    """``set``: hashes of the sets of lines that several rows have."""
-
-    def sets(batches):
-        for batch in batches:
-            made = [_set_of(_digests(text).values()) for text in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], names=["set"])
-
-    found = arrow_map(docs.select(F.col("text").cast("string")), sets, "set binary")
-    return found.groupBy("set").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("set")
-
-
-def frequent_lines(docs: DataFrame, min_docs: int, min_chars: int, copies_once: bool = False, max_broadcast: int = 2_000_000) -> DataFrame:
-    """``(hash, n)`` of the normalised lines found in ``min_docs`` documents.
-
-    With ``copies_once`` rows of equal sets of lines count as one document.
-    Only sets that repeat travel with their lines, once a task; if they are
-    more than ``max_broadcast``, all sets do.
-    """
-    known = None
-    if copies_once:
-        repeated = checkpointed(repeated_sets(docs))
-        if repeated.count() <= max_broadcast:
-            known = docs.sparkSession.sparkContext.broadcast(frozenset(bytes(r.set) for r in repeated.toLocalIterator()))
+def frequent_lines(docs: DataFrame, min_docs: int, min_chars: int) -> DataFrame:
+    """``(hash, n)`` of the normalised lines found in ``min_docs`` documents."""
 
     def hashes(batches):
         seen: Counter = Counter()
-        met: set = set()
 
         def flush():
             batch = pa.RecordBatch.from_arrays(
-                [pa.array([h for h, _ in seen], pa.binary()), pa.array([s for _, s in seen], pa.binary()),
-                 pa.array(list(seen.values()), pa.int64())], names=["hash", "set", "n"]
+                [pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["hash", "n"]
             )
             seen.clear()
             return batch
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                keys, own = _digests(text), None
-                if copies_once:
-                    own = _set_of(keys.values())
-                    if known is not None and own not in known.value:
-                        own = None
-                    elif own in met:
-                        continue
-                    elif known is not None:
-                        met.add(own)
-                seen.update((h, own) for k, h in keys.items() if _long_enough(k, min_chars))
+                seen.update(h for k, h in _digests(text).items() if _long_enough(k, min_chars))
                 if len(seen) > 200_000:
                     yield flush()
         yield flush()
 
-    found = arrow_map(docs.select(F.col("text").cast("string")), hashes, "hash binary, set binary, n long")
-    if copies_once:
-        found = found.groupBy("hash", "set").agg(F.sum("n").alias("n"))
-        found = found.withColumn("n", F.when(F.col("set").isNull(), F.col("n")).otherwise(1))
+    found = arrow_map(docs.select(F.col("text").cast("string")), hashes, "hash binary, n long")
     return found.groupBy("hash").agg(F.sum("n").alias("n")).where(F.col("n") >= min_docs)
 
 
-def _rebuild(docs: DataFrame, min_chars: int, max_loss: float, test, extra: str | None = None) -> DataFrame:
+def _known(frequent: DataFrame, max_broadcast: int):
+    """The hashes as a broadcast set, or None where they are too many."""
+    if frequent.count() > max_broadcast:
+        return None
+    return frequent.sparkSession.sparkContext.broadcast(frozenset(bytes(r.hash) for r in frequent.select("hash").toLocalIterator()))
+
+
+def counted_by_class(docs: DataFrame, frequent: DataFrame, classes, min_docs: int, min_chars: int, max_broadcast: int) -> DataFrame:
+    """``frequent`` without the lines of fewer than ``min_docs`` classes.
+
+    Only documents that hold a frequent line are classed and counted.
+    """
+    known = _known(frequent, max_broadcast)
+
+    def holding(batches):
+        for batch in batches:
+            found = []
+            for text in batch.column(1).to_pylist():
+                own = [h for k, h in _digests(text).items() if _long_enough(k, min_chars)]
+                found.append([h for h in own if known is None or h in known.value])
+            hashes = pa.array(found, pa.list_(pa.binary()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, hashes], names=["doc_id", "text", "row_key", "hashes"]).filter(
+                pa.array([bool(x) for x in found], pa.bool_())
+            )
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = rows.withColumn("row_key", row_key(F.col("doc_id"), F.col("text")))
+    held = checkpointed(arrow_map(rows, holding, "doc_id long, text string, row_key struct<a:long,b:long>, hashes array<binary>"))
+    of = classes(held.select("doc_id", "text")).groupBy("row_key").agg(F.min("class_id").alias("class_id"))
+    lines = held.select("row_key", F.explode("hashes").alias("hash"))
+    if known is None:
+        lines = lines.join(frequent.select("hash"), "hash", "left_semi")
+    counted = lines.join(of, "row_key").groupBy("hash", "class_id").agg(F.lit(1).alias("one"))
+    result = checkpointed(counted.groupBy("hash").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs))
+    if known is not None:
+        known.unpersist()
+    return result
+
+
+def _rebuild(docs: DataFrame, min_chars: int, test, extra: str | None = None) -> DataFrame:
     """``docs`` with ``text`` rebuilt, ``n_lines`` and ``n_dropped``.
 
     ``test()`` runs once a task; what it returns turns a row's ``extra``
@@ -137,8 +137,6 @@ def _rebuild(docs: DataFrame, min_chars: int, max_loss: float, test, extra: str
                     x for i, x in enumerate(lines)
                     if not (_long_enough(k := line_key(x), min_chars) and gone(i, k))
                 ]
-                if len(kept) < len(lines) and sum(map(len, kept)) < (1 - max_loss) * sum(map(len, lines)):
-                    kept = lines  # a copy as a whole, not a text with boilerplate
                 texts.append(b"\n".join(kept).decode())
                 n_lines.append(len(lines))
                 n_dropped.append(len(lines) - len(kept))
@@ -173,27 +171,29 @@ def _positions(docs: DataFrame, min_chars: int) -> DataFrame:
 
 
 def dedup_lines(
-    docs: DataFrame, min_docs: int = 10, min_chars: int = 1, max_loss: float = 1.0, max_broadcast: int = 2_000_000,
-    copies_once: bool = False,
+    docs: DataFrame, min_docs: int = 10, min_chars: int = 1, max_broadcast: int = 2_000_000,
+    classes: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """``docs`` with the remaining lines in ``text``, ``n_lines`` and
     ``n_dropped`` (clashing input columns of these names are replaced).
 
-    A document that would lose more than the share ``max_loss`` of its bytes
-    keeps all its lines. With ``copies_once`` documents of equal sets of lines
-    count as one when a line's documents are counted, so whole copies are left
-    to de-duplication of documents instead of being emptied everywhere.
+    With ``classes`` a line's documents are counted by class: it takes
+    ``(doc_id, text)`` rows and returns ``(row_key, class_id)``. So lines that
+    copies share because they are copies stay for de-duplication of
+    documents, in place of going from all of them.
     """
     docs = docs.drop("n_lines", "n_dropped")
-    frequent = checkpointed(frequent_lines(docs, min_docs, min_chars, copies_once, max_broadcast))
-    if frequent.count() <= max_broadcast:
-        spread = docs.sparkSession.sparkContext.broadcast(frozenset(bytes(r.hash) for r in frequent.select("hash").toLocalIterator()))
+    frequent = checkpointed(frequent_lines(docs, min_docs, min_chars))
+    if classes is not None:
+        frequent = counted_by_class(docs, frequent, classes, min_docs, min_chars, max_broadcast)
+    spread = _known(frequent, max_broadcast)
+    if spread is not None:
 
         def by_hash():
             known = spread.value
             return lambda _: lambda i, key: _digest(key) in known
 
-        return _rebuild(docs, min_chars, max_loss, by_hash)
+        return _rebuild(docs, min_chars, by_hash)
 
     # equal texts lose the same lines, so rows are addressed by their text
     keyed = docs.withColumn("row_key", F.unhex(F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)))
@@ -211,4 +211,4 @@ def dedup_lines(
 
         return of
 
-    return _rebuild(joined, min_chars, max_loss, by_position, "lost_pos")
+    return _rebuild(joined, min_chars, by_position, "lost_pos")

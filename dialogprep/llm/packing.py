@@ -101,6 +101,7 @@ def tokenised(docs: DataFrame, tokenizer_path: str, end_id: int, queue) -> DataF
                  pa.array(ahead, pa.int64()), pa.array(blobs, pa.binary())],
                 names=["doc_id", "source", "queue", "n", "ahead", "ids"],
             )
+        enc.clear()
 
     cols = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),

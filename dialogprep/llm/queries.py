@@ -105,7 +105,8 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
+    found = near_duplicates(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,8 +29,9 @@ lie there, in the next one.
 Defined results: words are the stretches without ASCII white space, A-Z
 lower-cased; a text of fewer words than a shingle is one shingle; null and
 empty texts have no shingle, link with nothing and are their own component;
-rows that share a ``doc_id`` are one document; a null ``doc_id`` takes the
-component of its text's class; an empty table gives no rows.
+rows that share a ``doc_id`` are one document and so in one component; a null
+``doc_id`` links like any other and takes the smallest id of its component
+(null if there is none); an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -46,7 +47,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dialogprep.llm.common import arrow_map, broadcast_if_small, checkpointed
+from dialogprep.llm.common import arrow_map, broadcast_if_small, checkpointed, row_key
 from dialogprep.llm.components import connected_components
 
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -275,7 +276,7 @@ def _cell_blobs(docs: DataFrame, k: int, bands: Bands, n_buckets: int, group: in
                     node.append(np.full(len(keys), set_key(u), np.int64))
                     size.append(np.full(len(keys), len(u), np.int64))
                     held += len(keys)
-            if held > 500_000:
+            if held > 250_000:
                 yield emit(key, node, size)
                 key, node, size, held = [], [], [], 0
         if held:
@@ -443,11 +444,14 @@ def near_duplicates(
     bucket_keys: int = 1_000_000,
     max_broadcast: int = 1_000_000,
 ) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every row of ``docs``.
+    """``doc_id, n_shingles, component_id, class_id, row_key`` for every row.
 
-    Two documents link when ``den * |A & B| >= num * |A | B|``.
+    Two documents link when ``den * |A & B| >= num * |A | B|``. ``class_id``
+    names the component whatever ids its rows have (null without shingles);
+    ``row_key`` is :func:`~dialogprep.llm.common.row_key` of id and text.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    keyed = docs.select("doc_id", "text", row_key(F.col("doc_id"), F.col("text")).alias("row_key"))
     bands = Bands(num, den)
 
     def sets(batches):
@@ -458,11 +462,12 @@ def near_duplicates(
                     batch.column(0),
                     pa.array([len(u) for u in found], pa.int64()),
                     pa.array([set_key(u) if len(u) else None for u in found], pa.int64()),
+                    batch.column(2),
                 ],
-                names=["doc_id", "n_shingles", "node"],
+                names=["doc_id", "n_shingles", "node", "row_key"],
             )
 
-    rows = checkpointed(arrow_map(docs, sets, "doc_id long, n_shingles long, node long"))
+    rows = checkpointed(arrow_map(keyed, sets, "doc_id long, n_shingles long, node long, row_key struct<a:long,b:long>"))
     # entries per shingle of the sketches, about, for the number of buckets
     share = 1.9 * 2 * (den - num) / (den + num)
     total = rows.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
@@ -473,17 +478,22 @@ def near_duplicates(
     pairs = checkpointed(found.where("kind = 0").select("a", "b").distinct())
     large = checkpointed(found.where("kind = 1").select("a"))
 
-    one = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
+    one = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("row_key").alias("row_key"))
 
     def texts_of(wanted: DataFrame) -> DataFrame:
-        """``(node, text)`` of one document of each wanted node."""
-        some = checkpointed(one.join(wanted.distinct(), "node").select("node", "doc_id"))
-        return docs.join(broadcast_if_small(some, max_broadcast), "doc_id").select("node", "text")
+        """``(node, text)`` of one row of each wanted node (and its repeats)."""
+        some = checkpointed(one.join(wanted.distinct(), "node").select("node", "row_key"))
+        return keyed.join(broadcast_if_small(some, max_broadcast), "row_key").select("node", "text")
 
     def both_ends(p: DataFrame) -> DataFrame:
         return p.select(F.col("a").alias("node")).union(p.select(F.col("b").alias("node")))
 
-    links = checkpointed(_verify(pairs, texts_of(both_ends(pairs)), k, bands))
+    # rows of one id are one document, whatever their texts
+    ids = rows.where("doc_id is not null and node is not null")
+    several = ids.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z")
+    same_id = ids.join(several, "doc_id").where("node <> a").select("a", F.col("node").alias("b"))
+
+    links = checkpointed(_verify(pairs, texts_of(both_ends(pairs)), k, bands).union(same_id))
     parts = checkpointed(connected_components(links, "a", "b"))
 
     loose = checkpointed(_unreliable(docs, k, bands, large, max_broadcast))
@@ -525,10 +535,12 @@ def near_duplicates(
 
     # from nodes to documents: the smallest doc_id of each component
     merged = one.join(parts.withColumnRenamed("id", "node"), "node", "left").select(
-        "node", "doc_id", F.coalesce("component", "node").alias("component")
+        "node", "doc_id", F.coalesce("component", "node").alias("class_id")
     )
-    named = merged.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    nodes = merged.select("node", "component").join(named, "component").select("node", "component_id")
+    named = merged.groupBy("class_id").agg(F.min("doc_id").alias("component_id"))
+    nodes = merged.select("node", "class_id").join(named, "class_id").select("node", "class_id", "component_id")
     return rows.join(nodes, "node", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
+        "doc_id", "n_shingles",
+        F.when(F.col("class_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        "class_id", "row_key",
     )

@@ -13,17 +13,16 @@ def key(line):
     return "".join(c.lower() if "A" <= c <= "Z" else c for c in line.strip(SPACE))
 
 
-def model(texts, min_docs, min_chars=1, max_loss=1.0):
-    found = Counter()
-    for t in texts:
-        found.update({key(x) for x in (t or "").split("\n")})
+def model(texts, min_docs, min_chars=1, classes=None):
+    """``classes[i]``: the class text ``i`` counts in (its own by default)."""
+    held = {(key(x), classes[i] if classes else i) for i, t in enumerate(texts) for x in (t or "").split("\n")}
+    found = Counter(k for k, _ in held)
     bad = {k for k, n in found.items() if n >= min_docs and len(k) >= min_chars}
     out = []
     for t in texts:
         lines = (t or "").split("\n")
         kept = [x for x in lines if key(x) not in bad]
-        size = lambda xs: sum(len(x.encode()) for x in xs)
-        out.append("\n".join(lines if size(kept) < (1 - max_loss) * size(lines) else kept))
+        out.append("\n".join(kept))
     return out
 
 
@@ -38,29 +37,26 @@ def test_both_routes_equal_the_model(spark):
             assert all(got[i].n_dropped >= 0 for i in got)
 
 
-def test_whole_copies_are_left_alone(spark):
-    texts = ["boiler plate\nown text that is long enough a", "boiler plate\nown text that is long enough b"] + ["copied line one\ncopied line two"] * 3
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    want = model(texts, 2, max_loss=0.5)
-    assert want[2] == texts[2] and "boiler" not in want[0]
-    for bound in (2_000_000, 0):
-        got = {r.doc_id: r.text for r in dedup_lines(df, 2, 1, 0.5, bound).collect()}
-        assert [got[i] for i in range(5)] == want
-
+def test_near_copies_count_once_and_shared_lines_go_everywhere(spark):
+    import corpus_pipeline as C
 
-def test_copies_count_once_and_shared_lines_go_everywhere(spark):
     shared = "a long shared passage of boilerplate words"
-    texts = [f"{shared}\nown {i}" for i in range(12)] + ["copied one\nCopied two"] * 15 + ["copied two \ncopied one"] * 3 + ["copied one\nx"]
-    want = model(texts, 10)[:12] + texts[12:]
-    assert want[0] == "own 0"
+    body = "\n".join(f"line {k} of a text that was copied and then changed at its end" for k in range(5))
+    texts = [f"{shared}\nown {i} " + " ".join(f"w{i * 40 + k}" for k in range(20)) for i in range(12)]
+    texts += ["copied one\nCopied two"] * 15 + [f"{body}\nchanged {i}" for i in range(12)] + [None, "", "copied one\nx"]
+    classes = [*range(12), *[12] * 15, *[13] * 12, 14, 15, 16]
+    want = model(texts, 10, classes=classes)
+    assert want[0].startswith("own 0") and want[12] == texts[12] and want[30] == texts[30]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4).checkpoint()
     for bound in (2_000_000, 0):
-        got = {r.doc_id: r.text for r in dedup_lines(df, 10, max_broadcast=bound, copies_once=True).collect()}
+        got = {r.doc_id: r.text for r in dedup_lines(df, 10, max_broadcast=bound, classes=C._groups).collect()}
         assert [got[i] for i in range(len(texts))] == want
-    import corpus_pipeline as C
-
     docs = df.selectExpr("doc_id", "text", "'en' lang", "'s1' source", "1L n_chars")
-    assert {r.doc_id: r.text for r in C.line_dedup(spark, docs, "").collect()} == dict(enumerate(want))
+    left = C.line_dedup(spark, docs, "")
+    assert {r.doc_id: r.text for r in left.collect()} == dict(enumerate(want))
+    # one whole document of each group of copies is there in the end
+    kept = {r.doc_id: r.text for r in C.near_dedup(spark, left.checkpoint(), "").collect()}
+    assert kept[12] == texts[12] and kept[27] == texts[27] and not set(kept) & {*range(13, 27), *range(28, 39)}
 
 
 def test_empty_table_and_columns(spark):

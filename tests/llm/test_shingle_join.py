@@ -83,6 +83,21 @@ def test_empty_table_and_null_ids(spark):
     assert got == [("4", "4"), ("4", "4"), ("None", "4"), ("None", "None")]
 
 
+def test_links_through_null_and_repeated_ids(spark):
+    base = [f"w{i}" for i in range(60)]
+    chain = [" ".join(base), " ".join(base[:10] + ["x"] + base[11:40] + ["y"] + base[41:])]
+    middle = " ".join(base[:10] + ["x"] + base[11:])
+    rows = [(7, chain[0]), (8, chain[1]), (3, "quite another text of some words"), (3, "and one more that has its id")]
+    kinds = sets_of([chain[0], middle, chain[1]], 5)
+    alike = lambda a, b: len(a & b) / len(a | b)
+    assert alike(kinds[0], kinds[2]) < 0.8 <= min(alike(kinds[0], kinds[1]), alike(kinds[1], kinds[2]))
+    for between, want in ((None, 7), (9, 7), (2, 2)):
+        df = spark.createDataFrame([*rows, (between, middle), (None, "nobody's text of six words")], "doc_id long, text string")
+        got = sorted((r.doc_id or 0, r.component_id or 0) for r in near_duplicates(df, 5, 80, 100).collect())
+        own = [(0, want)] if between is None else [(between, want)]
+        assert got == sorted([(0, 0), (3, 3), (3, 3), (7, want), (8, want), *own])
+
+
 def test_bands_cover_all_linked_sizes():
     for num, den in ((90, 100), (80, 100)):
         bands = Bands(num, den)
