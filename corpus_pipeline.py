@@ -17,7 +17,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialogprep.llm.common import broadcast_if_small, checkpointed, table
+from dialogprep.llm.common import broadcast_if_small, checkpointed, row_key, table
 from dialogprep.llm.line_dedup import dedup_lines
 from dialogprep.llm.mixing import Mix, first_tokens, mixed
 from dialogprep.llm.packing import pack
@@ -48,18 +48,41 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return _apart(docs, lambda d: score(d, forest, "quality_score").where(F.col("quality_score") >= 0.5))
 
 
+def _groups(docs: DataFrame) -> DataFrame:
+    """``row_key, class_id``: near duplicates have one class, a text without
+    a word is a class of its own."""
+    found = near_duplicates(docs, k=5, num=80, den=100)
+    return found.select("row_key", F.coalesce("class_id", F.col("row_key.a")).alias("class_id"))
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines found in ten documents go from all of them. Documents of equal
-    sets of lines count as one, so whole copies stay for the next stage."""
-    return _apart(docs, lambda d: _recounted(dedup_lines(d, min_docs=10, min_chars=1, copies_once=True)))
+    """Lines found in ten documents go from all of them. Near duplicates
+    count as one document, so what only they share stays for the next stage,
+    which keeps one of them whole."""
+    return _apart(docs, lambda d: _recounted(dedup_lines(d, min_docs=10, min_chars=1, classes=_groups)))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates (five words, 0.8) the document of
-    smallest id stays; rows that share an id are one document."""
-    found = near_duplicates(docs, k=5, num=80, den=100)
-    gone = checkpointed(found.where("component_id <> doc_id").select("doc_id").distinct())
-    return docs.join(broadcast_if_small(gone, MAX_BROADCAST), "doc_id", "left_anti").select(*docs.columns)
+    """Of each group of near duplicates (five words, 0.8) one row stays: that
+    of the smallest id, null last, ties by a hash of the text. Rows that share
+    an id are in one group; texts without a word are in none."""
+
+    def step(d: DataFrame) -> DataFrame:
+        found = checkpointed(near_duplicates(d, k=5, num=80, den=100).where("class_id IS NOT NULL").select("doc_id", "class_id", "row_key"))
+        first = F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")
+        one = found.groupBy("class_id").agg(F.min(first).alias("first"), F.count("*").alias("n")).where("n > 1")
+        one = one.select("class_id", F.col("first.row_key").alias("kept"))
+        marked = found.join(one, "class_id").groupBy("row_key").agg(
+            F.max(F.col("row_key") == F.col("kept")).alias("stays"), F.count("*").alias("n")
+        )
+        marked = checkpointed(marked.where("NOT stays OR n > 1"))
+        keyed = d.withColumn("row_key", row_key(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+        seen = keyed.join(broadcast_if_small(marked, MAX_BROADCAST), "row_key", "left")
+        # rows equal in id and text are told apart by nothing: any one of them
+        repeated = seen.where("stays").dropDuplicates(["row_key"])
+        return seen.where("stays IS NULL").unionByName(repeated)
+
+    return _apart(docs, step)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
