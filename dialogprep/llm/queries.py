@@ -206,7 +206,8 @@ def _share_sql(depth: int) -> str:
 _RANK_ROUNDS = "".join(
     f"""
 , r{k} AS MATERIALIZED (
-  SELECT host, kind, 0.15::DOUBLE * seed + 0.85::DOUBLE * coalesce(flow, 0) AS x
+  SELECT host, kind, CASE WHEN kind THEN 0.15::DOUBLE * seed + 0.85::DOUBLE * coalesce(flow, 0)
+                          ELSE seed + (1 - seed) * 0.85::DOUBLE * coalesce(flow, 0) END AS x
   FROM base LEFT JOIN (
     SELECT t AS host, kind, sum(x * p) AS flow FROM edge JOIN r{k - 1} q USING (kind) WHERE q.host = edge.f GROUP BY t, kind
   ) USING (host, kind)
@@ -236,20 +237,20 @@ WITH rules AS (
 ), link AS (
   SELECT host AS a, unnest(regexp_extract_all(html, '(?i)<a\s[^>]*href\s*=\s*["'']([^"''>]*)', 1)) AS l FROM judged WHERE host <> ''
 ), pair AS (
-  SELECT a, CASE WHEN h <> '' THEN h ELSE a END AS b, count(*) AS w
+  SELECT a, h AS b, count(*) AS w
   FROM (SELECT a, translate(regexp_extract(l, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)', 1),
                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS h FROM link)
-  GROUP BY ALL
+  WHERE h <> '' AND h <> a GROUP BY ALL
 ), known AS (SELECT a AS host FROM pair UNION SELECT b FROM pair UNION SELECT host FROM seeds
 ), base AS MATERIALIZED (
   SELECT host, true AS kind, coalesce(trust, 0) AS seed FROM known LEFT JOIN seeds USING (host)
   UNION ALL SELECT host, false, coalesce(distrust, 0) FROM known LEFT JOIN seeds USING (host)
 ), linked AS (
   SELECT a AS f, b AS t, true AS kind, w / sum(w) OVER (PARTITION BY a) AS p FROM pair
-  UNION ALL SELECT b, a, false, w / sum(w) OVER (PARTITION BY b) FROM pair
+  UNION ALL SELECT b, a, false, w / sum(w) OVER (PARTITION BY a) FROM pair
 ), edge AS MATERIALIZED (
   SELECT * FROM linked
-  UNION ALL SELECT host, host, kind, 1.0 FROM base WHERE (host, kind) NOT IN (SELECT (f, kind) FROM linked)
+  UNION ALL SELECT host, host, kind, 1.0 FROM base WHERE kind AND host NOT IN (SELECT f FROM linked WHERE kind)
 ), r0 AS (SELECT host, kind, seed AS x FROM base)
 """.rstrip() + _RANK_ROUNDS + r"""
 , rank AS (

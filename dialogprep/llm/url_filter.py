@@ -2,11 +2,15 @@
 
 Rules on host and path decide the urls they fit. Every other url gets the
 verdict of its host, from two personalised PageRanks over the host graph of
-the pages' links: trust flows along links from hosts with pages that rules
-allow, distrust against them from hosts with pages that rules block. A host's
-seed is the share of its pages that rules allow or block, so a rule for one
-path of a host does not condemn the rest. A host whose distrust exceeds its
-trust by more than ``threshold`` is blocked.
+the pages' links to other hosts: trust flows along links from hosts with pages
+that rules allow, distrust against them from hosts with pages that rules block.
+A host's seed is the share of its pages that rules allow or block, so a rule for
+one path of a host does not condemn the rest. Distrust is what a reader meets
+who starts at the host: a blocked page with the seed's chance, else, with the
+damping's, that of the hosts it links to, by their share of its links. So it lies between 0 and 1 for
+every host, is at least the seed, falls with each step away from blocked hosts,
+and one bad link among many counts little. A host whose distrust exceeds its trust by more than
+``threshold`` is blocked.
 
 Links are counted per pair of hosts with a partial aggregation; each round is
 one equi-join of host ranks with host edges and one aggregation, so hosts
@@ -14,8 +18,8 @@ with very many pages or links are combined map-side, and pages meet the host
 table once.
 
 Defined results: a null url or one without ``://`` has an empty host and
-path, fits no rule and is allowed; relative links, and links without a host,
-point at their own host; hosts without links keep their seed; null html has
+path, fits no rule and is allowed; links to the own host, relative ones and those
+without a host are no edges; hosts without links keep their seed; null html has
 no links; repeated rows are judged alike (each counts as a page of its host);
 an empty table gives no rows; further columns are ignored.
 """
@@ -35,29 +39,30 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return ascii_lower(F.regexp_extract(rest, "^([^/?#]*)", 1)), F.regexp_extract(rest, "^[^/?#]*([^?#]*)", 1)
 
 
-def link_host(link: Column, own: Column) -> Column:
-    """The host a link points at; its page's own for relative ones."""
-    host = ascii_lower(F.regexp_extract(link, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)", 1))
-    return F.when(host != "", host).otherwise(own)
+def link_host(link: Column) -> Column:
+    """The host a link points at; empty for relative ones."""
+    return ascii_lower(F.regexp_extract(link, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)", 1))
 
 
 def host_links(pages: DataFrame) -> DataFrame:
-    """``(a, b, w)``: number of links from host ``a`` to host ``b``."""
+    """``(a, b, w)``: number of links from host ``a`` to another host ``b``."""
     found = pages.where("host <> ''").select("host", F.explode(F.regexp_extract_all(F.col("html"), F.lit(HREF), F.lit(1))).alias("link"))
-    return found.select(F.col("host").alias("a"), link_host(F.col("link"), F.col("host")).alias("b")).groupBy("a", "b").agg(F.count("*").alias("w"))
+    pairs = found.select(F.col("host").alias("a"), link_host(F.col("link")).alias("b"))
+    return pairs.groupBy("a", "b").agg(F.count("*").alias("w")).where("b <> '' AND a <> b")
 
 
 def propagate(links: DataFrame, seeds: DataFrame, damping: float, rounds: int, every: int = 5) -> DataFrame:
     """``(host, trust, distrust)`` of all hosts in ``links`` or ``seeds``.
 
-    ``seeds`` is ``(host, trust, distrust)``. Each rank is the fixed point of
-    ``(1 - damping) * seed + damping * flow``, ``rounds`` steps from the seed.
+    ``seeds`` is ``(host, trust, distrust)``. Trust is the fixed point of
+    ``(1 - damping) * seed + damping * flow``, distrust that of ``seed + (1 -
+    seed) * damping * flow``, after ``rounds`` steps from the seed. Both share a
+    link by its share of the linking host's links.
     """
     out = links.groupBy("a").agg(F.sum("w").alias("w_out"))
-    into = links.groupBy("b").agg(F.sum("w").alias("w_in"))
-    edges = links.join(out, "a").join(into, "b")
+    edges = links.join(out, "a")
     along = edges.select(F.col("a").alias("from"), F.col("b").alias("to"), F.lit(True).alias("kind"), (F.col("w") / F.col("w_out")).alias("p"))
-    against = edges.select(F.col("b").alias("from"), F.col("a").alias("to"), F.lit(False).alias("kind"), (F.col("w") / F.col("w_in")).alias("p"))
+    against = edges.select(F.col("b").alias("from"), F.col("a").alias("to"), F.lit(False).alias("kind"), (F.col("w") / F.col("w_out")).alias("p"))
     known = links.select(F.col("a").alias("host")).union(links.select(F.col("b").alias("host"))).distinct()
     base = known.join(seeds, "host", "full").select(
         "host", F.inline(F.array(
@@ -67,17 +72,20 @@ def propagate(links: DataFrame, seeds: DataFrame, damping: float, rounds: int, e
     )
     edges = checkpointed(along.union(against))
     base = checkpointed(base)
-    # hosts without links in a direction keep what they have
-    ends = edges.select(F.col("from").alias("host"), "kind").distinct()
-    stay = base.join(ends, ["host", "kind"], "left_anti").select(F.col("host").alias("from"), F.col("host").alias("to"), "kind", F.lit(1.0).alias("p"))
+    # hosts without links keep their trust
+    ends = edges.where("kind").select(F.col("from").alias("host"), "kind").distinct()
+    stay = base.where("kind").join(ends, ["host", "kind"], "left_anti").select(F.col("host").alias("from"), F.col("host").alias("to"), "kind", F.lit(1.0).alias("p"))
     edges = checkpointed(edges.union(stay))
     rank = base.select("host", "kind", F.col("seed").alias("x"))
+    if not links.limit(1).count():
+        rounds = 0  # without a link every rank is its seed
     for k in range(1, rounds + 1):
         flow = (
             edges.join(rank.withColumnRenamed("host", "from"), ["from", "kind"])
             .groupBy(F.col("to").alias("host"), "kind").agg(F.sum(F.col("x") * F.col("p")).alias("flow"))
         )
-        x = F.lit(1 - damping) * F.col("seed") + F.lit(damping) * F.coalesce("flow", F.lit(0.0))
+        flown = F.lit(damping) * F.coalesce("flow", F.lit(0.0))
+        x = F.when(F.col("kind"), F.lit(1 - damping) * F.col("seed") + flown).otherwise(F.col("seed") + (1 - F.col("seed")) * flown)
         rank = base.join(flow, ["host", "kind"], "left").select("host", "kind", x.alias("x"))
         if k % every == 0:
             rank = checkpointed(rank)

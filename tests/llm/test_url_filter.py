@@ -43,21 +43,22 @@ def plain(rows, rules, damping=0.85, rounds=20):
             hosts.add(host)
             for link in re.findall(r"""(?i)<a\s[^>]*href\s*=\s*["']([^"'>]*)""", html):
                 m = re.match(r"(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]+)", link)
-                to = m[1].lower() if m else host
-                hosts.add(to)
-                links[host, to] = links.get((host, to), 0) + 1
+                if m and m[1].lower() != host:
+                    hosts.add(m[1].lower())
+                    links[host, m[1].lower()] = links.get((host, m[1].lower()), 0) + 1
     names = sorted(hosts)
     n = len(names)
     w = np.zeros((n, n))
     for (a, b), c in links.items():
         w[names.index(a), names.index(b)] = c
     out = {}
-    for kind, m in (("allow", w), ("block", w.T)):
-        p = np.array([row / row.sum() if row.sum() else np.eye(n)[i] for i, row in enumerate(m)])
+    for kind in ("allow", "block"):
+        own = np.eye(n) if kind == "allow" else np.zeros((n, n))
+        p = np.array([row / row.sum() if row.sum() else own[i] for i, row in enumerate(w)])
         seed = np.array([np.mean([bool(x[2]) and x[2][2] == kind for x in parsed if x[0] == h] or [0]) for h in names])
         x = seed
         for _ in range(rounds):
-            x = (1 - damping) * seed + damping * (x @ p)
+            x = (1 - damping) * seed + damping * (x @ p) if kind == "allow" else seed + (1 - seed) * damping * (p @ x)
         out[kind] = dict(zip(names, x.round(6)))
     result = []
     for (i, _, _), (host, path, hit, _) in zip(rows, parsed):
@@ -87,3 +88,18 @@ def test_equals_the_dense_model(spark):
 def test_without_broadcast_and_empty(spark):
     same(run(spark, ROWS[:6], max_broadcast=0, rounds=3), plain(ROWS[:6], URL_RULES, rounds=3))
     assert run(spark, [], rounds=2) == []
+
+
+def test_verdicts_compare_between_hosts(spark):
+    link = lambda *hosts: "".join(f'<a href="http://{h}/">x</a>' for h in hosts)
+    rows = [
+        (1, "http://c.com/", link("a.com")), (2, "http://a.com/", link("b.net")), (3, "http://b.net/", link("good.com", "fine.com")),
+        *[(10 + i, f"http://example.com/de/{i}", link("good.com")) for i in range(19)], (30, "http://example.com/en", '<a href="/own">x</a>' * 50),
+        (31, "http://linker.com/", link("example.com")),
+        (40, "http://many.com/", link("b.net", *[f"h{i}.com" for i in range(9)])), (41, "http://good.com/", None),
+    ]
+    got = {r.page_id: r for r in judge_urls(spark.createDataFrame(rows, "page_id long, url string, html string"), URL_RULES).collect()}
+    assert got[2].verdict == "block" and got[2].distrust > got[1].distrust > 0
+    assert (got[30].verdict, got[31].verdict) == ("block", "block") and got[30].distrust > 0.9
+    assert (got[40].verdict, got[41].verdict) == ("allow", "allow")
+    assert all(0 <= r.distrust <= 1 for r in got.values())
