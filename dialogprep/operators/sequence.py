@@ -76,8 +76,11 @@ def split_hot_keys(
     hot_threshold: int = DEFAULT_HOT_THRESHOLD,
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
     counts_from: DataFrame | None = None,
+    bytes_of: Column | None = None,
+    hot_bytes: int | None = None,
 ) -> HotSplit:
-    """Route rows of keys with more than ``hot_threshold`` rows aside.
+    """Route rows of keys with more than ``hot_threshold`` rows aside, or,
+    where ``bytes_of`` measures a row, with more than ``hot_bytes`` bytes.
 
     ``counts_from`` may be a cheaper frame with the same key values and at
     least as many rows per key (for example the table before a filter); a
@@ -97,8 +100,15 @@ def split_hot_keys(
         cutoff = hot_threshold * rate / 2
     else:
         cutoff = hot_threshold
-    counts = source.groupBy(key_hash(key).alias(_KH)).agg(F.count(F.lit(1)).alias("_dp_n"))
-    hot = counts.where(F.col("_dp_n") > cutoff).select(_KH, (F.col("_dp_n") / F.lit(rate)).alias("_dp_n"))
+    heavy = F.lit(False)
+    size = F.lit(0).cast("bigint")
+    if bytes_of is not None and hot_bytes:
+        # a sampled sum is that of many rows or of few large ones: half the
+        # bound is taken as too much, so that few heavy keys are missed
+        size = F.sum(bytes_of)
+        heavy = F.col("_dp_size") > (hot_bytes * rate / 2 if rate < 1.0 else hot_bytes)
+    counts = source.groupBy(key_hash(key).alias(_KH)).agg(F.count(F.lit(1)).alias("_dp_n"), size.alias("_dp_size"))
+    hot = counts.where((F.col("_dp_n") > cutoff) | heavy).select(_KH, (F.col("_dp_n") / F.lit(rate)).alias("_dp_n"))
     # One small job in the common case (no hot key): the number of hot keys
     # and their rows. The hot set is at most rows / hot_threshold keys; it
     # is broadcast only when within the bound (8 bytes a key).
@@ -304,9 +314,12 @@ def by_hotness(
     hot_threshold: int | None = DEFAULT_HOT_THRESHOLD,
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
     counts_from: DataFrame | None = None,
+    hot_fn: Callable[[DataFrame, Scan], DataFrame] | None = None,
+    bytes_of: Column | None = None,
+    hot_bytes: int | None = None,
 ) -> DataFrame:
     """Run ``fn(rows, scan)`` on normal keys with the window scan and on hot
-    keys with the chunked scan, and union the two results.
+    keys (``hot_fn`` if given) with the chunked scan, and union the two results.
 
     ``fn`` is a whole chain of steps (messages -> blocks -> pairs), so the
     split is decided once and each branch keeps its own partitioning.
@@ -315,12 +328,12 @@ def by_hotness(
     """
     if hot_threshold is None:
         return fn(df, scan_window)
-    split = split_hot_keys(df, key, hot_threshold, chunk_rows, counts_from)
+    split = split_hot_keys(df, key, hot_threshold, chunk_rows, counts_from, bytes_of, hot_bytes)
     normal = fn(split.normal, scan_window)
     if split.hot is None:
         return normal
     chunked = functools.partial(_scan_chunked_kw, chunks=split.chunks)
-    return normal.unionByName(fn(split.hot, chunked))
+    return normal.unionByName((hot_fn or fn)(split.hot, chunked))
 
 
 def _scan_chunked_kw(df, key, order, chunks, **kw):

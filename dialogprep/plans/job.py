@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from dialogprep.functions import records as R
 from dialogprep.functions import text as T
+from dialogprep.operators import lean
 from dialogprep.operators import pairs as P
 from dialogprep.operators import split as S
 from dialogprep.operators import turns as U
@@ -34,6 +35,9 @@ from dialogprep.sources.secrets import load_secrets
 
 log = logging.getLogger(__name__)
 
+# Bytes of text that one conversation may bring to one task.
+HOT_BYTES = 256 << 20
+
 
 @dataclass
 class JobConfig:
@@ -217,11 +221,13 @@ def build_samples(
     text: str = "text",
     timestamp: str = "timestamp",
     counts_from: DataFrame | None = None,
+    hot_bytes: int = HOT_BYTES,
 ) -> DataFrame:
     """Cleaned messages -> (user, assistant) pairs with ``sample`` struct.
 
     Normal conversations go through one shuffle on the key; conversations
-    over ``hot_threshold`` messages go through the chunked scan.
+    over ``hot_threshold`` messages or ``hot_bytes`` bytes of text go through
+    the chunked scan, without their texts until the pairs are known.
     ``counts_from`` is a cheaper frame with the same keys and no fewer rows
     (the messages before cleaning), so that finding them cleans nothing.
     """
@@ -230,7 +236,13 @@ def build_samples(
         blocks = U.merge_blocks(rows, key, order, sender, text, timestamp, scan=scan)
         return P.reply_pairs(blocks, key, time_gap_limit, gap_from, scan=scan)
 
-    pairs = by_hotness(messages, key, chain, hot_threshold, chunk_rows, counts_from)
+    def lean_chain(rows: DataFrame, scan) -> DataFrame:
+        return lean.lean_pairs(rows, key, order, time_gap_limit, gap_from, scan, sender, text, timestamp)
+
+    size = None
+    if counts_from is None or text in counts_from.columns:
+        size = F.octet_length(F.col(text).cast("string")).cast("bigint")
+    pairs = by_hotness(messages, key, chain, hot_threshold, chunk_rows, counts_from, lean_chain, size, hot_bytes)
     return pairs.withColumn("sample", P.sample_record())
 
 

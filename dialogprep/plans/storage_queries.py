@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dialogprep.operators import split as S
+from dialogprep.operators.lean import lean_pairs
 from dialogprep.plans import source_queries as X
 from dialogprep.session import ensure_checkpoint_dir
 from dialogprep.sources import cleaned as C
@@ -74,7 +75,18 @@ def q_split_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sides.groupBy("side", F.sha2("line", 256).alias("line_sha256")).agg(F.count("*").alias("n"))
 
 
+def q_lean_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reply pairs of all conversations, found without texts; texts last."""
+    conv = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    msgs = conv.select(
+        "conv_id", "turn", F.when(F.col("role") == "assistant", "me").otherwise("other").alias("sender"), "text",
+        (F.col("turn") * 1000).alias("timestamp"),
+    )
+    return lean_pairs(msgs, ["conv_id"], ["turn"]).select("conv_id", "block", "user", "assistant", "user_ts", "reply_ts")
+
+
 QUERIES = {
+    "lean_pairs": q_lean_pairs,
     "list_ranges_items": q_list_ranges_items,
     "published_lines": q_published_lines,
     "ordered_lines": q_ordered_lines,
@@ -89,7 +101,26 @@ _LINE = """
 """
 _LINES = f"SELECT conv_id, turn, {_LINE} AS line FROM conversations"
 
+_STRIPPED = f"trim(text, {X._SPACES})"
+
 ORACLE_SQL = {
+    "lean_pairs": f"""
+      WITH m AS (
+        SELECT conv_id, turn, CASE WHEN role = 'assistant' THEN 'me' ELSE 'other' END AS sender, {_STRIPPED} AS text
+        FROM conversations WHERE text IS NOT NULL AND {_STRIPPED} <> ''
+      ), r AS (
+        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn)
+                  - row_number() OVER (PARTITION BY conv_id, sender ORDER BY turn) AS island FROM m
+      ), b AS (
+        SELECT conv_id, sender, min(turn) AS first, max(turn) * 1000 AS stamp, string_agg(text, chr(10) ORDER BY turn) AS text
+        FROM r GROUP BY conv_id, sender, island
+      ), n AS (
+        SELECT *, row_number() OVER w AS block, lead(sender) OVER w AS next_sender, lead(text) OVER w AS next_text, lead(stamp) OVER w AS next_stamp
+        FROM b WINDOW w AS (PARTITION BY conv_id ORDER BY first)
+      )
+      SELECT conv_id, block, text AS user, next_text AS assistant, stamp AS user_ts, next_stamp AS reply_ts FROM n
+      WHERE sender = 'other' AND next_sender = 'me' AND length(text) >= 2 AND length(next_text) >= 2 AND next_stamp - stamp <= 43200000
+    """,
     "list_ranges_items": X.ORACLE_SQL["cleaned_items"],
     "published_lines": f"""
       SELECT CASE WHEN turn = 0 THEN 'first' ELSE 'later' END AS output, sha256(line) AS line_sha256, count(*) AS n
