@@ -17,7 +17,8 @@ is shuffled and a queue with a third of all rows is no task's burden.
 
 Defined results: a null or empty text is its closing id alone; rows of null
 source share a queue; repeated rows are packed one by one; an empty table
-gives no rows. Beyond ``max_queues`` sources, queues are shared by hash.
+gives no rows. Every source has its own queue at any number of sources; beyond
+``max_queues`` the quanta are put in order by a sort in place of the closed form.
 """
 
 from __future__ import annotations
