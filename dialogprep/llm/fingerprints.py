@@ -4,11 +4,17 @@ A k-mer of the text's bytes is a closed syncmer when the smallest of its
 inner s-mers (by hash) is the first or the last one. That depends on the
 k-mer alone, so an edit moves no anchor outside the bytes it touches, and a
 text and its edited version have the same anchors wherever they agree. All
-anchors of a text make its fingerprint, each hash with its first byte
-position, so a fingerprint grows with its text (some five bytes a byte).
+occurrences of all anchors of a text, in order of position, make its
+fingerprint: each one's hash and its distance from the one before. It grows
+with its text (some two bytes a byte); stretches of one repeated anchor (a
+letter held down) take one entry.
 
 The likeness of two fingerprints is the Dice coefficient of their anchors,
-counting only matches whose positions come in the same order in both.
+counting only matches that come in the same order in both. What both begin
+with and what both end with matches; between them an anchor's n-th occurrence
+matches its n-th occurrence in the other, counted from the front or from the
+back, whichever gives more matches in order. For texts without repeated anchors
+that is the longest common subsequence of the anchors, for others at most that.
 
 Each document also meets the next one by ascending ``doc_id``. Documents are
 dealt by ranges of ids, sorted inside them, and read as a stream; the first
@@ -20,7 +26,9 @@ string; a text without any syncmer (under 16 bytes, or a few more) has one
 anchor, the hash of the whole text; two empty fingerprints are alike (1.0),
 an empty and another one are not (0.0); rows of equal ids are ordered by
 their texts, null ids come first; a single row is its own next; an empty
-table gives no rows; further columns are ignored.
+table gives no rows; further columns are ignored. Very long texts are cut
+into overlapping blocks, which changes no anchor; one text's anchors (12 bytes
+each) fit into a task's memory.
 """
 
 from __future__ import annotations
@@ -68,21 +76,38 @@ def _block_syncmers(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return at, (_mix(h[at] * _C + h[at + K - S]) >> np.uint64(32)).astype(np.uint32)
 
 
-def _anchors(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """``(hashes in ascending order, first position of each)``."""
+def anchors(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """``(hashes, positions)`` of all anchors, in order of position."""
     ats, codes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
     for begin in range(0, len(raw) - K + 1, _BLOCK):
         at, code = _block_syncmers(raw[begin : begin + _BLOCK + K - 1])  # blocks overlap by K - 1, so no k-mer is cut
         ats.append(at + begin)
         codes.append(code)
-    code, first = np.unique(np.concatenate(codes), return_index=True)
+    code, at = np.concatenate(codes), np.concatenate(ats)
     if raw and not len(code):
         return np.array([xxhash.xxh32_intdigest(raw)], np.uint32), np.zeros(1, np.int64)
-    return code, np.concatenate(ats)[first]
+    return code, at
 
 
-def _string(code: np.ndarray, at: np.ndarray) -> str:
-    return ".".join(map("%08x%x".__mod__, zip(code.tolist(), at.tolist())))
+def to_string(code: np.ndarray, at: np.ndarray) -> str:
+    """Hash (8 hex digits) and distance per anchor; ``*n`` for n equal entries in a row."""
+    gap = np.diff(at, prepend=0)
+    new = np.ones(len(code), bool)
+    new[1:] = (code[1:] != code[:-1]) | (gap[1:] != gap[:-1])
+    heads = np.nonzero(new)[0]
+    times = np.diff(np.append(heads, len(code)))
+    out = list(map("%08x%x".__mod__, zip(code[heads].tolist(), gap[heads].tolist())))
+    for i in np.nonzero(times > 1)[0].tolist():
+        out[i] += f"*{times[i]:x}"
+    return ".".join(out)
+
+
+def from_string(fingerprint: str) -> tuple[np.ndarray, np.ndarray]:
+    """The anchors that ``to_string`` wrote."""
+    entries = [x.partition("*") for x in fingerprint.split(".")] if fingerprint else []
+    times = [int(n or "1", 16) for _, _, n in entries]
+    code = np.repeat(np.array([int(x[:8], 16) for x, _, _ in entries], np.uint32), times)
+    return code, np.cumsum(np.repeat(np.array([int(x[8:], 16) for x, _, _ in entries], np.int64), times))
 
 
 def _rising(at: np.ndarray) -> int:
@@ -98,37 +123,37 @@ def _rising(at: np.ndarray) -> int:
     return len(tails)
 
 
-def _alike(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    if not len(a[0]) or not len(b[0]):
-        return float(len(a[0]) == len(b[0]))
-    _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    p, q = a[1][i], b[1][j]
-    return 2 * _rising(q[np.lexsort((q, p))]) / (len(a[0]) + len(b[0]))
-
-
-def _arrays(found: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-    code = np.array(sorted(found), np.uint32)
-    return code, np.array([found[c] for c in code.tolist()], np.int64)
-
-
-def anchors(raw: bytes, size: int | None = None) -> dict[int, int]:
-    """Hash -> first position of all anchors. ``size`` cuts nothing; it is
-    there for callers from when it did."""
-    code, at = _anchors(raw)
-    return dict(zip(code.tolist(), at.tolist()))
+def _numbered(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and number of its occurrence as one integer, ascending; the place of each."""
+    order = np.argsort(code, kind="stable")
+    ordered = code[order]
+    start = np.searchsorted(ordered, ordered)
+    return (ordered.astype(np.uint64) << np.uint64(32)) + (np.arange(len(code)) - start).astype(np.uint64), order
 
 
-def to_string(found: dict[int, int]) -> str:
-    return _string(*_arrays(found))
+def _by_number(a: np.ndarray, b: np.ndarray) -> int:
+    """Matches in order, an anchor's n-th occurrence with its n-th one."""
+    (x, place), (y, other) = _numbered(a), _numbered(b)
+    _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+    return _rising(other[j][np.argsort(place[i])])
 
 
-def from_string(fingerprint: str) -> dict[int, int]:
-    return {int(x[:8], 16): int(x[8:], 16) for x in fingerprint.split(".")} if fingerprint else {}
+def _same_start(a: np.ndarray, b: np.ndarray) -> int:
+    n = min(len(a), len(b))
+    differ = np.nonzero(a[:n] != b[:n])[0]
+    return int(differ[0]) if len(differ) else n
 
 
-def likeness(a: dict[int, int], b: dict[int, int], size: int | None = None) -> float:
-    """Share of anchors that match in order, 0 to 1 (``size``: see ``anchors``)."""
-    return _alike(_arrays(a), _arrays(b))
+def likeness(a: np.ndarray, b: np.ndarray) -> float:
+    """Share of two texts' anchors (hashes in order) that match, 0 to 1."""
+    if not len(a) or not len(b):
+        return float(len(a) == len(b))
+    first = _same_start(a, b)
+    x, y = a[first:], b[first:]
+    last = _same_start(x[::-1], y[::-1])
+    x, y = x[: len(x) - last], y[: len(y) - last]
+    between = max(_by_number(x, y), _by_number(x[::-1], y[::-1])) if len(x) and len(y) else 0
+    return 2 * (first + last + between) / (len(a) + len(b))
 
 
 def edited(text: str, following: str) -> str:
@@ -180,10 +205,10 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     def judge(doc_id, text, own, following, ahead):
         changed = edited(text, following)
         raw = changed.encode()
-        new = own if changed == text else _anchors(raw)
+        new = own if changed == text else anchors(raw)
         return (
-            doc_id, len(text), hashlib.sha256(raw).hexdigest(), _string(*own), _string(*new),
-            _alike(own, new), _alike(own, ahead),
+            doc_id, len(text), hashlib.sha256(raw).hexdigest(), to_string(*own), to_string(*new),
+            likeness(own[0], new[0]), likeness(own[0], ahead[0]),
         )
 
     def made(out):
@@ -199,7 +224,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             for where, ahead, doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
                 if where == done or (ahead and (held is None or held[0] != where)):
                     continue
-                found = _anchors(text.encode())
+                found = anchors(text.encode())
                 if held is not None:
                     out.append(judge(*held[1:], text, found))
                     held_bytes += len(out[-1][3]) + len(out[-1][4])
