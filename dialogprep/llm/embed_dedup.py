@@ -10,7 +10,9 @@ lost, ``e``, is kept per vector. For two unit vectors
 so the integer product of the quantised vectors decides every pair that lies
 farther than that bound from the threshold; only the pairs in between are
 computed again, from the stored vectors in double precision. Integer products
-run as float32 matrix products, which are exact up to 2^24.
+run as float32 matrix products over blocks of 1040 columns, whose sums stay
+under 2^24 and so are exact; blocks add up in float64. Vectors of floats stay
+floats, all others are doubles.
 
 A tile pair returns, per vector, the number of links and one link to the root
 of its local component: never the linked pairs themselves. Components come
@@ -48,9 +50,27 @@ def quantise(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return codes, scale, lost * (1 + 1e-9) + 1e-12
 
 
-def _units(raw: np.ndarray) -> np.ndarray:
+BLOCK = (1 << 24) // (127 * 127)  # columns whose products of codes add up exactly in float32
+
+
+def _products(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Exact products of the rows of int8 codes, which come as float32."""
+    if x.shape[1] <= BLOCK:
+        return x @ y.T
+    out = np.zeros((len(x), len(y)))
+    for k in range(0, x.shape[1], BLOCK):
+        out += x[:, k : k + BLOCK] @ y[:, k : k + BLOCK].T
+    return out
+
+
+def _scaled(raw: np.ndarray) -> np.ndarray:
+    """Doubles, each row by a power of two so that squares neither overflow nor vanish."""
     wide = raw.astype(np.float64)
-    wide /= np.abs(wide).max(axis=1)[:, None]  # no overflow of the squares
+    return np.ldexp(wide, -np.frexp(np.abs(wide).max(axis=1))[1][:, None])
+
+
+def _units(raw: np.ndarray) -> np.ndarray:
+    wide = _scaled(raw)
     return wide / np.linalg.norm(wide, axis=1)[:, None]
 
 
@@ -86,7 +106,7 @@ def _tiles(classes: DataFrame, tile_rows: int) -> DataFrame:
                     rows = []
                 at = int(tile[lo])
                 part = batch.slice(lo, hi - lo)
-                rows.append((part.column(1).to_numpy(), part.column(2).to_numpy(), part.column(3).flatten().to_numpy().astype(np.float32)))
+                rows.append((part.column(1).to_numpy(), part.column(2).to_numpy(), part.column(3).flatten().to_numpy()))
         if at is not None:
             yield bundle(at, rows)
 
@@ -101,17 +121,17 @@ class _Tile:
         self.lost = np.frombuffer(row["errors"], np.float64)
         n = len(self.nodes)
         self.codes = np.frombuffer(row["codes"], np.int8).reshape(n, -1).astype(np.float32)
-        self.vectors = np.frombuffer(row["vectors"], np.float32).reshape(n, -1)
+        self.vectors = np.frombuffer(row["vectors"], f"f{len(row['vectors']) // self.codes.size}").reshape(n, -1)
         self.length = self.scale * np.sqrt((self.codes.astype(np.float64) ** 2).sum(axis=1)) * (1 + 1e-12)
 
 
 def linked(x: _Tile, y: _Tile, lo: int, hi: int, threshold: float):
     """Index pairs ``(i, j)`` of linked vectors, ``lo <= i < hi`` of ``x``."""
-    product = x.codes[lo:hi] @ y.codes.T
+    product = _products(x.codes[lo:hi], y.codes)
     # below this no pair of the row can reach the threshold
     reach = threshold - x.lost[lo:hi] * y.length.max() - (x.length[lo:hi] + x.lost[lo:hi]) * y.lost.max()
     least = np.where(reach > 0, reach / (x.scale[lo:hi] * y.scale.max()), -np.inf)
-    i, j = np.nonzero(product >= np.floor(least)[:, None].astype(np.float32))
+    i, j = np.nonzero(product >= np.floor(least)[:, None].astype(product.dtype))
     near = product[i, j].astype(np.float64) * x.scale[lo + i] * y.scale[j]
     i += lo
     bound = x.lost[i] * y.length[j] + y.lost[j] * x.length[i] + x.lost[i] * y.lost[j] + 1e-12
@@ -119,7 +139,7 @@ def linked(x: _Tile, y: _Tile, lo: int, hi: int, threshold: float):
     open_ = np.nonzero(~sure & (near + bound >= threshold))[0]
     for k in range(0, len(open_), 20_000):
         some = open_[k : k + 20_000]
-        a, b = x.vectors[i[some]].astype(np.float64), y.vectors[j[some]].astype(np.float64)
+        a, b = _scaled(x.vectors[i[some]]), _scaled(y.vectors[j[some]])
         cosine = np.einsum("nd,nd->n", a, b) / (np.linalg.norm(a, axis=1) * np.linalg.norm(b, axis=1))
         sure[some] = cosine >= threshold
     return i[sure], j[sure]
@@ -184,7 +204,8 @@ def near_vectors(
     vectors: DataFrame, threshold: float = 0.9, tile_rows: int = 4096
 ) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for every row of ``vectors``."""
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding"))
+    kind = "float" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "double"
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(f"array<{kind}>").alias("embedding"))
     usable = (
         F.col("embedding").isNotNull()
         & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))

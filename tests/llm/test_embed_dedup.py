@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from dialogprep.llm.embed_dedup import near_vectors, quantise
+from dialogprep.llm.embed_dedup import _products, near_vectors, quantise
 
 SF001 = "/root/testdata/sf0.001"
 
@@ -73,3 +73,28 @@ def test_empty_table_and_null_id(spark):
         spark.createDataFrame([(None, [1.0, 2.0]), (5, [1.0, 2.0]), (None, None)], "vec_id long, embedding array<float>")
     ).collect()
     assert sorted((str(r.vec_id), r.n_links, str(r.component_id)) for r in got) == [("5", 1, "5"), ("None", 0, "None"), ("None", 1, "5")]
+
+
+def test_products_of_codes_are_exact_at_any_length():
+    rng = np.random.default_rng(5)
+    x, y = rng.integers(120, 128, (2, 40, 4096))
+    assert (_products(x.astype(np.float32), y.astype(np.float32)) == x @ y.T).all()
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e200, 1e-200])
+def test_long_near_flat_vectors_in_doubles(spark, scale):
+    """Codes near 127 everywhere, cosines close around the threshold, values beyond floats."""
+    rng = np.random.default_rng(9)
+    base = 1 + rng.normal(size=4096) * 0.01
+    vectors = [base]
+    for c in 0.9 + np.array([-1e-3, -1e-6, -1e-9, -1e-12, 1e-12, 1e-9, 1e-6, 1e-3]):
+        side = rng.normal(size=4096)
+        side -= base * (side @ base) / (base @ base)
+        vectors.append(c * base / np.linalg.norm(base) + np.sqrt(1 - c * c) * side / np.linalg.norm(side))
+    unit = np.array([v / np.linalg.norm(v) for v in vectors])
+    near = (unit @ unit.T >= 0.9).sum(axis=1) - 1
+    assert near[0] == 4
+    df = spark.createDataFrame([(i, [float(x) * scale for x in v]) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in near_vectors(df).collect()}
+    assert [got[i].n_links for i in range(len(vectors))] == near.tolist()
+    assert [got[i].component_id for i in range(len(vectors))] == [0, 1, 2, 3, 4, 0, 0, 0, 0]
