@@ -23,8 +23,9 @@ Defined results: null values of a level are a node named ''; documents
 without tokens are never taken; the document at the cut gives its first
 ``take_tokens`` tokens only; rows equal in id and text tie, and at the cut
 each gives the same number of tokens; weight 0 closes a subtree; an empty
-table gives no rows; columns of the input are kept, clashing ones are
-replaced.
+table gives no rows; columns of the input are kept whatever their names,
+but for ``epoch``, ``n_tokens`` and ``take_tokens``, which are replaced. Whole
+texts are counted, very long ones too.
 """
 
 from __future__ import annotations
@@ -60,11 +61,13 @@ class Mix:
 
 
 def _prepared(docs: DataFrame, mix: Mix) -> DataFrame:
-    """``docs`` with node names ``_1 .. _k``, ``n_tokens`` and ``_row``."""
+    """Node names ``_1 .. _k``, ``n_tokens``, ``_row``, and the columns of
+    ``docs`` in a struct ``_input``, where their names clash with none."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     row = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), text))
     names = {f"_{i}": F.coalesce(F.col(c).cast("string"), F.lit("")) for i, c in enumerate(mix.levels, 1)}
-    return docs.withColumns(names | {"n_tokens": F.regexp_count(text, F.lit(TOKEN)).cast("long"), "_row": row})
+    made = names | {"n_tokens": F.regexp_count(text, F.lit(TOKEN)).cast("long"), "_row": row}
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_input"), *[c.alias(n) for n, c in made.items()])
 
 
 def _order_key(mix: Mix, epoch: Column) -> Column:
@@ -161,11 +164,8 @@ def leaf_plan(docs: DataFrame, mix: Mix) -> DataFrame:
 def mixed(docs: DataFrame, mix: Mix) -> DataFrame:
     """The taken rows of ``docs``, once per epoch, with ``epoch``,
     ``n_tokens`` and ``take_tokens``."""
-    docs = docs.drop("epoch", "n_tokens", "take_tokens")
     keys = [f"_{i}" for i in range(1, len(mix.levels) + 1)]
-    columns = docs.columns
-    docs = docs.drop(*keys, "_row", "tokens", "budget", "epochs", "cut_key", "cut_tokens")
-    kept = [c for c in columns if c in docs.columns]
+    kept = [c for c in docs.columns if c.lower() not in ("epoch", "n_tokens", "take_tokens")]
     plan = leaf_plan(docs, mix)
     rows = _prepared(docs, mix).where("n_tokens > 0").join(broadcast_if_small(plan, mix.max_broadcast), keys)
     key = _order_key(mix, F.col("epochs"))
@@ -175,7 +175,7 @@ def mixed(docs: DataFrame, mix: Mix) -> DataFrame:
     ends = F.when(F.col("_last") > 0, F.col("epochs")).otherwise(F.col("epochs") - 1)
     rows = rows.where(ends >= 0).withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), ends)))
     take = F.when(F.col("epoch") < F.col("epochs"), F.col("n_tokens")).otherwise(F.col("_last"))
-    return rows.select(*kept, "epoch", "n_tokens", take.alias("take_tokens"))
+    return rows.select(*[F.col("_input").getField(c).alias(c) for c in kept], "epoch", "n_tokens", take.alias("take_tokens"))
 
 
 def first_tokens(text: Column, n: Column) -> Column:

@@ -105,3 +105,25 @@ def test_first_tokens(spark):
     rows = spark.createDataFrame([(" a  b\tc\n", 2), ("é  x y", 1), ("a", 5), ("a b", 0)], "t string, n long")
     got = [r[0] for r in rows.select(first_tokens(F.col("t"), F.col("n"))).collect()]
     assert got == [" a  b", "é", "a", ""]
+
+
+def test_input_columns_of_any_name_are_kept(spark):
+    rows = fixture()
+    names = ("tokens", "budget", "epochs", "cut_key", "cut_tokens", "_row", "_1", "_input", "want")
+    plain = spark.createDataFrame(rows, "doc_id long, text string, domain string, lang string, source string")
+    df = plain.withColumns({c: F.lit(f"own {c}") for c in names}).withColumn("epoch", F.lit("replaced"))
+    mix = Mix(LEVELS, {("b",): 9}, percent=70)
+    got = mixed(df.repartition(3), mix)
+    assert got.columns == [*plain.columns, *names, "epoch", "n_tokens", "take_tokens"]
+    kept = got.collect()
+    assert all(r[c] == f"own {c}" for r in kept for c in names)
+    of = ("doc_id", "text", "epoch", "n_tokens", "take_tokens")
+    assert sorted(map(repr, (tuple(r[c] for c in of) for r in kept))) == sorted(
+        map(repr, (tuple(r[c] for c in of) for r in mixed(plain, mix).collect()))
+    )
+
+
+def test_very_long_text(spark):
+    df = spark.createDataFrame([(1, "word " * 60_000, "a", "en", "s"), (2, "a b", "a", "en", "t")], "doc_id long, text string, domain string, lang string, source string")
+    got = {r.doc_id: r.n_tokens for r in mixed(df, Mix(LEVELS, {}, percent=100, max_epochs=1)).collect()}
+    assert got == {1: 60_000, 2: 2}
