@@ -22,7 +22,9 @@ joined with their directory, not with paths one by one.
 Defined results: null and empty texts have no notice; a null path is the
 root's file; equal scores go to the license first by name; several licence
 files in a directory: the best score, then the first by name; repeated rows
-are judged alike; an empty table gives no rows; other columns are kept.
+are judged alike; an empty table gives no rows; other columns are kept,
+but for ``text`` and those of the result's names. Whole texts are searched,
+very long ones too.
 """
 
 from __future__ import annotations
@@ -136,6 +138,16 @@ def own_licenses(docs: DataFrame, key: str, templates, threshold: float, max_bro
     return best.select(key, F.col("b.license").alias("own_license"), (-F.col("b.col1")).alias("own_score"))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until no column of ``df`` has them."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def _above(path: Column) -> Column:
     """The directory of a path, '' at the top."""
     return F.regexp_extract(path, "^(.*)/[^/]*$", 1)
@@ -156,33 +168,35 @@ def scan_licenses(
     ``license_dir`` names the directory of. ``is_licence_file`` may use
     ``own_license`` and ``own_score``.
     """
-    made = ["path", "own_license", "own_score", "license", "license_dir", "_row", "_dir", "_file"]
-    columns = [c for c in docs.columns if c not in made and c != "text"]
+    made = ["path", "own_license", "own_score", "license", "license_dir", "text"]
+    columns = [f"`{c}`" for c in docs.columns if c.lower() not in made]
+    row, folder, is_file, above_license, above_dir = unused(docs, "_row", "_dir", "_file", "_license", "_license_dir")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.withColumn("path", F.coalesce(path.cast("string"), F.lit(""))).withColumn("text", text)
-    rows = rows.withColumn("_row", F.md5("text")).drop("own_license", "own_score")
-    own = checkpointed(own_licenses(rows.select("_row", "text"), "_row", templates, threshold, max_broadcast))
-    narrow = rows.join(broadcast_if_small(own, max_broadcast), "_row", "left").withColumn(
-        "_file", F.col("own_license").isNotNull() & F.coalesce(is_licence_file, F.lit(False))
+    rows = rows.withColumn(row, F.md5("text")).drop("own_license", "own_score")
+    own = checkpointed(own_licenses(rows.select(row, "text"), row, templates, threshold, max_broadcast))
+    narrow = rows.join(broadcast_if_small(own, max_broadcast), row, "left").withColumn(
+        is_file, F.col("own_license").isNotNull() & F.coalesce(is_licence_file, F.lit(False))
     )
-    narrow = checkpointed(narrow.withColumn("_dir", _above(F.col("path"))).select(*columns, "path", "own_license", "own_score", "_dir", "_file"))
+    narrow = narrow.withColumn(folder, _above(F.col("path")))
+    narrow = checkpointed(narrow.select(*columns, "path", "own_license", "own_score", folder, is_file))
 
     best = F.min(F.struct(-F.col("own_score"), "own_license")).getField("own_license")
-    stated = narrow.where("_file").groupBy("_dir").agg(best.alias("license")).withColumnRenamed("_dir", "license_dir")
+    stated = narrow.where(F.col(is_file)).groupBy(folder).agg(best.alias("license")).withColumnRenamed(folder, "license_dir")
     # every directory with all directories above it, itself included
-    parts = F.split("_dir", "/")
+    parts = F.split(folder, "/")
     above = F.transform(F.sequence(F.lit(0), F.size(parts)), lambda i: F.struct(i.alias("depth"), F.array_join(F.slice(parts, 1, i), "/").alias("license_dir")))
-    chains = narrow.select("_dir").distinct().select("_dir", F.inline(above)).dropDuplicates(["_dir", "license_dir"])
+    chains = narrow.select(folder).distinct().select(folder, F.inline(above)).dropDuplicates([folder, "license_dir"])
     nearest = (
-        chains.join(stated, "license_dir").groupBy("_dir")
+        chains.join(stated, "license_dir").groupBy(folder)
         .agg(F.max(F.struct("depth", "license_dir", "license")).alias("n"))
-        .select("_dir", F.col("n.license").alias("_license"), F.col("n.license_dir").alias("_license_dir"))
+        .select(folder, F.col("n.license").alias(above_license), F.col("n.license_dir").alias(above_dir))
     )
     nearest = checkpointed(nearest)
-    found = narrow.join(broadcast_if_small(nearest, max_broadcast), "_dir", "left")
+    found = narrow.join(broadcast_if_small(nearest, max_broadcast), folder, "left")
     has_own = F.col("own_license").isNotNull()
     return found.select(
         *columns, "path", "own_license", "own_score",
-        F.coalesce("own_license", "_license").alias("license"),
-        F.when(~has_own, F.col("_license_dir")).alias("license_dir"),
+        F.coalesce("own_license", above_license).alias("license"),
+        F.when(~has_own, F.col(above_dir)).alias("license_dir"),
     )

@@ -102,3 +102,16 @@ def test_common_words_beside_a_notice_and_wrapped_notices(spark):
 def run_plain_rows(spark, rows):
     df = spark.createDataFrame(rows, "doc_id long, p string, text string").repartition(3)
     return scan_licenses(df, F.col("p"), F.lit(False)).select("doc_id", "own_license", "own_score").collect()
+
+
+def test_clashing_columns_and_very_long_text(spark):
+    names = ("_license", "_license_dir", "_row", "_dir", "_file", "Unit", "term")
+    long = "nothing to see in this line\n" * 8000
+    rows = [(1, "a/LICENSE", "Released under the MIT License"), (2, "a/b/x", "code"), (3, "c/x", long + "Licensed under CC BY 4.0\n" + long), (4, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, p string, text string").withColumns({c: F.lit(f"own {c}") for c in names})
+    out = scan_licenses(df, F.col("p"), F.col("path").endswith("LICENSE"))
+    got = {r.doc_id: r for r in out.collect()}
+    assert all(got[i][c] == f"own {c}" for i in got for c in names)
+    assert [(got[i].own_license, got[i].license, got[i].license_dir) for i in (1, 2, 3, 4)] == [
+        ("MIT", "MIT", None), (None, "MIT", "a"), ("CC-BY-4.0", "CC-BY-4.0", None), (None, None, None),
+    ]
