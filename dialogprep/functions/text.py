@@ -6,6 +6,7 @@ and composes with ``select``/``where``/``withColumn``.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column
@@ -127,16 +128,56 @@ def _quote_replacement(token: str) -> str:
     return token.replace("\\", "\\\\").replace("$", "\\$")
 
 
+CHAINED_SECRETS = 32  # phrases; longer lists are folded over an array
+
+
+def _any_regex(terms: Iterable[str]) -> str:
+    """Java regex that finds a text holding any of the terms, as a prefix tree:
+    a position costs its possible next characters, not the number of terms."""
+
+    def branch(ordered: list[str], at: int) -> str:
+        """Of sorted terms that agree before ``at``."""
+        out, i = [], 0
+        while i < len(ordered):
+            j = i
+            while j < len(ordered) and ordered[j][at] == ordered[i][at]:
+                j += 1
+            first, last = ordered[i], ordered[j - 1]  # what they share, all between share
+            end = at + 1
+            while end < len(first) and end < len(last) and first[end] == last[end]:
+                end += 1
+            rest = "" if len(first) == end else branch(ordered[i:j], end)
+            out.append(_quote_regex(first[at:end]) + rest)
+            i = j
+        return f"(?:{'|'.join(out)})"
+
+    distinct = sorted(set(terms))
+    return "(?iu)" + ("" if distinct[0] == "" else branch(distinct, 0))  # the empty term is everywhere
+
+
 def replace_secrets(c: Column | str, secrets: Sequence[tuple[str, str]]) -> Column:
     """Replace each phrase with its token, case-insensitively, in list order.
 
     Later entries see the output of earlier ones. Phrases and tokens are
-    literal (tokens are not regex templates).
+    literal (tokens are not regex templates). Up to ``CHAINED_SECRETS`` phrases
+    are nested calls; more are one fold over a constant array, which only
+    texts holding any phrase enter.
     """
     out = _col(c)
-    for term, token in secrets:
-        out = F.regexp_replace(out, "(?iu)" + _quote_regex(term), _quote_replacement(token))
-    return out
+    quoted = [("(?iu)" + _quote_regex(term), _quote_replacement(token)) for term, token in secrets]
+    if len(quoted) <= CHAINED_SECRETS:
+        for pattern, token in quoted:
+            out = F.regexp_replace(out, pattern, token)
+        return out
+    table = json.dumps([{"p": pattern, "t": token} for pattern, token in quoted])
+    steps = F.from_json(F.lit(table), "array<struct<p:string,t:string>>")
+    any_phrase = _any_regex(term for term, _ in secrets)
+
+    def folded(text: Column) -> Column:
+        return F.aggregate(steps, text, lambda now, x: F.regexp_replace(now, x["p"], x["t"]))
+
+    # as an element of an array the text is computed once
+    return F.transform(F.array(out), lambda text: F.when(text.rlike(any_phrase), folded(text)).otherwise(text))[0]
 
 
 def redact_phones(c: Column | str) -> Column:

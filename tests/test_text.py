@@ -1,5 +1,6 @@
 """Text rules as Spark columns, checked case by case and against Python."""
 
+import itertools
 import random
 import re
 
@@ -92,6 +93,28 @@ def test_secrets_unicode_case(spark):
     assert evaluate(spark, lambda c: T.replace_secrets(c, [("émile", "[N]")]), ["ÉMILE et Émile"]) == ["[N] et [N]"]
 
 
+def test_long_lists_of_secrets_equal_the_chain(spark, monkeypatch):
+    secrets = [(f"{a}{b}{i % 7}", f"[{i}$1\\]") for i, (a, b) in enumerate(itertools.product(("anna ", "an", "ann\\", "é.ü", "\\E|x"), "abcdefgh"))]
+    secrets += [("[3", "<again>"), ("anna", "<short>"), ("k", "<kelvin>"), ("😀😀", "<two>")]
+    said = ["", None, "nothing to hide", "Anna A0 and ANNA b1, ANA0", "É.ÜB3 x\\e|XA4 ann\\A2", "😀 😀😀😀", "\u212a", "an an\\ anna"] + [
+        f"{t.upper()} {u}" for (t, _), (u, _) in zip(secrets, secrets[7:])
+    ]
+    assert len(secrets) > T.CHAINED_SECRETS
+    assert T._any_regex(["b", ""]) == "(?iu)"
+    folded = evaluate(spark, lambda c: T.replace_secrets(c, secrets), said)
+    monkeypatch.setattr(T, "CHAINED_SECRETS", 1000)
+    assert folded == evaluate(spark, lambda c: T.replace_secrets(c, secrets), said)
+    assert folded[:3] == ["", None, "nothing to hide"] and folded != said
+
+
+def test_thousands_of_secrets(spark):
+    secrets = [(f"person number {i};", f"<{i}>") for i in range(5000)]
+    said = ["Person Number 4999; met person number 17;", "no such person number"] * 20
+    assert evaluate(spark, lambda c: T.replace_secrets(c, secrets), said) == ["<4999> met <17>", "no such person number"] * 20
+    got = evaluate(spark, lambda c: T.scrub(c, secrets=secrets), ["we saw person number 1234; at the lake"])
+    assert got == ["we saw <1234> at the lake"]
+
+
 def test_secret_with_quote_end_marker(spark):
     assert evaluate(spark, lambda c: T.replace_secrets(c, [("a\\eb", "[X]")]), ["za\\Eb"]) == ["z[X]"]
 
