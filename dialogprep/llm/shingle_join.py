@@ -19,12 +19,15 @@ lie there, in the next one.
 4. Cells that are empty or large are *unreliable*. A node whose unreliable
    cells are fewer than the cells it must share with any partner has been
    compared with all its partners in step 2. The other nodes are compared
-   again within their unreliable cells, but only where a cell still holds
-   nodes of different components: first with one node of the cell's main
-   component, which joins most of what belongs together, then with all those
-   of other components whose folded bit sketches differ in at most ``D`` bits. So no link
-   between different texts is lost, and groups of near copies, which one
-   star connects, are never expanded into pairs.
+   again where one of their unreliable cells still holds nodes of different
+   components: first with one node of the cell's main component, which joins
+   most of what belongs together. Of what is left, linked nodes share one of
+   their ``n - ceil(t * n) + 1`` rarest shingles (in any fixed order of all
+   shingles), so only nodes of different components that do are paired, if
+   their folded bit sketches differ in at most ``D`` bits. So no link between
+   different texts is lost, groups of near copies, which one star connects,
+   are never expanded into pairs, and texts that share a passage but have
+   enough words of their own never meet.
 
 Defined results: words are the stretches without ASCII white space, A-Z
 lower-cased; a text of fewer words than a shingle is one shingle; null and
@@ -50,6 +53,7 @@ from pyspark.sql import functions as F
 from dialogprep.llm.common import arrow_map, broadcast_if_small, checkpointed, row_key
 from dialogprep.llm.components import connected_components
 
+_BITS = pa.list_(pa.int64())
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -189,10 +193,11 @@ def _empty_keys(numbers: np.ndarray, band: int) -> np.ndarray:
     return _mix(_mix((numbers + np.uint64(1)) * _A + np.uint64(band)) ^ _C)
 
 
-def folded(u: np.ndarray) -> bytes:
-    """256 parity bits of the set: one bit flips per differing element."""
+def folded(u: np.ndarray) -> list[int]:
+    """256 parity bits of the set in four 64-bit integers: one bit flips per
+    differing element."""
     counts = np.bincount((_mix(u) >> np.uint64(56)).astype(np.int64), minlength=256)
-    return np.packbits((counts & 1).astype(np.uint8)).tobytes()
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64).tolist()
 
 
 def _pairs(key, node, size, num, den, group):
@@ -394,6 +399,7 @@ def _unreliable(docs: DataFrame, k: int, bands: Bands, large: DataFrame, max_bro
             rows, of = [np.empty(0, np.int64)], []  # keys of a node and band; what they share
             for text in batch.column(0).to_pylist():
                 u = shingles(text, k)
+                bits = folded(u)
                 for band, count, slack in bands.of(len(u)) if len(u) else ():
                     keys, empty = cell_keys(u, band, count)
                     keys = keys.view(np.int64)
@@ -403,16 +409,16 @@ def _unreliable(docs: DataFrame, k: int, bands: Bands, large: DataFrame, max_bro
                             continue
                     for is_empty, some in ((False, keys), (True, _empty_keys(empty, band).view(np.int64))):
                         rows.append(some)
-                        of.append((set_key(u), len(u), folded(u), band, slack - len(empty), is_empty, len(some)))
+                        of.append((set_key(u), len(u), bits, band, slack - len(empty), is_empty, len(some)))
             node, size, bits, band, room, is_empty, n = list(zip(*of)) or [[]] * 7
             each = pa.array(np.repeat(np.arange(len(of)), np.array(n, np.int64)))
-            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.bool_())
+            kinds = (pa.int64(), pa.int64(), _BITS, pa.int64(), pa.int64(), pa.bool_())
             shared = [pa.array(c, t).take(each) for c, t in zip((node, size, bits, band, room, is_empty), kinds)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(rows)), *shared], names=["key", "node", "size", "bits", "band", "room", "is_empty"]
             )
 
-    schema = "key long, node long, size long, bits binary, band long, room long, is_empty boolean"
+    schema = "key long, node long, size long, bits array<long>, band long, room long, is_empty boolean"
     cells = arrow_map(docs.select(F.col("text").cast("string")), run, schema)
     if known is None:
         mine = cells.join(large.select(F.col("a").alias("key"), F.lit(True).alias("is_large")), "key", "left")
@@ -425,14 +431,94 @@ def _unreliable(docs: DataFrame, k: int, bands: Bands, large: DataFrame, max_bro
     return cells.groupBy("key", "node").agg(F.min("size").alias("size"), F.min("bits").alias("bits"))
 
 
-def _bits_apart(x: str, y: str):
-    parts = [
-        F.bit_count(
-            F.conv(F.hex(F.substring(x, i, 4)), 16, 10).cast("long").bitwiseXOR(F.conv(F.hex(F.substring(y, i, 4)), 16, 10).cast("long"))
-        )
-        for i in range(1, 33, 4)
-    ]
-    return sum(parts[1:], parts[0])
+def _may_link(x: str, y: str, bands: Bands):
+    """Whether sizes and bit sketches of the columns ``x`` and ``y`` (structs
+    with ``size`` and ``bits``) leave a link possible."""
+    a, b = F.col(f"{x}.size"), F.col(f"{y}.size")
+    apart = [F.bit_count(F.col(f"{x}.bits")[i].bitwiseXOR(F.col(f"{y}.bits")[i])) for i in range(4)]
+    room = F.floor(F.lit(bands.den - bands.num) * (a + b) / F.lit(bands.den + bands.num))
+    return (F.lit(bands.den) * F.least(a, b) >= F.lit(bands.num) * F.greatest(a, b)) & (sum(apart[1:], apart[0]) <= room)
+
+
+def _slots(u: np.ndarray, bits: int) -> np.ndarray:
+    return (_mix(u ^ _C) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _slot_loads(texts: DataFrame, k: int, bits: int) -> np.ndarray:
+    """How many shingles of the texts fall in each of ``2 ** bits`` slots, up
+    to 65535. At most that many rows reach the driver."""
+
+    def run(batches):
+        def counted():
+            slot, n = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(slot), pa.array(n, pa.int64())], names=["slot", "n"])
+
+        held, size = [], 0
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                held.append(_slots(shingles(text, k), bits))
+                size += len(held[-1])
+                if size > 1_000_000:
+                    yield counted()
+                    held, size = [], 0
+        if size:
+            yield counted()
+
+    found = arrow_map(texts.select("text"), run, "slot long, n long").groupBy("slot").agg(F.least(F.sum("n"), F.lit(65535)).alias("n"))
+    found = found.where("n > 1").toArrow()
+    loads = np.ones(1 << bits, np.uint16)
+    loads[found.column("slot").to_numpy()] = found.column("n").to_numpy()
+    return loads
+
+
+def rarest(u: np.ndarray, loads: np.ndarray, bands: Bands) -> np.ndarray:
+    """The shingles of a set of which linked sets share one: the first
+    ``n - ceil(t * n) + 1`` in the order by load of the slot, then by hash."""
+    n = len(u)
+    order = np.lexsort((u, loads[_slots(u, len(loads).bit_length() - 1)]))
+    return u[order[: n - -(-bands.num * n // bands.den) + 1]]
+
+
+def _rare_entries(nodes: DataFrame, k: int, bands: Bands, loads) -> DataFrame:
+    """``(key, component, x)`` for the rarest shingles of ``(node, component,
+    text)``; ``x`` is the struct of node, size and bits."""
+
+    def run(batches):
+        table = loads.value
+        for batch in batches:
+            rows, of = [np.empty(0, np.int64)], []
+            for text, component in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                u = shingles(text, k)
+                rows.append(rarest(u, table, bands).view(np.int64))
+                of.append((component, set_key(u), len(u), folded(u), len(rows[-1])))
+            component, node, size, bits, n = list(zip(*of)) or [[]] * 5
+            each = pa.array(np.repeat(np.arange(len(of)), np.array(n, np.int64)))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), _BITS)
+            shared = [pa.array(c, t).take(each) for c, t in zip((component, node, size, bits), kinds)]
+            x = pa.StructArray.from_arrays(shared[1:], names=["node", "size", "bits"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(rows)), shared[0], x], names=["key", "component", "x"])
+
+    schema = "key long, component long, x struct<node:long,size:long,bits:array<long>>"
+    return arrow_map(nodes.select("text", "component"), run, schema)
+
+
+def _pairs_by_rare(nodes: DataFrame, total: int, k: int, bands: Bands) -> DataFrame:
+    """Pairs ``(a, b)`` of nodes of different components that may link, of
+    ``(node, component, text)`` with ``total`` shingles."""
+    sc = nodes.sparkSession.sparkContext
+    # a slot for some two shingles; the table has at most 8 MB
+    loads = sc.broadcast(_slot_loads(nodes, k, min(22, max(10, (total // 2).bit_length()))))
+    entries = checkpointed(_rare_entries(nodes, k, bands, loads))
+    loads.unpersist()
+    mixed = entries.groupBy("key").agg(F.min("component").alias("main"), F.max("component").alias("other"))
+    entries = entries.join(mixed.where("main <> other").select("key", "main"), "key")
+    # a row and its repeats are one node
+    entries = checkpointed(entries.withColumn("node", F.col("x.node")).dropDuplicates(["key", "node"]).drop("node"))
+    x = entries.where("component <> main").select("key", F.col("component").alias("c"), "main", "x")
+    y = entries.select("key", F.col("component").alias("d"), F.col("x").alias("y"))
+    apart = (F.col("c") != F.col("d")) & ((F.col("d") == F.col("main")) | (F.col("x.node") < F.col("y.node")))
+    met = x.join(y, "key").where(apart & _may_link("x", "y", bands))
+    return met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
 def near_duplicates(
@@ -508,30 +594,25 @@ def near_duplicates(
     # a first round that is linear in the cells: every node outside a cell's
     # main component meets one node of it, another one in each cell
     placed = still_mixed(parts)
-    one_of = placed.where("component = main").groupBy("key").agg(F.max_by("node", F.xxhash64("key", "node")).alias("rep"))
-    first = placed.where("component <> main").join(one_of, "key")
-    first = first.select(F.least("node", "rep").alias("a"), F.greatest("node", "rep").alias("b")).distinct()
+    entry = F.struct("node", "size", "bits")
+    one_of = placed.where("component = main").groupBy("key").agg(F.max_by(entry, F.xxhash64("key", "node")).alias("y"))
+    first = placed.where("component <> main").select("key", entry.alias("x")).join(one_of, "key").where(_may_link("x", "y", bands))
+    first = first.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
     first = checkpointed(first.join(pairs, ["a", "b"], "left_anti"))
     if first.limit(1).count():
         links = checkpointed(links.union(_verify(first, texts_of(both_ends(first)), k, bands)))
         pairs = checkpointed(pairs.union(first))
         parts = checkpointed(connected_components(links, "a", "b"))
         placed = still_mixed(parts)
-    x = placed.where("component <> main").select(*[F.col(c).alias(f"x_{c}") for c in ("key", "node", "size", "bits", "component", "main")])
-    y = placed.select(*[F.col(c).alias(f"y_{c}") for c in ("key", "node", "size", "bits", "component")])
-    room = F.floor(F.lit(den - num) * (F.col("x_size") + F.col("y_size")) / F.lit(den + num))
-    more = x.join(
-        y,
-        (F.col("x_key") == F.col("y_key"))
-        & (F.col("x_component") != F.col("y_component"))
-        & ((F.col("y_component") == F.col("x_main")) | (F.col("x_node") < F.col("y_node")))
-        & (F.lit(den) * F.least("x_size", "y_size") >= F.lit(num) * F.greatest("x_size", "y_size"))
-        & (_bits_apart("x_bits", "y_bits") <= room),
-    ).select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
-    more = checkpointed(more.join(pairs, ["a", "b"], "left_anti"))
-    if more.limit(1).count():
-        late = checkpointed(_verify(more, texts_of(both_ends(more)), k, bands))
-        parts = checkpointed(connected_components(links.union(late), "a", "b"))
+    rest = checkpointed(placed.select("node", "component", "size").distinct())
+    if n_rest := rest.count():
+        texts = texts_of(rest.select("node"))
+        nodes = texts.join(broadcast_if_small(rest, max_broadcast, n_rest), "node")
+        total = rest.agg(F.sum("size")).first()[0]
+        more = checkpointed(_pairs_by_rare(nodes, total, k, bands).join(pairs, ["a", "b"], "left_anti"))
+        if more.limit(1).count():
+            late = checkpointed(_verify(more, texts, k, bands))
+            parts = checkpointed(connected_components(links.union(late), "a", "b"))
 
     # from nodes to documents: the smallest doc_id of each component
     merged = one.join(parts.withColumnRenamed("id", "node"), "node", "left").select(

@@ -71,6 +71,48 @@ def test_families_and_boilerplate(spark, k, num, den):
     check(spark, ids, texts, k, num, den, group=3, max_broadcast=0)
 
 
+def test_shared_passage_forms_few_pairs(spark, monkeypatch):
+    from dialogprep.llm import shingle_join as J
+
+    made = {}
+    plain = J._pairs_by_rare
+
+    def counted(*args):
+        found = plain(*args)
+        made["n"] = found.count()
+        return found
+
+    monkeypatch.setattr(J, "_pairs_by_rare", counted)
+    for n in (200, 400):
+        rng = random.Random(n)
+        common = [f"c{i}" for i in range(60)]
+        texts = [" ".join(common + [f"o{rng.randrange(10**9)}" for _ in range(30)]) for _ in range(n - 2)]
+        near = common + [f"n{i}" for i in range(30)]
+        texts += [" ".join(near), " ".join([*near[:-1], "last"])]
+        made["n"] = None
+        check(spark, list(range(n)), texts, 5, 80, 100)
+        assert made["n"] is not None and made["n"] <= n
+
+
+@pytest.mark.parametrize("slots", [1, 64, 4096])
+def test_rarest_shingles_meet_whatever_the_loads(slots):
+    """Linked sets share one of their rarest shingles for any loads."""
+    from dialogprep.llm.shingle_join import rarest
+
+    rng = np.random.default_rng(slots)
+    loads = rng.integers(1, 9, slots).astype(np.uint16) if slots > 1 else np.ones(2, np.uint16)
+    for num, den in ((90, 100), (80, 100)):
+        bands = Bands(num, den)
+        for n in (1, 2, 5, 9, 10, 11, 40, 300):
+            u = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+            for lost in range(n):
+                new = np.unique(rng.integers(0, 2**63, rng.integers(0, n // 4 + 1)).astype(np.uint64))
+                v = np.union1d(rng.permutation(u)[lost:], new)
+                both = len(np.intersect1d(u, v))
+                if den * both >= num * len(np.union1d(u, v)):
+                    assert len(np.intersect1d(rarest(u, loads, bands), rarest(v, loads, bands)))
+
+
 def test_whole_small_table(spark):
     rows = spark.read.parquet(f"{SF001}/documents.parquet").collect()
     check(spark, [r.doc_id for r in rows], [r.text for r in rows], 3, 90, 100)
