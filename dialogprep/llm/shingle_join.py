@@ -53,7 +53,6 @@ from pyspark.sql import functions as F
 from dialogprep.llm.common import arrow_map, broadcast_if_small, checkpointed, row_key
 from dialogprep.llm.components import connected_components
 
-_BITS = pa.list_(pa.int64())
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -388,8 +387,8 @@ def _among(x: np.ndarray, ordered: np.ndarray) -> np.ndarray:
 
 
 def _unreliable(docs: DataFrame, k: int, bands: Bands, large: DataFrame, max_broadcast: int) -> DataFrame:
-    """``(key, node, size, bits)``: empty and large cells of the nodes that
-    have too many of them to rely on the others."""
+    """``(key, node)``: empty and large cells of the nodes that have too many
+    of them to rely on the others."""
     known = None
     if large.count() <= max_broadcast:
         known = docs.sparkSession.sparkContext.broadcast(np.array(sorted(r.a for r in large.toLocalIterator()), np.int64))
@@ -399,7 +398,6 @@ def _unreliable(docs: DataFrame, k: int, bands: Bands, large: DataFrame, max_bro
             rows, of = [np.empty(0, np.int64)], []  # keys of a node and band; what they share
             for text in batch.column(0).to_pylist():
                 u = shingles(text, k)
-                bits = folded(u)
                 for band, count, slack in bands.of(len(u)) if len(u) else ():
                     keys, empty = cell_keys(u, band, count)
                     keys = keys.view(np.int64)
@@ -409,16 +407,14 @@ def _unreliable(docs: DataFrame, k: int, bands: Bands, large: DataFrame, max_bro
                             continue
                     for is_empty, some in ((False, keys), (True, _empty_keys(empty, band).view(np.int64))):
                         rows.append(some)
-                        of.append((set_key(u), len(u), bits, band, slack - len(empty), is_empty, len(some)))
-            node, size, bits, band, room, is_empty, n = list(zip(*of)) or [[]] * 7
+                        of.append((set_key(u), band, slack - len(empty), is_empty, len(some)))
+            node, band, room, is_empty, n = list(zip(*of)) or [[]] * 5
             each = pa.array(np.repeat(np.arange(len(of)), np.array(n, np.int64)))
-            kinds = (pa.int64(), pa.int64(), _BITS, pa.int64(), pa.int64(), pa.bool_())
-            shared = [pa.array(c, t).take(each) for c, t in zip((node, size, bits, band, room, is_empty), kinds)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(rows)), *shared], names=["key", "node", "size", "bits", "band", "room", "is_empty"]
-            )
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_())
+            shared = [pa.array(c, t).take(each) for c, t in zip((node, band, room, is_empty), kinds)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(rows)), *shared], names=["key", "node", "band", "room", "is_empty"])
 
-    schema = "key long, node long, size long, bits array<long>, band long, room long, is_empty boolean"
+    schema = "key long, node long, band long, room long, is_empty boolean"
     cells = arrow_map(docs.select(F.col("text").cast("string")), run, schema)
     if known is None:
         mine = cells.join(large.select(F.col("a").alias("key"), F.lit(True).alias("is_large")), "key", "left")
@@ -428,16 +424,18 @@ def _unreliable(docs: DataFrame, k: int, bands: Bands, large: DataFrame, max_bro
         ).where("n > r")
         cells = mine.join(many.select("node", "band"), ["node", "band"], "left_semi")
     # copies of a text have the same cells
-    return cells.groupBy("key", "node").agg(F.min("size").alias("size"), F.min("bits").alias("bits"))
+    return cells.select("key", "node").distinct()
 
 
-def _may_link(x: str, y: str, bands: Bands):
-    """Whether sizes and bit sketches of the columns ``x`` and ``y`` (structs
-    with ``size`` and ``bits``) leave a link possible."""
-    a, b = F.col(f"{x}.size"), F.col(f"{y}.size")
-    apart = [F.bit_count(F.col(f"{x}.bits")[i].bitwiseXOR(F.col(f"{y}.bits")[i])) for i in range(4)]
-    room = F.floor(F.lit(bands.den - bands.num) * (a + b) / F.lit(bands.den + bands.num))
-    return (F.lit(bands.den) * F.least(a, b) >= F.lit(bands.num) * F.greatest(a, b)) & (sum(apart[1:], apart[0]) <= room)
+def _may_link(pairs: DataFrame, nodes: DataFrame, bands: Bands) -> DataFrame:
+    """The pairs ``(a, b)`` to which the sizes and bit sketches of ``nodes``
+    (``node, size, bits``) leave a link possible."""
+    ends = [nodes.select(F.col("node").alias(e), F.struct("size", "bits").alias(f"of_{e}")) for e in ("a", "b")]
+    size = [F.col(f"of_{e}.size") for e in ("a", "b")]
+    apart = [F.bit_count(F.col("of_a.bits")[i].bitwiseXOR(F.col("of_b.bits")[i])) for i in range(4)]
+    room = F.floor(F.lit(bands.den - bands.num) * (size[0] + size[1]) / F.lit(bands.den + bands.num))
+    near = F.lit(bands.den) * F.least(*size) >= F.lit(bands.num) * F.greatest(*size)
+    return pairs.join(ends[0], "a").join(ends[1], "b").where(near & (sum(apart[1:], apart[0]) <= room)).select("a", "b")
 
 
 def _slots(u: np.ndarray, bits: int) -> np.ndarray:
@@ -480,45 +478,41 @@ def rarest(u: np.ndarray, loads: np.ndarray, bands: Bands) -> np.ndarray:
 
 
 def _rare_entries(nodes: DataFrame, k: int, bands: Bands, loads) -> DataFrame:
-    """``(key, component, x)`` for the rarest shingles of ``(node, component,
-    text)``; ``x`` is the struct of node, size and bits."""
+    """``(key, component, node)`` for the rarest shingles of ``(node,
+    component, text)``."""
 
     def run(batches):
         table = loads.value
         for batch in batches:
-            rows, of = [np.empty(0, np.int64)], []
-            for text, component in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                u = shingles(text, k)
-                rows.append(rarest(u, table, bands).view(np.int64))
-                of.append((component, set_key(u), len(u), folded(u), len(rows[-1])))
-            component, node, size, bits, n = list(zip(*of)) or [[]] * 5
-            each = pa.array(np.repeat(np.arange(len(of)), np.array(n, np.int64)))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), _BITS)
-            shared = [pa.array(c, t).take(each) for c, t in zip((component, node, size, bits), kinds)]
-            x = pa.StructArray.from_arrays(shared[1:], names=["node", "size", "bits"])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(rows)), shared[0], x], names=["key", "component", "x"])
+            found = [rarest(shingles(text, k), table, bands).view(np.int64) for text in batch.column(2).to_pylist()]
+            each = pa.array(np.repeat(np.arange(len(found)), [len(u) for u in found]))
+            keys = pa.array(np.concatenate([np.empty(0, np.int64), *found]))
+            yield pa.RecordBatch.from_arrays(
+                [keys, batch.column(1).take(each), batch.column(0).take(each)], names=["key", "component", "node"]
+            )
 
-    schema = "key long, component long, x struct<node:long,size:long,bits:array<long>>"
-    return arrow_map(nodes.select("text", "component"), run, schema)
+    return arrow_map(nodes.select("node", "component", "text"), run, "key long, component long, node long")
 
 
-def _pairs_by_rare(nodes: DataFrame, total: int, k: int, bands: Bands) -> DataFrame:
-    """Pairs ``(a, b)`` of nodes of different components that may link, of
-    ``(node, component, text)`` with ``total`` shingles."""
+def _pairs_by_rare(nodes: DataFrame, total: int, k: int, bands: Bands, max_broadcast: int) -> DataFrame:
+    """Pairs ``(a, b)`` of nodes of different components that share one of
+    their rarest shingles, of ``(node, component, text)`` with ``total``
+    shingles."""
     sc = nodes.sparkSession.sparkContext
     # a slot for some two shingles; the table has at most 8 MB
     loads = sc.broadcast(_slot_loads(nodes, k, min(22, max(10, (total // 2).bit_length()))))
-    entries = checkpointed(_rare_entries(nodes, k, bands, loads))
-    loads.unpersist()
+    entries = _rare_entries(nodes, k, bands, loads)
+    # most shingles are in one component only: counted before rows move
     mixed = entries.groupBy("key").agg(F.min("component").alias("main"), F.max("component").alias("other"))
-    entries = entries.join(mixed.where("main <> other").select("key", "main"), "key")
+    mixed = checkpointed(mixed.where("main <> other").select("key", "main"))
+    entries = entries.join(broadcast_if_small(mixed, max_broadcast), "key")
     # a row and its repeats are one node
-    entries = checkpointed(entries.withColumn("node", F.col("x.node")).dropDuplicates(["key", "node"]).drop("node"))
-    x = entries.where("component <> main").select("key", F.col("component").alias("c"), "main", "x")
-    y = entries.select("key", F.col("component").alias("d"), F.col("x").alias("y"))
-    apart = (F.col("c") != F.col("d")) & ((F.col("d") == F.col("main")) | (F.col("x.node") < F.col("y.node")))
-    met = x.join(y, "key").where(apart & _may_link("x", "y", bands))
-    return met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+    entries = checkpointed(entries.dropDuplicates(["key", "node"]))
+    loads.unpersist()
+    x = entries.where("component <> main").select("key", F.col("component").alias("c"), "main", F.col("node").alias("x"))
+    y = entries.select("key", F.col("component").alias("d"), F.col("node").alias("y"))
+    met = x.join(y, "key").where((F.col("c") != F.col("d")) & ((F.col("d") == F.col("main")) | (F.col("x") < F.col("y"))))
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def near_duplicates(
@@ -549,11 +543,13 @@ def near_duplicates(
                     pa.array([len(u) for u in found], pa.int64()),
                     pa.array([set_key(u) if len(u) else None for u in found], pa.int64()),
                     batch.column(2),
+                    pa.array([folded(u) for u in found], pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "n_shingles", "node", "row_key"],
+                names=["doc_id", "n_shingles", "node", "row_key", "bits"],
             )
 
-    rows = checkpointed(arrow_map(keyed, sets, "doc_id long, n_shingles long, node long, row_key struct<a:long,b:long>"))
+    schema = "doc_id long, n_shingles long, node long, row_key struct<a:long,b:long>, bits array<long>"
+    rows = checkpointed(arrow_map(keyed, sets, schema))
     # entries per shingle of the sketches, about, for the number of buckets
     share = 1.9 * 2 * (den - num) / (den + num)
     total = rows.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
@@ -566,6 +562,8 @@ def near_duplicates(
 
     one = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("row_key").alias("row_key"))
 
+    sketches = rows.where("node is not null").groupBy("node").agg(F.first("n_shingles").alias("size"), F.first("bits").alias("bits"))
+
     def texts_of(wanted: DataFrame) -> DataFrame:
         """``(node, text)`` of one row of each wanted node (and its repeats)."""
         some = checkpointed(one.join(wanted.distinct(), "node").select("node", "row_key"))
@@ -594,22 +592,21 @@ def near_duplicates(
     # a first round that is linear in the cells: every node outside a cell's
     # main component meets one node of it, another one in each cell
     placed = still_mixed(parts)
-    entry = F.struct("node", "size", "bits")
-    one_of = placed.where("component = main").groupBy("key").agg(F.max_by(entry, F.xxhash64("key", "node")).alias("y"))
-    first = placed.where("component <> main").select("key", entry.alias("x")).join(one_of, "key").where(_may_link("x", "y", bands))
-    first = first.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-    first = checkpointed(first.join(pairs, ["a", "b"], "left_anti"))
+    one_of = placed.where("component = main").groupBy("key").agg(F.max_by("node", F.xxhash64("key", "node")).alias("rep"))
+    first = placed.where("component <> main").join(one_of, "key")
+    first = first.select(F.least("node", "rep").alias("a"), F.greatest("node", "rep").alias("b")).distinct()
+    first = checkpointed(_may_link(first.join(pairs, ["a", "b"], "left_anti"), sketches, bands))
     if first.limit(1).count():
         links = checkpointed(links.union(_verify(first, texts_of(both_ends(first)), k, bands)))
         pairs = checkpointed(pairs.union(first))
         parts = checkpointed(connected_components(links, "a", "b"))
         placed = still_mixed(parts)
-    rest = checkpointed(placed.select("node", "component", "size").distinct())
+    rest = checkpointed(placed.select("node", "component").distinct())
     if n_rest := rest.count():
         texts = texts_of(rest.select("node"))
         nodes = texts.join(broadcast_if_small(rest, max_broadcast, n_rest), "node")
-        total = rest.agg(F.sum("size")).first()[0]
-        more = checkpointed(_pairs_by_rare(nodes, total, k, bands).join(pairs, ["a", "b"], "left_anti"))
+        more = _pairs_by_rare(nodes, total, k, bands, max_broadcast).join(pairs, ["a", "b"], "left_anti")
+        more = checkpointed(_may_link(more, sketches, bands))
         if more.limit(1).count():
             late = checkpointed(_verify(more, texts, k, bands))
             parts = checkpointed(connected_components(links.union(late), "a", "b"))
