@@ -427,15 +427,17 @@ def _unreliable(docs: DataFrame, k: int, bands: Bands, large: DataFrame, max_bro
     return cells.select("key", "node").distinct()
 
 
-def _may_link(pairs: DataFrame, nodes: DataFrame, bands: Bands) -> DataFrame:
-    """The pairs ``(a, b)`` to which the sizes and bit sketches of ``nodes``
-    (``node, size, bits``) leave a link possible."""
-    ends = [nodes.select(F.col("node").alias(e), F.struct("size", "bits").alias(f"of_{e}")) for e in ("a", "b")]
-    size = [F.col(f"of_{e}.size") for e in ("a", "b")]
-    apart = [F.bit_count(F.col("of_a.bits")[i].bitwiseXOR(F.col("of_b.bits")[i])) for i in range(4)]
-    room = F.floor(F.lit(bands.den - bands.num) * (size[0] + size[1]) / F.lit(bands.den + bands.num))
-    near = F.lit(bands.den) * F.least(*size) >= F.lit(bands.num) * F.greatest(*size)
-    return pairs.join(ends[0], "a").join(ends[1], "b").where(near & (sum(apart[1:], apart[0]) <= room)).select("a", "b")
+def _may_link(x: str, y: str, bands: Bands):
+    """Whether sizes and bit sketches of the columns ``x`` and ``y`` (structs
+    with ``size`` and ``bits``) leave a link possible."""
+    a, b = F.col(f"{x}.size"), F.col(f"{y}.size")
+    apart = [F.bit_count(F.col(f"{x}.bits")[i].bitwiseXOR(F.col(f"{y}.bits")[i])) for i in range(4)]
+    room = F.floor(F.lit(bands.den - bands.num) * (a + b) / F.lit(bands.den + bands.num))
+    return (F.lit(bands.den) * F.least(a, b) >= F.lit(bands.num) * F.greatest(a, b)) & (sum(apart[1:], apart[0]) <= room)
+
+
+def _ends(x: str, y: str) -> tuple:
+    return F.least(f"{x}.node", f"{y}.node").alias("a"), F.greatest(f"{x}.node", f"{y}.node").alias("b")
 
 
 def _slots(u: np.ndarray, bits: int) -> np.ndarray:
@@ -494,10 +496,10 @@ def _rare_entries(nodes: DataFrame, k: int, bands: Bands, loads) -> DataFrame:
     return arrow_map(nodes.select("node", "component", "text"), run, "key long, component long, node long")
 
 
-def _pairs_by_rare(nodes: DataFrame, total: int, k: int, bands: Bands, max_broadcast: int) -> DataFrame:
+def _pairs_by_rare(nodes: DataFrame, sketches: DataFrame, total: int, k: int, bands: Bands, max_broadcast: int) -> DataFrame:
     """Pairs ``(a, b)`` of nodes of different components that share one of
-    their rarest shingles, of ``(node, component, text)`` with ``total``
-    shingles."""
+    their rarest shingles and may link, of ``(node, component, text)`` with
+    ``total`` shingles. ``sketches`` has the nodes' sizes and bits."""
     sc = nodes.sparkSession.sparkContext
     # a slot for some two shingles; the table has at most 8 MB
     loads = sc.broadcast(_slot_loads(nodes, k, min(22, max(10, (total // 2).bit_length()))))
@@ -507,12 +509,13 @@ def _pairs_by_rare(nodes: DataFrame, total: int, k: int, bands: Bands, max_broad
     mixed = checkpointed(mixed.where("main <> other").select("key", "main"))
     entries = entries.join(broadcast_if_small(mixed, max_broadcast), "key")
     # a row and its repeats are one node
-    entries = checkpointed(entries.dropDuplicates(["key", "node"]))
+    entries = entries.dropDuplicates(["key", "node"]).join(sketches, "node")
+    entries = checkpointed(entries.select("key", "component", "main", F.struct("node", "size", "bits").alias("x")))
     loads.unpersist()
-    x = entries.where("component <> main").select("key", F.col("component").alias("c"), "main", F.col("node").alias("x"))
-    y = entries.select("key", F.col("component").alias("d"), F.col("node").alias("y"))
-    met = x.join(y, "key").where((F.col("c") != F.col("d")) & ((F.col("d") == F.col("main")) | (F.col("x") < F.col("y"))))
-    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    x = entries.where("component <> main").select("key", F.col("component").alias("c"), "main", "x")
+    y = entries.select("key", F.col("component").alias("d"), F.col("x").alias("y"))
+    apart = (F.col("c") != F.col("d")) & ((F.col("d") == F.col("main")) | (F.col("x.node") < F.col("y.node")))
+    return x.join(y, "key").where(apart & _may_link("x", "y", bands)).select(*_ends("x", "y")).distinct()
 
 
 def near_duplicates(
@@ -592,10 +595,12 @@ def near_duplicates(
     # a first round that is linear in the cells: every node outside a cell's
     # main component meets one node of it, another one in each cell
     placed = still_mixed(parts)
-    one_of = placed.where("component = main").groupBy("key").agg(F.max_by("node", F.xxhash64("key", "node")).alias("rep"))
-    first = placed.where("component <> main").join(one_of, "key")
-    first = first.select(F.least("node", "rep").alias("a"), F.greatest("node", "rep").alias("b")).distinct()
-    first = checkpointed(_may_link(first.join(pairs, ["a", "b"], "left_anti"), sketches, bands))
+    one_of = placed.where("component = main").groupBy("key").agg(F.max_by("node", F.xxhash64("key", "node")).alias("node"))
+    entry = F.struct("node", "size", "bits")
+    x = placed.where("component <> main").select("key", "node").join(sketches, "node").select("key", entry.alias("x"))
+    y = one_of.join(sketches, "node").select("key", entry.alias("y"))
+    first = x.join(y, "key").where(_may_link("x", "y", bands)).select(*_ends("x", "y")).distinct()
+    first = checkpointed(first.join(pairs, ["a", "b"], "left_anti"))
     if first.limit(1).count():
         links = checkpointed(links.union(_verify(first, texts_of(both_ends(first)), k, bands)))
         pairs = checkpointed(pairs.union(first))
@@ -605,8 +610,8 @@ def near_duplicates(
     if n_rest := rest.count():
         texts = texts_of(rest.select("node"))
         nodes = texts.join(broadcast_if_small(rest, max_broadcast, n_rest), "node")
-        more = _pairs_by_rare(nodes, total, k, bands, max_broadcast).join(pairs, ["a", "b"], "left_anti")
-        more = checkpointed(_may_link(more, sketches, bands))
+        more = _pairs_by_rare(nodes, sketches, total, k, bands, max_broadcast)
+        more = checkpointed(more.join(pairs, ["a", "b"], "left_anti"))
         if more.limit(1).count():
             late = checkpointed(_verify(more, texts, k, bands))
             parts = checkpointed(connected_components(links.union(late), "a", "b"))
