@@ -57,3 +57,17 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
         before = now
     roots = e.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     return e.select(F.col("u").alias("id"), F.col("v").alias("component")).union(roots)
+
+
+def merged_components(parts: DataFrame, edges: DataFrame, a: str, b: str) -> DataFrame:
+    """The components ``(id, component)`` of ``parts`` after more edges.
+
+    Only components that the edges join are looked at again, as vertices.
+    """
+    of = [parts.select(F.col("id").alias(e), F.col("component").alias(f"of_{e}")) for e in (a, b)]
+    known = edges.select(a, b).join(of[0], a, "left").join(of[1], b, "left")
+    known = known.select(F.coalesce(f"of_{a}", a).alias("a"), F.coalesce(f"of_{b}", b).alias("b"))
+    joined = checkpointed(connected_components(known, "a", "b"))
+    moved = joined.select(F.col("id").alias("component"), F.col("component").alias("to"))
+    kept = parts.join(moved, "component", "left").select("id", F.coalesce("to", "component").alias("component"))
+    return kept.union(joined.join(parts.select("id"), "id", "left_anti").select("id", "component"))

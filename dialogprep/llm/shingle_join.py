@@ -15,7 +15,9 @@ lie there, in the next one.
    gives a star and a chain only, of pairs that are linear in its size. Map
    tasks do the same with what they hold of a cell before anything is
    shuffled, so a cell of very many near copies is no task's burden.
-3. Candidates are verified on the whole texts: exact intersection and union.
+3. Candidates whose bit sketches differ in at most ``D`` bits (a bit differs
+   only where an element does) are verified on the whole texts: exact
+   intersection and union.
 4. Cells that are empty or large are *unreliable*. A node whose unreliable
    cells are fewer than the cells it must share with any partner has been
    compared with all its partners in step 2. The other nodes are compared
@@ -24,7 +26,8 @@ lie there, in the next one.
    most of what belongs together. Of what is left, linked nodes share one of
    their ``n - ceil(t * n) + 1`` rarest shingles (in any fixed order of all
    shingles), so only nodes of different components that do are paired, if
-   their folded bit sketches differ in at most ``D`` bits. So no link between
+   enough of both sets lies behind the shared shingle and their folded bit
+   sketches differ in at most ``D`` bits. So no link between
    different texts is lost, groups of near copies, which one star connects,
    are never expanded into pairs, and texts that share a passage but have
    enough words of their own never meet.
@@ -51,7 +54,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dialogprep.llm.common import arrow_map, broadcast_if_small, checkpointed, row_key
-from dialogprep.llm.components import connected_components
+from dialogprep.llm.components import connected_components, merged_components
 
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -192,11 +195,27 @@ def _empty_keys(numbers: np.ndarray, band: int) -> np.ndarray:
     return _mix(_mix((numbers + np.uint64(1)) * _A + np.uint64(band)) ^ _C)
 
 
+def sketch(u: np.ndarray, width: int = 0) -> bytes:
+    """Parity bits of the set: one bit flips per differing element. There are
+    as many bits as elements, rounded up to a power of two, at least 256."""
+    width = width or max(256, 1 << (len(u) - 1).bit_length())
+    counts = np.bincount((_mix(u) & np.uint64(width - 1)).astype(np.int64), minlength=width)
+    return np.packbits((counts & 1).astype(np.uint8)).tobytes()
+
+
 def folded(u: np.ndarray) -> list[int]:
-    """256 parity bits of the set in four 64-bit integers: one bit flips per
-    differing element."""
-    counts = np.bincount((_mix(u) >> np.uint64(56)).astype(np.int64), minlength=256)
-    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64).tolist()
+    """The sketch of 256 bits in four 64-bit integers."""
+    return np.frombuffer(sketch(u, 256), np.int64).tolist()
+
+
+def apart(x: bytes, y: bytes) -> int:
+    """In how many bits two sketches differ, the wider one folded to the
+    width of the other; never more than the sets' symmetric difference."""
+    if len(x) < len(y):
+        x, y = y, x
+    a, width = np.frombuffer(x, np.uint8).reshape(-1, len(y)), len(y)
+    a = np.bitwise_xor.reduce(a, axis=0).tobytes() if len(x) > width else x
+    return (int.from_bytes(a) ^ int.from_bytes(y)).bit_count()
 
 
 def _pairs(key, node, size, num, den, group):
@@ -430,12 +449,17 @@ def _unreliable(docs: DataFrame, k: int, bands: Bands, large: DataFrame, max_bro
 def _may_link(pairs: DataFrame, nodes: DataFrame, bands: Bands) -> DataFrame:
     """The pairs ``(a, b)`` to which the sizes and bit sketches of ``nodes``
     (``node, size, bits``) leave a link possible."""
-    ends = [nodes.select(F.col("node").alias(e), F.struct("size", "bits").alias(f"of_{e}")) for e in ("a", "b")]
-    size = [F.col(f"of_{e}.size") for e in ("a", "b")]
-    apart = [F.bit_count(F.col("of_a.bits")[i].bitwiseXOR(F.col("of_b.bits")[i])) for i in range(4)]
-    room = F.floor(F.lit(bands.den - bands.num) * (size[0] + size[1]) / F.lit(bands.den + bands.num))
-    near = F.lit(bands.den) * F.least(*size) >= F.lit(bands.num) * F.greatest(*size)
-    return pairs.join(ends[0], "a").join(ends[1], "b").where(near & (sum(apart[1:], apart[0]) <= room)).select("a", "b")
+    ends = [nodes.select(*[F.col(c).alias(n) for c, n in (("node", e), ("size", f"{e}_size"), ("bits", f"{e}_bits"))]) for e in ("a", "b")]
+    met = pairs.join(ends[0], "a").join(ends[1], "b")
+    near = F.lit(bands.den) * F.least("a_size", "b_size") >= F.lit(bands.num) * F.greatest("a_size", "b_size")
+
+    def run(batches):
+        for batch in batches:
+            a, b, *of = (c.to_pylist() for c in batch.columns)
+            may = [apart(x, y) <= bands.distance(m, n) for m, n, x, y in zip(*of)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(may, pa.bool_()))
+
+    return arrow_map(met.where(near).select("a", "b", "a_size", "b_size", "a_bits", "b_bits"), run, "a long, b long")
 
 
 def _slots(u: np.ndarray, bits: int) -> np.ndarray:
@@ -471,48 +495,69 @@ def _slot_loads(texts: DataFrame, k: int, bits: int) -> np.ndarray:
 
 def rarest(u: np.ndarray, loads: np.ndarray, bands: Bands) -> np.ndarray:
     """The shingles of a set of which linked sets share one: the first
-    ``n - ceil(t * n) + 1`` in the order by load of the slot, then by hash."""
+    ``n - ceil(t * n) + 1`` in the order by load of the slot, then by hash.
+
+    Of sets ``x`` and ``y`` of which all that is common lies at place ``i`` of
+    ``x`` or behind, at most ``len(x) - i`` elements are common.
+    """
     n = len(u)
     order = np.lexsort((u, loads[_slots(u, len(loads).bit_length() - 1)]))
     return u[order[: n - -(-bands.num * n // bands.den) + 1]]
 
 
+_ENTRY = "key long, component long, node long, weight long, place int, size int, bits array<long>"
+
+
 def _rare_entries(nodes: DataFrame, k: int, bands: Bands, loads) -> DataFrame:
-    """``(key, component, node)`` for the rarest shingles of ``(node,
-    component, text)``."""
+    """Entries of the rarest shingles of ``(node, component, weight, text)``:
+    their place in the set's order, its size and sketch of 256 bits."""
 
     def run(batches):
         table = loads.value
         for batch in batches:
-            found = [rarest(shingles(text, k), table, bands).view(np.int64) for text in batch.column(2).to_pylist()]
+            sets = [shingles(text, k) for text in batch.column(3).to_pylist()]
+            found = [rarest(u, table, bands).view(np.int64) for u in sets]
             each = pa.array(np.repeat(np.arange(len(found)), [len(u) for u in found]))
             keys = pa.array(np.concatenate([np.empty(0, np.int64), *found]))
-            yield pa.RecordBatch.from_arrays(
-                [keys, batch.column(1).take(each), batch.column(0).take(each)], names=["key", "component", "node"]
-            )
+            place = pa.array(np.concatenate([np.empty(0, np.int32), *(np.arange(len(u), dtype=np.int32) for u in found)]))
+            size = pa.array([len(u) for u in sets], pa.int32()).take(each)
+            bits = pa.array([folded(u) for u in sets], pa.list_(pa.int64())).take(each)
+            of = [batch.column(i).take(each) for i in (1, 0, 2)]
+            yield pa.RecordBatch.from_arrays([keys, *of, place, size, bits], names=["key", "component", "node", "weight", "place", "size", "bits"])
 
-    return arrow_map(nodes.select("node", "component", "text"), run, "key long, component long, node long")
+    return arrow_map(nodes.select("node", "component", "weight", "text"), run, _ENTRY)
 
 
 def _pairs_by_rare(nodes: DataFrame, total: int, k: int, bands: Bands, max_broadcast: int) -> DataFrame:
     """Pairs ``(a, b)`` of nodes of different components that share one of
-    their rarest shingles, of ``(node, component, text)`` with ``total``
-    shingles."""
+    their rarest shingles, of ``(node, component, weight, text)`` with
+    ``total`` shingles, where neither the shingle's places in both sets nor
+    their sketches rule a link out. ``weight`` is the size of a component."""
     sc = nodes.sparkSession.sparkContext
     # a slot for some two shingles; the table has at most 8 MB
     loads = sc.broadcast(_slot_loads(nodes, k, min(22, max(10, (total // 2).bit_length()))))
     entries = _rare_entries(nodes, k, bands, loads)
     # most shingles are in one component only: counted before rows move
-    mixed = entries.groupBy("key").agg(F.min("component").alias("main"), F.max("component").alias("other"))
-    mixed = checkpointed(mixed.where("main <> other").select("key", "main"))
+    named = entries.groupBy("key").agg(F.max(F.struct("weight", "component")).alias("main"), F.min(F.struct("weight", "component")).alias("other"))
+    mixed = checkpointed(named.where("main <> other").select("key", F.col("main.component").alias("main")))
     entries = entries.join(broadcast_if_small(mixed, max_broadcast), "key")
     # a row and its repeats are one node
-    entries = checkpointed(entries.dropDuplicates(["key", "node"]))
+    entries = checkpointed(entries.drop("weight").dropDuplicates(["key", "node"]))
     loads.unpersist()
-    x = entries.where("component <> main").select("key", F.col("component").alias("c"), "main", F.col("node").alias("x"))
-    y = entries.select("key", F.col("component").alias("d"), F.col("node").alias("y"))
-    met = x.join(y, "key").where((F.col("c") != F.col("d")) & ((F.col("d") == F.col("main")) | (F.col("x") < F.col("y"))))
-    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    x, y = (
+        entries.select("key", F.col("component").alias(c), "main", *[F.col(n).alias(f"{e}_{n}") for n in ("node", "place", "size", "bits")])
+        for c, e in (("c", "x"), ("d", "y"))
+    )
+    both = F.col("x_size") + F.col("y_size")
+    parted = sum((F.bit_count(F.col("x_bits")[i].bitwiseXOR(F.col("y_bits")[i])) for i in range(4)), F.lit(0))
+    # the common elements that a link takes are behind the first common one
+    room = F.floor(F.lit(bands.den - bands.num) * both / F.lit(bands.den + bands.num))
+    least = F.ceil(F.lit(bands.num) * both / F.lit(bands.num + bands.den))
+    behind = F.least(F.col("x_size") - F.col("x_place"), F.col("y_size") - F.col("y_place"))
+    met = x.where("c <> main").join(y.drop("main"), "key").where(
+        (F.col("c") != F.col("d")) & ((F.col("d") == F.col("main")) | (F.col("x_node") < F.col("y_node"))) & (behind >= least) & (parted <= room)
+    )
+    return met.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
 
 
 def near_duplicates(
@@ -543,12 +588,12 @@ def near_duplicates(
                     pa.array([len(u) for u in found], pa.int64()),
                     pa.array([set_key(u) if len(u) else None for u in found], pa.int64()),
                     batch.column(2),
-                    pa.array([folded(u) for u in found], pa.list_(pa.int64())),
+                    pa.array([sketch(u) if len(u) else None for u in found], pa.binary()),
                 ],
                 names=["doc_id", "n_shingles", "node", "row_key", "bits"],
             )
 
-    schema = "doc_id long, n_shingles long, node long, row_key struct<a:long,b:long>, bits array<long>"
+    schema = "doc_id long, n_shingles long, node long, row_key struct<a:long,b:long>, bits binary"
     rows = checkpointed(arrow_map(keyed, sets, schema))
     # entries per shingle of the sketches, about, for the number of buckets
     share = 1.9 * 2 * (den - num) / (den + num)
@@ -557,12 +602,12 @@ def near_duplicates(
     n_buckets = max(4 * width, int(total * share) // bucket_keys)
 
     found = checkpointed(_candidates(_cell_blobs(docs, k, bands, n_buckets, group), bands, group))
-    pairs = checkpointed(found.where("kind = 0").select("a", "b").distinct())
     large = checkpointed(found.where("kind = 1").select("a"))
 
     one = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("row_key").alias("row_key"))
 
     sketches = rows.where("node is not null").groupBy("node").agg(F.first("n_shingles").alias("size"), F.first("bits").alias("bits"))
+    pairs = checkpointed(_may_link(found.where("kind = 0").select("a", "b").distinct(), sketches, bands))
 
     def texts_of(wanted: DataFrame) -> DataFrame:
         """``(node, text)`` of one row of each wanted node (and its repeats)."""
@@ -597,19 +642,21 @@ def near_duplicates(
     first = first.select(F.least("node", "rep").alias("a"), F.greatest("node", "rep").alias("b")).distinct()
     first = checkpointed(_may_link(first.join(pairs, ["a", "b"], "left_anti"), sketches, bands))
     if first.limit(1).count():
-        links = checkpointed(links.union(_verify(first, texts_of(both_ends(first)), k, bands)))
+        found = checkpointed(_verify(first, texts_of(both_ends(first)), k, bands))
         pairs = checkpointed(pairs.union(first))
-        parts = checkpointed(connected_components(links, "a", "b"))
-        placed = still_mixed(parts)
+        if found.limit(1).count():
+            parts = checkpointed(merged_components(parts, found, "a", "b"))
+            placed = still_mixed(parts)
     rest = checkpointed(placed.select("node", "component").distinct())
     if n_rest := rest.count():
         texts = texts_of(rest.select("node"))
-        nodes = texts.join(broadcast_if_small(rest, max_broadcast, n_rest), "node")
+        weighed = rest.join(rest.groupBy("component").agg(F.count("*").alias("weight")), "component")
+        nodes = texts.join(broadcast_if_small(weighed, max_broadcast, n_rest), "node")
         more = _pairs_by_rare(nodes, total, k, bands, max_broadcast).join(pairs, ["a", "b"], "left_anti")
         more = checkpointed(_may_link(more, sketches, bands))
         if more.limit(1).count():
             late = checkpointed(_verify(more, texts, k, bands))
-            parts = checkpointed(connected_components(links.union(late), "a", "b"))
+            parts = checkpointed(merged_components(parts, late, "a", "b"))
 
     # from nodes to documents: the smallest doc_id of each component
     merged = one.join(parts.withColumnRenamed("id", "node"), "node", "left").select(

@@ -173,3 +173,71 @@ def test_words_equal_the_pattern(monkeypatch):
             assert all(names.setdefault(w, h) == h for w, h in zip(words, got))
         assert len(set(names.values())) == len(names)
     J._powers.cache_clear()
+
+
+def test_sketches_differ_by_no_more_than_the_sets():
+    from dialogprep.llm.shingle_join import apart, sketch
+
+    rng = np.random.default_rng(1)
+    for n in (1, 3, 200, 256, 257, 700, 3000):
+        u = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        for lost, new in ((0, 0), (0, n // 3 + 1), (n // 4, 0), (n // 5, n // 5), (n // 2, n)):
+            v = np.union1d(rng.permutation(u)[lost:], rng.integers(0, 2**63, new).astype(np.uint64))
+            x, y = sketch(u), sketch(v)
+            assert len(x) * 8 >= max(256, len(u)) and apart(x, y) == apart(y, x) <= len(np.setxor1d(u, v))
+        other = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        assert n < 100 or apart(sketch(u), sketch(other)) > len(u) // 4
+
+
+def test_only_pairs_that_may_link_are_verified(spark, monkeypatch):
+    """Texts of one half in common share cells but cannot link."""
+    from dialogprep.llm import shingle_join as J
+
+    made, plain = [], J._verify
+
+    def counted(pairs, *args):
+        made.append(pairs.count())
+        return plain(pairs, *args)
+
+    monkeypatch.setattr(J, "_verify", counted)
+    texts = []
+    for f in range(20):
+        for size in (60, 400):
+            common = [f"c{f}_{size}_{i}" for i in range(size)]
+            texts += [" ".join(common + [f"o{f}_{t}_{i}" for i in range(size)]) for t in range(4)]
+            texts.append(texts[-1] + " more")
+    check(spark, list(range(len(texts))), texts, 5, 80, 100)
+    assert made and made[0] <= 50  # 40 of them link; 400 share cells
+
+
+def test_rare_shingles_pair_only_what_may_link(spark):
+    """Many edits of one text that are too far from each other to link."""
+    from dialogprep.llm import shingle_join as J
+
+    rng = random.Random(9)
+    base = [f"b{i}" for i in range(120)]
+    texts = [" ".join(rng.choice(VOCABULARY) if rng.random() < 0.06 else w for w in base) for _ in range(150)]
+    texts += [texts[0] + " end", texts[1] + " end"]
+    n = len(texts)
+    rows = [(i, i // 2, 2, t) for i, t in enumerate(texts)]
+    nodes = spark.createDataFrame(rows, "node long, component long, weight long, text string")
+    sets = sets_of(texts, 5)
+    linked = {
+        (a, b) for b in range(n) for a in range(b)
+        if a // 2 != b // 2 and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+    }
+    found = J._pairs_by_rare(nodes, sum(map(len, sets)), 5, J.Bands(80, 100), 1000)
+    found = {(r.a, r.b) for r in found.collect()}
+    assert len(linked) >= 2 and linked <= found and len(found) <= len(linked) + n
+
+
+def test_components_after_more_edges(spark):
+    from dialogprep.llm.components import connected_components, merged_components
+
+    rng = random.Random(3)
+    first = [(rng.randrange(60), rng.randrange(60)) for _ in range(25)]
+    more = [(rng.randrange(80), rng.randrange(80)) for _ in range(15)]
+    first, more = (spark.createDataFrame(e, "a long, b long") for e in (first, more))
+    want = sorted(map(tuple, connected_components(first.union(more), "a", "b").collect()))
+    got = merged_components(connected_components(first, "a", "b"), more, "a", "b")
+    assert sorted(map(tuple, got.collect())) == want
