@@ -77,7 +77,7 @@ def _known(frequent: DataFrame, max_broadcast: int):
     """The hashes as a broadcast set, or None where they are too many."""
     if frequent.count() > max_broadcast:
         return None
-    return frequent.sparkSession.sparkContext.broadcast(frozenset(bytes(r.hash) for r in frequent.select("hash").toLocalIterator()))
+    return frequent.sparkSession.sparkContext.broadcast(frozenset(frequent.select("hash").toArrow().column("hash").to_pylist()))
 
 
 def counted_by_class(docs: DataFrame, frequent: DataFrame, classes, min_docs: int, min_chars: int, max_broadcast: int) -> DataFrame:

@@ -53,7 +53,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dialogprep.llm.common import arrow_map, broadcast_if_small, checkpointed, row_key
+from dialogprep.llm.common import arrow_map, broadcast_if_small, checkpointed, gathered, row_key
 from dialogprep.llm.components import connected_components, merged_components
 
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -368,9 +368,10 @@ def _verify(pairs: DataFrame, texts: DataFrame, k: int, bands: Bands, chunk: int
     ``texts`` is ``(node, text)``. A node's partners come in chunks, each with
     the node's own text once.
     """
-    count = pairs.groupBy("a").agg(F.ceil(F.count("*") / chunk).alias("n"))
-    dealt = pairs.join(count, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("n")))
-    first = dealt.select("a", "part", F.lit(0).alias("role"), F.col("a").alias("node")).distinct()
+    n_pairs = pairs.count()
+    count = gathered(pairs.groupBy("a").agg(F.ceil(F.count("*") / chunk).alias("n")), n_pairs)
+    dealt = gathered(pairs.join(count, "a"), n_pairs).withColumn("part", F.pmod(F.xxhash64("b"), F.col("n")))
+    first = gathered(dealt.select("a", "part", F.lit(0).alias("role"), F.col("a").alias("node")).distinct(), n_pairs)
     rest = dealt.select("a", "part", F.lit(1).alias("role"), F.col("b").alias("node"))
     rows = first.union(rest).join(_pressed(texts), "node")
     dealt = rows.repartition("a", "part").sortWithinPartitions("a", "part", "role")
@@ -410,7 +411,7 @@ def _unreliable(docs: DataFrame, k: int, bands: Bands, large: DataFrame, max_bro
     of them to rely on the others."""
     known = None
     if large.count() <= max_broadcast:
-        known = docs.sparkSession.sparkContext.broadcast(np.array(sorted(r.a for r in large.toLocalIterator()), np.int64))
+        known = docs.sparkSession.sparkContext.broadcast(np.sort(large.select("a").toArrow().column("a").to_numpy()))
 
     def run(batches):
         for batch in batches:
@@ -446,11 +447,12 @@ def _unreliable(docs: DataFrame, k: int, bands: Bands, large: DataFrame, max_bro
     return cells.select("key", "node").distinct()
 
 
-def _may_link(pairs: DataFrame, nodes: DataFrame, bands: Bands) -> DataFrame:
+def _may_link(pairs: DataFrame, nodes: DataFrame, bands: Bands, n_pairs: int, node_bytes: int) -> DataFrame:
     """The pairs ``(a, b)`` to which the sizes and bit sketches of ``nodes``
-    (``node, size, bits``) leave a link possible."""
+    (``node, size, bits``, of ``node_bytes`` a row) leave a link possible.
+    There are at most ``n_pairs`` pairs."""
     ends = [nodes.select(*[F.col(c).alias(n) for c, n in (("node", e), ("size", f"{e}_size"), ("bits", f"{e}_bits"))]) for e in ("a", "b")]
-    met = pairs.join(ends[0], "a").join(ends[1], "b")
+    met = gathered(pairs.join(ends[0], "a"), n_pairs, node_bytes).join(ends[1], "b")
     near = F.lit(bands.den) * F.least("a_size", "b_size") >= F.lit(bands.num) * F.greatest("a_size", "b_size")
 
     def run(batches):
@@ -459,7 +461,8 @@ def _may_link(pairs: DataFrame, nodes: DataFrame, bands: Bands) -> DataFrame:
             may = [apart(x, y) <= bands.distance(m, n) for m, n, x, y in zip(*of)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(may, pa.bool_()))
 
-    return arrow_map(met.where(near).select("a", "b", "a_size", "b_size", "a_bits", "b_bits"), run, "a long, b long")
+    met = gathered(met.where(near).select("a", "b", "a_size", "b_size", "a_bits", "b_bits"), n_pairs, 2 * node_bytes)
+    return arrow_map(met, run, "a long, b long")
 
 
 def _slots(u: np.ndarray, bits: int) -> np.ndarray:
@@ -540,9 +543,11 @@ def _pairs_by_rare(nodes: DataFrame, total: int, k: int, bands: Bands, max_broad
     # most shingles are in one component only: counted before rows move
     named = entries.groupBy("key").agg(F.max(F.struct("weight", "component")).alias("main"), F.min(F.struct("weight", "component")).alias("other"))
     mixed = checkpointed(named.where("main <> other").select("key", F.col("main.component").alias("main")))
-    entries = entries.join(broadcast_if_small(mixed, max_broadcast), "key")
+    n_mixed = mixed.count()
+    entries = entries.join(broadcast_if_small(gathered(mixed, n_mixed), max_broadcast, n_mixed), "key")
     # a row and its repeats are one node
     entries = checkpointed(entries.drop("weight").dropDuplicates(["key", "node"]))
+    entries = gathered(entries, entries.count(), 120)
     loads.unpersist()
     x, y = (
         entries.select("key", F.col("component").alias(c), "main", *[F.col(n).alias(f"{e}_{n}") for n in ("node", "place", "size", "bits")])
@@ -597,21 +602,28 @@ def near_duplicates(
     rows = checkpointed(arrow_map(keyed, sets, schema))
     # entries per shingle of the sketches, about, for the number of buckets
     share = 1.9 * 2 * (den - num) / (den + num)
-    total = rows.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
+    total, n_rows = rows.agg(F.coalesce(F.sum("n_shingles"), F.lit(0)), F.count("*")).first()
     width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     n_buckets = max(4 * width, int(total * share) // bucket_keys)
 
     found = checkpointed(_candidates(_cell_blobs(docs, k, bands, n_buckets, group), bands, group))
-    large = checkpointed(found.where("kind = 1").select("a"))
+    n_found = found.count()
+    found = gathered(found, n_found)
+    large = found.where("kind = 1").select("a")
 
+    # a row and its sketch, of at most a bit for half a shingle; nodes are read again and again
+    node_bytes = 96 + total // (4 * max(1, n_rows))
     one = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("row_key").alias("row_key"))
+    one = checkpointed(gathered(one, n_rows, 64))
 
     sketches = rows.where("node is not null").groupBy("node").agg(F.first("n_shingles").alias("size"), F.first("bits").alias("bits"))
-    pairs = checkpointed(_may_link(found.where("kind = 0").select("a", "b").distinct(), sketches, bands))
+    sketches = checkpointed(gathered(sketches, n_rows, node_bytes))
+    met = gathered(found.where("kind = 0").select("a", "b").distinct(), n_found)
+    pairs = checkpointed(_may_link(met, sketches, bands, n_found, node_bytes))
 
     def texts_of(wanted: DataFrame) -> DataFrame:
         """``(node, text)`` of one row of each wanted node (and its repeats)."""
-        some = checkpointed(one.join(wanted.distinct(), "node").select("node", "row_key"))
+        some = checkpointed(gathered(one.join(wanted.distinct(), "node").select("node", "row_key"), n_rows, 64))
         return keyed.join(broadcast_if_small(some, max_broadcast), "row_key").select("node", "text")
 
     def both_ends(p: DataFrame) -> DataFrame:
@@ -623,37 +635,43 @@ def near_duplicates(
     same_id = ids.join(several, "doc_id").where("node <> a").select("a", F.col("node").alias("b"))
 
     links = checkpointed(_verify(pairs, texts_of(both_ends(pairs)), k, bands).union(same_id))
-    parts = checkpointed(connected_components(links, "a", "b"))
+    parts = checkpointed(connected_components(gathered(links, n_found + n_rows), "a", "b"))
 
     loose = checkpointed(_unreliable(docs, k, bands, large, max_broadcast))
+    n_loose = loose.count()
+    loose = gathered(loose, n_loose)
 
     def still_mixed(parts: DataFrame) -> DataFrame:
         """Entries of the cells that hold nodes of several components."""
         named = parts.withColumnRenamed("id", "node")
-        placed = checkpointed(loose.join(named, "node", "left").withColumn("component", F.coalesce("component", "node")))
+        placed = loose.join(named, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        placed = checkpointed(gathered(placed, n_loose))
         mixed = placed.groupBy("key").agg(F.min("component").alias("main"), F.max("component").alias("other"))
-        return checkpointed(placed.join(mixed.where("main <> other").select("key", "main"), "key"))
+        return checkpointed(gathered(placed.join(mixed.where("main <> other").select("key", "main"), "key"), n_loose))
 
     # a first round that is linear in the cells: every node outside a cell's
     # main component meets one node of it, another one in each cell
     placed = still_mixed(parts)
     one_of = placed.where("component = main").groupBy("key").agg(F.max_by("node", F.xxhash64("key", "node")).alias("rep"))
-    first = placed.where("component <> main").join(one_of, "key")
-    first = first.select(F.least("node", "rep").alias("a"), F.greatest("node", "rep").alias("b")).distinct()
-    first = checkpointed(_may_link(first.join(pairs, ["a", "b"], "left_anti"), sketches, bands))
+    first = placed.where("component <> main").join(gathered(one_of, n_loose), "key")
+    first = gathered(first.select(F.least("node", "rep").alias("a"), F.greatest("node", "rep").alias("b")), n_loose).distinct()
+    first = gathered(first.join(pairs, ["a", "b"], "left_anti"), n_loose)
+    first = checkpointed(_may_link(first, sketches, bands, n_loose, node_bytes))
     if first.limit(1).count():
         found = checkpointed(_verify(first, texts_of(both_ends(first)), k, bands))
+        found = gathered(found, n_loose)
         pairs = checkpointed(pairs.union(first))
         if found.limit(1).count():
             parts = checkpointed(merged_components(parts, found, "a", "b"))
             placed = still_mixed(parts)
-    rest = checkpointed(placed.select("node", "component").distinct())
+    rest = checkpointed(gathered(placed.select("node", "component").distinct(), n_loose))
     if n_rest := rest.count():
         texts = texts_of(rest.select("node"))
-        weighed = rest.join(rest.groupBy("component").agg(F.count("*").alias("weight")), "component")
+        weighed = gathered(rest.join(rest.groupBy("component").agg(F.count("*").alias("weight")), "component"), n_rest)
         nodes = texts.join(broadcast_if_small(weighed, max_broadcast, n_rest), "node")
-        more = _pairs_by_rare(nodes, total, k, bands, max_broadcast).join(pairs, ["a", "b"], "left_anti")
-        more = checkpointed(_may_link(more, sketches, bands))
+        more = checkpointed(_pairs_by_rare(nodes, total, k, bands, max_broadcast).join(pairs, ["a", "b"], "left_anti"))
+        n_more = more.count()
+        more = checkpointed(_may_link(gathered(more, n_more), sketches, bands, n_more, node_bytes))
         if more.limit(1).count():
             late = checkpointed(_verify(more, texts, k, bands))
             parts = checkpointed(merged_components(parts, late, "a", "b"))
@@ -662,8 +680,9 @@ def near_duplicates(
     merged = one.join(parts.withColumnRenamed("id", "node"), "node", "left").select(
         "node", "doc_id", F.coalesce("component", "node").alias("class_id")
     )
-    named = merged.groupBy("class_id").agg(F.min("doc_id").alias("component_id"))
-    nodes = merged.select("node", "class_id").join(named, "class_id").select("node", "class_id", "component_id")
+    merged = checkpointed(gathered(merged, n_rows))
+    named = gathered(merged.groupBy("class_id").agg(F.min("doc_id").alias("component_id")), n_rows)
+    nodes = gathered(merged.select("node", "class_id").join(named, "class_id").select("node", "class_id", "component_id"), n_rows)
     return rows.join(nodes, "node", "left").select(
         "doc_id", "n_shingles",
         F.when(F.col("class_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),

@@ -241,3 +241,29 @@ def test_components_after_more_edges(spark):
     want = sorted(map(tuple, connected_components(first.union(more), "a", "b").collect()))
     got = merged_components(connected_components(first, "a", "b"), more, "a", "b")
     assert sorted(map(tuple, got.collect())) == want
+
+
+def test_few_rows_take_few_tasks_whatever_the_partitions(spark):
+    """A table of a few links is not dealt to every shuffle partition
+    in each step, and a path as long as that is still one component."""
+    from dialogprep.llm.components import connected_components
+
+    settings = {"spark.sql.shuffle.partitions": "48", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in settings}
+    sc = spark.sparkContext
+    edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(1000, 1001)], "a long, b long")
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        sc.setJobGroup("few-rows", "")
+        got = connected_components(edges, "a", "b").collect()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert sorted(map(tuple, got)) == [(i, 0) for i in range(41)] + [(1000, 1000), (1001, 1000)]
+    status = sc.statusTracker()
+    jobs = [status.getJobInfo(j) for j in status.getJobIdsForGroup("few-rows")]
+    stages = [status.getStageInfo(s) for s in {s for j in jobs if j for s in j.stageIds}]
+    wide = [s.numTasks for s in stages if s and s.numCompletedTasks >= 48]
+    assert 0 < len(stages) and len(wide) <= 2  # the table of edges, once
